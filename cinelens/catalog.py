@@ -179,3 +179,226 @@ def q_urls(spark, sf_dir):
     m = derived.movies(spark, sf_dir)
     return m.select("movie_id", scalars.movie_url("movie_id").alias("imdb_url"),
                     scalars.source_url("movie_id").alias("source_url"))
+
+
+# --------------------------------------------------- raw review rows (P, D, F)
+from .functions import text as TX  # noqa: E402
+from .operators import clean as CL  # noqa: E402
+from .operators import dedup as DD  # noqa: E402
+from .plans.preprocess import preprocess  # noqa: E402
+
+RAW_CTE = """
+raw_reviews AS (
+  SELECT doc_id AS ord,
+         'tt' || lpad(substring(source, 4), 7, '0') AS movie_id,
+         source AS title,
+         'user_' || CAST(doc_id * 31 % 97 AS VARCHAR) AS Author,
+         CASE WHEN doc_id % 11 = 0 THEN NULL
+              ELSE CAST((doc_id * 7 + n_chars) % 10 + 1 AS DOUBLE) END AS Rating,
+         CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN 'None' WHEN 2 THEN '1,234'
+              WHEN 3 THEN '1.5K' WHEN 4 THEN '2M' WHEN 5 THEN 'abc'
+              ELSE CAST(n_chars AS VARCHAR) END AS Helpful_upVotes,
+         CASE WHEN doc_id % 5 = 0 THEN NULL ELSE CAST(doc_id % 40 AS VARCHAR) END AS Helpful_downVotes,
+         CASE WHEN doc_id % 17 = 3 THEN NULL ELSE split_part(text, chr(10), 1) END AS Summary,
+         CASE WHEN doc_id % 101 = 50 THEN NULL ELSE text END AS Review,
+         '2026-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || 'T00:00:00+00:00' AS Scrape_Timestamp,
+         'https://example.com/title/tt' || lpad(substring(source, 4), 7, '0') || '/reviews' AS Source_URL,
+         'rv_' || CAST(CASE WHEN doc_id % 20 = 1 THEN doc_id - 1 ELSE doc_id END AS VARCHAR) AS Unique_ID
+  FROM documents)"""
+
+RAW_COLS = ("ord, movie_id, title, Author, Rating, Helpful_upVotes, Helpful_downVotes, Summary, "
+            "Review, Scrape_Timestamp, Source_URL, Unique_ID")
+
+# DuckDB form of functions.scalars.vote_count
+_VOTE_BODY = "regexp_replace(upper(regexp_replace({c}, '^\\s+|\\s+$', '', 'g')), ',', '', 'g')"
+
+
+def _vote_sql(c: str) -> str:
+    s = _VOTE_BODY.format(c=c)
+    body = (f"CASE WHEN right({s}, 1) IN ('K', 'M') THEN left({s}, length({s}) - 1) ELSE {s} END")
+    mult = f"CASE right({s}, 1) WHEN 'K' THEN 1000.0 WHEN 'M' THEN 1000000.0 ELSE 1.0 END"
+    return (f"coalesce(CASE WHEN regexp_full_match({body}, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') "
+            f"THEN TRY_CAST(trunc(TRY_CAST({body} AS DOUBLE) * {mult}) AS INTEGER) END, 0)")
+
+
+FIRST_PER_REVIEW = f"""{RAW_CTE},
+first_per_review AS (
+  SELECT {RAW_COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY Review ORDER BY ord) AS rn FROM raw_reviews) t
+  WHERE rn = 1)"""
+
+COMPLETE_CTE = FIRST_PER_REVIEW + """,
+complete AS (SELECT * FROM first_per_review WHERE Review IS NOT NULL AND Summary IS NOT NULL)"""
+
+PREPROCESSED_CTE = COMPLETE_CTE.replace(
+    "SELECT *, row_number() OVER (PARTITION BY Review ORDER BY ord) AS rn FROM raw_reviews) t",
+    "SELECT *, row_number() OVER (PARTITION BY Review ORDER BY ord) AS rn FROM raw_reviews "
+    "WHERE Review IS NOT NULL) t") + f""",
+preprocessed AS (
+  SELECT ord, movie_id, title, Author,
+         coalesce(Rating, (SELECT round_even(avg(Rating), 0) FROM complete)) AS Rating,
+         Helpful_upVotes, Helpful_downVotes, Summary, Review, Scrape_Timestamp, Source_URL, Unique_ID
+  FROM complete)"""
+
+
+def _raw(spark, sf_dir):
+    return derived.review_rows(spark, sf_dir)
+
+
+@register("P1_vote_counts", f"""WITH {RAW_CTE}
+SELECT ord, Helpful_upVotes, Helpful_downVotes,
+       {_vote_sql('Helpful_upVotes')} AS upvotes, {_vote_sql('Helpful_downVotes')} AS downvotes
+FROM raw_reviews""")
+def q_votes(spark, sf_dir):
+    return _raw(spark, sf_dir).select(
+        "ord", "Helpful_upVotes", "Helpful_downVotes",
+        scalars.vote_count("Helpful_upVotes").alias("upvotes"),
+        scalars.vote_count("Helpful_downVotes").alias("downvotes"))
+
+
+@register("P2_parse_rating", f"""WITH {RAW_CTE}
+SELECT ord, CASE WHEN isnan(Rating) THEN NULL ELSE CAST(trunc(Rating) AS INTEGER) END AS rating
+FROM raw_reviews""")
+def q_rating(spark, sf_dir):
+    return _raw(spark, sf_dir).select("ord", scalars.parse_rating("Rating").alias("rating"))
+
+
+@register("P4_normalise_nulls", f"""WITH {RAW_CTE}
+SELECT ord,
+       CASE WHEN Helpful_upVotes IN ('', 'None', 'NaN', 'NA', 'N/A', 'null', 'NULL', 'nan', 'n/a')
+            THEN NULL ELSE Helpful_upVotes END AS Helpful_upVotes,
+       CASE WHEN Helpful_downVotes IN ('', 'None', 'NaN', 'NA', 'N/A', 'null', 'NULL', 'nan', 'n/a')
+            THEN NULL ELSE Helpful_downVotes END AS Helpful_downVotes,
+       Rating
+FROM raw_reviews""")
+def q_nulls(spark, sf_dir):
+    df = _raw(spark, sf_dir).select("ord", "Helpful_upVotes", "Helpful_downVotes", "Rating")
+    return CL.normalise_nulls(df)
+
+
+@register("P5_author_from_label", f"""WITH {RAW_CTE}
+SELECT ord, coalesce(split_part(label, '''s rating', 1), 'Unknown') AS author
+FROM (SELECT ord, Author || '''s rating: ' || CAST(CAST(Rating AS INTEGER) AS VARCHAR) || '/10' AS label
+      FROM raw_reviews) t""")
+def q_author(spark, sf_dir):
+    label = F.concat(F.col("Author"), F.lit("'s rating: "),
+                     F.col("Rating").cast("int").cast("string"), F.lit("/10"))
+    return _raw(spark, sf_dir).select("ord", scalars.author_from_label(label).alias("author"))
+
+
+_HREF_SQL = ("CASE WHEN ord % 9 = 0 THEN NULL WHEN ord % 9 = 4 THEN '' "
+             "ELSE '/review/' || Unique_ID || '/?ref_=tt_urv_' || CAST(ord AS VARCHAR) END")
+
+
+@register("P6_unique_id", f"""WITH {RAW_CTE}, linked AS (SELECT *, {_HREF_SQL} AS href FROM raw_reviews)
+SELECT ord,
+       CASE WHEN href IS NOT NULL AND 'https://www.imdb.com' || split_part(href, '?', 1) <> 'https://www.imdb.com'
+            THEN 'https://www.imdb.com' || split_part(href, '?', 1)
+            ELSE coalesce(Author, 'None') || '_' || sha256(coalesce(Review, '')) END AS unique_id
+FROM linked""")
+def q_unique_id(spark, sf_dir):
+    o = F.col("ord")
+    href = (F.when(o % 9 == 0, F.lit(None).cast("string")).when(o % 9 == 4, F.lit(""))
+            .otherwise(F.concat(F.lit("/review/"), F.col("Unique_ID"), F.lit("/?ref_=tt_urv_"),
+                                o.cast("string"))))
+    return _raw(spark, sf_dir).select(
+        "ord", scalars.unique_id(href, F.col("Author"), F.col("Review")).alias("unique_id"))
+
+
+@register("P7_review_hash", f"""WITH {RAW_CTE}
+SELECT ord, md5(coalesce(movie_id, 'None') || coalesce(Author, 'None') || coalesce(Review, 'None')) AS review_hash,
+       sha256(coalesce(movie_id, 'None') || coalesce(Author, 'None') || coalesce(Review, 'None')) AS review_sha256
+FROM raw_reviews""")
+def q_hash(spark, sf_dir):
+    return _raw(spark, sf_dir).select(
+        "ord", scalars.review_hash("movie_id", "Author", "Review").alias("review_hash"),
+        scalars.review_hash("movie_id", "Author", "Review", algo="sha256").alias("review_sha256"))
+
+
+@register("P8_clean_text", f"""WITH {RAW_CTE}
+SELECT ord, trim(regexp_replace(regexp_replace(lower(coalesce(Review, '')), '[^a-z\\s]', '', 'g'),
+                                '\\s+', ' ', 'g')) AS clean_review
+FROM raw_reviews""")
+def q_clean_text(spark, sf_dir):
+    return _raw(spark, sf_dir).select("ord", TX.clean_text("Review").alias("clean_review"))
+
+
+@register("P14_P15_cast_text_and_timestamp", f"""WITH {RAW_CTE}
+SELECT ord, CAST(Summary AS VARCHAR) AS Summary,
+       CAST(CAST(Scrape_Timestamp AS TIMESTAMPTZ) AS TIMESTAMP) AS scrape_timestamp
+FROM raw_reviews""")
+def q_casts(spark, sf_dir):
+    return _raw(spark, sf_dir).select("ord", scalars.as_text("Summary").alias("Summary"),
+                                      scalars.iso_timestamp("Scrape_Timestamp").alias("scrape_timestamp"))
+
+
+@register("D1_keep_first_per_review", f"WITH {FIRST_PER_REVIEW} SELECT * FROM first_per_review")
+def q_keep_first(spark, sf_dir):
+    return DD.keep_first(_raw(spark, sf_dir), "Review", "ord")
+
+
+@register("D2_distinct_authors", f"WITH {RAW_CTE} SELECT DISTINCT Author FROM raw_reviews")
+def q_authors(spark, sf_dir):
+    return DD.distinct_values(_raw(spark, sf_dir), "Author")
+
+
+@register("D3_first_per_unique_id", f"""WITH {RAW_CTE}
+SELECT {RAW_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY Unique_ID ORDER BY ord) AS rn FROM raw_reviews) t
+WHERE rn = 1""")
+def q_first_uid(spark, sf_dir):
+    return DD.keep_first(_raw(spark, sf_dir), "Unique_ID", "ord")
+
+
+@register("F1_drop_incomplete", f"WITH {COMPLETE_CTE} SELECT * FROM complete")
+def q_complete(spark, sf_dir):
+    return CL.drop_incomplete(DD.keep_first(_raw(spark, sf_dir), "Review", "ord"))
+
+
+@register("F4_nonblank_texts", f"""WITH {RAW_CTE}
+SELECT ord, Review FROM raw_reviews
+WHERE Review IS NOT NULL AND regexp_replace(Review, '^\\s+|\\s+$', '', 'g') <> ''""")
+def q_nonblank(spark, sf_dir):
+    return CL.nonblank(_raw(spark, sf_dir).select("ord", "Review"), "Review")
+
+
+@register("A1_fill_rating", f"WITH {PREPROCESSED_CTE} SELECT ord, Rating FROM preprocessed")
+def q_fill(spark, sf_dir):
+    return preprocess(_raw(spark, sf_dir)).select("ord", "Rating")
+
+
+@register("E1_preprocess", f"WITH {PREPROCESSED_CTE} SELECT * FROM preprocessed")
+def q_preprocess(spark, sf_dir):
+    return preprocess(_raw(spark, sf_dir))
+
+
+# History = reviews scraped before Jan 15; the batch is every row.
+_HISTORY = "Scrape_Timestamp < '2026-01-15'"
+
+
+@register("S3_known_ids", f"""WITH {RAW_CTE}
+SELECT DISTINCT Unique_ID FROM raw_reviews WHERE {_HISTORY}""")
+def q_known(spark, sf_dir):
+    from .sources.csv import known_ids
+    return known_ids(_raw(spark, sf_dir).where(_HISTORY))
+
+
+@register("F3_skip_seen", f"""WITH {RAW_CTE}
+SELECT {RAW_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY Unique_ID ORDER BY ord) AS rn FROM raw_reviews) t
+WHERE rn = 1 AND Unique_ID NOT IN (SELECT Unique_ID FROM raw_reviews WHERE {_HISTORY})""")
+def q_skip_seen(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return DD.new_reviews(raw, raw.where(_HISTORY), "Unique_ID", "ord")
+
+
+@register("F5_cap_at_target", f"""WITH {RAW_CTE},
+fresh AS (
+  SELECT {RAW_COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY Unique_ID ORDER BY ord) AS rn FROM raw_reviews) t
+  WHERE rn = 1 AND Unique_ID NOT IN (SELECT Unique_ID FROM raw_reviews WHERE {_HISTORY}))
+SELECT * FROM fresh ORDER BY ord
+LIMIT (SELECT greatest(0, 900 - count(DISTINCT Unique_ID)) FROM raw_reviews WHERE {_HISTORY})""")
+def q_cap(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return DD.new_reviews(raw, raw.where(_HISTORY), "Unique_ID", "ord", target=900)
