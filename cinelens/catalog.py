@@ -402,3 +402,91 @@ LIMIT (SELECT greatest(0, 900 - count(DISTINCT Unique_ID)) FROM raw_reviews WHER
 def q_cap(spark, sf_dir):
     raw = _raw(spark, sf_dir)
     return DD.new_reviews(raw, raw.where(_HISTORY), "Unique_ID", "ord", target=900)
+
+
+# ------------------------------------------------------------------ keywords
+from .operators import keywords as KW  # noqa: E402
+from .sources import lexicons as LX  # noqa: E402
+
+_TOKEN_SQL = TX.TOKEN.replace("'", "''")
+_CLITIC_SQL = TX.CLITIC.replace("'", "''")
+_STOP_SQL = LX.values_sql(LX.FIXTURE_STOPWORDS, ["token"])
+_LEMMA_SQL = LX.values_sql(list(LX.FIXTURE_LEMMAS.items()), ["token", "lemma"])
+
+KEYWORD_TOKENS_CTE = f"""{RAW_CTE},
+docs AS (SELECT ord, Review FROM raw_reviews
+         WHERE Review IS NOT NULL AND regexp_replace(Review, '^\\s+|\\s+$', '', 'g') <> ''),
+toks AS (SELECT ord, list_transform(regexp_extract_all(lower(Review), '{_TOKEN_SQL}'),
+                                    lambda t: regexp_replace(t, '{_CLITIC_SQL}', '')) AS ts FROM docs),
+ex AS (SELECT ord, unnest(ts) AS token, generate_subscripts(ts, 1) AS pos FROM toks),
+kept AS (SELECT * FROM ex WHERE length(token) > 2 AND length(token) < 20
+         AND regexp_full_match(token, '\\p{{L}}+')
+         AND token NOT IN (SELECT token FROM {_STOP_SQL})),
+lem AS (SELECT k.ord, k.pos, coalesce(l.lemma, k.token) AS word
+        FROM kept k LEFT JOIN {_LEMMA_SQL} ON l_tok = k.token)""".replace(
+    f"LEFT JOIN {_LEMMA_SQL} ON l_tok", f"LEFT JOIN {_LEMMA_SQL.replace('t(token, lemma)', 'l(l_tok, lemma)')} ON l_tok")
+
+TOP_KEYWORDS_SQL = f"""WITH {KEYWORD_TOKENS_CTE},
+counted AS (SELECT word, count(*) AS count, min({{'o': ord, 'p': pos}}) AS first FROM lem GROUP BY word)
+SELECT word, count FROM counted ORDER BY count DESC, first LIMIT 20"""
+
+
+def _kw_tables(spark):
+    return KW.stopwords(spark, LX.FIXTURE_STOPWORDS), KW.lemmas(spark, LX.FIXTURE_LEMMAS)
+
+
+@register("P9_P10_meaningful_tokens", f"""WITH {KEYWORD_TOKENS_CTE.split(',' + chr(10) + 'kept AS')[0]}
+SELECT ord, list_filter(ts, lambda t: length(t) > 2 AND length(t) < 20 AND regexp_full_match(t, '\\p{{L}}+'))
+       AS tokens FROM toks""")
+def q_tokens(spark, sf_dir):
+    docs = CL.nonblank(_raw(spark, sf_dir), "Review")
+    return docs.select("ord", TX.meaningful(TX.tokenize("Review")).alias("tokens"))
+
+
+@register("A8_top_keywords", TOP_KEYWORDS_SQL)
+def q_top_keywords(spark, sf_dir):
+    stop, lem = _kw_tables(spark)
+    return KW.top_keywords(_raw(spark, sf_dir), "Review", "ord", stop, lem, top_n=20)
+
+
+@register("J5_J6_keyword_frequencies", f"""WITH {KEYWORD_TOKENS_CTE}
+SELECT word, count(*) AS count FROM lem GROUP BY word""")
+def q_kw_freq(spark, sf_dir):
+    stop, lem = _kw_tables(spark)
+    toks = KW.keyword_tokens(_raw(spark, sf_dir), "Review", "ord", stop, lem)
+    return toks.groupBy(F.col("token").alias("word")).agg(F.count(F.lit(1)).alias("count"))
+
+
+_SENSE_SQL = LX.values_sql(LX.FIXTURE_SENSES, ["word", "rank", "definition", "pos", "examples"])
+
+
+@register("J4_enrich_keywords", f"""{TOP_KEYWORDS_SQL.replace('SELECT word, count FROM counted ORDER BY count DESC, first LIMIT 20',
+                                                               'SELECT word, count FROM counted ORDER BY count DESC, first LIMIT 20), senses AS (SELECT * FROM ' + _SENSE_SQL + ')').replace('WITH ', 'WITH kw AS (WITH ', 1)},
+first_sense AS (SELECT word, arg_min({{'definition': definition, 'pos': pos, 'examples': examples[1:2]}}, rank) AS s
+                FROM senses GROUP BY word)
+SELECT kw.word AS name, kw.count AS value,
+       CAST(to_json(CASE WHEN f.s IS NULL THEN []
+            ELSE [{{'definition': f.s.definition, 'pos': f.s.pos, 'examples': f.s.examples}}] END) AS VARCHAR)
+       AS categories_json
+FROM kw LEFT JOIN first_sense f ON f.word = kw.word""")
+def q_enrich(spark, sf_dir):
+    stop, lem = _kw_tables(spark)
+    kw = KW.top_keywords(_raw(spark, sf_dir), "Review", "ord", stop, lem, top_n=20)
+    out = KW.enrich_keywords(kw, KW.senses(spark, LX.FIXTURE_SENSES))
+    return out.select("name", "value", F.to_json("categories").alias("categories_json"))
+
+
+@register("P11_lemmatize_and_remove_stopwords", f"""WITH {RAW_CTE},
+cleaned AS (SELECT ord, trim(regexp_replace(regexp_replace(lower(coalesce(Review, '')), '[^a-z\\s]', '', 'g'),
+                                            '\\s+', ' ', 'g')) AS c FROM raw_reviews),
+words AS (SELECT ord, list_filter(string_split_regex(c, '\\s+'), lambda w: w <> '') AS ws FROM cleaned),
+ex AS (SELECT ord, unnest(ws) AS token, generate_subscripts(ws, 1) AS pos FROM words),
+kept AS (SELECT e.ord, e.pos, coalesce(l.lemma, e.token) AS token FROM ex e
+         LEFT JOIN {_LEMMA_SQL.replace('t(token, lemma)', 'l(l_tok, lemma)')} ON l.l_tok = e.token
+         WHERE e.token NOT IN (SELECT token FROM {_STOP_SQL}))
+SELECT w.ord, coalesce((SELECT string_agg(k.token, ' ' ORDER BY k.pos) FROM kept k WHERE k.ord = w.ord), '') AS text
+FROM words w""")
+def q_lemmatize(spark, sf_dir):
+    stop, lem = _kw_tables(spark)
+    cleaned = _raw(spark, sf_dir).select("ord", TX.clean_text("Review").alias("c"))
+    return KW.lemmatize_and_remove_stopwords(cleaned, "ord", "c", stop, lem, "text")
