@@ -490,3 +490,134 @@ def q_lemmatize(spark, sf_dir):
     stop, lem = _kw_tables(spark)
     cleaned = _raw(spark, sf_dir).select("ord", TX.clean_text("Review").alias("c"))
     return KW.lemmatize_and_remove_stopwords(cleaned, "ord", "c", stop, lem, "text")
+
+
+# ----------------------------------------------------------------- sentiment
+from .functions import labels as LB  # noqa: E402
+from .operators import sentiment as SN  # noqa: E402
+
+_P = SN.PUNCT_CLASS
+_LEX_SQL = LX.values_sql(list(LX.FIXTURE_LEXICON.items()), ["token", "valence"])
+_BST_SQL = LX.values_sql(list(LX.FIXTURE_BOOSTERS.items()), ["token", "scalar"])
+_NEG_SQL = LX.values_sql(LX.FIXTURE_NEGATIONS, ["token"])
+_C, _N = LX.C_INCR, LX.N_SCALAR
+
+
+def _upper_sql(x: str) -> str:
+    return f"(upper({x}) = {x} AND lower({x}) <> {x})"
+
+
+def _boost_sql(k: int, v: str) -> str:
+    s = (f"CASE WHEN b{k} IS NOT NULL THEN (CASE WHEN {v} < 0 THEN -b{k} ELSE b{k} END) + "
+         f"(CASE WHEN {_upper_sql(f'o{k}')} AND capdiff THEN (CASE WHEN {v} > 0 THEN {_C} ELSE -{_C} END) "
+         f"ELSE 0 END) ELSE 0 END")
+    damp = {1: "", 2: f" * {SN.DAMP_2}", 3: f" * {SN.DAMP_3}"}[k]
+    return f"(({s}){damp})"
+
+
+_NEG1 = "CASE WHEN n1 THEN vb1 * {N} ELSE vb1 END"
+_NEG2 = ("CASE WHEN p2 = 'never' AND p1 IN ('so', 'this') THEN vb2 * 1.25 "
+         "WHEN p2 = 'without' AND p1 = 'doubt' THEN vb2 WHEN n2 THEN vb2 * {N} ELSE vb2 END")
+_NEG3 = ("CASE WHEN (p3 = 'never' AND p2 IN ('so', 'this')) OR p1 IN ('so', 'this') THEN vb3 * 1.25 "
+         "WHEN p3 = 'without' AND (p2 = 'doubt' OR p1 = 'doubt') THEN vb3 WHEN n3 THEN vb3 * {N} ELSE vb3 END")
+
+SENTIMENT_CTE = f"""{RAW_CTE},
+docs AS (SELECT ord AS id, coalesce(Review, '') AS text FROM raw_reviews),
+w AS (SELECT id, text, list_transform(regexp_extract_all(text, '[^\\s]+'),
+        lambda x: CASE WHEN length(regexp_replace(x, '^{_P}+|{_P}+$', '', 'g')) <= 2 THEN x
+                       ELSE regexp_replace(x, '^{_P}+|{_P}+$', '', 'g') END) AS ws FROM docs),
+feat0 AS (SELECT id, ws, len(ws) AS n,
+        length(text) - length(replace(text, '!', '')) AS ep,
+        length(text) - length(replace(text, '?', '')) AS qm,
+        len(list_filter(ws, lambda x: {_upper_sql('x')})) AS ncaps,
+        coalesce(list_position(list_transform(ws, lambda x: lower(x)), '{LX.FIXTURE_CONTRAST}') - 1, -1) AS bi
+      FROM w),
+feat AS (SELECT id, ws, n, bi, ncaps > 0 AND ncaps < n AS capdiff,
+        least(ep, 4) * 0.292 + CASE WHEN qm > 1 THEN (CASE WHEN qm <= 3 THEN qm * 0.18 ELSE 0.96 END) ELSE 0 END AS amp
+      FROM feat0),
+ex AS (SELECT id, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS i FROM feat),
+ctx AS (SELECT id, i, w, lower(w) AS lw,
+        lag(w, 1) OVER win AS o1, lag(w, 2) OVER win AS o2, lag(w, 3) OVER win AS o3,
+        lower(lead(w, 1) OVER win) AS nx
+      FROM ex WINDOW win AS (PARTITION BY id ORDER BY i)),
+lex AS (SELECT token, valence FROM {_LEX_SQL}),
+bst AS (SELECT token, scalar FROM {_BST_SQL}),
+ngt AS (SELECT token FROM {_NEG_SQL}),
+hits AS (SELECT c.id, c.i, c.w, c.lw, c.nx, c.o1, c.o2, c.o3,
+        lower(c.o1) AS p1, lower(c.o2) AS p2, lower(c.o3) AS p3, lex.valence AS val,
+        EXISTS (SELECT 1 FROM bst WHERE bst.token = c.lw) AS is_booster,
+        coalesce(lower(c.o1) IN (SELECT token FROM lex), FALSE) AS l1,
+        coalesce(lower(c.o2) IN (SELECT token FROM lex), FALSE) AS l2,
+        coalesce(lower(c.o3) IN (SELECT token FROM lex), FALSE) AS l3,
+        (SELECT scalar FROM bst WHERE bst.token = lower(c.o1)) AS b1,
+        (SELECT scalar FROM bst WHERE bst.token = lower(c.o2)) AS b2,
+        (SELECT scalar FROM bst WHERE bst.token = lower(c.o3)) AS b3,
+        coalesce(lower(c.o1) IN (SELECT token FROM ngt) OR contains(lower(c.o1), 'n''t'), FALSE) AS n1,
+        coalesce(lower(c.o2) IN (SELECT token FROM ngt) OR contains(lower(c.o2), 'n''t'), FALSE) AS n2,
+        coalesce(lower(c.o3) IN (SELECT token FROM ngt) OR contains(lower(c.o3), 'n''t'), FALSE) AS n3
+      FROM ctx c JOIN lex ON lex.token = c.lw),
+s0 AS (SELECT h.*, f.capdiff, f.bi,
+        CASE WHEN {_upper_sql('h.w')} AND f.capdiff THEN (CASE WHEN val > 0 THEN val + {_C} ELSE val - {_C} END)
+             ELSE val END AS v0
+      FROM hits h JOIN feat f ON f.id = h.id),
+s1a AS (SELECT *, v0 + {_boost_sql(1, 'v0')} AS vb1 FROM s0),
+s1 AS (SELECT *, CASE WHEN i >= 1 AND NOT l1 THEN {_NEG1.format(N=_N)} ELSE v0 END AS v1 FROM s1a),
+s2a AS (SELECT *, v1 + {_boost_sql(2, 'v1')} AS vb2 FROM s1),
+s2 AS (SELECT *, CASE WHEN i >= 2 AND NOT l2 THEN {_NEG2.format(N=_N)} ELSE v1 END AS v2 FROM s2a),
+s3a AS (SELECT *, v2 + {_boost_sql(3, 'v2')} AS vb3 FROM s2),
+s3 AS (SELECT *, CASE WHEN i >= 3 AND NOT l3 THEN {_NEG3.format(N=_N)} ELSE v2 END AS v3 FROM s3a),
+s4 AS (SELECT *, CASE WHEN i > 1 AND NOT l1 AND p1 = 'least'
+                      THEN (CASE WHEN p2 <> 'at' AND p2 <> 'very' THEN v3 * {_N} ELSE v3 END)
+                      WHEN i > 0 AND NOT l1 AND p1 = 'least' THEN v3 * {_N} ELSE v3 END AS v4 FROM s3),
+s5 AS (SELECT *, CASE WHEN is_booster OR (lw = 'kind' AND nx = 'of') THEN 0.0 ELSE v4 END AS v5 FROM s4),
+valences AS (SELECT id, i, w AS word,
+        CASE WHEN bi >= 0 AND i < bi THEN v5 * 0.5 WHEN bi >= 0 AND i > bi THEN v5 * 1.5 ELSE v5 END AS valence
+      FROM s5),
+agg AS (SELECT id, sum(valence) AS s, sum(CASE WHEN valence > 0 THEN valence + 1 END) AS ps,
+        sum(CASE WHEN valence < 0 THEN valence - 1 END) AS ns,
+        count(*) FILTER (WHERE valence > 0) AS np, count(*) FILTER (WHERE valence < 0) AS nn
+      FROM valences GROUP BY id),
+j AS (SELECT f.id, f.n, f.amp, coalesce(a.s, 0) AS s, coalesce(a.ps, 0) AS ps, coalesce(a.ns, 0) AS ns,
+        CAST(f.n - coalesce(a.np, 0) - coalesce(a.nn, 0) AS DOUBLE) AS neu
+      FROM feat f LEFT JOIN agg a ON a.id = f.id),
+k AS (SELECT *, CASE WHEN s > 0 THEN s + amp WHEN s < 0 THEN s - amp ELSE s END AS s2,
+        CASE WHEN ps > abs(ns) THEN ps + amp ELSE ps END AS ps2,
+        CASE WHEN ps < abs(ns) THEN ns - amp ELSE ns END AS ns2 FROM j),
+scores AS (SELECT id AS ord,
+        CASE WHEN n > 0 THEN round_even(greatest(least(s2 / sqrt(s2 * s2 + 15.0), 1.0), -1.0), 4) ELSE 0.0 END AS Compound,
+        CASE WHEN n > 0 THEN round_even(abs(ns2 / (ps2 + abs(ns2) + neu)), 3) ELSE 0.0 END AS Negative,
+        CASE WHEN n > 0 THEN round_even(abs(neu / (ps2 + abs(ns2) + neu)), 3) ELSE 0.0 END AS Neutral,
+        CASE WHEN n > 0 THEN round_even(abs(ps2 / (ps2 + abs(ns2) + neu)), 3) ELSE 0.0 END AS Positive
+      FROM k)"""
+
+
+def _sent_tables(spark):
+    return (SN.lexicon_table(spark, LX.FIXTURE_LEXICON), SN.booster_table(spark, LX.FIXTURE_BOOSTERS),
+            SN.negation_table(spark, LX.FIXTURE_NEGATIONS))
+
+
+def _scored(spark, sf_dir):
+    lex, bst, ngt = _sent_tables(spark)
+    raw = _raw(spark, sf_dir).select("ord", "Review")
+    return SN.score_sentiment(raw, "ord", "Review", lex, bst, ngt, contrast=LX.FIXTURE_CONTRAST)
+
+
+@register("A9_sentiment_scores", f"WITH {SENTIMENT_CTE} SELECT * FROM scores")
+def q_sentiment(spark, sf_dir):
+    return _scored(spark, sf_dir).select("ord", "Compound", "Negative", "Neutral", "Positive")
+
+
+@register("J7_word_valences", f"WITH {SENTIMENT_CTE} SELECT id AS ord, i, word, valence FROM valences")
+def q_valences(spark, sf_dir):
+    lex, bst, ngt = _sent_tables(spark)
+    vals, _ = SN.word_valences(_raw(spark, sf_dir), "ord", "Review", lex, bst, ngt,
+                               contrast=LX.FIXTURE_CONTRAST)
+    return vals.select(F.col("__id").alias("ord"), "i", "word", "valence")
+
+
+@register("P13_sentiment_labels", f"""WITH {SENTIMENT_CTE}
+SELECT ord, Compound, CASE WHEN isnan(Compound) THEN 'neutral' WHEN Compound > 0.05 THEN 'positive'
+                           WHEN Compound < -0.05 THEN 'negative' ELSE 'neutral' END AS Sentiment_label
+FROM scores""")
+def q_labels(spark, sf_dir):
+    return LB.add_sentiment_labels(_scored(spark, sf_dir).select("ord", "Compound"))

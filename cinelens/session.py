@@ -18,6 +18,9 @@ DEFAULT_CONF = {
 }
 
 
+LOCAL_DRIVER_MEMORY = "8g"
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "cinelens", extra: dict | None = None) -> SparkSession:
     """Return (or create) a session with the library's defaults.
@@ -28,6 +31,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode runs every task inside the driver JVM
+            builder = builder.config("spark.driver.memory", LOCAL_DRIVER_MEMORY)
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
