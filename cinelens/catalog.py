@@ -413,21 +413,28 @@ _CLITIC_SQL = TX.CLITIC.replace("'", "''")
 _STOP_SQL = LX.values_sql(LX.FIXTURE_STOPWORDS, ["token"])
 _LEMMA_SQL = LX.values_sql(list(LX.FIXTURE_LEMMAS.items()), ["token", "lemma"])
 
-KEYWORD_TOKENS_CTE = f"""{RAW_CTE},
-docs AS (SELECT ord, Review FROM raw_reviews
+_LEMMA_JOIN_SQL = _LEMMA_SQL.replace("t(token, lemma)", "l(l_tok, lemma)")
+
+
+def _kw_chain(src: str) -> str:
+    """CTEs docs/toks/ex/kept/lem over ``src(ord, Review)`` (starts with a comma)."""
+    return f""",
+kw_docs AS (SELECT ord, Review FROM {src}
          WHERE Review IS NOT NULL AND regexp_replace(Review, '^\\s+|\\s+$', '', 'g') <> ''),
-toks AS (SELECT ord, list_transform(regexp_extract_all(lower(Review), '{_TOKEN_SQL}'),
-                                    lambda t: regexp_replace(t, '{_CLITIC_SQL}', '')) AS ts FROM docs),
-ex AS (SELECT ord, unnest(ts) AS token, generate_subscripts(ts, 1) AS pos FROM toks),
-kept AS (SELECT * FROM ex WHERE length(token) > 2 AND length(token) < 20
+kw_toks AS (SELECT ord, list_transform(regexp_extract_all(lower(Review), '{_TOKEN_SQL}'),
+                                    lambda t: regexp_replace(t, '{_CLITIC_SQL}', '')) AS ts FROM kw_docs),
+kw_ex AS (SELECT ord, unnest(ts) AS token, generate_subscripts(ts, 1) AS pos FROM kw_toks),
+kw_kept AS (SELECT * FROM kw_ex WHERE length(token) > 2 AND length(token) < 20
          AND regexp_full_match(token, '\\p{{L}}+')
          AND token NOT IN (SELECT token FROM {_STOP_SQL})),
 lem AS (SELECT k.ord, k.pos, coalesce(l.lemma, k.token) AS word
-        FROM kept k LEFT JOIN {_LEMMA_SQL} ON l_tok = k.token)""".replace(
-    f"LEFT JOIN {_LEMMA_SQL} ON l_tok", f"LEFT JOIN {_LEMMA_SQL.replace('t(token, lemma)', 'l(l_tok, lemma)')} ON l_tok")
+        FROM kw_kept k LEFT JOIN {_LEMMA_JOIN_SQL} ON l.l_tok = k.token),
+counted AS (SELECT word, count(*) AS count, min({{'o': ord, 'p': pos}}) AS first FROM lem GROUP BY word)"""
+
+
+KEYWORD_TOKENS_CTE = RAW_CTE + _kw_chain("raw_reviews")
 
-TOP_KEYWORDS_SQL = f"""WITH {KEYWORD_TOKENS_CTE},
-counted AS (SELECT word, count(*) AS count, min({{'o': ord, 'p': pos}}) AS first FROM lem GROUP BY word)
+TOP_KEYWORDS_SQL = f"""WITH {KEYWORD_TOKENS_CTE}
 SELECT word, count FROM counted ORDER BY count DESC, first LIMIT 20"""
 
 
@@ -435,9 +442,9 @@ def _kw_tables(spark):
     return KW.stopwords(spark, LX.FIXTURE_STOPWORDS), KW.lemmas(spark, LX.FIXTURE_LEMMAS)
 
 
-@register("P9_P10_meaningful_tokens", f"""WITH {KEYWORD_TOKENS_CTE.split(',' + chr(10) + 'kept AS')[0]}
+@register("P9_P10_meaningful_tokens", f"""WITH {KEYWORD_TOKENS_CTE.split(',' + chr(10) + 'kw_ex AS')[0]}
 SELECT ord, list_filter(ts, lambda t: length(t) > 2 AND length(t) < 20 AND regexp_full_match(t, '\\p{{L}}+'))
-       AS tokens FROM toks""")
+       AS tokens FROM kw_toks""")
 def q_tokens(spark, sf_dir):
     docs = CL.nonblank(_raw(spark, sf_dir), "Review")
     return docs.select("ord", TX.meaningful(TX.tokenize("Review")).alias("tokens"))
@@ -621,3 +628,86 @@ SELECT ord, Compound, CASE WHEN isnan(Compound) THEN 'neutral' WHEN Compound > 0
 FROM scores""")
 def q_labels(spark, sf_dir):
     return LB.add_sentiment_labels(_scored(spark, sf_dir).select("ord", "Compound"))
+
+
+# ---------------------------------------------------------- stats and flows
+from .operators import stats as ST  # noqa: E402
+from .plans import analyze as AN  # noqa: E402
+
+LABELLED_CTE = PREPROCESSED_CTE + SENTIMENT_CTE[len(RAW_CTE):] + """,
+labelled AS (
+  SELECT p.*, s.Compound, s.Negative, s.Neutral, s.Positive,
+         CASE WHEN isnan(s.Compound) THEN 'neutral' WHEN s.Compound > 0.05 THEN 'positive'
+              WHEN s.Compound < -0.05 THEN 'negative' ELSE 'neutral' END AS Sentiment_label
+  FROM preprocessed p JOIN scores s ON s.ord = p.ord)"""
+
+
+def _analyzed(spark, sf_dir):
+    lex, bst, ngt = _sent_tables(spark)
+    stop, lem = _kw_tables(spark)
+    return AN.analyze(_raw(spark, sf_dir), lex, "ord", bst, ngt, LX.FIXTURE_CONTRAST, stop, lem,
+                      KW.senses(spark, LX.FIXTURE_SENSES))
+
+
+def _labelled(spark, sf_dir):
+    scored, _ = _analyzed(spark, sf_dir)
+    return LB.add_sentiment_labels(scored)
+
+
+@register("E2_analyze", f"WITH {LABELLED_CTE} SELECT * EXCLUDE (Sentiment_label) FROM labelled")
+def q_analyze(spark, sf_dir):
+    return _analyzed(spark, sf_dir)[0]
+
+
+@register("A2_sentiment_counts", f"""WITH {LABELLED_CTE}
+SELECT Sentiment_label, count(*) AS count FROM labelled GROUP BY Sentiment_label""")
+def q_sent_counts(spark, sf_dir):
+    return ST.sentiment_counts(_labelled(spark, sf_dir))
+
+
+@register("A3_average_rating", f"""WITH {LABELLED_CTE}
+SELECT round_even(avg(Rating), 1) AS avg_rating FROM labelled""")
+def q_avg(spark, sf_dir):
+    return ST.average_rating(_labelled(spark, sf_dir))
+
+
+@register("A4_T6_rating_counts", f"""WITH {LABELLED_CTE}
+SELECT Rating, count(*) AS count FROM labelled WHERE Rating IS NOT NULL GROUP BY Rating ORDER BY Rating""")
+def q_rating_counts(spark, sf_dir):
+    return ST.rating_counts(_labelled(spark, sf_dir))
+
+
+@register("A5_rating_by_sentiment", f"""WITH {LABELLED_CTE}
+SELECT Sentiment_label, avg(Rating) AS avg_rating FROM labelled GROUP BY Sentiment_label""")
+def q_rating_by_sent(spark, sf_dir):
+    return ST.rating_by_sentiment(_labelled(spark, sf_dir))
+
+
+@register("A6_total_reviews", f"WITH {LABELLED_CTE} SELECT count(*) AS total_reviews FROM labelled")
+def q_total(spark, sf_dir):
+    return ST.total_reviews(_labelled(spark, sf_dir))
+
+
+@register("A7_grouped_stats", f"""WITH {LABELLED_CTE}
+SELECT CASE grouping(Sentiment_label, Rating) WHEN 1 THEN 'label' WHEN 2 THEN 'rating' ELSE 'total' END AS set,
+       Sentiment_label AS label, Rating AS rating, count(*) AS count, avg(Rating) AS avg_rating
+FROM labelled GROUP BY GROUPING SETS ((Sentiment_label), (Rating), ())""")
+def q_grouped(spark, sf_dir):
+    return ST.grouped_stats(_labelled(spark, sf_dir))
+
+
+@register("E3_P19_inference_summary", f"""WITH {LABELLED_CTE}{_kw_chain('labelled')},
+stats AS (SELECT count(*) AS total_reviews, round_even(avg(Rating), 1) AS avg_rating,
+                 count(*) FILTER (WHERE Sentiment_label = 'positive') AS npos,
+                 count(*) FILTER (WHERE Sentiment_label = 'negative') AS nneg FROM labelled),
+top AS (SELECT word FROM counted ORDER BY count DESC, first LIMIT 1)
+SELECT total_reviews, avg_rating,
+       '⭐ Avg ' || CAST(avg_rating AS VARCHAR) || '/10. ' ||
+       CASE WHEN npos > nneg THEN 'Overall positive audience reception.'
+            WHEN nneg > npos THEN 'Overall negative audience reception.' ELSE 'Mixed audience reception.' END ||
+       coalesce(' Common theme: ' || (SELECT word FROM top) || '.', '') AS summary
+FROM stats""")
+def q_infer(spark, sf_dir):
+    scored, kws = _analyzed(spark, sf_dir)
+    result, _ = AN.infer(scored, kws)
+    return result.select("total_reviews", "avg_rating", "summary")
