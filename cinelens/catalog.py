@@ -372,8 +372,8 @@ def q_preprocess(spark, sf_dir):
     return preprocess(_raw(spark, sf_dir))
 
 
-# History = reviews scraped before Jan 15; the batch is every row.
-_HISTORY = "Scrape_Timestamp < '2026-01-15'"
+# History = reviews scraped before Jan 3; the batch is every row.
+_HISTORY = "Scrape_Timestamp < '2026-01-03'"
 
 
 @register("S3_known_ids", f"""WITH {RAW_CTE}
@@ -711,3 +711,137 @@ def q_infer(spark, sf_dir):
     scored, kws = _analyzed(spark, sf_dir)
     result, _ = AN.infer(scored, kws)
     return result.select("total_reviews", "avg_rating", "summary")
+
+
+# ------------------------------------------------------ star load and quality
+from .operators import load as LD  # noqa: E402
+from .operators import quality as QC  # noqa: E402
+from .plans import star as SR  # noqa: E402
+
+_SITE = scalars.SITE
+RECORDS_CTE = f"""{RAW_CTE},
+records AS (
+  SELECT ord, movie_id, Author AS username,
+         '{_SITE}/title/' || movie_id || '/reviews' AS source_url,
+         CASE WHEN isnan(Rating) THEN NULL ELSE CAST(trunc(Rating) AS SMALLINT) END AS rating,
+         {_vote_sql('Helpful_upVotes')} AS helpful_upvotes,
+         {_vote_sql('Helpful_downVotes')} AS helpful_downvotes,
+         Summary AS summary, Review AS review_text,
+         md5(coalesce(movie_id, 'None') || coalesce(Author, 'None') || coalesce(Review, 'None')) AS review_hash,
+         CAST(CAST(Scrape_Timestamp AS TIMESTAMPTZ) AS TIMESTAMP) AS scrape_timestamp,
+         Scrape_Timestamp < '2026-01-03' AS in_history
+  FROM raw_reviews),
+good AS (
+  SELECT * FROM records
+  WHERE username IS NOT NULL AND review_text IS NOT NULL AND scrape_timestamp IS NOT NULL
+    AND (rating IS NULL OR rating BETWEEN 1 AND 10) AND helpful_upvotes >= 0 AND helpful_downvotes >= 0)"""
+
+_REC_COLS = ("ord, movie_id, username, source_url, rating, helpful_upvotes, helpful_downvotes, summary, "
+             "review_text, review_hash, scrape_timestamp")
+
+
+def _first_sql(rel: str, key: str, cols: str) -> str:
+    return (f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY ord) AS rn "
+            f"FROM {rel} WHERE {key} IS NOT NULL) t WHERE rn = 1")
+
+
+def _star_plan(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    history = SR.plan_new_rows(raw.where(_HISTORY), {})
+    return SR.plan_new_rows(raw, history)
+
+
+@register("J3d_E4_new_reviews", f"""WITH {RECORDS_CTE},
+hist AS (SELECT review_hash FROM good WHERE in_history),
+firsts AS ({_first_sql('good', 'review_hash', _REC_COLS)})
+SELECT * FROM firsts WHERE review_hash NOT IN (SELECT review_hash FROM hist)""")
+def q_new_reviews(spark, sf_dir):
+    return _star_plan(spark, sf_dir)["reviews"]
+
+
+@register("J3c_D2_new_reviewers", f"""WITH {RECORDS_CTE}
+SELECT DISTINCT username FROM good
+WHERE username NOT IN (SELECT username FROM good WHERE in_history)""")
+def q_new_reviewers(spark, sf_dir):
+    return _star_plan(spark, sf_dir)["reviewers"]
+
+
+@register("J3b_new_movies", f"""WITH {RAW_CTE},
+firsts AS ({_first_sql('raw_reviews', 'movie_id', 'ord, movie_id, title, Scrape_Timestamp')})
+SELECT movie_id, title, '{_SITE}/title/' || movie_id || '/' AS imdb_url FROM firsts
+WHERE movie_id NOT IN (SELECT movie_id FROM raw_reviews WHERE Scrape_Timestamp < '2026-01-03')""")
+def q_new_movies(spark, sf_dir):
+    return _star_plan(spark, sf_dir)["movies"]
+
+
+@register("J3a_new_sources", f"""WITH {RAW_CTE},
+urls AS (SELECT '{_SITE}/title/' || movie_id || '/reviews' AS source_url, Scrape_Timestamp FROM raw_reviews)
+SELECT DISTINCT source_url FROM urls
+WHERE source_url NOT IN (SELECT source_url FROM urls WHERE Scrape_Timestamp < '2026-01-03')""")
+def q_new_sources(spark, sf_dir):
+    return _star_plan(spark, sf_dir)["sources"]
+
+
+@register("Q3_E4_quarantined_rows", f"""WITH {RECORDS_CTE}
+SELECT {_REC_COLS} FROM records WHERE ord NOT IN (SELECT ord FROM good)""")
+def q_quarantine(spark, sf_dir):
+    return _star_plan(spark, sf_dir)["quarantine"].drop("reasons")
+
+
+@register("J1_J2_resolve_keys", f"""WITH {RECORDS_CTE},
+reviewers AS (SELECT DISTINCT username, CAST(substring(username, 6) AS BIGINT) AS reviewer_id FROM good),
+sources AS (SELECT DISTINCT source_url, CAST(split_part(source_url, '/', 5)[3:] AS BIGINT) AS source_id FROM good)
+SELECT g.ord, r.reviewer_id, s.source_id FROM good g
+JOIN reviewers r ON r.username = g.username JOIN sources s ON s.source_url = g.source_url""")
+def q_resolve(spark, sf_dir):
+    recs = LD.review_records(_raw(spark, sf_dir))
+    good, _ = QC.quarantine(recs, [QC.not_null_rule("username"), QC.not_null_rule("review_text"),
+                                   QC.not_null_rule("scrape_timestamp"), QC.range_rule("rating", 1, 10),
+                                   QC.range_rule("helpful_upvotes", 0, None),
+                                   QC.range_rule("helpful_downvotes", 0, None)])
+    reviewers = good.select("username").distinct().withColumn(
+        "reviewer_id", F.expr("substring(username, 6)").cast("long"))
+    sources = good.select("source_url").distinct().withColumn(
+        "source_id", F.expr("substring(split_part(source_url, '/', 5), 3)").cast("long"))
+    return LD.resolve_keys(good, reviewers, sources).select("ord", "reviewer_id", "source_id")
+
+
+@register("Q1_duplicate_titles", """
+SELECT p_name AS title, count(*) AS count FROM part GROUP BY p_name HAVING count(*) > 1""")
+def q_dup_titles(spark, sf_dir):
+    return QC.check_unique(derived.movies(spark, sf_dir), "title")
+
+
+@register("Q1_duplicate_review_hashes", f"""WITH {RECORDS_CTE}
+SELECT review_hash, count(*) AS count FROM records GROUP BY review_hash HAVING count(*) > 1""")
+def q_dup_hash(spark, sf_dir):
+    return QC.check_unique(LD.review_records(_raw(spark, sf_dir)), "review_hash")
+
+
+@register("Q2_orphan_review_keys", f"""WITH {REVIEWS_CTE}
+SELECT 'movie_id' AS fk, movie_id AS key FROM reviews WHERE movie_id NOT IN (SELECT p_partkey FROM part)
+UNION ALL
+SELECT 'reviewer_id' AS fk, reviewer_id AS key FROM reviews WHERE reviewer_id NOT IN (SELECT c_custkey FROM customer)""")
+def q_orphans(spark, sf_dir):
+    r, m, u = _star(spark, sf_dir)
+    a = QC.check_fk(r, "movie_id", m).select(F.lit("movie_id").alias("fk"), F.col("movie_id").alias("key"))
+    b = QC.check_fk(r, "reviewer_id", u).select(F.lit("reviewer_id").alias("fk"), F.col("reviewer_id").alias("key"))
+    return a.unionByName(b)
+
+
+@register("Q3_null_counts", f"""WITH {RECORDS_CTE}
+SELECT * FROM (
+  SELECT 'username' AS column, count(*) FILTER (WHERE username IS NULL) AS null_count FROM records UNION ALL
+  SELECT 'rating', count(*) FILTER (WHERE rating IS NULL) FROM records UNION ALL
+  SELECT 'summary', count(*) FILTER (WHERE summary IS NULL) FROM records UNION ALL
+  SELECT 'review_text', count(*) FILTER (WHERE review_text IS NULL) FROM records UNION ALL
+  SELECT 'scrape_timestamp', count(*) FILTER (WHERE scrape_timestamp IS NULL) FROM records)""")
+def q_nulls_check(spark, sf_dir):
+    recs = LD.review_records(_raw(spark, sf_dir))
+    return QC.check_not_null(recs, ["username", "rating", "summary", "review_text", "scrape_timestamp"])
+
+
+@register("Q4_rating_out_of_range", f"""WITH {REVIEWS_CTE}
+SELECT * FROM reviews WHERE rating IS NOT NULL AND (rating < 2 OR rating > 9)""")
+def q_range(spark, sf_dir):
+    return QC.check_range(derived.review_fact(spark, sf_dir), "rating", 2, 9)
