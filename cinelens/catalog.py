@@ -845,3 +845,55 @@ def q_nulls_check(spark, sf_dir):
 SELECT * FROM reviews WHERE rating IS NOT NULL AND (rating < 2 OR rating > 9)""")
 def q_range(spark, sf_dir):
     return QC.check_range(derived.review_fact(spark, sf_dir), "rating", 2, 9)
+
+
+# ---------------------------------------------------------------- extraction
+from .sources import pages as PG  # noqa: E402
+from .sources import suggest as SG  # noqa: E402
+from .sources.tables import read_table  # noqa: E402
+
+# Selectors for the driver's pages: one card per article (fields absent on
+# these pages fall back to the reference defaults).
+PAGE_SELECTORS = {"card": "article", "link": "h1", "review": "p", "author": "span.author",
+                  "rating": "span.rating", "up": "span.up", "down": "span.down"}
+
+
+@register("S8b_page_fields", f"""
+SELECT page_id, url, regexp_extract(html, '{PG.TITLE_RE}', 1) AS title,
+       regexp_extract_all(html, '{PG.LINK_RE}', 1) AS links,
+       CAST(len(regexp_extract_all(html, '{PG.LINK_RE}', 1)) AS INTEGER) AS n_links
+FROM pages""")
+def q_page_fields(spark, sf_dir):
+    return PG.page_fields(read_table(spark, sf_dir, "pages"))
+
+
+@register("S8_extract_review_cards")
+def q_cards(spark, sf_dir):
+    return PG.extract_reviews(read_table(spark, sf_dir, "pages"), PAGE_SELECTORS).drop("Scrape_Timestamp")
+
+
+_SUGGEST_SQL = """CASE WHEN event_type = 'view' THEN props ELSE
+  '{"d": [' || (CASE WHEN event_type = 'click' THEN '' ELSE
+     '{"id": "nm' || CAST(user_id AS VARCHAR) || '", "l": "' || event_type || '"}, ' END)
+  || '{"id": "' || (CASE WHEN k % 3 = 0 THEN 'co' ELSE 'tt' END) || lpad(CAST(k AS VARCHAR), 7, '0')
+  || '", "l": "title ' || CAST(k AS VARCHAR) || '"}]}' END"""
+
+
+@register("S9_resolve_movie_id", f"""
+WITH ev AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+docs AS (SELECT event_id, {_SUGGEST_SQL} AS doc FROM ev),
+parsed AS (SELECT event_id, list_filter(from_json(doc, '{{"d": [{{"id": "VARCHAR", "l": "VARCHAR"}}]}}').d,
+                                       lambda x: starts_with(x.id, 'tt')) AS hits FROM docs)
+SELECT event_id, hits[1].id AS movie_id, hits[1].l AS title FROM parsed""")
+def q_suggest(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").withColumn(
+        "k", F.get_json_object("props", "$.k").cast("int"))
+    et, k = F.col("event_type"), F.col("k")
+    other = F.when(et == "click", F.lit("")).otherwise(F.concat(
+        F.lit('{"id": "nm'), F.col("user_id").cast("string"), F.lit('", "l": "'), et, F.lit('"}, ')))
+    doc = F.when(et == "view", F.col("props")).otherwise(F.concat(
+        F.lit('{"d": ['), other, F.lit('{"id": "'), F.when(k % 3 == 0, F.lit("co")).otherwise(F.lit("tt")),
+        F.lpad(k.cast("string"), 7, "0"), F.lit('", "l": "title '), k.cast("string"), F.lit('"}]}')))
+    docs = ev.select("event_id", doc.alias("doc"))
+    return docs.select("event_id", SG.resolve_movie_id("doc").alias("movie_id"),
+                       SG.resolve_title("doc").alias("title"))
