@@ -897,3 +897,38 @@ def q_suggest(spark, sf_dir):
     docs = ev.select("event_id", doc.alias("doc"))
     return docs.select("event_id", SG.resolve_movie_id("doc").alias("movie_id"),
                        SG.resolve_title("doc").alias("title"))
+
+
+# ----------------------------------------------------------------- streaming
+import os as _os  # noqa: E402
+
+from pyspark.sql import types as _T  # noqa: E402
+
+from .streaming import ingest as IG  # noqa: E402
+
+_DOC_SCHEMA = _T.StructType([_T.StructField("doc_id", _T.LongType()), _T.StructField("text", _T.StringType()),
+                             _T.StructField("lang", _T.StringType()), _T.StructField("source", _T.StringType()),
+                             _T.StructField("n_chars", _T.LongType())])
+
+
+def _stream_documents(spark, sf_dir, target=None):
+    out = IG.fresh_dir(spark, "reviews")
+    return IG.run_ingest(spark, _os.path.join(sf_dir, "documents*.parquet"), out, fmt="parquet",
+                         schema=_DOC_SCHEMA, transform=derived.review_rows_from, target=target,
+                         checkpoint=out + "-ckpt")
+
+
+_D3_SQL = f"""WITH {RAW_CTE}
+SELECT {RAW_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY Unique_ID ORDER BY ord) AS rn FROM raw_reviews) t
+WHERE rn = 1"""
+
+
+@register("ST1_ST2_stream_ingest", _D3_SQL)
+def q_stream(spark, sf_dir):
+    return _stream_documents(spark, sf_dir)
+
+
+@register("ST3_stream_until_target", _D3_SQL + " ORDER BY ord LIMIT 900")
+def q_stream_target(spark, sf_dir):
+    return _stream_documents(spark, sf_dir, target=900)

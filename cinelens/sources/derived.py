@@ -30,7 +30,11 @@ RAW_COLUMNS = ["Author", "Rating", "Helpful_upVotes", "Helpful_downVotes", "Summ
 
 def review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw review rows with an ingest order ``ord`` and ``movie_id``/``title``."""
-    d = read_table(spark, sf_dir, "documents")
+    return review_rows_from(read_table(spark, sf_dir, "documents"))
+
+
+def review_rows_from(d: DataFrame) -> DataFrame:
+    """The review-row formulas over a ``documents``-shaped frame (batch or stream)."""
     doc_id = F.col("doc_id")
     movie_id = F.concat(F.lit("tt"), F.lpad(F.expr("substring(source, 4)"), 7, "0"))
     votes = F.when(doc_id % 7 == 6, F.col("n_chars").cast("string"))
