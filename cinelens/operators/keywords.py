@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import meaningful, tokenize
 from .clean import nonblank
-from .lookup import broadcast_if_small, pair_table, word_table
+from .lookup import broadcast_if_small, pair_table, spread, word_table
 
 
 def stopwords(spark: SparkSession, words=None, language: str = "english") -> DataFrame:
@@ -55,7 +55,7 @@ def lemmatize_and_remove_stopwords(df: DataFrame, id_col: str, text_col: str, st
     """
     words = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), r"(?U)[\s\x{1c}-\x{1f}]+"),
                      lambda t: t != "")
-    toks = df.select(id_col, F.posexplode_outer(words).alias("pos", "token"))
+    toks = spread(df).select(id_col, F.posexplode_outer(words).alias("pos", "token"))
     kept = lemmatize(drop_stopwords(toks, stop), lemma_table)
     return kept.groupBy(id_col).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))),
@@ -66,7 +66,7 @@ def keyword_tokens(df: DataFrame, text_col: str, ord: str, stop: DataFrame | Non
                    lemma_table: DataFrame | None = None, min_len: int = 2, max_len: int = 20,
                    mode: str = "words") -> DataFrame:
     """Token stream ``(ord, pos, token)`` after P9, P10, J5 and J6."""
-    docs = nonblank(df, text_col)
+    docs = spread(nonblank(df, text_col))
     toks = docs.select(F.col(ord).alias("__ord"),
                        F.posexplode(meaningful(tokenize(text_col, mode), min_len, max_len))
                        .alias("pos", "token"))

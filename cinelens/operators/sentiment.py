@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import lexicons as LX
-from .lookup import broadcast_if_small, pair_table, word_table
+from .lookup import broadcast_if_small, pair_table, spread, word_table
 
 # --- fixed values -------------------------------------------------------------
 # Python's string.punctuation, as a regex character class.
@@ -86,36 +86,51 @@ def punctuation_amplifier(text: Column) -> Column:
     return ep + qa
 
 
+# Token = maximal run of non-space; CORE = the token without edge punctuation.
+_NS = r"[^\s\x{1c}-\x{1f}]"
+_TOKEN = f"(?U){_NS}+"
+_CORE = f"(?U)(?<!{_NS})(?={_NS}){PUNCT_CLASS}*({_NS}*?){PUNCT_CLASS}*(?!{_NS})"
+# A token with a cased letter and no lower-case letter (Python's str.isupper).
+_ALLCAPS = f"(?U)(?<!{_NS})(?={_NS}*[\\p{{Lu}}\\p{{Lt}}])[^\\s\\x{{1c}}-\\x{{1f}}\\p{{Ll}}]+(?!{_NS})"
+
+
+def _words(text: Column) -> Column:
+    """V1 on a whole text: whitespace tokens, edge punctuation stripped unless
+    that leaves 2 characters or fewer (two aligned regex passes, no per-word regex)."""
+    toks = F.regexp_extract_all(text, F.lit(_TOKEN), 0)
+    cores = F.regexp_extract_all(text, F.lit(_CORE), 1)
+    return F.zip_with(toks, cores, lambda t, c: F.when(F.length(c) <= 2, t).otherwise(c))
+
+
 def _doc_features(df: DataFrame, id_col: str, text_col: str, contrast: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    words = F.transform(F.regexp_extract_all(text, F.lit(_WS_WORD), 0), _strip_punc_if_word)
     return df.select(
         F.col(id_col).alias("__id"),
-        words.alias("__w"),
+        _words(text).alias("__w"),
+        _words(F.lower(text)).alias("__lw"),
         punctuation_amplifier(text).alias("__amp"),
+        F.size(F.regexp_extract_all(text, F.lit(_ALLCAPS), 0)).alias("__ncaps"),
     ).select(
-        "__id", "__w", "__amp",
+        "__id", "__w", "__lw", "__amp",
         F.size("__w").alias("__n"),
-        F.size(F.filter("__w", _isupper)).alias("__ncaps"),
-        (F.array_position(F.transform("__w", F.lower), contrast) - 1).alias("__bi"),
-    ).withColumn("__capdiff", (F.col("__ncaps") > 0) & (F.col("__ncaps") < F.col("__n")))
+        (F.array_position("__lw", contrast) - 1).alias("__bi"),
+        ((F.col("__ncaps") > 0) & (F.col("__ncaps") < F.size("__w"))).alias("__capdiff"),
+    )
 
 
 def _contexts(feat: DataFrame) -> DataFrame:
     """One row per word with its neighbours; arrays never copied per row."""
-    w = F.col("__w")
+    w, lw = F.col("__w"), F.col("__lw")
 
     def ctx(x, i):
         return F.struct(
-            i.alias("i"), x.alias("w"),
+            i.alias("i"), x.alias("w"), F.get(lw, i).alias("lw"),
             F.get(w, i - 1).alias("o1"), F.get(w, i - 2).alias("o2"), F.get(w, i - 3).alias("o3"),
-            F.lower(F.get(w, i + 1)).alias("nx"))
+            F.get(lw, i - 1).alias("p1"), F.get(lw, i - 2).alias("p2"), F.get(lw, i - 3).alias("p3"),
+            F.get(lw, i + 1).alias("nx"))
 
-    return feat.select("__id", "__capdiff", "__bi",
-                       F.explode(F.transform(w, ctx)).alias("c")).select(
-        "__id", "__capdiff", "__bi", "c.i", "c.w", "c.o1", "c.o2", "c.o3", "c.nx",
-        F.lower("c.w").alias("lw"), F.lower("c.o1").alias("p1"), F.lower("c.o2").alias("p2"),
-        F.lower("c.o3").alias("p3"))
+    return feat.select("__id", "__capdiff", "__bi", F.explode(F.transform(w, ctx)).alias("c")).select(
+        "__id", "__capdiff", "__bi", "c.*")
 
 
 def _vocab(lexicon: DataFrame, boosters: DataFrame, negations: DataFrame) -> DataFrame:
@@ -223,6 +238,7 @@ def score_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFram
             neutral: F.col("__s.neu"), positive: F.col("__s.pos")}).drop("__s")
     if lexicon is None:
         raise ValueError("a lexicon DataFrame (token, valence) is required")
+    df = spread(df)
     vals, _ = word_valences(df, id_col, text_col, lexicon, boosters, negations, contrast)
     v = F.col("valence")
     per_doc = vals.groupBy("__id").agg(
@@ -233,7 +249,7 @@ def score_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFram
         F.count_if(v < 0).alias("__nneg"),
     )
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    words = F.regexp_extract_all(text, F.lit(_WS_WORD), 0)
+    words = F.regexp_extract_all(text, F.lit(_TOKEN), 0)
     base = df.withColumns({"__id": F.col(id_col), "__n": F.size(words), "__amp": punctuation_amplifier(text)})
     j = base.join(per_doc, "__id", "left")
     zero = F.lit(0.0)

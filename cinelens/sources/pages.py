@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators.lookup import spread
 
 # --- fixed values: review card selectors -----------------------------------------
 CARD_SELECTORS = {
@@ -176,7 +177,7 @@ def _extract_batches(selectors: dict):
 def raw_cards(pages: DataFrame, selectors: dict | None = None) -> DataFrame:
     """One row per card with the raw text of each field (parsing runs per task)."""
     sel = dict(CARD_SELECTORS, **(selectors or {}))
-    return pages.select("page_id", "html").mapInPandas(_extract_batches(sel), RAW_CARD_SCHEMA)
+    return spread(pages.select("page_id", "html")).mapInPandas(_extract_batches(sel), RAW_CARD_SCHEMA)
 
 
 def extract_reviews(pages: DataFrame, selectors: dict | None = None, site: str = S.SITE,
