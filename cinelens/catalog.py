@@ -932,3 +932,44 @@ def q_stream(spark, sf_dir):
 @register("ST3_stream_until_target", _D3_SQL + " ORDER BY ord LIMIT 900")
 def q_stream_target(spark, sf_dir):
     return _stream_documents(spark, sf_dir, target=900)
+
+
+def _stream_with_hook(spark, sf_dir, make_hook):
+    out = IG.fresh_dir(spark, "reviews")
+    side = out + "-side"
+    IG.run_ingest(spark, _os.path.join(sf_dir, "documents*.parquet"), out, fmt="parquet", schema=_DOC_SCHEMA,
+                  transform=derived.review_rows_from, checkpoint=out + "-ckpt", on_batch=make_hook(spark, side))
+    return side
+
+
+@register("ST4_stream_star_load", f"""WITH {RECORDS_CTE},
+d3 AS (SELECT ord FROM (SELECT ord, row_number() OVER (PARTITION BY Unique_ID ORDER BY ord) AS rn
+                        FROM raw_reviews) t WHERE rn = 1),
+g AS (SELECT * FROM good WHERE ord IN (SELECT ord FROM d3))
+SELECT movie_id, review_hash, rating, helpful_upvotes, helpful_downvotes, summary, review_text, scrape_timestamp
+FROM ({_first_sql('g', 'review_hash', _REC_COLS)}) f""")
+def q_stream_star(spark, sf_dir):
+    root = _stream_with_hook(spark, sf_dir, lambda s, side: (lambda rows, bid: SR.load_star(rows, side)))
+    return spark.read.parquet(_os.path.join(root, "reviews")).select(
+        "movie_id", "review_hash", "rating", "helpful_upvotes", "helpful_downvotes", "summary", "review_text",
+        "scrape_timestamp")
+
+
+@register("ST5_stream_scored_batches", f"""WITH {SENTIMENT_CTE},
+d3 AS (SELECT ord FROM (SELECT ord, row_number() OVER (PARTITION BY Unique_ID ORDER BY ord) AS rn
+                        FROM raw_reviews) t WHERE rn = 1)
+SELECT * FROM scores WHERE ord IN (SELECT ord FROM d3)""")
+def q_stream_scored(spark, sf_dir):
+    def hook(s, side):
+        lex, bst, ngt = _sent_tables(s)
+        score = (lambda rows: SN.score_sentiment(rows, "ord", "Review", lex, bst, ngt, contrast=LX.FIXTURE_CONTRAST)
+                 .select("Unique_ID", "ord", "Compound", "Negative", "Neutral", "Positive"))
+        return IG.score_batches(score, side)
+    return spark.read.parquet(_stream_with_hook(spark, sf_dir, hook)).drop("Unique_ID")
+
+
+@register("D4_first_per_review_hash", f"""WITH {RECORDS_CTE}
+{_first_sql('records', 'review_hash', _REC_COLS)}""")
+def q_first_hash(spark, sf_dir):
+    recs = LD.review_records(_raw(spark, sf_dir)).where(F.col("review_hash").isNotNull())
+    return DD.keep_first(recs, "review_hash", "ord")

@@ -42,3 +42,27 @@ def test_on_batch_hook_and_watermark_state(spark, tmp_dir):
     run_ingest(spark, src, tgt, checkpoint=os.path.join(tmp_dir, "c"), dedup_state="all",
                on_batch=lambda rows, bid: seen.append(rows.count()))
     assert seen == [2]
+
+
+def test_star_load_and_scoring_per_batch(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from cinelens.operators import sentiment as SN
+    from cinelens.plans.star import load_star
+    from cinelens.streaming.ingest import score_batches
+
+    src, tgt = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    _write(src, "f1.csv", [1, 2, 3])
+    star, scored = os.path.join(tmp_dir, "star"), os.path.join(tmp_dir, "scored")
+    lex = SN.lexicon_table(spark, {"text": 1.0})
+
+    def hook(rows, bid):
+        rows = rows.withColumn("movie_id", F.lit("tt0000001")).withColumn("title", F.lit("T"))
+        load_star(rows, star)
+        score_batches(lambda r: SN.score_sentiment(r, "Unique_ID", "Review", lex), scored)(rows, bid)
+        score_batches(lambda r: SN.score_sentiment(r, "Unique_ID", "Review", lex), scored)(rows, bid)  # replay
+
+    run_ingest(spark, src, tgt, checkpoint=os.path.join(tmp_dir, "c"), on_batch=hook)
+    assert spark.read.parquet(os.path.join(star, "reviews")).count() == 3
+    s = spark.read.parquet(scored)
+    assert s.count() == 3 and s.where("Compound > 0").count() == 3
