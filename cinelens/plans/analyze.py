@@ -10,6 +10,7 @@ from ..functions.labels import add_sentiment_labels
 from ..operators import keywords as KW
 from ..operators import sentiment as SN
 from ..operators.stats import stats_record
+from ..session import checkpoint_dir
 from .preprocess import preprocess
 
 
@@ -25,6 +26,7 @@ def analyze(df: DataFrame, lexicon: DataFrame, ord: str = "ord", boosters=None,
     clean = preprocess(df, ord)
     scored = SN.score_sentiment(clean, ord, "Review", lexicon, boosters, negations, contrast, scorer)
     if materialize:
+        checkpoint_dir(scored.sparkSession)
         scored = scored.checkpoint(eager=True)
     top = KW.top_keywords(scored, "Review", ord, stop, lemma_table, top_n=top_n)
     if sense_table is not None:

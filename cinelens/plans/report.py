@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import display
 from ..operators import metrics as M
+from ..session import checkpoint_dir
 from ..sources import derived
 
 
@@ -47,6 +48,7 @@ def report_datasets(reviews: DataFrame, movies: DataFrame, reviewers: DataFrame,
     """E5: named report datasets."""
     metrics = M.movie_metrics(reviews, movies)
     if materialize:
+        checkpoint_dir(metrics.sparkSession)
         metrics = metrics.checkpoint(eager=True)
     totals = M.reviewer_totals(reviews, reviewers)
     dist = M.rating_distribution(reviews)
