@@ -97,7 +97,10 @@ def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
     When the optimizer estimates the input at less than one file split per
     core, the rows are repartitioned round-robin over ``tasks`` (default:
     twice the cluster's parallelism). Larger inputs already have enough
-    splits and are returned unchanged, so no shuffle is added at scale.
+    splits and are returned unchanged, so no shuffle is added at scale. The
+    check is on size rather than on the declared partition count because AQE
+    coalesces a small shuffle output into few partitions at runtime, while an
+    explicit ``repartition(n)`` is kept.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
