@@ -973,3 +973,35 @@ def q_stream_scored(spark, sf_dir):
 def q_first_hash(spark, sf_dir):
     recs = LD.review_records(_raw(spark, sf_dir)).where(F.col("review_hash").isNotNull())
     return DD.keep_first(recs, "review_hash", "ord")
+
+
+# ------------------------------------------------------------ sink round trips
+from .sources import csv as CSV  # noqa: E402
+
+_TOKENS_SQL = ", ".join("'" + t.replace("'", "''") + "'" for t in CL.NULL_TOKENS)
+
+
+def _nt(c: str) -> str:
+    return f"CASE WHEN {c} IN ({_TOKENS_SQL}) THEN NULL ELSE {c} END AS {c}"
+
+
+@register("S1_S2_csv_round_trip", f"""WITH {RAW_CTE}
+SELECT {', '.join(_nt(c) for c in ['Author'])},
+       CASE WHEN isnan(Rating) THEN NULL ELSE Rating END AS Rating,
+       {', '.join(_nt(c) for c in ['Helpful_upVotes', 'Helpful_downVotes', 'Summary', 'Review',
+                                   'Scrape_Timestamp', 'Source_URL', 'Unique_ID'])}
+FROM raw_reviews""")
+def q_csv(spark, sf_dir):
+    out = IG.fresh_dir(spark, "csv")
+    rows = _raw(spark, sf_dir).select(*CSV.CSV_FIELDS)
+    CSV.append_reviews(rows, out, fmt="csv")
+    return CSV.read_reviews(spark, out).drop("ord")
+
+
+@register("S4_write_analyzed", f"WITH {LABELLED_CTE} SELECT * EXCLUDE (Sentiment_label) FROM labelled")
+def q_write_analyzed(spark, sf_dir):
+    out = IG.fresh_dir(spark, "analyzed")
+    scored, _ = _analyzed(spark, sf_dir)
+    AN.write_analyzed(scored, out)
+    back = spark.read.parquet(out)
+    return back.select(*scored.columns)
