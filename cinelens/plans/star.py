@@ -53,12 +53,19 @@ def plan_new_rows(batch: DataFrame, target: dict, ord: str = "ord", site: str =
     }
 
 
-def load_star(batch: DataFrame, root: str, ord: str = "ord", site: str = S.SITE) -> dict[str, int]:
-    """Append new rows to ``root/{sources,movies,reviewers,reviews}``; returns row counts added."""
+def load_star(batch: DataFrame, root: str, ord: str = "ord", site: str = S.SITE,
+              report_counts: bool = False) -> dict[str, int] | None:
+    """Append new rows to ``root/{sources,movies,reviewers,reviews,quarantine}``.
+
+    With ``report_counts`` the rows added per table are returned; that needs a
+    count of each table before and after, so it is off by default (a load
+    then only reads the key columns its anti joins need).
+    """
     spark = batch.sparkSession
     target = {t: read_target(spark, root, t) for t in TABLES}
     plan = plan_new_rows(batch, target, ord, site)
     added = {}
+    before = {t: (target[t].count() if target[t] is not None else 0) for t in TABLES} if report_counts else {}
     now = F.current_timestamp()
 
     def append(name: str, df: DataFrame) -> None:
@@ -76,8 +83,9 @@ def load_star(batch: DataFrame, root: str, ord: str = "ord", site: str = S.SITE)
     reviews = L.with_surrogate_id(resolved, "review_id", target["reviews"]).select(*L.REVIEWS_COLS)
     append("reviews", reviews)
     append("quarantine", plan["quarantine"])
+    if not report_counts:
+        return None
     for t in TABLES:
-        before = target[t].count() if target[t] is not None else 0
         after_df = read_target(spark, root, t)
-        added[t] = (after_df.count() if after_df is not None else 0) - before
+        added[t] = (after_df.count() if after_df is not None else 0) - before[t]
     return added

@@ -23,12 +23,12 @@ def _batch(spark):
 
 def test_load_twice_adds_nothing_and_quarantines(spark, tmp_dir):
     root = os.path.join(tmp_dir, "star")
-    first = load_star(_batch(spark), root)
+    first = load_star(_batch(spark), root, report_counts=True)
     assert first["movies"] == 2 and first["sources"] == 2
     assert first["reviewers"] == 2              # ann, bob (cy and dee only have bad rows)
     assert first["reviews"] == 2                # duplicate hash of row 3 ignored
     assert first["quarantine"] == 2             # rating 11 and a null review text
-    second = load_star(_batch(spark), root)
+    second = load_star(_batch(spark), root, report_counts=True)
     assert all(second[t] == 0 for t in ("movies", "sources", "reviewers", "reviews"))
 
     reviews = spark.read.parquet(os.path.join(root, "reviews"))
