@@ -507,6 +507,7 @@ _P = SN.PUNCT_CLASS
 _LEX_SQL = LX.values_sql(list(LX.FIXTURE_LEXICON.items()), ["token", "valence"])
 _BST_SQL = LX.values_sql(list(LX.FIXTURE_BOOSTERS.items()), ["token", "scalar"])
 _NEG_SQL = LX.values_sql(LX.FIXTURE_NEGATIONS, ["token"])
+_IDIOM_SQL = LX.values_sql(list(LX.FIXTURE_IDIOMS.items()), ["phrase", "valence"])
 _C, _N = LX.C_INCR, LX.N_SCALAR
 
 
@@ -545,12 +546,15 @@ feat AS (SELECT id, ws, n, bi, ncaps > 0 AND ncaps < n AS capdiff,
 ex AS (SELECT id, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS i FROM feat),
 ctx AS (SELECT id, i, w, lower(w) AS lw,
         lag(w, 1) OVER win AS o1, lag(w, 2) OVER win AS o2, lag(w, 3) OVER win AS o3,
-        lower(lead(w, 1) OVER win) AS nx
+        lower(lead(w, 1) OVER win) AS nx, lower(lead(w, 2) OVER win) AS nx2
       FROM ex WINDOW win AS (PARTITION BY id ORDER BY i)),
 lex AS (SELECT token, valence FROM {_LEX_SQL}),
 bst AS (SELECT token, scalar FROM {_BST_SQL}),
 ngt AS (SELECT token FROM {_NEG_SQL}),
-hits AS (SELECT c.id, c.i, c.w, c.lw, c.nx, c.o1, c.o2, c.o3,
+phr AS (SELECT phrase, max(iv) AS iv, max(ib) AS ib FROM (
+        SELECT phrase, valence AS iv, CAST(NULL AS DOUBLE) AS ib FROM {_IDIOM_SQL}
+        UNION ALL SELECT token, NULL, scalar FROM bst WHERE contains(token, ' ')) u GROUP BY phrase),
+hits AS (SELECT c.id, c.i, c.w, c.lw, c.nx, c.nx2, c.o1, c.o2, c.o3,
         lower(c.o1) AS p1, lower(c.o2) AS p2, lower(c.o3) AS p3, lex.valence AS val,
         EXISTS (SELECT 1 FROM bst WHERE bst.token = c.lw) AS is_booster,
         coalesce(lower(c.o1) IN (SELECT token FROM lex), FALSE) AS l1,
@@ -573,9 +577,21 @@ s2a AS (SELECT *, v1 + {_boost_sql(2, 'v1')} AS vb2 FROM s1),
 s2 AS (SELECT *, CASE WHEN i >= 2 AND NOT l2 THEN {_NEG2.format(N=_N)} ELSE v1 END AS v2 FROM s2a),
 s3a AS (SELECT *, v2 + {_boost_sql(3, 'v2')} AS vb3 FROM s2),
 s3 AS (SELECT *, CASE WHEN i >= 3 AND NOT l3 THEN {_NEG3.format(N=_N)} ELSE v2 END AS v3 FROM s3a),
+s3i AS (SELECT *, CASE WHEN i >= 3 AND NOT l3 THEN
+          coalesce((SELECT iv FROM phr WHERE phrase = lw || ' ' || nx || ' ' || nx2),
+                   (SELECT iv FROM phr WHERE phrase = lw || ' ' || nx),
+                   (SELECT iv FROM phr WHERE phrase = p1 || ' ' || lw),
+                   (SELECT iv FROM phr WHERE phrase = p2 || ' ' || p1 || ' ' || lw),
+                   (SELECT iv FROM phr WHERE phrase = p2 || ' ' || p1),
+                   (SELECT iv FROM phr WHERE phrase = p3 || ' ' || p2 || ' ' || p1),
+                   (SELECT iv FROM phr WHERE phrase = p3 || ' ' || p2), v3)
+          + coalesce((SELECT ib FROM phr WHERE phrase = p3 || ' ' || p2 || ' ' || p1), 0)
+          + coalesce((SELECT ib FROM phr WHERE phrase = p3 || ' ' || p2), 0)
+          + coalesce((SELECT ib FROM phr WHERE phrase = p2 || ' ' || p1), 0)
+        ELSE v3 END AS v3i FROM s3),
 s4 AS (SELECT *, CASE WHEN i > 1 AND NOT l1 AND p1 = 'least'
-                      THEN (CASE WHEN p2 <> 'at' AND p2 <> 'very' THEN v3 * {_N} ELSE v3 END)
-                      WHEN i > 0 AND NOT l1 AND p1 = 'least' THEN v3 * {_N} ELSE v3 END AS v4 FROM s3),
+                      THEN (CASE WHEN p2 <> 'at' AND p2 <> 'very' THEN v3i * {_N} ELSE v3i END)
+                      WHEN i > 0 AND NOT l1 AND p1 = 'least' THEN v3i * {_N} ELSE v3i END AS v4 FROM s3i),
 s5 AS (SELECT *, CASE WHEN is_booster OR (lw = 'kind' AND nx = 'of') THEN 0.0 ELSE v4 END AS v5 FROM s4),
 valences AS (SELECT id, i, w AS word,
         CASE WHEN bi >= 0 AND i < bi THEN v5 * 0.5 WHEN bi >= 0 AND i > bi THEN v5 * 1.5 ELSE v5 END AS valence
@@ -603,10 +619,15 @@ def _sent_tables(spark):
             SN.negation_table(spark, LX.FIXTURE_NEGATIONS))
 
 
+def _idioms(spark):
+    return SN.idiom_table(spark, LX.FIXTURE_IDIOMS)
+
+
 def _scored(spark, sf_dir):
     lex, bst, ngt = _sent_tables(spark)
     raw = _raw(spark, sf_dir).select("ord", "Review")
-    return SN.score_sentiment(raw, "ord", "Review", lex, bst, ngt, contrast=LX.FIXTURE_CONTRAST)
+    return SN.score_sentiment(raw, "ord", "Review", lex, bst, ngt, contrast=LX.FIXTURE_CONTRAST,
+                              idioms=_idioms(spark))
 
 
 @register("A9_sentiment_scores", f"WITH {SENTIMENT_CTE} SELECT * FROM scores")
@@ -618,7 +639,7 @@ def q_sentiment(spark, sf_dir):
 def q_valences(spark, sf_dir):
     lex, bst, ngt = _sent_tables(spark)
     vals, _ = SN.word_valences(_raw(spark, sf_dir), "ord", "Review", lex, bst, ngt,
-                               contrast=LX.FIXTURE_CONTRAST)
+                               contrast=LX.FIXTURE_CONTRAST, idioms=_idioms(spark))
     return vals.select(F.col("__id").alias("ord"), "i", "word", "valence")
 
 
@@ -646,7 +667,7 @@ def _analyzed(spark, sf_dir):
     lex, bst, ngt = _sent_tables(spark)
     stop, lem = _kw_tables(spark)
     return AN.analyze(_raw(spark, sf_dir), lex, "ord", bst, ngt, LX.FIXTURE_CONTRAST, stop, lem,
-                      KW.senses(spark, LX.FIXTURE_SENSES))
+                      KW.senses(spark, LX.FIXTURE_SENSES), idioms=_idioms(spark))
 
 
 def _labelled(spark, sf_dir):
@@ -962,7 +983,9 @@ SELECT * FROM scores WHERE ord IN (SELECT ord FROM d3)""")
 def q_stream_scored(spark, sf_dir):
     def hook(s, side):
         lex, bst, ngt = _sent_tables(s)
-        score = (lambda rows: SN.score_sentiment(rows, "ord", "Review", lex, bst, ngt, contrast=LX.FIXTURE_CONTRAST)
+        idi = _idioms(s)
+        score = (lambda rows: SN.score_sentiment(rows, "ord", "Review", lex, bst, ngt, contrast=LX.FIXTURE_CONTRAST,
+                                                 idioms=idi)
                  .select("Unique_ID", "ord", "Compound", "Negative", "Neutral", "Positive"))
         return IG.score_batches(score, side)
     return spark.read.parquet(_stream_with_hook(spark, sf_dir, hook)).drop("Unique_ID")

@@ -64,6 +64,16 @@ def negation_table(spark: SparkSession, words=None) -> DataFrame:
     return word_table(spark, words if words is not None else LX.NEGATIONS, "token")
 
 
+def idiom_table(spark: SparkSession, mapping=None) -> DataFrame:
+    """``(phrase, valence)``; default = the published multi-word idioms."""
+    return pair_table(spark, mapping if mapping is not None else LX.IDIOMS, "phrase string, valence double")
+
+
+# phrase slots read by the idiom rule: name -> words joined by spaces
+PHRASE_SLOTS = {"10": ("p1", "lw"), "210": ("p2", "p1", "lw"), "21": ("p2", "p1"),
+                "321": ("p3", "p2", "p1"), "32": ("p3", "p2"), "01": ("lw", "nx"), "012": ("lw", "nx", "nx2")}
+
+
 def _isupper(c: Column) -> Column:
     """Python ``str.isupper``: some cased character and none lower-case."""
     return (F.upper(c) == c) & (F.lower(c) != c)
@@ -127,7 +137,7 @@ def _contexts(feat: DataFrame) -> DataFrame:
             i.alias("i"), x.alias("w"), F.get(lw, i).alias("lw"),
             F.get(w, i - 1).alias("o1"), F.get(w, i - 2).alias("o2"), F.get(w, i - 3).alias("o3"),
             F.get(lw, i - 1).alias("p1"), F.get(lw, i - 2).alias("p2"), F.get(lw, i - 3).alias("p3"),
-            F.get(lw, i + 1).alias("nx"))
+            F.get(lw, i + 1).alias("nx"), F.get(lw, i + 2).alias("nx2"))
 
     return feat.select("__id", "__capdiff", "__bi", F.explode(F.transform(w, ctx)).alias("c")).select(
         "__id", "__capdiff", "__bi", "c.*")
@@ -183,6 +193,14 @@ def _valence_steps(hits: DataFrame, C: float, N: float) -> DataFrame:
                   .when(negated, vb * N).otherwise(vb))
         applies = (col("i") >= k) & ~F.coalesce(col(f"l{k}"), F.lit(False))
         out = out.withColumn("__v", F.when(applies, vn).otherwise(v))
+        if k == 3 and "iv_10" in out.columns:
+            # idioms: the first matching preceding phrase sets the valence, a following
+            # phrase overrides it, multi-word boosters before the word add their scalar
+            v = col("__v")
+            seq = F.coalesce(*[col(f"iv_{x}") for x in ("10", "210", "21", "321", "32")], v)
+            seq = F.coalesce(col("iv_012"), col("iv_01"), seq)
+            seq = seq + sum((F.coalesce(col(f"ib_{x}"), F.lit(0.0)) for x in ("321", "32", "21")), F.lit(0.0))
+            out = out.withColumn("__v", F.when(applies, seq).otherwise(v))
     v = col("__v")
     least1 = (col("i") > 0) & ~F.coalesce(col("l1"), F.lit(False)) & (col("p1") == "least")
     out = out.withColumn("__v", F.when(least1 & (col("i") > 1),
@@ -201,7 +219,7 @@ def _valence_steps(hits: DataFrame, C: float, N: float) -> DataFrame:
 def word_valences(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
                   boosters: DataFrame | None = None, negations: DataFrame | None = None,
                   contrast: str = "but", c_incr: float = LX.C_INCR,
-                  n_scalar: float = LX.N_SCALAR) -> tuple[DataFrame, DataFrame]:
+                  n_scalar: float = LX.N_SCALAR, idioms: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """J7 + V1-V6: ``(id, i, word, valence)`` for lexicon words, and the per-document features."""
     spark = df.sparkSession
     boosters = boosters if boosters is not None else booster_table(spark)
@@ -215,6 +233,21 @@ def word_valences(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
         side = vocab.select(F.col("token").alias(f"p{k}"), F.col("valence").isNotNull().alias(f"l{k}"),
                             F.col("scalar").alias(f"b{k}"), F.col("neg").alias(f"n{k}"))
         hits = hits.join(side, f"p{k}", "left")
+    idioms = idioms if idioms is not None else idiom_table(spark)
+    phrases = broadcast_if_small(
+        idioms.select(F.lower("phrase").alias("phrase"), F.col("valence").cast("double").alias("iv"),
+                      F.lit(None).cast("double").alias("ib"))
+        .unionByName(boosters.where(F.col("token").contains(" ")).select(
+            F.lower("token").alias("phrase"), F.lit(None).cast("double").alias("iv"),
+            F.col("scalar").cast("double").alias("ib")))
+        .groupBy("phrase").agg(F.max("iv").alias("iv"), F.max("ib").alias("ib")))
+    for slot, parts in PHRASE_SLOTS.items():
+        # concat is null when a word is missing, so a phrase exists only where all its words do
+        words = [c for x in parts for c in (F.col(x), F.lit(" "))][:-1]
+        hits = hits.withColumn(f"ph_{slot}", F.concat(*words))
+        side = phrases.select(F.col("phrase").alias(f"ph_{slot}"), F.col("iv").alias(f"iv_{slot}"),
+                              F.col("ib").alias(f"ib_{slot}"))
+        hits = hits.join(side, f"ph_{slot}", "left")
     steps = _valence_steps(hits, c_incr, n_scalar)
     scored = steps.select(F.col("__id"), F.col("i"), F.col("w").alias("word"), F.col("__v").alias("valence"))
     return scored, feat.select("__id", "__n", "__amp")
@@ -223,7 +256,7 @@ def word_valences(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
 def score_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | None = None,
                     boosters: DataFrame | None = None, negations: DataFrame | None = None,
                     contrast: str = "but", scorer=None, alpha: float = LX.ALPHA,
-                    columns=SCORE_COLUMNS) -> DataFrame:
+                    columns=SCORE_COLUMNS, idioms: DataFrame | None = None) -> DataFrame:
     """Append Compound, Negative, Neutral, Positive to ``df``.
 
     ``id_col`` must be unique per row. ``scorer`` (optional) is a
@@ -239,7 +272,7 @@ def score_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFram
     if lexicon is None:
         raise ValueError("a lexicon DataFrame (token, valence) is required")
     df = spread(df)
-    vals, _ = word_valences(df, id_col, text_col, lexicon, boosters, negations, contrast)
+    vals, _ = word_valences(df, id_col, text_col, lexicon, boosters, negations, contrast, idioms=idioms)
     v = F.col("valence")
     per_doc = vals.groupBy("__id").agg(
         F.sum(v).alias("__sum"),

@@ -16,7 +16,7 @@ from .preprocess import preprocess
 
 def analyze(df: DataFrame, lexicon: DataFrame, ord: str = "ord", boosters=None, negations=None,
             contrast: str = "but", stop=None, lemma_table=None, sense_table=None, top_n: int = 20,
-            scorer=None, materialize: bool = False):
+            scorer=None, materialize: bool = False, idioms=None):
     """Preprocess, score the raw review text, extract and enrich keywords.
 
     Returns ``(scored_rows, keywords)``. With ``materialize=True`` the scored
@@ -24,7 +24,8 @@ def analyze(df: DataFrame, lexicon: DataFrame, ord: str = "ord", boosters=None,
     the statistics and the per-movie output read them.
     """
     clean = preprocess(df, ord)
-    scored = SN.score_sentiment(clean, ord, "Review", lexicon, boosters, negations, contrast, scorer)
+    scored = SN.score_sentiment(clean, ord, "Review", lexicon, boosters, negations, contrast, scorer,
+                                idioms=idioms)
     if materialize:
         checkpoint_dir(scored.sparkSession)
         scored = scored.checkpoint(eager=True)

@@ -40,6 +40,10 @@ BOOSTERS_DOWN = [
     "scarce", "scarcely", "slight", "slightly", "somewhat", "sort of", "sorta", "sortof",
     "sort-of",
 ]
+# --- fixed values: multi-word idioms of the published method (phrase -> valence) -------
+IDIOMS = {"the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "badass": 1.5, "bus stop": 0.0,
+          "yeah right": -2.0, "kiss of death": -1.5, "to die for": 3.0, "beating heart": 3.1,
+          "broken heart": -2.9}
 # --- fixed values: rule constants of the published method --------------------------
 B_INCR = 0.293        # booster increment
 C_INCR = 0.733        # all-caps increment
@@ -60,7 +64,8 @@ FIXTURE_SENSES = [
 ]
 FIXTURE_LEXICON = {"rewh": 2.0, "orre": 1.5, "thatin": -1.8, "ononst": -2.1, "hehely": 1.2,
                    "ble": -0.9, "best": 3.2, "tion": 0.7, "ing": -0.4, "than": 0.0}
-FIXTURE_BOOSTERS = {"the": B_INCR, "of": B_INCR, "and": -B_INCR, "ther": B_INCR}
+FIXTURE_BOOSTERS = {"the": B_INCR, "of": B_INCR, "and": -B_INCR, "ther": B_INCR, "storth the": -B_INCR}
+FIXTURE_IDIOMS = {"the ble": 2.2, "and ble": -1.4, "ing the": 1.1, "are the ble": -2.4, "it the": 0.9}
 FIXTURE_NEGATIONS = ["no", "inoran", "orantion"]
 FIXTURE_CONTRAST = "than"
 # ------------------------------------------------------------------------------------

@@ -10,11 +10,12 @@ from cinelens.functions.labels import add_sentiment_labels, classify_compound
 from cinelens.operators import sentiment as SN
 
 LEX = {"good": 1.9, "bad": -2.5, "great": 3.1, "awful": -2.0, "kind": 0.5, "recommend": 1.5, "fine": 0.8}
-BOOST = {"very": 0.293, "really": 0.293, "slightly": -0.293, "extremely": 0.293}
+BOOST = {"very": 0.293, "really": 0.293, "slightly": -0.293, "extremely": 0.293, "kind of": -0.293}
+IDIOMS = {"the bomb": 3.0, "yeah right": -2.0, "kiss of death": -1.5, "good movie": 2.6}
 NEG = ["not", "never", "without", "none", "isn't", "no"]
 
 
-def model(text, lex=LEX, boosters=BOOST, negs=NEG, contrast="but", C=0.733, N=-0.74):
+def model(text, lex=LEX, boosters=BOOST, negs=NEG, contrast="but", C=0.733, N=-0.74, idioms=IDIOMS):
     """Independent Python statement of the scoring rules (unrounded)."""
     words = []
     for w in (text or "").split():
@@ -69,6 +70,19 @@ def model(text, lex=LEX, boosters=BOOST, negs=NEG, contrast="but", C=0.733, N=-0
                         pass
                     elif negated(lw[i - 3]):
                         v *= N
+                    seqs = [f"{lw[i-1]} {lw[i]}", f"{lw[i-2]} {lw[i-1]} {lw[i]}", f"{lw[i-2]} {lw[i-1]}",
+                            f"{lw[i-3]} {lw[i-2]} {lw[i-1]}", f"{lw[i-3]} {lw[i-2]}"]
+                    for seq in seqs:
+                        if seq in idioms:
+                            v = idioms[seq]
+                            break
+                    if n - 1 > i and f"{lw[i]} {lw[i+1]}" in idioms:
+                        v = idioms[f"{lw[i]} {lw[i+1]}"]
+                    if n - 1 > i + 1 and f"{lw[i]} {lw[i+1]} {lw[i+2]}" in idioms:
+                        v = idioms[f"{lw[i]} {lw[i+1]} {lw[i+2]}"]
+                    for ng in (f"{lw[i-3]} {lw[i-2]} {lw[i-1]}", f"{lw[i-3]} {lw[i-2]}", f"{lw[i-2]} {lw[i-1]}"):
+                        if ng in boosters:
+                            v += boosters[ng]
         if i > 1 and lw[i - 1] not in lex and lw[i - 1] == "least":
             if lw[i - 2] not in ("at", "very"):
                 v *= N
@@ -99,13 +113,14 @@ def model(text, lex=LEX, boosters=BOOST, negs=NEG, contrast="but", C=0.733, N=-0
 def _score(spark, texts, contrast="but"):
     df = spark.createDataFrame(list(enumerate(texts)), "id long, Review string")
     out = SN.score_sentiment(df, "id", "Review", SN.lexicon_table(spark, LEX), SN.booster_table(spark, BOOST),
-                             SN.negation_table(spark, NEG), contrast=contrast)
+                             SN.negation_table(spark, NEG), contrast=contrast, idioms=SN.idiom_table(spark, IDIOMS))
     return {r["id"]: (r["Compound"], r["Negative"], r["Neutral"], r["Positive"]) for r in out.collect()}
 
 
 VOCAB = ["good", "GOOD", "bad", "Bad", "great", "awful", "kind", "of", "very", "VERY", "really", "slightly",
          "not", "never", "so", "this", "without", "doubt", "least", "at", "but", "isn't", "no", "the",
-         "movie", "MOVIE", "it", "was", "good!", "bad?", "fine.", "!!!", "??", "recommend", "a"]
+         "movie", "MOVIE", "it", "was", "good!", "bad?", "fine.", "!!!", "??", "recommend", "a",
+         "bomb", "yeah", "right", "kiss", "death"]
 
 
 @settings(max_examples=25, deadline=None)
@@ -129,6 +144,14 @@ def test_negated_review_scores_below_zero(spark):
     assert got[1][0] > 0
 
 
+def test_idioms_override_and_phrase_boosters(spark):
+    # "good movie" (word + next) overrides; "kind of" before the word adds its scalar
+    got = _score(spark, ["the x y good movie", "a b c good", "x kind of good", "x y z good"])
+    assert abs(got[0][0] - model("the x y good movie")[0]) < 6e-5
+    assert got[0][0] > got[1][0]
+    assert got[2][0] < got[3][0]
+
+
 def test_empty_and_null_text_score_zero(spark):
     got = _score(spark, ["", None, "   "])
     assert all(v == (0.0, 0.0, 0.0, 0.0) for v in got.values())
