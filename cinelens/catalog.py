@@ -1028,3 +1028,29 @@ def q_write_analyzed(spark, sf_dir):
     AN.write_analyzed(scored, out)
     back = spark.read.parquet(out)
     return back.select(*scored.columns)
+
+
+@register("F5_cap_per_movie", f"""WITH {RAW_CTE},
+hist AS (SELECT movie_id, Unique_ID FROM raw_reviews WHERE Scrape_Timestamp < '2026-01-03'),
+firsts AS (SELECT {RAW_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY movie_id, Unique_ID ORDER BY ord) AS rn FROM raw_reviews) t WHERE rn = 1),
+fresh AS (SELECT f.* FROM firsts f ANTI JOIN hist h ON h.movie_id = f.movie_id AND h.Unique_ID = f.Unique_ID),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY ord) AS rn FROM fresh),
+existing AS (SELECT movie_id, count(DISTINCT Unique_ID) AS n FROM hist GROUP BY movie_id)
+SELECT {RAW_COLS} FROM ranked LEFT JOIN existing USING (movie_id) WHERE rn <= 40 - coalesce(n, 0)""")
+def q_cap_per_movie(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return DD.new_reviews(raw, raw.where(_HISTORY), "Unique_ID", "ord", target=40, group="movie_id")
+
+
+@register("ST3_stream_per_movie_target", f"""WITH {RAW_CTE},
+firsts AS (SELECT {RAW_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY movie_id, Unique_ID ORDER BY ord) AS rn FROM raw_reviews) t WHERE rn = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY ord) AS rn FROM firsts)
+SELECT {RAW_COLS} FROM ranked WHERE rn <= 40""")
+def q_stream_per_movie(spark, sf_dir):
+    out = IG.fresh_dir(spark, "reviews")
+    got = IG.run_ingest(spark, _os.path.join(sf_dir, "documents*.parquet"), out, fmt="parquet",
+                        schema=_DOC_SCHEMA, transform=derived.review_rows_from, target=40,
+                        checkpoint=out + "-ckpt", group_col="movie_id")
+    return got.select(*[c.strip() for c in RAW_COLS.split(",")])

@@ -6,7 +6,7 @@ number or a struct such as ``(file, position)``), never by partition order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,9 +34,14 @@ def distinct_values(df: DataFrame, cols) -> DataFrame:
     return df.select(*_keys(cols)).distinct()
 
 
-def skip_seen(batch: DataFrame, known: DataFrame, key: str = "Unique_ID") -> DataFrame:
-    """rows of ``batch`` whose key is not among ``known``'s keys."""
-    return batch.join(known.select(key), key, "left_anti")
+def skip_seen(batch: DataFrame, known: DataFrame, key="Unique_ID") -> DataFrame:
+    """rows of ``batch`` whose key (one column or several) is not among ``known``'s keys.
+
+    With a partition column of the known table among the keys, dynamic
+    partition pruning limits the scan of history to the batch's partitions.
+    """
+    keys = _keys(key)
+    return batch.join(known.select(*keys), keys, "left_anti")
 
 
 def cap_new(new_rows: DataFrame, existing: int, target: int, ord: str = "ord") -> DataFrame:
@@ -44,13 +49,42 @@ def cap_new(new_rows: DataFrame, existing: int, target: int, ord: str = "ord") -
     return new_rows.orderBy(ord).limit(max(0, target - existing))
 
 
+def cap_new_per_group(new_rows: DataFrame, existing: DataFrame | None, target: int, group: str,
+                      ord: str = "ord") -> DataFrame:
+    """F5 per group: a group's new rows, in ingest order, while existing + new <= target.
+
+    ``row_number() <= target`` plans as a ``WindowGroupLimit``: each map task
+    keeps at most ``target`` rows per group before the shuffle, so a group
+    holding most of the batch never reaches one task whole. ``existing`` is
+    ``(group, existing)`` counts (one row per group).
+    """
+    w = Window.partitionBy(group).orderBy(ord)
+    ranked = new_rows.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= target)
+    limit = F.lit(target)
+    if existing is not None:
+        ranked = ranked.join(existing.select(group, F.col("existing").alias("__existing")), group, "left")
+        limit = limit - F.coalesce(F.col("__existing"), F.lit(0))
+    out = ranked.where(F.col("__rn") <= limit)
+    return out.drop("__rn", "__existing") if existing is not None else out.drop("__rn")
+
+
 def new_reviews(batch: DataFrame, known: DataFrame | None, key: str = "Unique_ID",
-                ord: str = "ord", target: int | None = None) -> DataFrame:
+                ord: str = "ord", target: int | None = None, group: str | None = None) -> DataFrame:
     """F3 + D3 + F5: first row per key in the batch, minus history, capped.
 
     ``target`` counts distinct known keys as well as new ones (the resume
-    rule); the known count is one aggregate, not a collect.
+    rule); the known count is one aggregate, not a collect. With ``group``
+    (e.g. ``movie_id``) history, de-duplication and the target apply per
+    group, as with one review file per movie.
     """
+    if group is not None:
+        keys = [group, key]
+        fresh = keep_first(batch, keys, ord)
+        existing = None
+        if known is not None:
+            fresh = skip_seen(fresh, known, keys)
+            existing = known.groupBy(group).agg(F.countDistinct(key).alias("existing"))
+        return fresh if target is None else cap_new_per_group(fresh, existing, target, group, ord)
     fresh = keep_first(batch, key, ord)
     existing = 0
     if known is not None:

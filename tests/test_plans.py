@@ -61,3 +61,10 @@ def test_spread_only_for_skinny_inputs(spark):
         assert "RoundRobinPartitioning" not in _plan(spread(docs))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_per_group_cap_limits_rows_before_the_shuffle(spark):
+    from cinelens.operators.dedup import new_reviews
+    raw = derived.review_rows(spark, SF)
+    plan = _plan(new_reviews(raw, raw.where("ord < 20"), target=40, group="movie_id"))
+    assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -66,3 +66,22 @@ def test_star_load_and_scoring_per_batch(spark, tmp_dir):
     assert spark.read.parquet(os.path.join(star, "reviews")).count() == 3
     s = spark.read.parquet(scored)
     assert s.count() == 3 and s.where("Compound > 0").count() == 3
+
+
+def test_per_movie_history_and_target(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    src, tgt = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    _write(src, "f1.csv", [1, 2, 3, 4])
+
+    def with_movie(df):
+        return df.withColumn("movie_id", F.concat(F.lit("tt"), (F.substring("Unique_ID", 3, 5).cast("int") % 2)
+                                                  .cast("string")))
+
+    kw = dict(transform=with_movie, target=2, group_col="movie_id")
+    run_ingest(spark, src, tgt, checkpoint=os.path.join(tmp_dir, "c"), **kw)
+    _write(src, "f2.csv", [5, 6, 1])
+    out = run_ingest(spark, src, tgt, checkpoint=os.path.join(tmp_dir, "c"), **kw)
+    per = {r["movie_id"]: r["n"] for r in out.groupBy("movie_id").agg(F.count("*").alias("n")).collect()}
+    assert per == {"tt0": 2, "tt1": 2}
+    assert sorted(os.listdir(tgt))[:2] == ["movie_id=tt0", "movie_id=tt1"]
