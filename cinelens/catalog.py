@@ -607,10 +607,10 @@ k AS (SELECT *, CASE WHEN s > 0 THEN s + amp WHEN s < 0 THEN s - amp ELSE s END
         CASE WHEN ps > abs(ns) THEN ps + amp ELSE ps END AS ps2,
         CASE WHEN ps < abs(ns) THEN ns - amp ELSE ns END AS ns2 FROM j),
 scores AS (SELECT id AS ord,
-        CASE WHEN n > 0 THEN round_even(greatest(least(s2 / sqrt(s2 * s2 + 15.0), 1.0), -1.0), 4) ELSE 0.0 END AS Compound,
-        CASE WHEN n > 0 THEN round_even(abs(ns2 / (ps2 + abs(ns2) + neu)), 3) ELSE 0.0 END AS Negative,
-        CASE WHEN n > 0 THEN round_even(abs(neu / (ps2 + abs(ns2) + neu)), 3) ELSE 0.0 END AS Neutral,
-        CASE WHEN n > 0 THEN round_even(abs(ps2 / (ps2 + abs(ns2) + neu)), 3) ELSE 0.0 END AS Positive
+        CASE WHEN n > 0 THEN round_even(greatest(least(s2 / sqrt(s2 * s2 + 15.0), 1.0), -1.0), 4) + 0.0 ELSE 0.0 END AS Compound,
+        CASE WHEN n > 0 THEN round_even(abs(ns2 / (ps2 + abs(ns2) + neu)), 3) + 0.0 ELSE 0.0 END AS Negative,
+        CASE WHEN n > 0 THEN round_even(abs(neu / (ps2 + abs(ns2) + neu)), 3) + 0.0 ELSE 0.0 END AS Neutral,
+        CASE WHEN n > 0 THEN round_even(abs(ps2 / (ps2 + abs(ns2) + neu)), 3) + 0.0 ELSE 0.0 END AS Positive
       FROM k)"""
 
 

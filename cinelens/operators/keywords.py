@@ -56,7 +56,14 @@ def lemmatize_and_remove_stopwords(df: DataFrame, id_col: str, text_col: str, st
     words = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), r"(?U)[\s\x{1c}-\x{1f}]+"),
                      lambda t: t != "")
     toks = spread(df).select(id_col, F.posexplode_outer(words).alias("pos", "token"))
-    kept = lemmatize(drop_stopwords(toks, stop), lemma_table)
+    if stop is not None:
+        # null out stopwords (left join) rather than dropping rows, so a document
+        # made only of stopwords keeps a row and comes out as ""
+        s = broadcast_if_small(stop.select(F.col(stop.columns[0]).alias("token")).distinct()
+                               .withColumn("__stop", F.lit(True)))
+        toks = (toks.join(s, "token", "left")
+                .withColumn("token", F.when(F.col("__stop").isNull(), F.col("token"))).drop("__stop"))
+    kept = lemmatize(toks, lemma_table)
     return kept.groupBy(id_col).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))),
                                  lambda x: x["token"]), " ").alias(out_col))

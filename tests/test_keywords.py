@@ -30,11 +30,11 @@ def test_lemmas_merge_forms_and_stopwords_go_first(spark):
 
 
 def test_lemmatize_and_remove_stopwords(spark):
-    df = spark.createDataFrame([(1, "the films is fine actors"), (2, "")], "id long, t string")
+    df = spark.createDataFrame([(1, "the films is fine actors"), (2, ""), (3, "the is a")], "id long, t string")
     lem = KW.lemmas(spark, {"films": "film", "actors": "actor"})
     stop = KW.stopwords(spark, ["the", "a", "is"])
     out = {r["id"]: r["text"] for r in KW.lemmatize_and_remove_stopwords(df, "id", "t", stop, lem).collect()}
-    assert out == {1: "film fine actor", 2: ""}
+    assert out == {1: "film fine actor", 2: "", 3: ""}
 
 
 def test_default_stopwords_are_loaded(spark):
