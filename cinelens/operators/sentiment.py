@@ -9,14 +9,15 @@ shares. Lexicon, boosters and negations are DataFrames.
 Plan shape (no Python in the hot path):
 
 1. Row-local: split the text, strip edge punctuation, compute the caps flag,
-   the contrast position and the punctuation amplifier. The three previous
-   words and the next word are attached to each word *inside* the array
-   (``transform``) before exploding, so no exploded row carries a copy of
-   the whole array.
+   the contrast position and the punctuation amplifier (regex passes over
+   the whole text, not per word). The three previous and two next words are
+   attached to each word *inside* the array (``transform``) before
+   exploding, so no exploded row carries a copy of the whole array.
 2. ``explode`` + inner join with the lexicon keeps only lexicon words
    (broadcast when the lexicon is checked small); the previous words are
    resolved with left joins against one small ``vocab`` table, on hit rows
-   only.
+   only; multi-word idioms and boosters are phrase-table lookups on the same
+   hit rows.
 3. Per-word valence is a fold of column expressions; a per-document
    aggregate (partial aggregation collapses a document's hits map-side)
    yields one row per document for the shuffle.
@@ -44,7 +45,6 @@ BUT_BEFORE, BUT_AFTER = 0.5, 1.5
 NEVER_WORDS = ("so", "this")
 # -----------------------------------------------------------------------------
 
-_WS_WORD = r"(?U)[^\s\x{1c}-\x{1f}]+"
 SCORE_COLUMNS = ("Compound", "Negative", "Neutral", "Positive")
 
 
@@ -79,11 +79,6 @@ def _isupper(c: Column) -> Column:
     return (F.upper(c) == c) & (F.lower(c) != c)
 
 
-def _strip_punc_if_word(w: Column) -> Column:
-    stripped = F.regexp_replace(w, f"^{PUNCT_CLASS}+|{PUNCT_CLASS}+$", "")
-    return F.when(F.length(stripped) <= 2, w).otherwise(stripped)
-
-
 def _count_char(text: Column, ch: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(ch), F.lit("")))
 
