@@ -10,9 +10,11 @@ defaults, ids and types are then applied with Spark column expressions.
 from __future__ import annotations
 
 import re
+import sys
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -205,6 +207,11 @@ def extract_reviews(pages: DataFrame, selectors: dict | None = None, site: str =
     )
 
 
+# The parsing functions run inside tasks: ship this module's code with them, so
+# executors need only pandas and the standard library, not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 # S8b ---------------------------------------------------------------------------------
 TITLE_RE = r"<title>(.*?)</title>"
 LINK_RE = r'<a href="([^"]*)"'
