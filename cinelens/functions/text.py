@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 _WS = r"\s\x{1c}-\x{1f}"
 # Word tokens: letter/digit runs that may contain inner hyphens or apostrophes,
 # or a single other non-space character (punctuation). Clitics are split off.
-TOKEN = r"[\p{L}\p{M}\p{N}_]+(?:['’\-][\p{L}\p{M}\p{N}_]+)*|[^\s\p{L}\p{M}\p{N}_]"
+WORD = r"[\p{L}\p{M}\p{N}_]+(?:['’\-][\p{L}\p{M}\p{N}_]+)*"
+TOKEN = WORD + r"|[^\s\p{L}\p{M}\p{N}_]"
 CLITIC = r"(n't|'s|'ll|'re|'ve|'m|'d)$"
 ALPHA = r"^\p{L}+$"
 # -----------------------------------------------------------------------------
@@ -40,8 +41,22 @@ def tokenize(c, mode: str = "words") -> Column:
         return F.regexp_extract_all(s, F.lit(f"(?U)[^{_WS}]+"), 0)
     if mode != "words":
         raise ValueError(f"unknown tokenize mode {mode!r}")
-    toks = F.regexp_extract_all(s, F.lit(TOKEN), 0)
-    return F.transform(toks, lambda t: F.regexp_replace(t, CLITIC, ""))
+    return _strip_clitics(F.regexp_extract_all(s, F.lit(TOKEN), 0))
+
+
+def _strip_clitics(toks: Column) -> Column:
+    # only tokens with an apostrophe can end in a clitic
+    return F.transform(toks, lambda t: F.when(t.contains("'"), F.regexp_replace(t, CLITIC, "")).otherwise(t))
+
+
+def word_tokens(c) -> Column:
+    """P9 without punctuation tokens: the word tokens of ``tokenize(c)``, in order.
+
+    Punctuation tokens can never pass the letters-only filter of P10, so the
+    keyword path skips extracting them.
+    """
+    s = F.lower(F.coalesce(_col(c).cast("string"), F.lit("")))
+    return _strip_clitics(F.regexp_extract_all(s, F.lit(WORD), 0))
 
 
 def meaningful(tokens, min_len: int = 2, max_len: int = 20) -> Column:

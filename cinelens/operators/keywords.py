@@ -11,7 +11,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import meaningful, tokenize
+from ..functions.text import meaningful, tokenize, word_tokens
 from .clean import nonblank
 from .lookup import broadcast_if_small, pair_table, spread, word_table
 
@@ -75,7 +75,8 @@ def keyword_tokens(df: DataFrame, text_col: str, ord: str, stop: DataFrame | Non
     """Token stream ``(ord, pos, token)`` after P9, P10, J5 and J6."""
     docs = spread(nonblank(df, text_col))
     toks = docs.select(F.col(ord).alias("__ord"),
-                       F.posexplode(meaningful(tokenize(text_col, mode), min_len, max_len))
+                       F.posexplode(meaningful(word_tokens(text_col) if mode == "words" else tokenize(text_col, mode),
+                                               min_len, max_len))
                        .alias("pos", "token"))
     return lemmatize(drop_stopwords(toks, stop), lemma_table)
 
