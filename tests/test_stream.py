@@ -85,3 +85,17 @@ def test_per_movie_history_and_target(spark, tmp_dir):
     per = {r["movie_id"]: r["n"] for r in out.groupBy("movie_id").agg(F.count("*").alias("n")).collect()}
     assert per == {"tt0": 2, "tt1": 2}
     assert sorted(p for p in os.listdir(tgt) if p.startswith("movie_id=")) == ["movie_id=tt0", "movie_id=tt1"]
+
+
+def test_watermark_dedup_keeps_state_bounded(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from cinelens.functions.scalars import iso_timestamp
+
+    src, tgt = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    _write(src, "f1.csv", [1, 2, 2, 3])
+    out = run_ingest(spark, src, tgt, checkpoint=os.path.join(tmp_dir, "c"),
+                     transform=lambda df: df.withColumn("event_time", iso_timestamp("Scrape_Timestamp")),
+                     dedup_state="watermark", event_time="event_time", lateness="1 day")
+    assert sorted(r["Unique_ID"] for r in out.collect()) == ["id1", "id2", "id3"]
+    assert out.where(F.col("event_time").isNull()).count() == 0
