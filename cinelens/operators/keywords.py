@@ -105,11 +105,12 @@ def senses(spark: SparkSession, rows) -> DataFrame:
 def enrich_keywords(keywords: DataFrame, sense_table: DataFrame, max_examples: int = 2) -> DataFrame:
     """``(name, value, categories)`` -- first sense per word, or an empty list.
 
-    The keyword list is small (a top-n), so it is the broadcast side of a
-    semi join that trims the sense table before the first sense is chosen.
+    The keyword list is normally a top-n, so (after a size check) it is the
+    broadcast side of a semi join that trims the sense table before the first
+    sense is chosen.
     """
     kw = keywords.select(F.col("word").alias("name"), F.col("count").alias("value"))
-    wanted = sense_table.join(F.broadcast(kw.select(F.col("name").alias("word"))), "word", "left_semi")
+    wanted = sense_table.join(broadcast_if_small(kw.select(F.col("name").alias("word"))), "word", "left_semi")
     first = wanted.groupBy(F.col("word").alias("name")).agg(
         F.min(F.struct("rank", "definition", "pos", "examples")).alias("s"))
     cat = F.struct(F.col("s.definition").alias("definition"), F.col("s.pos").alias("pos"),
