@@ -37,8 +37,8 @@ def distinct_values(df: DataFrame, cols) -> DataFrame:
 def skip_seen(batch: DataFrame, known: DataFrame, key="Unique_ID") -> DataFrame:
     """rows of ``batch`` whose key (one column or several) is not among ``known``'s keys.
 
-    With a partition column of the known table among the keys, dynamic
-    partition pruning limits the scan of history to the batch's partitions.
+    Only the key columns of ``known`` are read; callers that know which
+    partitions of ``known`` a batch can touch filter it first (see the stream).
     """
     keys = _keys(key)
     return batch.join(known.select(*keys), keys, "left_anti")

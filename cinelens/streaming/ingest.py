@@ -25,6 +25,8 @@ from ..session import scratch_path
 from ..sources.csv import RAW_SCHEMA
 
 BATCH_COL = "ingest_batch"
+# Up to this many distinct groups in one micro-batch, history reads only their partitions.
+PRUNE_GROUPS_LIMIT = 10000
 
 
 def _read_target(spark: SparkSession, path: str) -> DataFrame | None:
@@ -50,9 +52,10 @@ def make_batch_writer(target_path: str, key: str = "Unique_ID", target: int | No
     """The ``foreachBatch`` function: F3 + D3 + F5, append, then ``on_batch``.
 
     With ``group_col`` the target table is partitioned by it and history,
-    de-duplication and the target apply per group; the anti join on
-    ``(group_col, key)`` lets dynamic partition pruning read only the
-    partitions the batch touches.
+    de-duplication and the target apply per group. The batch's distinct group
+    values (when there are at most ``PRUNE_GROUPS_LIMIT``) become a partition
+    filter, so the history read lists and scans only the partitions the batch
+    touches instead of the whole target.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -63,6 +66,10 @@ def make_batch_writer(target_path: str, key: str = "Unique_ID", target: int | No
                                                    F.monotonically_increasing_id().alias("pos")))
         rows = rows.drop("__file")
         known = _read_target(spark, target_path)
+        if known is not None and group_col:
+            groups = [r[0] for r in rows.select(group_col).distinct().limit(PRUNE_GROUPS_LIMIT + 1).collect()]
+            if len(groups) <= PRUNE_GROUPS_LIMIT:
+                known = known.where(F.col(group_col).isin([g for g in groups if g is not None]))
         fresh = new_reviews(rows, known.drop(BATCH_COL) if known is not None else None, key, "ord", target,
                             group=group_col)
         w = fresh.withColumn(BATCH_COL, F.lit(batch_id)).write.mode("append")
