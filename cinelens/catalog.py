@@ -130,7 +130,7 @@ def q_peak(spark, sf_dir):
     return M.peak_rating(M.rating_distribution(derived.review_fact(spark, sf_dir), sort=False))
 
 
-@register("T5_ranking_leaders", f"""WITH {METRICS_CTE.replace('reviews AS', 'reviews AS', 1)},
+@register("T5_ranking_leaders", f"""WITH {METRICS_CTE},
 totals AS (
   SELECT r.reviewer_id, c.c_name AS username, count(*) AS total_reviews
   FROM reviews r JOIN customer c ON c.c_custkey = r.reviewer_id
