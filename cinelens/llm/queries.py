@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import language, near_dedup, substring_sort, url_filter
+from . import language, near_dedup, packing, substring_sort, url_filter
 
 #: Rules of op8: (verdict, host, path).
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.apply_rules(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -34,6 +38,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_near_dedup": op2_near_dedup,
+    "op5_packing": op5_packing,
     "op8_url_filter": op8_url_filter,
 }
 
