@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import language, near_dedup, packing, substring_sort, url_filter
+from . import html_text, language, near_dedup, packing, substring_sort, url_filter, warc
 
 #: Rules of op8: (verdict, host, path).
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -17,6 +17,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(read_table(spark, sf_dir, "pages"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.apply_rules(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -34,15 +38,30 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op3_language_id": op3_language_id,
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_near_dedup": op2_near_dedup,
     "op5_packing": op5_packing,
+    "op6_html_text": op6_html_text,
     "op8_url_filter": op8_url_filter,
+    "op9_warc": op9_warc,
 }
 
 ORACLE = {
+    "op9_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha256(b) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS lead FROM d WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+  CASE WHEN f.lead IS NULL OR f.lead = d.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN f.lead <> d.page_id THEN f.lead END AS refers_to
+FROM d LEFT JOIN f ON f.payload_digest = d.payload_digest AND d.payload_bytes >= 100""",
     "op8_url_filter": """
 WITH rules(verdict, host, path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
   ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
