@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import html_text, language, near_dedup, packing, substring_sort, url_filter, warc
+from . import html_text, language, near_dedup, packing, range_join, substring_sort, url_filter, warc
 
 #: Rules of op8: (verdict, host, path).
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -43,6 +43,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return range_join.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op3_language_id": op3_language_id,
     "op1_suffix_dedup": op1_suffix_dedup,
@@ -51,6 +55,7 @@ QUERIES = {
     "op6_html_text": op6_html_text,
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
+    "op10_range_join": op10_range_join,
 }
 
 ORACLE = {
