@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import html_text, language, near_dedup, packing, range_join, substring_sort, url_filter, warc
+from . import decontaminate, html_text, language, near_dedup, packing, range_join, substring_sort, url_filter, warc
 
 #: Rules of op8: (verdict, host, path).
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_near_dedup": op2_near_dedup,
+    "op4_decontaminate": op4_decontaminate,
     "op5_packing": op5_packing,
     "op6_html_text": op6_html_text,
     "op8_url_filter": op8_url_filter,
