@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontaminate, html_text, language, near_dedup, packing, range_join, substring_sort, url_filter, warc
+from . import decontaminate, html_text, language, near_dedup, packing, passages, range_join, substring_sort, url_filter, warc
 
 #: Rules of op8: (verdict, host, path).
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -25,6 +25,10 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(read_table(spark, sf_dir, "pages"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(read_table(spark, sf_dir, "documents")).drop("h")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.apply_rules(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -58,6 +62,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_packing": op5_packing,
     "op6_html_text": op6_html_text,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
     "op10_range_join": op10_range_join,
