@@ -46,6 +46,13 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def slices(batches, rows: int = 256):
+    """Arrow batches cut into small ones, so that a task holds few texts as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 # --- components ---------------------------------------------------------------------
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SHINGLE, U64, components, cut, mix, shingle_hashes, signed, staged
+from .common import SHINGLE, U64, components, cut, mix, shingle_hashes, signed, slices, staged
 
 #: 32 bands of 4 samples miss a pair at a similarity of 0.75 with a chance of 5e-6, less above it.
 BANDS, ROWS = 32, 4
@@ -66,7 +66,7 @@ _SIG = ("doc_id long, n long, f1 long, f2 long, bands array<long>, "
 
 
 def _signatures(batches):
-    for batch in batches:
+    for batch in slices(batches):
         ids, n, f1, f2, bands = [], [], [], [], []
         words = [[] for _ in range(SKETCH_WORDS)]
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -90,7 +90,7 @@ def _signatures(batches):
 
 
 def _sets(batches):
-    for batch in batches:
+    for batch in slices(batches):
         sets = [signed(shingle_hashes(t)[0]) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
 
@@ -112,6 +112,8 @@ def near_links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> Data
     colliding pair is compared unless a path of confirmed links joins it.
     """
     text = docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
+    if not text.where("__id is not null").groupBy("__id").count().where("count > 1").isEmpty():
+        text = text.groupBy("__id").agg(F.min("__text").alias("__text"))
     light = reps.drop("bands")
     rows = reps.select("id", F.explode("bands").alias("b"))
     shared = rows.groupBy("b").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
@@ -133,7 +135,6 @@ def near_links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> Data
     def confirmed(pairs: DataFrame) -> DataFrame:
         need = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         sets = staged(text.join(need, F.col("__id") == F.col("id"), "left_semi")
-                      .groupBy(F.col("__id")).agg(F.min("__text").alias("__text"))
                       .mapInArrow(_sets, "id long, set array<long>"), "near-sets")
         got = (pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("__x")), "a")
                .join(sets.select(F.col("id").alias("b"), F.col("set").alias("__y")), "b"))
