@@ -19,6 +19,8 @@ from .common import SHINGLE, U64, components, cut, mix, shingle_hashes, signed,
 BANDS, ROWS = 32, 4
 SKETCH_WORDS = 8
 SKETCH_BITS = 64 * SKETCH_WORDS
+#: Members of a bucket that are compared with each other in one task.
+BLOCK = 1000
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Standard errors by which a sketch may miss the threshold before a pair is dropped.
@@ -102,14 +104,109 @@ def _likely(x: DataFrame, y: DataFrame, percent: int):
     return ((odd <= max_odd_bits(percent)) & (100 * x["n"] >= percent * y["n"]) & (100 * y["n"] >= percent * x["n"]))
 
 
+def _agree(percent: int, x: np.ndarray, y: np.ndarray, sets: list[np.ndarray], comps: np.ndarray) -> list[tuple[int, int]]:
+    """Confirmed pairs (numbers of sets) that join components; full sets are compared."""
+    size = np.array([len(s) for s in sets])
+    words, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    start = np.concatenate(([0], np.cumsum(size)))
+    root = {c: c for c in comps.tolist()}
+
+    def find(c):
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    out, mine = [], np.zeros(len(words), dtype=bool)
+    by = np.argsort(x, kind="stable")
+    x, y = x[by], y[by]
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(x)) + 1, [len(x)]))
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        i = int(x[lo])
+        own = find(int(comps[i]))
+        others = np.array([j for j in y[lo:hi].tolist() if find(int(comps[j])) != own], dtype=np.int64)
+        if not len(others):
+            continue
+        mine[flat[start[i]:start[i + 1]]] = True
+        pick = np.concatenate([flat[start[j]:start[j + 1]] for j in others.tolist()])
+        both = np.add.reduceat(mine[pick].astype(np.int64), np.concatenate(([0], np.cumsum(size[others])[:-1])))
+        mine[flat[start[i]:start[i + 1]]] = False
+        for j in others[100 * both >= percent * (size[i] + size[others] - both)].tolist():
+            a, b = find(int(comps[i])), find(int(comps[j]))
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                out.append((i, j))
+    return out
+
+
+def _pick(percent: int):
+    """Pairs of a block whose sketches allow the similarity, as numbers into the ids they name."""
+    most = max_odd_bits(percent)
+
+    def run(table: pa.Table) -> pa.Table:
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        bucket = table["b"][0].as_py()
+        ids, comps, n, own = (table[c].to_numpy() for c in ("id", "comp", "n", "own"))
+        sketch = np.stack([table[f"s{k}"].to_numpy() for k in range(SKETCH_WORDS)], axis=1).view(U64)
+        bands = np.array(table["bands"].to_pylist(), dtype=np.int64)
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        xs, ys = [], []
+        for at in range(0, len(left), 256):
+            x = left[at:at + 256]
+            odd = np.zeros((len(x), len(right)), dtype=np.int64)
+            for w in range(SKETCH_WORDS):
+                odd += np.bitwise_count(sketch[x, w][:, None] ^ sketch[right, w][None, :])
+            nx, ny = n[x][:, None], n[right][None, :]
+            ok = ((odd <= most) & (comps[x][:, None] != comps[right][None, :])
+                  & (100 * nx >= percent * ny) & (100 * ny >= percent * nx))
+            if i == j:
+                ok &= x[:, None] < right[None, :]
+            a, b = np.nonzero(ok)
+            a, b = x[a], right[b]
+            for part in np.array_split(np.arange(len(a)), max(1, len(a) // 50000)):
+                pa_, pb = a[part], b[part]
+                same = bands[pa_] == bands[pb]
+                first = bands[pa_, same.argmax(axis=1)] == bucket
+                xs.append(pa_[first])
+                ys.append(pb[first])
+        x, y = (np.concatenate(v) if v else np.zeros(0, dtype=np.int64) for v in (xs, ys))
+        used, inv = np.unique(np.concatenate((x, y)), return_inverse=True)
+        x, y = inv[:len(x)].astype(np.int32), inv[len(x):].astype(np.int32)
+        rows = 1 if len(x) else 0
+        return pa.table({"b": pa.array([bucket] * rows, pa.int64()), "i": pa.array([i] * rows, pa.int32()),
+                         "j": pa.array([j] * rows, pa.int32()), "ids": pa.array([ids[used]] * rows, pa.list_(pa.int64())),
+                         "comps": pa.array([comps[used]] * rows, pa.list_(pa.int64())),
+                         "x": pa.array([x.tobytes()] * rows, pa.binary()), "y": pa.array([y.tobytes()] * rows, pa.binary())})
+    return run
+
+
+def _confirm(percent: int):
+    def run(pairs: pa.Table, held: pa.Table) -> pa.Table:
+        links: list = []
+        if pairs.num_rows and held.num_rows:
+            row = pairs.to_pylist()[0]
+            have = dict(zip(held["id"].to_pylist(), range(held.num_rows)))
+            column = held["set"].combine_chunks()
+            flat, cuts = column.values.to_numpy(), column.offsets.to_numpy()
+            sets = [flat[cuts[have[i]]:cuts[have[i] + 1]] for i in row["ids"]]
+            got = _agree(percent, np.frombuffer(row["x"], dtype=np.int32), np.frombuffer(row["y"], dtype=np.int32),
+                         sets, np.array(row["comps"], dtype=np.int64))
+            links = [(row["ids"][x], row["ids"][y]) for x, y in got]
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+    return run
+
+
 def near_links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Confirmed links ``(a, b)`` that join every pair of similar classes into one component.
 
     Round one links every member of a bucket with the bucket's hub (the
     member that shares most buckets), so a bucket of any size proposes one
     pair per member. Round two compares, in buckets that still hold several
-    components, the members of different components with each other: every
-    colliding pair is compared unless a path of confirmed links joins it.
+    components, the members of different components with each other, block
+    by block inside the tasks (a pair only in the first bucket it shares);
+    what leaves a block are confirmed links that join components, at most one
+    per member. So every colliding pair is compared unless a path of
+    confirmed links joins it, and no group is spelled out as pairs.
     """
     text = docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
     if not text.where("__id is not null").groupBy("__id").count().where("count > 1").isEmpty():
@@ -132,10 +229,12 @@ def near_links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> Data
         side = lambda s: {c: F.col(f"{s}_{c}") for c in light.columns}
         return got.where(_likely(side("x"), side("y"), percent)).select("a", "b")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        need = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        sets = staged(text.join(need, F.col("__id") == F.col("id"), "left_semi")
+    def sets_of(need: DataFrame) -> DataFrame:
+        return staged(text.join(need.distinct(), F.col("__id") == F.col("id"), "left_semi")
                       .mapInArrow(_sets, "id long, set array<long>"), "near-sets")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")))
         got = (pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("__x")), "a")
                .join(sets.select(F.col("id").alias("b"), F.col("set").alias("__y")), "b"))
         both = got.select("a", "b", F.size("__x").alias("x"), F.size("__y").alias("y"),
@@ -147,16 +246,20 @@ def near_links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> Data
     comp = cut(components(links))
     labelled = (multi.join(comp, "id", "left")
                 .select("b", "id", F.coalesce("component_id", "id").alias("comp")))
-    mixed = labelled.groupBy("b").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("b")
-    rest = staged(labelled.join(mixed, "b").join(light, "id"), "near-rest")
-    x = rest.select(*[F.col(c).alias(f"x_{c}") for c in rest.columns])
-    y = rest.select(*[F.col(c).alias(f"y_{c}") for c in rest.columns])
-    side = lambda s: {c: F.col(f"{s}_{c}") for c in rest.columns}
-    across = (x.join(y, (F.col("x_b") == F.col("y_b")) & (F.col("x_id") < F.col("y_id"))
-                     & (F.col("x_comp") != F.col("y_comp")) & _likely(side("x"), side("y"), percent))
-              .select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
-              .join(first, ["a", "b"], "left_anti"))
-    more = confirmed(cut(across))
+    mixed = (labelled.groupBy("b").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c"))
+             .where("lo != hi").select("b", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int")
+    rest = labelled.join(mixed, "b").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rest = rest.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    rest = rest.join(reps, "id").select("b", "i", "j", "own", "id", "comp", "n", "bands", *[f"s{i}" for i in range(SKETCH_WORDS)])
+    picked = staged(rest.groupBy("b", "i", "j").applyInArrow(
+        _pick(percent), "b long, i int, j int, ids array<long>, comps array<long>, x binary, y binary"), "near-picked")
+    need = picked.select("b", "i", "j", F.explode("ids").alias("id"))
+    # the two signs change nothing but make columns of their own: a cogroup drops those that both sides share
+    held = need.join(sets_of(need.select("id")), "id").select(
+        *[F.negative(F.negative(c)).alias(c) for c in ("b", "i", "j")], "id", "set")
+    more = picked.groupBy("b", "i", "j").cogroup(held.groupBy("b", "i", "j")).applyInArrow(
+        _confirm(percent), "a long, b long").distinct()
     return comp.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionAll(more)
 
 
