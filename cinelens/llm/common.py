@@ -34,14 +34,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, or a variant of it that no column of ``df`` bears."""
-    have = {c.lower() for c in df.columns}
-    while name.lower() in have:
-        name += "_"
-    return name
-
-
 def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 

@@ -21,13 +21,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import U64, inverse, mix, powers, prefix_hash
+from .key_exchange import TOLD, announce, answer
 from .suffix_sort import sorted_suffixes
 
 LENGTH = 100
 GRAM = 32
 #: Text bytes per shard; the number of shards follows the input.
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 8 << 20
 MIN_SHARDS = 8
+#: Segments that are sorted at a time (keys stay whole).
+SORT_ROWS = 20_000
 _CHUNK = 1 << 21
 _LAST = (1 << 63) - 1
 
@@ -80,55 +83,16 @@ def _keep(other: pa.Table) -> set:
     return {(i, s) for i, s in zip(_list(other, "ord"), _list(other, "sha")) if s is not None}
 
 
-def _repeated_here(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the first segment of each key, and whether the shard holds the key again."""
-    _, first, count = np.unique(key, return_index=True, return_counts=True)
-    return first, count > 1
-
-
-_NO_ANSWER = np.uint32(0xFFFFFFFF)
-
-
 def _announce(shards: int):
-    """Per shard: the keys it holds, dealt into buckets as 32-bit remainders, and the number of a segment."""
-
     def run(key, docs: pa.Table, other: pa.Table) -> pa.Table:
-        shard = key[0].as_py()
         segs, _ = _shard_segments(_texts(docs, _keep(other)))
-        first, again = _repeated_here(segs[3])
-        k = mix(segs[3][first])
-        bucket = (k % U64(shards)).astype(np.int64)
-        short = (k >> U64(32)).astype(np.uint32)
-        number = np.where(again, _NO_ANSWER, first.astype(np.uint32)).astype(np.uint32)
-        by = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.diff(bucket[by])) + 1
-        parts = np.split(by, cuts) if len(by) else []
-        return pa.table({"bucket": pa.array([int(bucket[p[0]]) for p in parts], pa.int64()),
-                         "shard": pa.array([shard] * len(parts), pa.int64()),
-                         "short": pa.array([short[p].tobytes() for p in parts], pa.binary()),
-                         "number": pa.array([number[p].tobytes() for p in parts], pa.binary())})
+        return announce(key[0].as_py(), segs[3], shards)
     return run
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """Per bucket: the numbers of segments whose key some other shard holds too."""
-    short = [np.frombuffer(x, dtype=np.uint32) for x in table["short"].to_pylist()]
-    number = [np.frombuffer(x, dtype=np.uint32) for x in table["number"].to_pylist()]
-    shard = np.repeat(np.arange(len(short)), [len(x) for x in short])
-    short, number = np.concatenate(short), np.concatenate(number)
-    by = np.argsort(short, kind="stable")
-    s = short[by]
-    same = s[1:] == s[:-1]
-    multi = np.zeros(len(s), dtype=bool)
-    multi[1:] |= same
-    multi[:-1] |= same
-    hit = by[multi]
-    hit = np.sort(hit[number[hit] != _NO_ANSWER])
-    names = table["shard"].to_pylist()
-    got = [(names[i], number[hit[shard[hit] == i]].tobytes()) for i in np.unique(shard[hit])]
-    return pa.table({"shard": pa.array([g[0] for g in got], pa.int64()),
-                     "ord": pa.nulls(len(got), pa.int64()), "sha": pa.nulls(len(got), pa.string()),
-                     "blob": pa.array([g[1] for g in got], pa.binary())})
+    shard, blob = answer(table)
+    return pa.table({"shard": shard, "ord": pa.nulls(len(shard), pa.int64()), "sha": pa.nulls(len(shard), pa.string()), "blob": blob})
 
 
 def _runs_to_blob(ords, start, end) -> bytes:
@@ -241,7 +205,7 @@ def _sort_bucket(shards: int, length: int):
             edges = np.flatnonzero(np.diff(key[by])) + 1
             cuts, begin = [], 0
             for e in edges.tolist():
-                if e - begin >= 100_000:
+                if e - begin >= SORT_ROWS:
                     cuts.append(e)
                     begin = e
             for part in (np.split(by, cuts) if len(by) else []):
@@ -330,7 +294,7 @@ def repeated_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     by_shard = texts.groupBy("shard")
     keep = leads.select("shard", "ord", "sha", none.cast("binary").alias("blob"))
     told = by_shard.cogroup(keep.groupBy("shard")).applyInArrow(
-        _announce(shards), "bucket long, shard long, short binary, number binary")
+        _announce(shards), TOLD)
     answers = told.groupBy("bucket").applyInArrow(_answer, "shard long, ord long, sha string, blob binary")
     dealt = by_shard.cogroup(keep.unionAll(answers).groupBy("shard")).applyInArrow(_deal(shards, length), _DEALT)
     marks = (dealt.groupBy("bucket").applyInArrow(_sort_bucket(shards, length), "ord long, start long, end long")
