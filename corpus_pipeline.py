@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinelens.llm import decontaminate, language, near_dedup, packing, passages
-from cinelens.llm.common import staged
+from cinelens.llm.common import numbered, staged
 from cinelens.sources.tables import read_table
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Op 3: documents whose language is undetermined (null text, no letter) go."""
     model = language.train(docs)
-    told = language.with_language(docs, model, docs.columns)
-    return told.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+    plain = numbered(docs)
+    told = language.with_language(plain, model, plain.columns, f"c{docs.columns.index('text')}")
+    return told.where(F.col("lang_pred") != language.UNKNOWN).select(*plain.columns).toDF(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
