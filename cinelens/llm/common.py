@@ -34,6 +34,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns renamed c0, c1, ..., so that no name of theirs clashes with one added."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 

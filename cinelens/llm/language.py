@@ -174,9 +174,9 @@ def _predict(model: Model):
     return run
 
 
-def with_language(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` (first any of them, then text) with ``lang_pred`` and ``score``."""
-    cols = docs.select(*keep, F.col("text").alias("__text"))
+def with_language(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
+    """Columns ``keep`` of ``docs`` with ``lang_pred`` and ``score`` of its column ``text``."""
+    cols = docs.select(*keep, F.col(text).alias("__text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cols.schema.fields[:-1])
     return cols.mapInArrow(_predict(model), f"{kinds}, lang_pred string, score double")
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SHINGLE, U64, components, cut, mix, prefix_hash, signed, slices, span_hash, staged
+from .common import SHINGLE, U64, components, cut, mix, numbered, prefix_hash, signed, slices, span_hash, staged
 from .key_exchange import TOLD, announce, answer, repeated_here
 from .near_dedup import _agree
 
@@ -222,22 +222,18 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     return runs.where(F.col("n_words") >= min_words).drop("run")
 
 
-def _remove(columns: list[str]):
-    def run(batches):
-        for batch in slices(batches):
-            texts = []
-            for t, spans in zip(batch["__text"].to_pylist(), batch["__runs"].to_pylist()):
-                if spans:
-                    raw, out, at = t.encode("utf-8", "surrogatepass"), [], 0
-                    for s in sorted(spans, key=lambda s: s["begin"]):
-                        out.append(raw[at:s["begin"]])
-                        at = s["end"]
-                    # the white space on both sides of a removed run becomes that on one side
-                    out.append(raw[at:])
-                    t = b"".join([out[0].rstrip(), *(x.rstrip() for x in out[1:-1]), out[-1]]).decode("utf-8", "surrogatepass").strip()
-                texts.append(t)
-            yield pa.RecordBatch.from_arrays([batch[c] for c in columns] + [pa.array(texts, pa.string())], names=[*columns, "__text"])
-    return run
+def _remove(batches):
+    """Rows ``(..., text, runs)`` -> ``(..., text)`` without the runs."""
+    for batch in slices(batches):
+        texts = []
+        for t, spans in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
+            raw, out, at = t.encode("utf-8", "surrogatepass"), [], 0
+            for s in sorted(spans, key=lambda s: s["begin"]):
+                out.append(raw[at:s["begin"]].rstrip())
+                at = s["end"]
+            # the white space on both sides of a removed run becomes that behind it
+            texts.append(b"".join([*out, raw[at:]]).decode("utf-8", "surrogatepass").strip())
+        yield pa.RecordBatch.from_arrays(batch.columns[:-2] + [pa.array(texts, pa.string())], names=batch.schema.names[:-1])
 
 
 def without_repeats(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
@@ -248,12 +244,14 @@ def without_repeats(docs: DataFrame, percent: int = PERCENT, min_words: int = MI
     runs = staged(repeated_passages(docs, percent, min_words), "passage-runs")
     per_doc = runs.groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(
         F.collect_list(F.struct("begin", "end")).alias("__runs"))
-    joined = docs.join(per_doc, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__h")), "left")
-    same = joined.where("__runs is null").select(*docs.columns)
-    others = [c for c in docs.columns if c != "text"]
-    touched = joined.where("__runs is not null").select(*others, F.col("text").alias("__text"), "__runs")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*others).schema.fields)
-    cleaned = touched.mapInArrow(_remove(others), f"{kinds}, __text string").where(F.length("__text") > 0)
-    cols = [F.col("__text").alias("text") if c == "text"
-            else F.length("__text").cast(docs.schema["n_chars"].dataType).alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns]
-    return same.unionAll(cleaned.select(*cols))
+    plain = numbered(docs)
+    at = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    doc_id, text = F.col(at["doc_id"]), at["text"]
+    joined = plain.join(per_doc, (doc_id == F.col("__id")) & (F.xxhash64(text) == F.col("__h")), "left")
+    same = joined.where("__runs is null").select(*plain.columns)
+    touched = joined.where("__runs is not null").select(*[c for c in plain.columns if c != text], text, "__runs")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in touched.schema.fields[:-1])
+    cleaned = touched.mapInArrow(_remove, kinds).where(F.length(text) > 0)
+    if "n_chars" in at:
+        cleaned = cleaned.withColumn(at["n_chars"], F.length(text).cast(plain.schema[at["n_chars"]].dataType))
+    return same.unionAll(cleaned.select(*plain.columns)).toDF(*docs.columns)
