@@ -43,13 +43,8 @@ def py_strip(c) -> Column:
     return F.regexp_replace(_col(c), _EDGE_SPACE, "")
 
 
-def vote_count(c) -> Column:
-    """Vote text -> int.
-
-    null, ``""`` and ``"None"`` -> 0; trim, upper-case, drop commas; a
-    ``K``/``M`` suffix multiplies by 1e3/1e6; the value is truncated toward
-    zero; anything unparsable (or out of int range) -> 0.
-    """
+def vote_value(c) -> Column:
+    """The number a vote text stands for, truncated toward zero but not clipped; unparsable -> null."""
     s = F.regexp_replace(F.upper(py_strip(_col(c).cast("string"))), ",", "")
     last = F.substring(s, -1, 1)
     mult = F.lit(1.0)
@@ -57,7 +52,24 @@ def vote_count(c) -> Column:
         mult = F.when(last == suffix, F.lit(factor)).otherwise(mult)
     body = F.when(last.isin(*VOTE_SUFFIXES), F.left(s, F.length(s) - 1)).otherwise(s)
     value = F.when(body.rlike(NUMERIC), body.try_cast("double") * mult)
-    return F.coalesce(value.try_cast("int"), F.lit(0))
+    return F.when(value < 0, F.ceil(value)).otherwise(F.floor(value)).cast("double")
+
+
+def vote_count(c) -> Column:
+    """Vote text -> int.
+
+    null, ``""`` and ``"None"`` -> 0; trim, upper-case, drop commas; a
+    ``K``/``M`` suffix multiplies by 1e3/1e6; the value is truncated toward
+    zero; anything unparsable (or out of int range) -> 0.
+    """
+    return F.coalesce(vote_value(c).try_cast("int"), F.lit(0))
+
+
+def rating_value(c) -> Column:
+    """The number a rating stands for, not clipped; NaN, "NaN" and junk -> null."""
+    s = py_strip(_col(c).cast("string"))
+    d = F.when(s.rlike(NUMERIC), s.try_cast("double"))
+    return F.when(F.isnan(d), F.lit(None)).otherwise(d)
 
 
 def parse_rating(c) -> Column:
@@ -65,9 +77,7 @@ def parse_rating(c) -> Column:
 
     ``int()`` truncation toward zero; values outside smallint range -> null.
     """
-    s = py_strip(_col(c).cast("string"))
-    d = F.when(s.rlike(NUMERIC), s.try_cast("double"))
-    return F.when(F.isnan(d), F.lit(None)).otherwise(d).try_cast("short").cast("int")
+    return rating_value(c).try_cast("short").cast("int")
 
 
 def movie_url(movie_id, site: str = SITE) -> Column:

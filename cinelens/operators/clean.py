@@ -49,15 +49,19 @@ def nonblank(df: DataFrame, text_col: str) -> DataFrame:
     return df.where(F.col(text_col).isNotNull() & (py_strip(text_col) != ""))
 
 
-def fill_rating(df: DataFrame, col: str = "Rating") -> DataFrame:
-    """A1: fill null ratings with the mean rating rounded half-to-even.
+def fill_rating(df: DataFrame, col: str = "Rating", group: str | None = None) -> DataFrame:
+    """A1: fill null ratings with the mean rating rounded half-to-even, over all rows or per ``group``.
 
-    The mean is an uncorrelated scalar subquery (one aggregate, evaluated
-    once), so no join or window is needed; if every rating is null the
-    column stays null.
+    Without a group the mean is an uncorrelated scalar subquery (one
+    aggregate, no join). With one it is a partial aggregate per group, joined
+    back to the rows. If every rating (of a group) is null it stays null.
     """
-    require_columns(df, [col])
-    fill = df.agg(F.bround(F.avg(col), 0).alias("fill")).scalar()
+    require_columns(df, [col, *([group] if group else [])])
     dtype = df.schema[col].dataType
     target = dtype if isinstance(dtype, (T.DoubleType, T.FloatType)) else T.DoubleType()
-    return df.withColumn(col, F.coalesce(F.col(col).cast(target), fill.cast(target)))
+    mean = F.bround(F.avg(col), 0).cast(target)
+    if group is None:
+        return df.withColumn(col, F.coalesce(F.col(col).cast(target), df.agg(mean.alias("fill")).scalar().cast(target)))
+    means = df.groupBy(F.col(group).alias("__g")).agg(mean.alias("__fill"))
+    joined = df.join(means, F.col(group).eqNullSafe(F.col("__g")), "left")
+    return joined.withColumn(col, F.coalesce(F.col(col).cast(target), F.col("__fill"))).select(*df.columns)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -17,16 +19,20 @@ def _keys(keys) -> list[str]:
 def keep_first(df: DataFrame, keys, ord: str = "ord") -> DataFrame:
     """Keep the first row (smallest ``ord``) per key; null keys form one group.
 
-    Planned as one aggregation: ``min(struct(ord, ...))`` per key. The partial
-    aggregate before the shuffle reduces every key to one row per map task,
-    so a key holding a large share of the rows (a repeated text, or the null
-    group) is combined map-side instead of landing whole in one task.
+    The key is hashed (``sha2``), so no text is sorted or shuffled: the
+    smallest ``ord`` per hash is a hash aggregate whose partial step leaves
+    one narrow row per key and task (a key holding most rows never meets in
+    one task), and rows that are not the first of their key are dropped by a
+    join on ``(hash, ord)``.
     """
     keys = _keys(keys)
-    others = [c for c in df.columns if c not in keys and c != ord]
-    first = df.groupBy(*keys).agg(F.min(F.struct(F.col(ord), *others)).alias("__first"))
-    return first.select(*[F.col(f"__first.{c}").alias(c) if c not in keys else F.col(c)
-                          for c in df.columns])
+    # nulls apart from texts, and no text that spans two keys
+    parts = [F.coalesce(F.concat(F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string")),
+                        F.lit("-")) for k in keys]
+    hashed = df.withColumn("__key", F.sha2(F.concat_ws("|", *parts), 256))
+    first = hashed.groupBy(F.col("__key").alias("__k")).agg(F.min(ord).alias("__o"))
+    kept = hashed.join(first, (F.col("__key") == F.col("__k")) & F.col(ord).eqNullSafe(F.col("__o")), "left_semi")
+    return kept.select(*df.columns)
 
 
 def distinct_values(df: DataFrame, cols) -> DataFrame:
@@ -37,16 +43,33 @@ def distinct_values(df: DataFrame, cols) -> DataFrame:
 def skip_seen(batch: DataFrame, known: DataFrame, key="Unique_ID") -> DataFrame:
     """rows of ``batch`` whose key (one column or several) is not among ``known``'s keys.
 
-    Only the key columns of ``known`` are read; callers that know which
-    partitions of ``known`` a batch can touch filter it first (see the stream).
+    Only the key columns of ``known`` are read. Keys compare null-safe: a null
+    key that was ingested before counts as seen.
     """
     keys = _keys(key)
-    return batch.join(known.select(*keys), keys, "left_anti")
+    seen = known.select(*[F.col(k).alias(f"__seen_{k}") for k in keys]).distinct()
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__seen_{k}"))
+    return batch.join(seen, same, "left_anti")
 
 
 def cap_new(new_rows: DataFrame, existing: int, target: int, ord: str = "ord") -> DataFrame:
-    """keep new rows, in ingest order, only while existing + new <= target."""
-    return new_rows.orderBy(ord).limit(max(0, target - existing))
+    """keep new rows, in ingest order, only while existing + new <= target.
+
+    Rows are range-partitioned by ``ord``; with the count of every partition
+    known (one number each), a row's rank is the rows of the partitions before
+    it plus its rank within its own, so no task gathers the kept rows.
+    """
+    room = max(0, target - existing)
+    parts = int(new_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = checkpointed(new_rows.repartitionByRange(parts, ord).withColumn("__part", F.spark_partition_id()))
+    before = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")).select(
+        F.col("__part").alias("__p"),
+        F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    whole = dealt.join(before.where(F.col("__before") < room), F.col("__part") == F.col("__p"))
+    ranked = whole.withColumn("__rn", F.row_number().over(Window.partitionBy("__part").orderBy(ord)))
+    return ranked.where(F.col("__before") + F.col("__rn") <= room).select(*new_rows.columns)
 
 
 def cap_new_per_group(new_rows: DataFrame, existing: DataFrame | None, target: int, group: str,
@@ -73,7 +96,7 @@ def new_reviews(batch: DataFrame, known: DataFrame | None, key: str = "Unique_ID
     """F3 + D3 + F5: first row per key in the batch, minus history, capped.
 
     ``target`` counts distinct known keys as well as new ones (the resume
-    rule); the known count is one aggregate, not a collect. With ``group``
+    rule): without ``group`` that count is a job of its own. With ``group``
     (e.g. ``movie_id``) history, de-duplication and the target apply per
     group, as with one review file per movie.
     """

@@ -1,19 +1,19 @@
 """Keyword extraction and enrichment.
 
 Tokens are exploded to rows and aggregated; stopwords and lemmas are join
-tables (broadcast when their size is checked small). Nothing is
+tables (the planner decides whether to broadcast them). Nothing is
 concatenated into one string or collected to the driver.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import meaningful, tokenize, word_tokens
 from .clean import nonblank
-from .lookup import broadcast_if_small, pair_table, spread, word_table
+from .lookup import pair_table, word_table
 
 
 def stopwords(spark: SparkSession, words=None, language: str = "english") -> DataFrame:
@@ -32,15 +32,14 @@ def drop_stopwords(tokens: DataFrame, stop: DataFrame | None, col: str = "token"
     """Remove rows whose token is a stopword (anti join)."""
     if stop is None:
         return tokens
-    s = broadcast_if_small(stop.select(F.col(stop.columns[0]).alias(col)))
-    return tokens.join(s, col, "left_anti")
+    return tokens.join(stop.select(F.col(stop.columns[0]).alias(col)), col, "left_anti")
 
 
 def lemmatize(tokens: DataFrame, lemma_table: DataFrame | None, col: str = "token") -> DataFrame:
     """Replace each token by its lemma when the table has one."""
     if lemma_table is None:
         return tokens
-    lt = broadcast_if_small(lemma_table.select(F.col("token").alias("__tok"), F.col("lemma").alias("__lemma")))
+    lt = lemma_table.select(F.col("token").alias("__tok"), F.col("lemma").alias("__lemma"))
     return (tokens.join(lt, tokens[col] == lt["__tok"], "left")
             .withColumn(col, F.coalesce(F.col("__lemma"), F.col(col)))
             .drop("__tok", "__lemma"))
@@ -55,12 +54,11 @@ def lemmatize_and_remove_stopwords(df: DataFrame, id_col: str, text_col: str, st
     """
     words = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), r"(?U)[\s\x{1c}-\x{1f}]+"),
                      lambda t: t != "")
-    toks = spread(df).select(id_col, F.posexplode_outer(words).alias("pos", "token"))
+    toks = df.select(id_col, F.posexplode_outer(words).alias("pos", "token"))
     if stop is not None:
         # null out stopwords (left join) rather than dropping rows, so a document
         # made only of stopwords keeps a row and comes out as ""
-        s = broadcast_if_small(stop.select(F.col(stop.columns[0]).alias("token")).distinct()
-                               .withColumn("__stop", F.lit(True)))
+        s = stop.select(F.col(stop.columns[0]).alias("token")).distinct().withColumn("__stop", F.lit(True))
         toks = (toks.join(s, "token", "left")
                 .withColumn("token", F.when(F.col("__stop").isNull(), F.col("token"))).drop("__stop"))
     kept = lemmatize(toks, lemma_table)
@@ -71,10 +69,10 @@ def lemmatize_and_remove_stopwords(df: DataFrame, id_col: str, text_col: str, st
 
 def keyword_tokens(df: DataFrame, text_col: str, ord: str, stop: DataFrame | None = None,
                    lemma_table: DataFrame | None = None, min_len: int = 2, max_len: int = 20,
-                   mode: str = "words") -> DataFrame:
-    """Token stream ``(ord, pos, token)`` after P9, P10, J5 and J6."""
-    docs = spread(nonblank(df, text_col))
-    toks = docs.select(F.col(ord).alias("__ord"),
+                   mode: str = "words", group: str | None = None) -> DataFrame:
+    """Token stream ``([group,] ord, pos, token)`` after P9, P10, J5 and J6."""
+    docs = nonblank(df, text_col)
+    toks = docs.select(*([F.col(group).alias("__group")] if group else []), F.col(ord).alias("__ord"),
                        F.posexplode(meaningful(word_tokens(text_col) if mode == "words" else tokenize(text_col, mode),
                                                min_len, max_len))
                        .alias("pos", "token"))
@@ -83,18 +81,28 @@ def keyword_tokens(df: DataFrame, text_col: str, ord: str, stop: DataFrame | Non
 
 def top_keywords(df: DataFrame, text_col: str, ord: str = "ord", stop: DataFrame | None = None,
                  lemma_table: DataFrame | None = None, top_n: int = 20, min_len: int = 2,
-                 max_len: int = 20, mode: str = "words") -> DataFrame:
-    """``(word, count)`` of the ``top_n`` most frequent tokens.
-
-    Ties keep first-occurrence order: each word carries the smallest
-    ``(ord, pos)`` at which it (after lemmatising) appears. A partial
-    aggregate per task collapses repeated tokens before the shuffle; the
-    final ``orderBy().limit()`` is a ``TakeOrderedAndProject``.
+                 max_len: int = 20, mode: str = "words", group: str | None = None) -> DataFrame:
+    """``([group,] word, count, rank)`` of the ``top_n`` most frequent tokens, over all rows or per ``group``.
+
+    Ties keep first-occurrence order: the smallest ``ord`` with the word, then
+    the position in that row. Counts and smallest ``ord`` are one hash
+    aggregate with a partial step per task; ``rank() <= top_n`` plans as a
+    ``WindowGroupLimit``, so each task keeps its own leaders before the
+    shuffle. Positions are then looked up in the leaders' first rows only.
     """
-    toks = keyword_tokens(df, text_col, ord, stop, lemma_table, min_len, max_len, mode)
-    counts = toks.groupBy(F.col("token").alias("word")).agg(
-        F.count(F.lit(1)).alias("count"), F.min(F.struct("__ord", "pos")).alias("__first"))
-    return counts.orderBy(F.col("count").desc(), F.col("__first").asc()).limit(top_n).select("word", "count")
+    toks = keyword_tokens(df, text_col, ord, stop, lemma_table, min_len, max_len, mode, group)
+    keys = (["__group"] if group else []) + ["token"]
+    counts = toks.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"), F.min("__ord").alias("__first"))
+    part = Window.partitionBy("__group") if group else Window.partitionBy()
+    order = [F.col("count").desc(), F.col("__first").asc()]
+    lead = counts.withColumn("__k", F.rank().over(part.orderBy(*order))).where(F.col("__k") <= top_n)
+    rows = df.join(lead.select(F.col("__first").alias("__o")).distinct(), F.col(ord) == F.col("__o"), "left_semi")
+    first = keyword_tokens(rows, text_col, ord, stop, lemma_table, min_len, max_len, mode, group)
+    at = first.groupBy(*keys, F.col("__ord").alias("__first")).agg(F.min("pos").alias("__pos"))
+    found = lead.join(at, [*keys, "__first"])
+    ranked = found.withColumn("rank", F.row_number().over(part.orderBy(*order, F.col("__pos").asc()))).where(F.col("rank") <= top_n)
+    word = F.col("token").alias("word")
+    return ranked.select(*([F.col("__group").alias(group)] if group else []), word, "count", "rank")
 
 
 def senses(spark: SparkSession, rows) -> DataFrame:
@@ -103,20 +111,19 @@ def senses(spark: SparkSession, rows) -> DataFrame:
 
 
 def enrich_keywords(keywords: DataFrame, sense_table: DataFrame, max_examples: int = 2) -> DataFrame:
-    """``(name, value, categories)`` -- first sense per word, or an empty list.
+    """Keywords ``(word, count, ...)`` -> ``(name, value, ..., categories)``: the first sense, or an empty list.
 
-    The keyword list is normally a top-n, so (after a size check) it is the
-    broadcast side of a semi join that trims the sense table before the first
-    sense is chosen.
+    The first sense of every word is chosen before the join, so a word that
+    stands in many groups is looked up against one row.
     """
-    kw = keywords.select(F.col("word").alias("name"), F.col("count").alias("value"))
-    wanted = sense_table.join(broadcast_if_small(kw.select(F.col("name").alias("word"))), "word", "left_semi")
-    first = wanted.groupBy(F.col("word").alias("name")).agg(
+    rest = [c for c in keywords.columns if c not in ("word", "count")]
+    kw = keywords.select(F.col("word").alias("name"), F.col("count").alias("value"), *rest)
+    first = sense_table.groupBy(F.col("word").alias("name")).agg(
         F.min(F.struct("rank", "definition", "pos", "examples")).alias("s"))
     cat = F.struct(F.col("s.definition").alias("definition"), F.col("s.pos").alias("pos"),
                    F.coalesce(F.slice(F.col("s.examples"), 1, max_examples),
                               F.array().cast("array<string>")).alias("examples"))
     return kw.join(first, "name", "left").select(
-        "name", "value",
+        "name", "value", *rest,
         F.when(F.col("s").isNull(), F.array().cast("array<struct<definition:string,pos:string,examples:array<string>>>"))
         .otherwise(F.array(cat)).alias("categories"))

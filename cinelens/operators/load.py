@@ -23,8 +23,8 @@ REVIEWS_COLS = ["review_id", "movie_id", "reviewer_id", "source_id", "rating", "
 
 def insert_or_ignore(batch: DataFrame, target: DataFrame | None, key: str, ord: str | None = None) -> DataFrame:
     """Rows of ``batch`` to append -- first per key, and key not in ``target``."""
-    rows = keep_first(batch, key, ord) if ord else batch.dropDuplicates([key])
-    rows = rows.where(F.col(key).isNotNull())
+    rows = batch.where(F.col(key).isNotNull())
+    rows = keep_first(rows, key, ord) if ord else rows.dropDuplicates([key])
     if target is not None:
         rows = rows.join(target.select(key).distinct(), key, "left_anti")
     return rows
@@ -43,10 +43,20 @@ def with_surrogate_id(df: DataFrame, id_col: str, existing: DataFrame | None) ->
     return df.withColumn(id_col, base + 1 + F.monotonically_increasing_id())
 
 
+#: Unclipped numbers of a record, for range checks before a value is cast away.
+VALUE_COLS = ["rating_value", "upvotes_value", "downvotes_value"]
+
+
 def review_records(rows: DataFrame, movie_id: str = "movie_id", author: str = "Author",
-                   site: str = S.SITE) -> DataFrame:
-    """Raw review rows -> typed review records keyed by natural keys."""
+                   site: str = S.SITE, values: bool = False) -> DataFrame:
+    """Raw review rows -> typed review records keyed by natural keys.
+
+    With ``values`` the records also carry ``VALUE_COLS``.
+    """
+    numbers = [S.rating_value("Rating").alias("rating_value"), S.vote_value("Helpful_upVotes").alias("upvotes_value"),
+               S.vote_value("Helpful_downVotes").alias("downvotes_value")] if values else []
     return rows.select(
+        *numbers,
         F.col(movie_id).cast("string").alias("movie_id"),
         F.col(author).alias("username"),
         S.source_url(movie_id, site).alias("source_url"),

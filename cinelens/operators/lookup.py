@@ -1,76 +1,26 @@
-"""Small lookup tables (stopwords, lemmas, lexicons) and size-checked broadcast."""
+"""Small lookup tables (stopwords, lemmas, lexicons) from Python values.
+
+Every table is built the same way at any size: one Arrow table with the
+schema's types. The planner knows its size and chooses between a broadcast
+and a shuffle join (``spark.sql.autoBroadcastJoinThreshold``, AQE).
+"""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side is broadcast only when the optimizer's size estimate is below this.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of ``df`` (exact for in-memory tables)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - e.g. a Connect session without JVM access
-        return None
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast only when its estimated size is below ``limit``.
-
-    Beyond the limit (or when the size is unknown) the frame is returned
-    unchanged and the planner falls back to a shuffle join, which AQE can
-    still convert at runtime using measured sizes.
-    """
-    size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= limit else df
-
-
-# In-memory tables up to this many rows become an inline VALUES relation, whose
-# exact size the optimizer knows (a Python-list DataFrame has no size estimate).
-LOCAL_ROWS_LIMIT = 20000
-
-
-def _split_ddl(schema: str) -> list[tuple[str, str]]:
-    cols, depth, cur = [], 0, ""
-    for ch in schema + ",":
-        if ch == "," and depth == 0:
-            name, typ = cur.strip().split(None, 1)
-            cols.append((name, typ.strip()))
-            cur = ""
-            continue
-        depth += ch == "<"
-        depth -= ch == ">"
-        cur += ch
-    return cols
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def local_table(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """Small table from Python rows as an inline ``VALUES`` relation (exact size stats)."""
-    rows = [r if isinstance(r, (tuple, list)) else (r,) for r in rows]
-    cols = _split_ddl(schema)
-    if not rows or len(rows) > LOCAL_ROWS_LIMIT:
-        return spark.createDataFrame(rows, schema)
-    args, tuples = {}, []
-
-    def marker(v):
-        k = f"p{len(args)}"
-        args[k] = v
-        return f":{k}"
-
-    for r in rows:
-        vals = []
-        for v, (_, typ) in zip(r, cols):
-            if typ.lower().startswith("array"):
-                inner = ", ".join(marker(x) for x in v) if v else ""
-                vals.append(f"CAST(array({inner}) AS {typ})" if v is not None else f"CAST(NULL AS {typ})")
-            else:
-                vals.append(f"CAST({marker(v)} AS {typ})" if v is not None else f"CAST(NULL AS {typ})")
-        tuples.append("(" + ", ".join(vals) + ")")
-    names = ", ".join(n for n, _ in cols)
-    return spark.sql(f"SELECT * FROM VALUES {', '.join(tuples)} AS t({names})", args=args)
+    """Table from Python rows; values are converted to the schema's types (an int may stand for a double)."""
+    kinds = T.StructType.fromDDL(schema)
+    rows = [tuple(r) if isinstance(r, (tuple, list)) else (r,) for r in rows]
+    columns = list(zip(*rows)) if rows else [()] * len(kinds)
+    arrow = to_arrow_schema(kinds)
+    table = pa.table([pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
+    return spark.createDataFrame(table, kinds)
 
 
 def word_table(spark: SparkSession, words, col: str = "token") -> DataFrame:
@@ -82,31 +32,3 @@ def pair_table(spark: SparkSession, pairs, schema: str) -> DataFrame:
     """Table from a dict or a list of tuples with a DDL schema."""
     rows = list(pairs.items()) if isinstance(pairs, dict) else list(pairs)
     return local_table(spark, rows, schema)
-
-
-def _bytes(conf_value: str) -> int:
-    v = conf_value.strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    v = v[:-1] if v.endswith("b") else v
-    return int(float(v[:-1]) * units[v[-1]]) if v[-1] in units else int(v)
-
-
-def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Give CPU-heavy row-local work (text scoring, parsing) enough tasks.
-
-    When the optimizer estimates the input at less than one file split per
-    core, the rows are repartitioned round-robin over ``tasks`` (default:
-    twice the cluster's parallelism). Larger inputs already have enough
-    splits and are returned unchanged, so no shuffle is added at scale. The
-    check is on size rather than on the declared partition count because AQE
-    coalesces a small shuffle output into few partitions at runtime, while an
-    explicit ``repartition(n)`` is kept.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    tasks = tasks or 2 * cores
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    size = estimated_bytes(df)
-    if size is None or size >= cores * split:
-        return df
-    return df.repartition(tasks)

@@ -73,20 +73,23 @@ def top_reviewers(totals: DataFrame, n: int = 10) -> DataFrame:
     return _ordered(totals, "total_reviews", "reviewer_id", "last").limit(n)
 
 
-def leaders(rankings: dict[str, tuple[DataFrame, str]], missing: str = "N/A") -> DataFrame:
-    """T5: first row's label of each ranking, or ``missing`` when empty.
+def leaders(metrics: DataFrame, totals: DataFrame, min_reviews: int = 5, missing: str = "N/A") -> DataFrame:
+    """T5: the first label of each ranking, or ``missing`` where a ranking is empty.
 
-    ``rankings`` maps an output column to ``(ranked_df, label_col)``; each
-    ranked frame is already a top-k, so reducing it to its first row is a
-    bounded aggregate. The one-row results are combined with
-    ``DataFrame.scalar()`` subqueries (no join).
+    One aggregate over the movie metrics gives all movie rankings' leaders
+    (``min_by`` of the order the rankings use: value descending, nulls last,
+    then id), one over the reviewer totals the reviewer.
     """
-    cols = []
-    for name, (ranked, label) in rankings.items():
-        first = ranked.limit(1).agg(F.max(F.col(label).cast("string")).alias(name))
-        cols.append(F.coalesce(first.scalar(), F.lit(missing)).alias(name))
-    anchor = next(iter(rankings.values()))[0]
-    return anchor.sparkSession.range(1).select(*cols)
+    def first(label: str, by: str, key: str, cond=None):
+        order = F.struct(F.col(by).isNull(), -F.col(by), F.col(key))
+        return F.min_by(F.col(label).cast("string"), order if cond is None else F.when(cond, order))
+
+    movies = metrics.agg(first("title", "avg_rating", "movie_id", F.col("review_count") > min_reviews).alias("top_movie_rating"),
+                         first("title", "review_count", "movie_id").alias("top_movie_volume"),
+                         first("title", "total_upvotes", "movie_id").alias("top_movie_upvotes"))
+    reviewer = totals.agg(first("username", "total_reviews", "reviewer_id"))
+    row = movies.withColumn("top_reviewer", reviewer.scalar())
+    return row.select(*[F.coalesce(F.col(c), F.lit(missing)).alias(c) for c in row.columns])
 
 
 def peak_rating(distribution: DataFrame) -> DataFrame:

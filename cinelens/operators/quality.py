@@ -16,9 +16,9 @@ from .clean import require_columns  # noqa: F401  (Q5, re-exported)
 
 
 def check_unique(df: DataFrame, key) -> DataFrame:
-    """Q1: key values that occur more than once, with their count."""
+    """Q1: key values that occur more than once, with their count (a unique constraint allows several nulls)."""
     keys = [key] if isinstance(key, str) else list(key)
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
+    return (df.na.drop(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
             .where(F.col("count") > 1))
 
 

@@ -14,7 +14,7 @@ Plan shape (no Python in the hot path):
    attached to each word *inside* the array (``transform``) before
    exploding, so no exploded row carries a copy of the whole array.
 2. ``explode`` + inner join with the lexicon keeps only lexicon words
-   (broadcast when the lexicon is checked small); the previous words are
+   (the planner broadcasts a lexicon below its threshold); the previous words are
    resolved with left joins against one small ``vocab`` table, on hit rows
    only; multi-word idioms and boosters are phrase-table lookups on the same
    hit rows.
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import lexicons as LX
-from .lookup import broadcast_if_small, pair_table, spread, word_table
+from .lookup import pair_table, word_table
 
 # --- fixed values -------------------------------------------------------------
 # Python's string.punctuation, as a regex character class.
@@ -219,7 +219,7 @@ def word_valences(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
     spark = df.sparkSession
     boosters = boosters if boosters is not None else booster_table(spark)
     negations = negations if negations is not None else negation_table(spark)
-    vocab = broadcast_if_small(_vocab(lexicon, boosters, negations))
+    vocab = _vocab(lexicon, boosters, negations)
     feat = _doc_features(df, id_col, text_col, contrast.lower())
     ctx = _contexts(feat)
     hits = ctx.join(vocab.where(F.col("valence").isNotNull())
@@ -229,7 +229,7 @@ def word_valences(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
                             F.col("scalar").alias(f"b{k}"), F.col("neg").alias(f"n{k}"))
         hits = hits.join(side, f"p{k}", "left")
     idioms = idioms if idioms is not None else idiom_table(spark)
-    phrases = broadcast_if_small(
+    phrases = (
         idioms.select(F.lower("phrase").alias("phrase"), F.col("valence").cast("double").alias("iv"),
                       F.lit(None).cast("double").alias("ib"))
         .unionByName(boosters.where(F.col("token").contains(" ")).select(
@@ -266,7 +266,6 @@ def score_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFram
             neutral: F.col("__s.neu"), positive: F.col("__s.pos")}).drop("__s")
     if lexicon is None:
         raise ValueError("a lexicon DataFrame (token, valence) is required")
-    df = spread(df)
     vals, _ = word_valences(df, id_col, text_col, lexicon, boosters, negations, contrast, idioms=idioms)
     v = F.col("valence")
     per_doc = vals.groupBy("__id").agg(

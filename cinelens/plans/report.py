@@ -1,8 +1,8 @@
 """Report datasets (E5, S6, S7): the data behind the KPI / ranking report.
 
-``report_datasets`` returns a dict of lazy DataFrames. ``write_report``
-materialises the per-movie metrics once (they feed four datasets) in the
-shared checkpoint folder and writes every dataset as its own output.
+``report_datasets`` returns a dict of lazy DataFrames; with ``materialize`` the
+per-movie metrics and reviewer totals, which feed several of them, are
+checkpointed once. ``write_report`` writes every dataset as its own output.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import display
 from ..operators import metrics as M
-from ..session import checkpoint_dir
+from ..session import checkpointed
 from ..sources import derived
 
 
@@ -27,30 +27,30 @@ def report_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def scatter(metrics: DataFrame, max_points: int | None = None, seed: int = 7) -> DataFrame:
-    """The all-movie scatter measures.
+def loaded_inputs(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """S6 over the tables that ``plans.star.load_star`` wrote."""
+    return {t: spark.read.parquet(os.path.join(root, t)) for t in ("reviews", "movies", "reviewers")}
 
-    ``max_points`` is a sampling option for plotting only; by default every
-    movie is kept.
-    """
-    out = metrics.select("movie_id", "title", "review_count", "avg_rating", "total_upvotes")
-    if max_points is None:
-        return out
-    total = metrics.count()
-    if total <= max_points:
-        return out
-    return out.sample(fraction=max_points / total, seed=seed)
+
+def constants(df: DataFrame, **values) -> DataFrame:
+    """The same constant columns on every row of a load (e.g. movie id, title, source url)."""
+    return df.withColumns({name: F.lit(value) for name, value in values.items()})
+
+
+def scatter(metrics: DataFrame) -> DataFrame:
+    """The all-movie scatter measures (every movie)."""
+    return metrics.select("movie_id", "title", "review_count", "avg_rating", "total_upvotes")
 
 
 def report_datasets(reviews: DataFrame, movies: DataFrame, reviewers: DataFrame,
-                    n: int = 10, min_reviews: int = 5, max_points: int | None = None,
-                    materialize: bool = False) -> dict[str, DataFrame]:
+                    n: int = 10, min_reviews: int = 5, materialize: bool = False) -> dict[str, DataFrame]:
     """E5: named report datasets."""
     metrics = M.movie_metrics(reviews, movies)
     if materialize:
-        checkpoint_dir(metrics.sparkSession)
-        metrics = metrics.checkpoint(eager=True)
+        metrics = checkpointed(metrics)
     totals = M.reviewer_totals(reviews, reviewers)
+    if materialize:
+        totals = checkpointed(totals)
     dist = M.rating_distribution(reviews)
     kpi = M.kpi_summary(reviews)
     by_rating = M.top_movies(metrics, "avg_rating", n, min_reviews=min_reviews)
@@ -67,13 +67,8 @@ def report_datasets(reviews: DataFrame, movies: DataFrame, reviewers: DataFrame,
         "top_movies_by_volume": by_volume,
         "top_movies_by_upvotes": by_upvotes,
         "top_reviewers": top_revs,
-        "movie_scatter": scatter(metrics, max_points),
-        "leaders": M.leaders({
-            "top_movie_rating": (by_rating, "title"),
-            "top_movie_volume": (by_volume, "title"),
-            "top_movie_upvotes": (by_upvotes, "title"),
-            "top_reviewer": (top_revs, "username"),
-        }),
+        "movie_scatter": scatter(metrics),
+        "leaders": M.leaders(metrics, totals, min_reviews),
         "peak_rating": peak.select(
             F.coalesce(F.col("top_rating").cast("string"), F.lit(display.MISSING)).alias("top_rating"),
             display.thousands("peak_review_count").alias("peak_review_count")),

@@ -18,9 +18,17 @@ from ..functions import scalars as S
 from ..operators import load as L
 from ..operators import quality as Q
 
+MAX_INT = 2**31 - 1
 TABLES = ("sources", "movies", "reviewers", "reviews", "quarantine")
 
 
+def rules() -> list:
+    """NOT NULL and CHECK constraints of the star schema; ranges are checked on unclipped numbers."""
+    return [Q.not_null_rule("username"), Q.not_null_rule("review_text"), Q.not_null_rule("scrape_timestamp"),
+            Q.range_rule("rating_value", 1, 10), Q.range_rule("upvotes_value", 0, MAX_INT),
+            Q.range_rule("downvotes_value", 0, MAX_INT)]
+
+
 def read_target(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     try:
         return spark.read.parquet(os.path.join(root, name))
@@ -34,12 +42,13 @@ def plan_new_rows(batch: DataFrame, target: dict, ord: str = "ord", site: str =
     ``batch`` holds raw review rows with ``movie_id`` and ``title``; ``target``
     maps table names to existing DataFrames (or None). No surrogate ids.
     """
-    records = L.review_records(batch, site=site)
-    good, bad = Q.quarantine(records, [Q.not_null_rule("username"), Q.not_null_rule("review_text"),
-                                       Q.not_null_rule("scrape_timestamp"),
-                                       Q.range_rule("rating", 1, 10),
-                                       Q.range_rule("helpful_upvotes", 0, None),
-                                       Q.range_rule("helpful_downvotes", 0, None)])
+    records = L.review_records(batch, site=site, values=True)
+    good, bad = Q.quarantine(records, rules())
+    good, bad = good.drop(*L.VALUE_COLS), bad.drop(*L.VALUE_COLS)
+    # a rejected row is known by its movie, author, text and reasons, so a replay adds none
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("movie_id", "username", "review_text")]
+    bad = bad.withColumn("quarantine_hash", F.sha2(F.concat_ws("\n", *[F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts],
+                                                               F.concat_ws(",", "reasons")), 256))
     movies = batch.select(F.col("movie_id").cast("string").alias("movie_id"), "title", ord)
     return {
         "sources": L.insert_or_ignore(batch.select(S.source_url("movie_id", site).alias("source_url"), ord),
@@ -49,7 +58,7 @@ def plan_new_rows(batch: DataFrame, target: dict, ord: str = "ord", site: str =
         "reviewers": L.insert_or_ignore(good.select("username", ord), target.get("reviewers"),
                                         "username", ord).drop(ord),
         "reviews": L.insert_or_ignore(good, target.get("reviews"), "review_hash", ord),
-        "quarantine": bad,
+        "quarantine": L.insert_or_ignore(bad, target.get("quarantine"), "quarantine_hash", ord),
     }
 
 
@@ -62,6 +71,7 @@ def load_star(batch: DataFrame, root: str, ord: str = "ord", site: str = S.SITE,
     then only reads the key columns its anti joins need).
     """
     spark = batch.sparkSession
+    batch = batch.persist()  # read by five writes; a lost part is computed anew
     target = {t: read_target(spark, root, t) for t in TABLES}
     plan = plan_new_rows(batch, target, ord, site)
     added = {}
@@ -83,6 +93,7 @@ def load_star(batch: DataFrame, root: str, ord: str = "ord", site: str = S.SITE,
     reviews = L.with_surrogate_id(resolved, "review_id", target["reviews"]).select(*L.REVIEWS_COLS)
     append("reviews", reviews)
     append("quarantine", plan["quarantine"])
+    batch.unpersist()
     if not report_counts:
         return None
     for t in TABLES:

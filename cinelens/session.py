@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults a cluster job would set in spark-defaults; local tests reuse them.
 DEFAULT_CONF = {
@@ -48,17 +48,25 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting must point at shared storage and is read as
-    is. Only when it is unset (local tests) do we create a private folder.
+    On a cluster the setting must name shared storage; without it this fails.
+    Only a local master (all tasks on this machine) gets a private folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="cinelens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df.checkpoint()`` into the shared folder: read many times, computed once, no lineage."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written stages."""
     return os.path.join(checkpoint_dir(spark), name)

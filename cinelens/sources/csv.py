@@ -17,23 +17,31 @@ CSV_FIELDS = ["Author", "Rating", "Helpful_upVotes", "Helpful_downVotes", "Summa
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in CSV_FIELDS])
 
 
+#: How review CSV files are read, in batch and on streams.
+CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "emptyValue": ""}
+
+
+def normalise_reviews(raw: DataFrame) -> DataFrame:
+    """P4 and the rating's type, for raw review rows of any source (batch and stream alike)."""
+    df = normalise_nulls(raw, [c for c in CSV_FIELDS if c in raw.columns])
+    if dict(df.dtypes).get("Rating") != "string":
+        return df
+    r = py_strip("Rating")
+    return df.withColumn("Rating", F.when(r.rlike(NUMERIC), r.try_cast("double")))
+
+
 def read_reviews(spark: SparkSession, path: str, ord_col: str = "ord") -> DataFrame:
     """Read review CSV files with an explicit schema.
 
     Quoted multi-line fields and doubled quotes are parsed; pandas' missing
     tokens become null; Rating becomes a double. ``ord`` = (file path, row
-    position), which orders rows as written, file by file.
+    position), which orders rows as written, file by file. A file with
+    multi-line fields is read by one task: convert large ones to parquet once.
     """
-    raw = (spark.read.schema(RAW_SCHEMA)
-           .option("header", True).option("multiLine", True)
-           .option("quote", '"').option("escape", '"')
-           .option("nullValue", None).option("emptyValue", "")
-           .csv(path))
+    raw = spark.read.schema(RAW_SCHEMA).options(**CSV_OPTIONS).option("nullValue", None).csv(path)
     raw = raw.withColumn(ord_col, F.struct(F.col("_metadata.file_path").alias("file"),
                                            F.monotonically_increasing_id().alias("pos")))
-    df = normalise_nulls(raw, CSV_FIELDS)
-    r = py_strip("Rating")
-    return df.withColumn("Rating", F.when(r.rlike(NUMERIC), r.try_cast("double")))
+    return normalise_reviews(raw)
 
 
 def append_reviews(df: DataFrame, path: str, fmt: str = "parquet") -> None:

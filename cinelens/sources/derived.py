@@ -18,15 +18,12 @@ from pyspark.sql import functions as F
 
 from .tables import read_table
 
-# --- fixed values (fixture formulas) ----------------------------------------
+# --- fixture formulas ----------------------------------------
 FIXTURE_SITE = "https://example.com"
 # vote text by doc_id % 7; index 6 is the document length
 FIXTURE_VOTES = ["", "None", "1,234", "1.5K", "2M", "abc"]
 # ---------------------------------------------------------------------------
 
-RAW_COLUMNS = ["Author", "Rating", "Helpful_upVotes", "Helpful_downVotes", "Summary",
-               "Review", "Scrape_Timestamp", "Source_URL", "Unique_ID"]
-
 
 def review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw review rows with an ingest order ``ord`` and ``movie_id``/``title``."""

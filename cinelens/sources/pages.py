@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators.lookup import spread
 
 # --- fixed values: review card selectors -----------------------------------------
 CARD_SELECTORS = {
@@ -36,14 +35,16 @@ MISSING_RATING = "NaN"
 MISSING_VOTES = "0"
 # ----------------------------------------------------------------------------------
 
+# --- fixed values: elements without content (HTML standard and older practice) ----
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
         "track", "wbr", "basefont", "bgsound", "command", "frame", "image", "isindex", "keygen",
         "menuitem", "nextid", "spacer"}
+# ----------------------------------------------------------------------------------
 NON_TEXT = {"script", "style", "template"}
 _SEL = re.compile(r"^(?P<tag>[A-Za-z0-9-]*)(?P<cls>(?:\.[\w-]+)*)"
                   r"(?:\[(?P<attr>[\w-]+)(?:=['\"]?(?P<val>[^'\"\]]*)['\"]?)?\])?$")
 
-RAW_CARD_SCHEMA = ("page_id long, card_index int, author_label string, href string, rating_text string, "
+RAW_CARD_SCHEMA = ("page_id long, url string, card_index int, author_label string, href string, rating_text string, "
                    "summary_text string, review_text string, up_text string, down_text string, card_text string")
 
 
@@ -144,7 +145,7 @@ def get_text(node: _Node, separator: str = "", strip: bool = False) -> str:
     return separator.join(parts)
 
 
-def cards_from_html(page_id: int, html: str, selectors: dict) -> list[tuple]:
+def cards_from_html(page_id: int | None, url: str | None, html: str, selectors: dict) -> list[tuple]:
     """Raw fields of every review card on one page (None where an element is missing)."""
     root = parse_html(html)
     rows = []
@@ -159,7 +160,7 @@ def cards_from_html(page_id: int, html: str, selectors: dict) -> list[tuple]:
             el = select_one(card, selectors[key])
             return get_text(el, sep, True) if el is not None else None
 
-        rows.append((page_id, idx, label, href, text_of("rating"), summary, text_of("review", "\n"),
+        rows.append((page_id, url, idx, label, href, text_of("rating"), summary, text_of("review", "\n"),
                      text_of("up"), text_of("down"), get_text(card)))
     return rows
 
@@ -170,16 +171,16 @@ def _extract_batches(selectors: dict):
     def run(batches):
         for pdf in batches:
             rows = []
-            for pid, html in zip(pdf["page_id"], pdf["html"]):
-                rows.extend(cards_from_html(int(pid), html, selectors))
+            for pid, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
+                rows.extend(cards_from_html(None if pd.isna(pid) else int(pid), url, html, selectors))
             yield pd.DataFrame(rows, columns=cols)
     return run
 
 
-def raw_cards(pages: DataFrame, selectors: dict | None = None) -> DataFrame:
-    """One row per card with the raw text of each field (parsing runs per task)."""
+def raw_cards(pages: DataFrame, selectors: dict | None = None, url_col: str = "url") -> DataFrame:
+    """One row per card with the raw text of each field and its page's url (parsing runs per task)."""
     sel = dict(CARD_SELECTORS, **(selectors or {}))
-    return spread(pages.select("page_id", "html")).mapInPandas(_extract_batches(sel), RAW_CARD_SCHEMA)
+    return pages.select("page_id", F.col(url_col).alias("url"), "html").mapInPandas(_extract_batches(sel), RAW_CARD_SCHEMA)
 
 
 def extract_reviews(pages: DataFrame, selectors: dict | None = None, site: str = S.SITE,
@@ -187,13 +188,13 @@ def extract_reviews(pages: DataFrame, selectors: dict | None = None, site: str =
     """Pages ``(page_id, url, html)`` -> review CSV rows with the reference defaults.
 
     ``ord`` = (page_id, card position) orders cards as they appear; duplicates
-    and history are handled downstream by ``operators.dedup.new_reviews``.
+    and history are handled downstream by ``operators.dedup.new_reviews``. A
+    page id that occurs twice gives the cards of each of its rows.
     """
-    cards = raw_cards(pages, selectors)
-    urls = pages.select("page_id", F.col(url_col).alias("__url"))
+    cards = raw_cards(pages, selectors, url_col)
     author = S.author_from_label("author_label")
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
-    return cards.join(urls, "page_id").select(
+    return cards.select(
         F.struct("page_id", "card_index").alias("ord"),
         author.alias("Author"),
         F.coalesce("rating_text", F.lit(MISSING_RATING)).alias("Rating"),
@@ -202,7 +203,7 @@ def extract_reviews(pages: DataFrame, selectors: dict | None = None, site: str =
         F.coalesce("summary_text", F.lit("")).alias("Summary"),
         F.coalesce("review_text", F.lit("")).alias("Review"),
         now.alias("Scrape_Timestamp"),
-        F.col("__url").alias("Source_URL"),
+        F.col("url").alias("Source_URL"),
         S.unique_id(F.col("href"), author, F.col("card_text"), site).alias("Unique_ID"),
     )
 

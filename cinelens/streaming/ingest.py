@@ -6,8 +6,8 @@ micro-batch keeps the first row per key (by ``ord``), drops keys already in
 the target table (F3), applies the target cap (F5) and appends. Because the
 batch is compared with what the target already holds, a replayed batch
 (after a failure between the write and the checkpoint commit) appends
-nothing, so the target gets each key once. The checkpoint lives in shared
-storage (``spark.checkpoint.dir`` unless given).
+nothing, so the target gets each key once. The checkpoint lives beside the
+target unless given, so a restart goes on where the last run ended.
 """
 
 from __future__ import annotations
@@ -22,11 +22,9 @@ from pyspark.sql.utils import AnalysisException
 
 from ..operators.dedup import new_reviews
 from ..session import scratch_path
-from ..sources.csv import RAW_SCHEMA
+from ..sources.csv import CSV_OPTIONS, RAW_SCHEMA, normalise_reviews
 
 BATCH_COL = "ingest_batch"
-# Up to this many distinct groups in one micro-batch, history reads only their partitions.
-PRUNE_GROUPS_LIMIT = 10000
 
 
 def _read_target(spark: SparkSession, path: str) -> DataFrame | None:
@@ -38,24 +36,27 @@ def _read_target(spark: SparkSession, path: str) -> DataFrame | None:
 
 def open_stream(spark: SparkSession, source: str, fmt: str = "csv", schema=None,
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """A file stream with an explicit schema and the source file path attached."""
+    """A file stream with an explicit schema and the source file path attached.
+
+    CSV files are read and normalised as by ``read_reviews``.
+    """
     r = spark.readStream.format(fmt).schema(schema if schema is not None else RAW_SCHEMA)
     if fmt == "csv":
-        r = r.option("header", True).option("multiLine", True).option("escape", '"')
+        r = r.options(**CSV_OPTIONS)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(source).withColumn("__file", F.col("_metadata.file_path"))
+    rows = r.load(source).withColumn("__file", F.col("_metadata.file_path"))
+    return normalise_reviews(rows) if fmt == "csv" else rows
 
 
 def make_batch_writer(target_path: str, key: str = "Unique_ID", target: int | None = None,
                       on_batch=None, group_col: str | None = None):
     """The ``foreachBatch`` function: F3 + D3 + F5, append, then ``on_batch``.
 
-    With ``group_col`` the target table is partitioned by it and history,
-    de-duplication and the target apply per group. The batch's distinct group
-    values (when there are at most ``PRUNE_GROUPS_LIMIT``) become a partition
-    filter, so the history read lists and scans only the partitions the batch
-    touches instead of the whole target.
+    The target is partitioned by the batch id, so the hook reads the batch's
+    own files only. With ``group_col`` it is partitioned by that first;
+    history, de-duplication and the target then apply per group, and the
+    history is joined with the batch's groups (a partition column).
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -67,15 +68,13 @@ def make_batch_writer(target_path: str, key: str = "Unique_ID", target: int | No
         rows = rows.drop("__file")
         known = _read_target(spark, target_path)
         if known is not None and group_col:
-            groups = [r[0] for r in rows.select(group_col).distinct().limit(PRUNE_GROUPS_LIMIT + 1).collect()]
-            if len(groups) <= PRUNE_GROUPS_LIMIT:
-                known = known.where(F.col(group_col).isin([g for g in groups if g is not None]))
+            known = known.join(rows.select(group_col).distinct(), group_col, "left_semi")
         fresh = new_reviews(rows, known.drop(BATCH_COL) if known is not None else None, key, "ord", target,
                             group=group_col)
-        w = fresh.withColumn(BATCH_COL, F.lit(batch_id)).write.mode("append")
-        if group_col:
-            w = w.partitionBy(group_col)
-        w.parquet(target_path)
+        parts = [*([group_col] if group_col else []), BATCH_COL]
+        # whole groups to few files, large ones split
+        (fresh.withColumn(BATCH_COL, F.lit(batch_id)).hint("rebalance", *parts)
+         .write.mode("append").partitionBy(*parts).parquet(target_path))
         if on_batch is not None:
             appended = spark.read.parquet(target_path).where(F.col(BATCH_COL) == batch_id).drop(BATCH_COL)
             on_batch(appended, batch_id)
@@ -107,7 +106,7 @@ def ingest_stream(spark: SparkSession, source: str, target_path: str, checkpoint
         stream = stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark([key])
     elif dedup_state != "none":
         raise ValueError(f"unknown dedup_state {dedup_state!r}")
-    checkpoint = checkpoint or scratch_path(spark, f"ingest-{uuid.uuid4().hex}")
+    checkpoint = checkpoint or target_path.rstrip("/") + "_checkpoint"
     w = (stream.writeStream.foreachBatch(make_batch_writer(target_path, key, target, on_batch, group_col))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
@@ -125,15 +124,11 @@ def run_ingest(spark: SparkSession, source: str, target_path: str, **kw) -> Data
 
 
 def score_batches(score, out_path: str):
-    """ST5: an ``on_batch`` that scores fresh rows and appends them (replay-safe)."""
+    """ST5: an ``on_batch`` that scores fresh rows; a replayed batch replaces its own partition."""
 
     def run(rows: DataFrame, batch_id: int) -> None:
-        spark = rows.sparkSession
-        done = _read_target(spark, out_path)
-        scored = score(rows)
-        if done is not None:
-            scored = scored.join(done.select("Unique_ID"), "Unique_ID", "left_anti")
-        scored.write.mode("append").parquet(out_path)
+        (score(rows).withColumn(BATCH_COL, F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(out_path))
     return run
 
 

@@ -1,74 +1,76 @@
+"""Null handling, keep-first, rating fill, history and target."""
+
 import pytest
-from pyspark.sql import functions as F
 
 from cinelens.operators import clean as CL
-from cinelens.operators.dedup import keep_first, new_reviews
+from cinelens.operators.dedup import cap_new, keep_first, new_reviews, skip_seen
 from cinelens.plans.preprocess import preprocess
 
-SCHEMA = "ord long, Review string, Summary string, Rating double"
-
-
-def test_dedup_drop_missing_and_fill(spark):
-    df = spark.createDataFrame([(1, "fine film", "ok", 6.0), (2, "fine film", "ok", 6.0),
-                                (3, "weak film", "hm", None), (4, None, "no review", 3.0)], SCHEMA)
-    out = {r["Review"]: r["Rating"] for r in preprocess(df).collect()}
-    assert out == {"fine film": 6.0, "weak film": 6.0}
+SCHEMA = "ord long, movie_id string, Review string, Summary string, Rating double"
 
 
-def test_fill_rounds_half_to_even(spark):
-    df = spark.createDataFrame([(1, "a", "s", 2.0), (2, "b", "s", 3.0), (3, "c", "s", None)], SCHEMA)
-    assert {r["Review"]: r["Rating"] for r in preprocess(df).collect()}["c"] == 2.0
+def _pre(spark, rows, **kw):
+    return {r["ord"]: r for r in preprocess(spark.createDataFrame(rows, SCHEMA), **kw).collect()}
 
 
-def test_all_null_ratings_stay_null(spark):
-    df = spark.createDataFrame([(1, "a", "s", None)], SCHEMA)
-    assert preprocess(df).first()["Rating"] is None
+def test_order_of_the_steps(spark):
+    """Copies go before incomplete rows, and only what is left counts for the fill."""
+    rows = [(4, "m", "long text\nof two lines", "later copy", 1.0), (1, "m", "long text\nof two lines", "title", None),
+            (2, "m", "second", "t2", 4.0), (3, "m", "third", "t3", 7.0),
+            (5, "m", "its first copy has no title", None, 9.0), (6, "m", "its first copy has no title", "t", 9.0),
+            (7, "m", None, "nothing written", 10.0), (8, "m", "", "empty is a text", 10.0)]
+    got = _pre(spark, rows)
+    assert {k: r["Rating"] for k, r in got.items()} == {1: 7.0, 2: 4.0, 3: 7.0, 8: 10.0}
+    assert got[1]["Review"] == "long text\nof two lines"
 
 
-def test_text_is_left_untouched(spark):
-    text = "I would NOT watch it again, it wasn't good at all!"
-    df = spark.createDataFrame([(1, text, "Letdown.", 2.0)], SCHEMA)
-    assert preprocess(df).first()["Review"] == text
+def test_fill_is_half_to_even_and_per_movie(spark):
+    rows = [(1, "a", "x1", "s", 4.0), (2, "a", "x2", "s", 5.0), (3, "a", "x3", "s", None),
+            (4, "b", "x1", "s", 9.0), (5, "b", "x5", "s", None), (6, "c", "x6", "s", None)]
+    assert {k: r["Rating"] for k, r in _pre(spark, rows, group="movie_id").items()} == {1: 4.0, 2: 5.0, 3: 4.0, 4: 9.0, 5: 9.0, 6: None}
+    assert 4 not in _pre(spark, rows)                       # one text under two movies, taken together
 
 
-def test_first_copy_with_null_summary_removes_every_copy(spark):
-    df = spark.createDataFrame([(1, "Lovely!", None, 8.0), (2, "Lovely!", "good", 8.0),
-                                (3, "Dull.", "meh", 4.0)], SCHEMA)
-    assert [r["Review"] for r in preprocess(df).collect()] == ["Dull."]
+def test_columns_that_must_exist(spark):
+    with pytest.raises(KeyError, match="Summary"):
+        preprocess(spark.createDataFrame([(1, "r", 2.0)], "ord long, Review string, Rating double"))
+    with pytest.raises(KeyError, match="movie_id"):
+        preprocess(spark.createDataFrame([(1, "r", "s", 2.0)], "ord long, Review string, Summary string, Rating double"), group="movie_id")
 
 
-def test_missing_column_raises(spark):
-    df = spark.createDataFrame([(1, "good", 7.0)], "ord long, Review string, Rating double")
-    with pytest.raises(KeyError):
-        preprocess(df)
+def test_keep_first_of_keys_nulls_and_near_keys(spark):
+    rows = [(9, "k", "", 1), (2, "k", "", 2), (3, None, "x", 3), (4, None, "x", 4), (5, "-", "x", 5), (6, "1:k", None, 6), (7, "", "k", 7),
+            (8, "", "k", 8)]
+    df = spark.createDataFrame(rows, "ord long, a string, b string, v int")
+    assert sorted(r["v"] for r in keep_first(df, ["a", "b"]).collect()) == [2, 3, 5, 6, 7]
+    assert keep_first(df, ["a", "b"]).columns == df.columns
 
 
-def test_keep_first_groups_nulls_and_uses_order(spark):
-    df = spark.createDataFrame([(3, "x", 1), (1, "x", 2), (2, None, 3), (5, None, 4)], "ord long, k string, v int")
-    got = {r["k"]: r["v"] for r in keep_first(df, "k").collect()}
-    assert got == {None: 3, "x": 2}
+def test_history_counts_null_keys_too(spark):
+    batch = spark.createDataFrame([(1, None), (2, "p"), (3, "q")], "ord long, Unique_ID string")
+    known = spark.createDataFrame([(None,), ("q",)], "Unique_ID string")
+    assert [r["Unique_ID"] for r in skip_seen(batch, known).collect()] == ["p"]
+    assert [r["Unique_ID"] for r in new_reviews(batch, known).collect()] == ["p"]
 
 
-def test_new_reviews_history_and_target(spark):
-    batch = spark.createDataFrame([(i, f"id{i % 6}") for i in range(12)], "ord long, Unique_ID string")
-    known = spark.createDataFrame([("id0",), ("id1",)], "Unique_ID string")
-    assert sorted(r["Unique_ID"] for r in new_reviews(batch, known).collect()) == ["id2", "id3", "id4", "id5"]
-    capped = new_reviews(batch, known, target=4).collect()
-    assert [r["Unique_ID"] for r in capped] == ["id2", "id3"]
-    assert new_reviews(batch, known, target=2).count() == 0
+@pytest.mark.parametrize("existing, target, want", [(0, 7, 7), (3, 7, 4), (9, 7, 0), (0, 1000, 200), (5, 5, 0)])
+def test_target_keeps_the_first_rows_over_many_partitions(spark, existing, target, want):
+    rows = spark.range(200).selectExpr("(id * 37) % 200 AS ord", "id AS v").repartition(9)
+    got = sorted(r["ord"] for r in cap_new(rows, existing, target).collect())
+    assert got == list(range(want))
 
 
-def test_normalise_nulls_and_nonblank(spark):
-    df = spark.createDataFrame([("None", float("nan")), ("", 1.0), ("ok", 2.0)], "s string, d double")
-    rows = CL.normalise_nulls(df).collect()
-    assert [r["s"] for r in rows] == [None, None, "ok"]
-    assert rows[0]["d"] is None
-    t = spark.createDataFrame([("  ",), (None,), ("x",)], "t string")
-    assert [r["t"] for r in CL.nonblank(t, "t").collect()] == ["x"]
+def test_resume_counts_known_keys_once(spark):
+    batch = spark.createDataFrame([(k, f"n{k // 2}") for k in range(40)], "ord long, Unique_ID string")
+    known = spark.createDataFrame([("n3",), ("n3",), ("old",)], "Unique_ID string")
+    got = [r["Unique_ID"] for r in new_reviews(batch, known, target=6).orderBy("ord").collect()]
+    assert got == ["n0", "n1", "n2", "n4"]
 
 
-def test_fill_rating_uses_no_join(spark):
-    df = spark.createDataFrame([(1, "a", "s", 2.0), (2, "b", "s", None)], SCHEMA)
-    plan = preprocess(df)._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
-    assert F is not None
+def test_null_tokens_and_blank_texts(spark):
+    df = spark.createDataFrame([(t, float(k)) for k, t in enumerate((*CL.NULL_TOKENS, " NA", "nil", "0"))], "s string, d double")
+    assert [r["s"] for r in CL.normalise_nulls(df).where("s is not null").orderBy("d").collect()] == [" NA", "nil", "0"]
+    nan = spark.createDataFrame([(float("nan"),), (2.5,)], "d double")
+    assert [r["d"] for r in CL.normalise_nulls(nan).collect()] == [None, 2.5]
+    texts = spark.createDataFrame([("\t\n",), (" ",), (None,), (" . ",)], "t string")
+    assert [r["t"] for r in CL.nonblank(texts, "t").collect()] == [" . "]

@@ -1,52 +1,79 @@
+"""Keyword counts, ties, stopwords, lemmas and senses."""
+
+import pytest
+
 from cinelens.operators import keywords as KW
+from cinelens.operators import sentiment as SN
+from cinelens.operators.lookup import local_table, pair_table
 
 
 def _docs(spark, texts):
-    return spark.createDataFrame(list(enumerate(texts)), "ord long, Review string")
+    return spark.createDataFrame([(k, f"m{k % 2}", t) for k, t in enumerate(texts)], "ord long, movie_id string, Review string")
+
+
+TEXTS = ["harbour lantern harbour!", "Lantern; violin (harbour)", "violin violin quay", None, " \n ", "quay quay 1999 ab lantern's"]
 
 
-def test_top_keywords_sorted_by_count(spark):
-    out = KW.top_keywords(_docs(spark, ["fine acting fine score", "fine direction"]), "Review", top_n=2).collect()
-    assert (out[0]["word"], out[0]["count"]) == ("fine", 3)
-    assert len(out) == 2
+def test_counts_and_ties_by_first_place(spark):
+    got = [tuple(r)[:2] for r in KW.top_keywords(_docs(spark, TEXTS), "Review").collect()]
+    assert got == [("harbour", 3), ("lantern", 3), ("violin", 3), ("quay", 3)]
+    # a tie within one row goes by position, also where it crosses the cut
+    row = [tuple(r)[:2] for r in KW.top_keywords(_docs(spark, ["delta gamma omega sigma"]), "Review", top_n=2).collect()]
+    assert row == [("delta", 1), ("gamma", 1)]
 
 
-def test_ties_keep_first_occurrence(spark):
-    out = KW.top_keywords(_docs(spark, ["zeta alpha", "alpha zeta beta"]), "Review", top_n=3).collect()
-    assert [r["word"] for r in out] == ["zeta", "alpha", "beta"]
+def test_per_movie_keywords_are_those_of_each_movie(spark):
+    docs = _docs(spark, TEXTS)
+    got = {}
+    for r in KW.top_keywords(docs, "Review", top_n=2, group="movie_id").orderBy("movie_id", "rank").collect():
+        got.setdefault(r["movie_id"], []).append((r["word"], r["count"]))
+    for m in ("m0", "m1"):
+        alone = KW.top_keywords(docs.where(f"movie_id = '{m}'"), "Review", top_n=2).collect()
+        assert got[m] == [tuple(r)[:2] for r in alone]
 
 
-def test_blank_input_gives_no_keywords(spark):
-    assert KW.top_keywords(_docs(spark, ["", None, "   "]), "Review").count() == 0
+def test_nothing_to_count(spark):
+    assert KW.top_keywords(_docs(spark, [None, "", "\t", "12 ab !!"]), "Review").collect() == []
 
 
-def test_lemmas_merge_forms_and_stopwords_go_first(spark):
-    lem = KW.lemmas(spark, {"films": "film", "thes": "the"})
-    stop = KW.stopwords(spark, ["the"])
-    out = {r["word"]: r["count"] for r in
-           KW.top_keywords(_docs(spark, ["fine films fine film thes"]), "Review", stop=stop, lemma_table=lem).collect()}
-    assert out["film"] == 2 and "films" not in out
-    assert out["the"] == 1            # lemmatised after stopword removal, not removed again
+def test_lemmas_come_after_stopwords(spark):
+    stop, lem = KW.stopwords(spark, ["quay"]), KW.lemmas(spark, [("quays", "quay"), ("violins", "violin")])
+    got = {r["word"]: r["count"] for r in KW.top_keywords(
+        _docs(spark, ["quay quays violins violin violins"]), "Review", stop=stop, lemma_table=lem).collect()}
+    assert got == {"violin": 3, "quay": 1}
 
 
-def test_lemmatize_and_remove_stopwords(spark):
-    df = spark.createDataFrame([(1, "the films is fine actors"), (2, ""), (3, "the is a")], "id long, t string")
-    lem = KW.lemmas(spark, {"films": "film", "actors": "actor"})
-    stop = KW.stopwords(spark, ["the", "a", "is"])
-    out = {r["id"]: r["text"] for r in KW.lemmatize_and_remove_stopwords(df, "id", "t", stop, lem).collect()}
-    assert out == {1: "film fine actor", 2: "", 3: ""}
+def test_text_without_stopwords_in_lemmas(spark):
+    df = spark.createDataFrame([(5, "two violins on quays"), (6, " "), (7, "on on"), (8, None)], "id long, t string")
+    got = KW.lemmatize_and_remove_stopwords(df, "id", "t", KW.stopwords(spark, ["on", "two"]),
+                                            KW.lemmas(spark, {"violins": "violin", "quays": "quay"})).collect()
+    assert {r["id"]: r["text"] for r in got} == {5: "violin quay", 6: "", 7: "", 8: ""}
 
 
-def test_default_stopwords_are_loaded(spark):
+def test_default_stopwords(spark):
     words = {r["token"] for r in KW.stopwords(spark).collect()}
-    assert {"the", "and", "is"} <= words
+    assert len(words) > 100 and {"himself", "which", "doesn't"} <= words
+
+
+def test_first_sense_and_at_most_two_examples(spark):
+    kw = spark.createDataFrame([("m1", "quay", 4, 2), ("m1", "zzz", 1, 3), ("m2", "quay", 9, 1)],
+                               "movie_id string, word string, count long, rank int")
+    senses = KW.senses(spark, [("quay", 7, "late sense", "v", ["x"]), ("quay", 3, "wharf", "n", ["e1", "e2", "e3"]), ("other", 1, "o", "n", None)])
+    got = {(r["movie_id"], r["name"]): (r["value"], r["rank"], [tuple(c) for c in r["categories"]])
+           for r in KW.enrich_keywords(kw, senses).collect()}
+    assert got == {("m1", "quay"): (4, 2, [("wharf", "n", ["e1", "e2"])]), ("m1", "zzz"): (1, 3, []),
+                   ("m2", "quay"): (9, 1, [("wharf", "n", ["e1", "e2"])])}
+
+
+@pytest.mark.parametrize("size", [3, 7_500, 60_000])
+def test_tables_of_any_size_are_built_alike(spark, size):
+    lexicon = SN.lexicon_table(spark, {f"w{k}": k % 5 - 2 for k in range(size)})      # whole numbers for doubles
+    assert dict(lexicon.dtypes)["valence"] == "double"
+    assert lexicon.count() == size and lexicon.where("token = 'w1'").first()["valence"] == -1.0
+    assert KW.lemmas(spark, {f"a{k}": f"b{k}" for k in range(size)}).count() == size
 
 
-def test_enrich_attaches_first_sense_with_two_examples(spark):
-    kw = spark.createDataFrame([("acting", 5), ("xyzzy", 1)], "word string, count long")
-    senses = KW.senses(spark, [("acting", 2, "second", "v", []),
-                               ("acting", 1, "a fixture definition", "n", ["one", "two", "three"])])
-    out = {r["name"]: r.asDict(recursive=True) for r in KW.enrich_keywords(kw, senses).collect()}
-    assert out["acting"] == {"name": "acting", "value": 5, "categories": [
-        {"definition": "a fixture definition", "pos": "n", "examples": ["one", "two"]}]}
-    assert out["xyzzy"] == {"name": "xyzzy", "value": 1, "categories": []}
+def test_tables_with_nulls_arrays_and_no_rows(spark):
+    t = pair_table(spark, [("a", None, ["x"]), (None, 2, None), ("c", 3, [])], "k string, n int, v array<string>")
+    assert [tuple(r) for r in t.collect()] == [("a", None, ["x"]), (None, 2, None), ("c", 3, [])]
+    assert local_table(spark, [], "k string, n double").dtypes == [("k", "string"), ("n", "double")]

@@ -1,10 +1,11 @@
 """Plan-shape checks: the physical strategies the design relies on."""
 
+import re
+
 from cinelens import catalog as C
 from cinelens.operators import keywords as KW
 from cinelens.operators import sentiment as SN
-from cinelens.operators.dedup import keep_first
-from cinelens.operators.lookup import broadcast_if_small, estimated_bytes, spread
+from cinelens.operators.dedup import keep_first, new_reviews
 from cinelens.plans.preprocess import preprocess
 from cinelens.sources import derived
 
@@ -15,10 +16,9 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_small_tables_have_exact_size_and_broadcast(spark):
-    t = KW.stopwords(spark, ["a", "b"])
-    assert 0 < estimated_bytes(t) < 1000
-    assert "ResolvedHint" in broadcast_if_small(t)._jdf.queryExecution().analyzed().toString()
+def test_small_tables_have_exact_sizes(spark):
+    size = int(str(KW.stopwords(spark, ["a", "b"])._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert 0 < size < 1000
 
 
 def test_sentiment_lookups_are_broadcast(spark):
@@ -29,16 +29,16 @@ def test_sentiment_lookups_are_broadcast(spark):
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
-def test_keyword_stopwords_and_lemmas_are_broadcast(spark):
+def test_keywords_count_by_hash_aggregates_and_limit_before_the_shuffle(spark):
     stop, lem = C._kw_tables(spark)
-    plan = _plan(KW.top_keywords(derived.review_rows(spark, SF), "Review", "ord", stop, lem))
-    assert plan.count("BroadcastHashJoin") == 2 and "TakeOrderedAndProject" in plan
+    plan = _plan(KW.top_keywords(derived.review_rows(spark, SF), "Review", "ord", stop, lem, group="movie_id"))
+    assert "SortAggregate" not in plan and "WindowGroupLimit" in plan and "BroadcastHashJoin" in plan
 
 
-def test_keep_first_is_one_exchange_with_partial_aggregation(spark):
+def test_keep_first_sorts_and_shuffles_no_text(spark):
     plan = _plan(keep_first(derived.review_rows(spark, SF), "Review", "ord"))
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "partial_min" in plan
+    assert "SortAggregate" not in plan and "partial_min" in plan
+    assert not re.search(r"hashpartitioning\([^)]*Review", plan)
 
 
 def test_fill_uses_a_subquery_not_a_join(spark):
@@ -52,19 +52,12 @@ def test_scans_read_only_needed_columns(spark):
     assert "l_extendedprice" not in plan and "o_totalprice" not in plan
 
 
-def test_spread_only_for_skinny_inputs(spark):
-    docs = derived.review_rows(spark, SF)
-    assert "RoundRobinPartitioning" in _plan(spread(docs))
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")     # input now spans many splits
-    try:
-        assert "RoundRobinPartitioning" not in _plan(spread(docs))
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+def test_no_plan_spreads_rows_round_robin(spark):
+    for name in ("A9_sentiment_scores", "A8_top_keywords", "S8_extract_review_cards"):
+        assert "RoundRobinPartitioning" not in _plan(C.QUERIES[name](spark, SF))
 
 
 def test_per_group_cap_limits_rows_before_the_shuffle(spark):
-    from cinelens.operators.dedup import new_reviews
     raw = derived.review_rows(spark, SF)
     plan = _plan(new_reviews(raw, raw.where("ord < 20"), target=40, group="movie_id"))
     assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -53,12 +53,19 @@ def test_page_fields(spark):
     assert r["title"] == "T &amp; U" and r["links"] == ["/x", "/y"] and r["n_links"] == 2
 
 
-def test_suggestion_json(spark):
-    docs = ['{"d": [{"id": "tt1234567", "l": "Fake Movie"}]}', '{"d": [{"id": "nm1", "l": "x"}, {"id": "tt7", "l": "y"}]}',
-            '{"d": [{"id": "nm1"}]}', '{"k": 3}', "not json", None]
+def test_repeated_page_ids_keep_their_own_urls(spark):
+    rows = [(1, "u/a", CARD), (1, "u/b", CARD + BARE), (None, "u/c", BARE), (2, None, None)]
+    got = PG.extract_reviews(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted(r["Source_URL"] for r in got) == ["u/a", "u/b", "u/b", "u/c"]
+
+
+def test_suggestions_take_the_first_title(spark):
+    docs = ['{"q": "x", "d": [{"id": "co5", "l": "Studio"}, {"id": "tt0042", "l": "Late"}, {"id": "tt0043", "l": "Later"}]}',
+            '{"d": []}', '{"d": [{"l": "no id"}, {"id": "tt9"}]}', '{"d": {}}', "[", "", None]
     df = spark.createDataFrame([(d,) for d in docs], "j string")
     out = [(r[0], r[1]) for r in df.select(resolve_movie_id("j"), resolve_title("j")).collect()]
-    assert out == [("tt1234567", "Fake Movie"), ("tt7", "y"), (None, None), (None, None), (None, None), (None, None)]
+    assert out[:3] == [("tt0042", "Late"), (None, None), ("tt9", None)]
+    assert set(out[3:]) == {(None, None)}
 
 
 def test_csv_round_trip_with_quotes_newlines_and_null_tokens(spark, tmp_dir):
