@@ -628,8 +628,8 @@ def _idioms(spark):
 def _scored(spark, sf_dir):
     lex, bst, ngt = _sent_tables(spark)
     raw = _raw(spark, sf_dir).select("ord", "Review")
-    return SN.score_sentiment(raw, "ord", "Review", lex, bst, ngt, contrast=LX.FIXTURE_CONTRAST,
-                              idioms=_idioms(spark))
+    return SN.sentiment_scores(raw, "ord", "Review", lex, bst, ngt, contrast=LX.FIXTURE_CONTRAST,
+                               idioms=_idioms(spark))
 
 
 @register("A9_sentiment_scores", f"WITH {SENTIMENT_CTE} SELECT * FROM scores")
@@ -640,8 +640,8 @@ def q_sentiment(spark, sf_dir):
 @register("J7_word_valences", f"WITH {SENTIMENT_CTE} SELECT id AS ord, i, word, valence FROM valences")
 def q_valences(spark, sf_dir):
     lex, bst, ngt = _sent_tables(spark)
-    vals, _ = SN.word_valences(_raw(spark, sf_dir), "ord", "Review", lex, bst, ngt,
-                               contrast=LX.FIXTURE_CONTRAST, idioms=_idioms(spark))
+    vals = SN.word_valences(_raw(spark, sf_dir), "ord", "Review", lex, bst, ngt,
+                            contrast=LX.FIXTURE_CONTRAST, idioms=_idioms(spark))
     return vals.select(F.col("__id").alias("ord"), "i", "word", "valence")
 
 

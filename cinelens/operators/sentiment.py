@@ -13,15 +13,14 @@ Plan shape (no Python in the hot path):
    the whole text, not per word). The three previous and two next words are
    attached to each word *inside* the array (``transform``) before
    exploding, so no exploded row carries a copy of the whole array.
-2. ``explode`` + inner join with the lexicon keeps only lexicon words
-   (the planner broadcasts a lexicon below its threshold); the previous words are
-   resolved with left joins against one small ``vocab`` table, on hit rows
-   only; multi-word idioms and boosters are phrase-table lookups on the same
-   hit rows.
+2. Lexicon words are found inside the array (a hash-set test) and only they
+   are exploded; valence, previous words and multi-word phrases are looked up
+   by joins on those rows (the planner decides which side to broadcast).
 3. Per-word valence is a fold of column expressions; a per-document
    aggregate (partial aggregation collapses a document's hits map-side)
-   yields one row per document for the shuffle.
-4. A left join back to the documents fills zeros for documents without hits.
+   yields one narrow row per document, also for documents without hits.
+   ``sentiment_scores`` ends here; ``score_sentiment`` joins the scores to
+   all columns of its input.
 """
 
 from __future__ import annotations
@@ -123,19 +122,24 @@ def _doc_features(df: DataFrame, id_col: str, text_col: str, contrast: str) -> D
     )
 
 
-def _contexts(feat: DataFrame) -> DataFrame:
-    """One row per word with its neighbours; arrays never copied per row."""
+def _contexts(feat: DataFrame, words: list[str]) -> DataFrame:
+    """One row per lexicon word with its neighbours, and one for a document without any (``i`` null).
+
+    Lexicon words are picked by their places inside the array (a hash-set
+    test per word), so only they get a row; arrays are never copied per row.
+    """
     w, lw = F.col("__w"), F.col("__lw")
+    places = F.filter(F.transform(lw, lambda x, i: F.when(x.isin(words), i)), lambda i: i.isNotNull()) if words else F.expr("cast(array() as array<int>)")
 
-    def ctx(x, i):
+    def ctx(i):
         return F.struct(
-            i.alias("i"), x.alias("w"), F.get(lw, i).alias("lw"),
+            i.alias("i"), F.get(w, i).alias("w"), F.get(lw, i).alias("lw"),
             F.get(w, i - 1).alias("o1"), F.get(w, i - 2).alias("o2"), F.get(w, i - 3).alias("o3"),
             F.get(lw, i - 1).alias("p1"), F.get(lw, i - 2).alias("p2"), F.get(lw, i - 3).alias("p3"),
             F.get(lw, i + 1).alias("nx"), F.get(lw, i + 2).alias("nx2"))
 
-    return feat.select("__id", "__capdiff", "__bi", F.explode(F.transform(w, ctx)).alias("c")).select(
-        "__id", "__capdiff", "__bi", "c.*")
+    return feat.select("__id", "__n", "__amp", "__capdiff", "__bi", F.explode_outer(F.transform(places, ctx)).alias("c")).select(
+        "__id", "__n", "__amp", "__capdiff", "__bi", "c.*")
 
 
 def _vocab(lexicon: DataFrame, boosters: DataFrame, negations: DataFrame) -> DataFrame:
@@ -211,19 +215,21 @@ def _valence_steps(hits: DataFrame, C: float, N: float) -> DataFrame:
                           .when((bi >= 0) & (col("i") > bi), v * BUT_AFTER).otherwise(v))
 
 
-def word_valences(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
-                  boosters: DataFrame | None = None, negations: DataFrame | None = None,
-                  contrast: str = "but", c_incr: float = LX.C_INCR,
-                  n_scalar: float = LX.N_SCALAR, idioms: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """J7 + V1-V6: ``(id, i, word, valence)`` for lexicon words, and the per-document features."""
+def _valences(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, boosters: DataFrame | None,
+              negations: DataFrame | None, contrast: str, c_incr: float, n_scalar: float, idioms: DataFrame | None) -> DataFrame:
+    """Lexicon words with their valences ``__v`` and their document's features; a row without word per other document.
+
+    The lexicon's words (a hand-made list) are read to the driver once: the
+    plan tests words against them before any word becomes a row.
+    """
     spark = df.sparkSession
     boosters = boosters if boosters is not None else booster_table(spark)
     negations = negations if negations is not None else negation_table(spark)
     vocab = _vocab(lexicon, boosters, negations)
-    feat = _doc_features(df, id_col, text_col, contrast.lower())
-    ctx = _contexts(feat)
+    words = sorted(r[0] for r in lexicon.where(F.col("valence").isNotNull()).select(F.lower("token")).distinct().collect() if r[0] is not None)
+    ctx = _contexts(_doc_features(df, id_col, text_col, contrast.lower()), words)
     hits = ctx.join(vocab.where(F.col("valence").isNotNull())
-                    .select(F.col("token").alias("lw"), "valence", F.col("scalar").alias("wb")), "lw")
+                    .select(F.col("token").alias("lw"), "valence", F.col("scalar").alias("wb")), "lw", "left")
     for k in (1, 2, 3):
         side = vocab.select(F.col("token").alias(f"p{k}"), F.col("valence").isNotNull().alias(f"l{k}"),
                             F.col("scalar").alias(f"b{k}"), F.col("neg").alias(f"n{k}"))
@@ -243,42 +249,32 @@ def word_valences(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
         side = phrases.select(F.col("phrase").alias(f"ph_{slot}"), F.col("iv").alias(f"iv_{slot}"),
                               F.col("ib").alias(f"ib_{slot}"))
         hits = hits.join(side, f"ph_{slot}", "left")
-    steps = _valence_steps(hits, c_incr, n_scalar)
-    scored = steps.select(F.col("__id"), F.col("i"), F.col("w").alias("word"), F.col("__v").alias("valence"))
-    return scored, feat.select("__id", "__n", "__amp")
+    return _valence_steps(hits, c_incr, n_scalar)
 
 
-def score_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | None = None,
-                    boosters: DataFrame | None = None, negations: DataFrame | None = None,
-                    contrast: str = "but", scorer=None, alpha: float = LX.ALPHA,
-                    columns=SCORE_COLUMNS, idioms: DataFrame | None = None) -> DataFrame:
-    """Append Compound, Negative, Neutral, Positive to ``df``.
-
-    ``id_col`` must be unique per row. ``scorer`` (optional) is a
-    ``pandas_udf`` returning ``struct<neg,neu,pos,compound>`` and replaces the
-    relational path, e.g. to plug in an external analyser.
-    """
-    compound, negative, neutral, positive = columns
-    if scorer is not None:
-        s = scorer(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-        return df.withColumn("__s", s).withColumns({
-            compound: F.col("__s.compound"), negative: F.col("__s.neg"),
-            neutral: F.col("__s.neu"), positive: F.col("__s.pos")}).drop("__s")
-    if lexicon is None:
-        raise ValueError("a lexicon DataFrame (token, valence) is required")
-    vals, _ = word_valences(df, id_col, text_col, lexicon, boosters, negations, contrast, idioms=idioms)
-    v = F.col("valence")
-    per_doc = vals.groupBy("__id").agg(
+def word_valences(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
+                  boosters: DataFrame | None = None, negations: DataFrame | None = None,
+                  contrast: str = "but", c_incr: float = LX.C_INCR,
+                  n_scalar: float = LX.N_SCALAR, idioms: DataFrame | None = None) -> DataFrame:
+    """J7 + V1-V6: ``(id, i, word, valence)`` for lexicon words."""
+    steps = _valences(df, id_col, text_col, lexicon, boosters, negations, contrast, c_incr, n_scalar, idioms)
+    return steps.where("i is not null").select(F.col("__id"), F.col("i"), F.col("w").alias("word"), F.col("__v").alias("valence"))
+
+
+def sentiment_scores(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, boosters: DataFrame | None = None,
+                     negations: DataFrame | None = None, contrast: str = "but", alpha: float = LX.ALPHA,
+                     columns=None, idioms: DataFrame | None = None) -> DataFrame:
+    """``(id, Compound, Negative, Neutral, Positive)`` per document: one scan, and no text is shuffled."""
+    compound, negative, neutral, positive = columns or SCORE_COLUMNS
+    vals = _valences(df, id_col, text_col, lexicon, boosters, negations, contrast, LX.C_INCR, LX.N_SCALAR, idioms)
+    v = F.col("__v")
+    per_doc = vals.groupBy("__id", "__n", "__amp").agg(
         F.sum(v).alias("__sum"),
         F.sum(F.when(v > 0, v + 1)).alias("__pos"),
         F.sum(F.when(v < 0, v - 1)).alias("__neg"),
         F.count_if(v > 0).alias("__npos"),
         F.count_if(v < 0).alias("__nneg"),
     )
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    words = F.regexp_extract_all(text, F.lit(_TOKEN), 0)
-    base = df.withColumns({"__id": F.col(id_col), "__n": F.size(words), "__amp": punctuation_amplifier(text)})
-    j = base.join(per_doc, "__id", "left")
     zero = F.lit(0.0)
     amp, n = F.col("__amp"), F.col("__n")
     ssum = F.coalesce(F.col("__sum"), zero)
@@ -287,14 +283,36 @@ def score_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFram
     comp = F.greatest(F.least(comp, F.lit(1.0)), F.lit(-1.0))
     pos = F.coalesce(F.col("__pos"), zero)
     neg = F.coalesce(F.col("__neg"), zero)
-    neu = (n - F.coalesce(F.col("__npos"), F.lit(0)) - F.coalesce(F.col("__nneg"), F.lit(0))).cast("double")
+    neu = (n - F.col("__npos") - F.col("__nneg")).cast("double")
     pos2 = F.when(pos > F.abs(neg), pos + amp).otherwise(pos)
     neg2 = F.when(pos < F.abs(neg), neg - amp).otherwise(neg)
     total = pos2 + F.abs(neg2) + neu
     has = n > 0
-    return j.withColumns({
-        compound: F.when(has, F.bround(comp, 4)).otherwise(zero),
-        negative: F.when(has, F.bround(F.abs(neg2 / total), 3)).otherwise(zero),
-        neutral: F.when(has, F.bround(F.abs(neu / total), 3)).otherwise(zero),
-        positive: F.when(has, F.bround(F.abs(pos2 / total), 3)).otherwise(zero),
-    }).drop("__id", "__n", "__amp", "__sum", "__pos", "__neg", "__npos", "__nneg")
+    return per_doc.select(
+        F.col("__id").alias(id_col),
+        F.when(has, F.bround(comp, 4)).otherwise(zero).alias(compound),
+        F.when(has, F.bround(F.abs(neg2 / total), 3)).otherwise(zero).alias(negative),
+        F.when(has, F.bround(F.abs(neu / total), 3)).otherwise(zero).alias(neutral),
+        F.when(has, F.bround(F.abs(pos2 / total), 3)).otherwise(zero).alias(positive))
+
+
+def score_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | None = None,
+                    boosters: DataFrame | None = None, negations: DataFrame | None = None,
+                    contrast: str = "but", scorer=None, alpha: float = LX.ALPHA,
+                    columns=SCORE_COLUMNS, idioms: DataFrame | None = None) -> DataFrame:
+    """Append Compound, Negative, Neutral, Positive to ``df``.
+
+    ``id_col`` must be unique per row. ``scorer`` (optional) is a
+    ``pandas_udf`` returning ``struct<neg,neu,pos,compound>`` and replaces the
+    relational path, e.g. to plug in an external analyser.
+    """
+    compound, negative, neutral, positive = columns
+    if scorer is not None:
+        s = scorer(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+        return df.withColumn("__s", s).withColumns({
+            compound: F.col("__s.compound"), negative: F.col("__s.neg"),
+            neutral: F.col("__s.neu"), positive: F.col("__s.pos")}).drop("__s")
+    if lexicon is None:
+        raise ValueError("a lexicon DataFrame (token, valence) is required")
+    scores = sentiment_scores(df, id_col, text_col, lexicon, boosters, negations, contrast, alpha, columns, idioms)
+    return df.join(scores.withColumnRenamed(id_col, "__id"), F.col(id_col).eqNullSafe(F.col("__id"))).drop("__id")
