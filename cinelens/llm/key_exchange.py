@@ -1,19 +1,21 @@
 """Which keys occur more than once: a compact exchange between shards of documents.
 
-Every shard tells buckets the 32-bit remainders of the keys it holds, once
-per key; a bucket answers with the numbers of those that another shard holds
-too. A key that is very common costs one entry per shard. Remainders may
-agree by chance, so an answer is a superset of the repeated keys.
+Every shard tells buckets 24-bit remainders of the keys it holds, once per
+key; a bucket answers with the numbers of those that another shard holds too.
+A key that is very common costs one entry per shard. Buckets grow in number
+with the data, so a remainder and its bucket keep their meaning at any size;
+remainders may agree by chance, so an answer is a superset of the repeated
+keys.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 from .common import U64, mix
 
-_NO_ANSWER = np.uint32(0xFFFFFFFF)
 TOLD = "bucket long, shard long, short binary, number binary"
 
 
@@ -22,21 +24,28 @@ def announce(shard: int, keys: np.ndarray, shards: int) -> pa.Table:
     _, first, count = np.unique(keys, return_index=True, return_counts=True)
     k = mix(keys[first])
     bucket = (k % U64(shards)).astype(np.int64)
-    short = (k >> U64(32)).astype(np.uint32)
-    number = np.where(count > 1, _NO_ANSWER, first.astype(np.uint32)).astype(np.uint32)
-    by = np.argsort(bucket, kind="stable")
+    short = np.ascontiguousarray((k >> U64(40)).astype("<u4")).view(np.uint8).reshape(-1, 4)[:, :3]
+    # by bucket, those that ask for an answer first, in the order of their numbers (which then pack well)
+    by = np.lexsort((first, count > 1, bucket))
     cuts = np.flatnonzero(np.diff(bucket[by])) + 1
     parts = np.split(by, cuts) if len(by) else []
+    pack = zstandard.ZstdCompressor(level=1)
+    numbers = [np.diff(first[p[count[p] == 1]], prepend=0).astype(np.uint32).tobytes() for p in parts]
     return pa.table({"bucket": pa.array([int(bucket[p[0]]) for p in parts], pa.int64()),
                      "shard": pa.array([shard] * len(parts), pa.int64()),
                      "short": pa.array([short[p].tobytes() for p in parts], pa.binary()),
-                     "number": pa.array([number[p].tobytes() for p in parts], pa.binary())})
+                     "number": pa.array([pack.compress(n) for n in numbers], pa.binary())})
 
 
 def answer(table: pa.Table) -> tuple[pa.Array, pa.Array]:
     """Per shard the numbers of keys that some other shard holds too, as bytes of uint32."""
-    short = [np.frombuffer(x, dtype=np.uint32) for x in table["short"].to_pylist()]
-    number = [np.frombuffer(x, dtype=np.uint32) for x in table["number"].to_pylist()]
+    open_ = zstandard.ZstdDecompressor()
+    short, number = [], []
+    for s, n in zip(table["short"].to_pylist(), table["number"].to_pylist()):
+        raw = np.frombuffer(s, dtype=np.uint8).reshape(-1, 3).astype(np.uint32)
+        short.append(raw[:, 0] | raw[:, 1] << np.uint32(8) | raw[:, 2] << np.uint32(16))
+        asked = np.cumsum(np.frombuffer(open_.decompress(n), dtype=np.uint32).astype(np.int64))
+        number.append(np.concatenate((asked, np.full(len(raw) - len(asked), -1, dtype=np.int64))))
     shard = np.repeat(np.arange(len(short)), [len(x) for x in short])
     short, number = np.concatenate(short), np.concatenate(number)
     by = np.argsort(short, kind="stable")
@@ -45,10 +54,10 @@ def answer(table: pa.Table) -> tuple[pa.Array, pa.Array]:
     multi[1:] |= same
     multi[:-1] |= same
     hit = by[multi]
-    hit = np.sort(hit[number[hit] != _NO_ANSWER])
+    hit = np.sort(hit[number[hit] >= 0])
     names, own = table["shard"].to_pylist(), np.unique(shard[hit])
     return (pa.array([names[i] for i in own], pa.int64()),
-            pa.array([number[hit[shard[hit] == i]].tobytes() for i in own], pa.binary()))
+            pa.array([number[hit[shard[hit] == i]].astype(np.uint32).tobytes() for i in own], pa.binary()))
 
 
 def repeated_here(keys: np.ndarray) -> np.ndarray:

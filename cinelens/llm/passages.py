@@ -29,9 +29,13 @@ RECALL = 0.999
 REACH = 5
 #: Words of a run of repeated paragraphs that is removed.
 MIN_WORDS = 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 6 << 20
 MIN_SHARDS = 8
+#: Characters that are hashed at a time.
+BATCH_CHARS = 1 << 19
+#: Members of a bucket that are compared in one task, and those of a bucket whose pairs are joined.
 BLOCK = 1000
+FEW = 12
 
 
 def bands_for(percent: int = PERCENT, recall: float = RECALL) -> int:
@@ -39,34 +43,53 @@ def bands_for(percent: int = PERCENT, recall: float = RECALL) -> int:
 
 
 class Paragraphs:
-    """Paragraphs of one text: byte spans, word counts and shingle hashes (flat, with starts)."""
+    """Paragraphs of a shard's texts, worked out over all of them at once.
 
-    def __init__(self, text: str, reach: int = REACH):
-        raw = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), dtype=np.uint8)
+    ``doc`` (number of the text), ``unit`` (number within it), ``begin`` and
+    ``end`` (bytes in its text), ``words``, and the shingle hashes, flat with
+    ``starts`` (a paragraph's shingles may repeat).
+    """
+
+    def __init__(self, texts: list[str], reach: int = REACH):
+        raws = [t.encode("utf-8", "surrogatepass").lower() for t in texts]
+        size = np.array([len(r) for r in raws], dtype=np.int64)
+        base = np.concatenate(([0], np.cumsum(size + 1)[:-1])).astype(np.int64)
+        raw = np.frombuffer(b" ".join(raws) + b" ", dtype=np.uint8)
         space = (raw == 32) | ((raw >= 9) & (raw <= 13))
-        edge = np.diff(np.concatenate(([True], space, [True])).astype(np.int8))
-        start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        edge = np.diff(np.concatenate(([True], space)).astype(np.int8))
+        start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge[1:] == 1) + 1
         n = len(start)
         if not n:
-            self.begin = self.end = self.words = self.starts = np.zeros(0, dtype=np.int64)
+            self.doc = self.unit = self.begin = self.end = self.words = self.starts = np.zeros(0, dtype=np.int64)
             self.shingles = np.zeros(0, dtype=U64)
             return
+        doc = np.searchsorted(base, start, side="right") - 1
         w = mix(span_hash(prefix_hash(raw), start, end) + (end - start).astype(U64))
-        pair = mix(w + np.append(w[1:], U64(0)) * U64(3))
-        low = np.lib.stride_tricks.sliding_window_view(np.pad(pair, reach, constant_values=np.iinfo(np.uint64).max), 2 * reach + 1)
-        border = (pair <= low[:, reach + 1:].min(axis=1)) & (pair < low[:, :reach].min(axis=1))
+        last = np.append(doc[1:] != doc[:-1], True)
+        pair = mix(w + np.where(last, U64(0), np.append(w[1:], U64(0))) * U64(3))
+        # texts lie apart by as many empty places as a border looks at, so none sees another
+        spot = np.arange(n) + reach * (doc + 1)
+        wide = np.full(int(spot[-1]) + reach + 1, np.iinfo(np.uint64).max, dtype=U64)
+        wide[spot] = pair
+        low = np.full(n, np.iinfo(np.uint64).max, dtype=U64)
+        high = low.copy()
+        for k in range(1, reach + 1):
+            np.minimum(low, wide[spot - k], out=low)
+            np.minimum(high, wide[spot + k], out=high)
+        border = (pair <= high) & (pair < low)
         lines = np.cumsum(raw == 10)[start]
-        border[1:] |= lines[1:] != lines[:-1]
+        border[1:] |= (lines[1:] != lines[:-1]) | (doc[1:] != doc[:-1])
         border[0] = True
         a = np.flatnonzero(border)
         b = np.append(a[1:], n)
-        self.words = b - a
-        self.begin, self.end = start[a], end[b - 1]
+        self.doc, self.words = doc[a], b - a
+        self.unit = np.arange(len(a)) - np.searchsorted(self.doc, self.doc, side="left")
+        self.begin, self.end = start[a] - base[self.doc], end[b - 1] - base[self.doc]
         count = np.maximum(1, self.words - SHINGLE + 1)
         self.starts = np.concatenate(([0], np.cumsum(count)[:-1]))
         pad = np.concatenate((w, np.zeros(SHINGLE, dtype=U64)))
         rolled = np.zeros(n, dtype=U64)
-        short = np.full(len(a), 1, dtype=U64) * self.words.astype(U64)
+        short = self.words.astype(U64)
         for j in range(SHINGLE):
             c = U64(2 * j + 3)
             rolled += mix(pad[j:j + n] * c)
@@ -78,6 +101,20 @@ class Paragraphs:
         few = self.words < SHINGLE
         self.shingles[self.starts[few]] = mix(short[few])
 
+    @classmethod
+    def over(cls, texts: list[str], limit: int = BATCH_CHARS) -> Paragraphs:
+        """Paragraphs of many texts, worked out a bounded number of characters at a time."""
+        size = np.cumsum([len(t) for t in texts]) // limit
+        cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(texts)]
+        parts = [cls(texts[a:b]) for a, b in zip(cuts, cuts[1:])]
+        out = cls([])
+        for name in ("unit", "begin", "end", "words", "shingles"):
+            setattr(out, name, np.concatenate([getattr(p, name) for p in parts]))
+        out.doc = np.concatenate([p.doc + a for p, a in zip(parts, cuts)])
+        shift = np.cumsum([0] + [len(p.shingles) for p in parts])
+        out.starts = np.concatenate([p.starts + k for p, k in zip(parts, shift)])
+        return out
+
     def keys(self, bands: int) -> np.ndarray:
         """One key per paragraph and band: the smallest seeded shingle hash."""
         if not len(self.words):
@@ -85,21 +122,36 @@ class Paragraphs:
         seeds = mix(np.arange(101, 101 + bands, dtype=U64)) | U64(1)
         return np.stack([mix(np.minimum.reduceat(mix(self.shingles * s), self.starts) + s) for s in seeds], axis=1)
 
-
-def _shard(docs: pa.Table) -> list[tuple[int, int, Paragraphs]]:
+    def sets(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct shingles of some paragraphs: flat, offsets, and a fingerprint each."""
+        size = np.append(self.starts[1:], len(self.shingles))[which] - self.starts[which]
+        begin = np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64)
+        flat = self.shingles[np.repeat(self.starts[which] - begin, size) + np.arange(int(size.sum()))]
+        own = np.repeat(np.arange(len(which)), size)
+        by = np.lexsort((flat, own))
+        flat, own = flat[by], own[by]
+        keep = np.ones(len(flat), dtype=bool)
+        keep[1:] = (flat[1:] != flat[:-1]) | (own[1:] != own[:-1])
+        flat, own = flat[keep], own[keep]
+        offsets = np.concatenate(([0], np.cumsum(np.bincount(own, minlength=len(which)))))
+        total = np.add.reduceat(mix(flat), offsets[:-1]) if len(which) else np.zeros(0, dtype=U64)
+        return flat, offsets, mix(total + np.diff(offsets).astype(U64))
+
+
+def _shard(docs: pa.Table, other: pa.Table) -> tuple[list[tuple[int, int]], Paragraphs]:
+    """The shard's texts but for copies of texts elsewhere (named in ``other``), and their paragraphs."""
     if not docs.num_columns:
-        return []
-    rows = {(i, h): t for i, h, t in zip(docs["doc_id"].to_pylist(), docs["h"].to_pylist(), docs["text"].to_pylist())}
-    return [(i, h, Paragraphs(rows[i, h])) for i, h in sorted(rows)]
-
-
-def _all_keys(found: list, bands: int) -> np.ndarray:
-    return np.concatenate([p.keys(bands) for _, _, p in found]) if found else np.zeros((0, bands), dtype=U64)
+        return [], Paragraphs([])
+    skip = set(zip(other["skip_id"].to_pylist(), other["skip_h"].to_pylist())) if other.num_columns else set()
+    rows = {(i, h): t for i, h, t in zip(docs["doc_id"].to_pylist(), docs["h"].to_pylist(), docs["text"].to_pylist())
+            if (i, h) not in skip}
+    names = sorted(rows)
+    return names, Paragraphs.over([rows[k] for k in names])
 
 
 def _tell(shards: int, bands: int):
-    def run(key, docs):
-        return announce(key[0].as_py(), _all_keys(_shard(docs), bands).ravel(), shards)
+    def run(key, docs, other):
+        return announce(key[0].as_py(), _shard(docs, other)[1].keys(bands).ravel(), shards)
     return run
 
 
@@ -108,35 +160,59 @@ def _hear(table: pa.Table) -> pa.Table:
     return pa.table({"shard": shard, "blob": blob})
 
 
-_ROWS = "doc_id long, h long, unit int, begin int, end int, words int, f long, n int, bands array<long>, set array<long>"
+_ROWS = "doc_id long, h long, unit int, begin int, end int, words int, f long, n int, set array<long>"
+
+
+def _candidate_runs(found: Paragraphs, take: np.ndarray, min_words: int) -> np.ndarray:
+    """Of the paragraphs taken, those in runs of neighbours of at least ``min_words`` words."""
+    which = np.flatnonzero(take)
+    if not len(which):
+        return which
+    first = np.ones(len(which), dtype=bool)
+    first[1:] = (np.diff(which) > 1) | (found.doc[which][1:] != found.doc[which][:-1])
+    run = np.cumsum(first) - 1
+    return which[np.bincount(run, weights=found.words[which])[run] >= min_words]
 
 
-def _repeated(bands: int):
-    """Paragraphs that share a band with another one; the set is given once per shard and fingerprint."""
+def _repeated(bands: int, min_words: int):
+    """Paragraphs in runs that share bands with others; the set is given once per shard and fingerprint."""
 
-    def run(key, docs: pa.Table, told: pa.Table) -> pa.Table:
-        found = _shard(docs)
-        keys = _all_keys(found, bands)
+    def run(key, docs: pa.Table, other: pa.Table) -> pa.Table:
+        names, found = _shard(docs, other)
+        keys = found.keys(bands)
         take = repeated_here(keys.ravel())
-        for blob in told["blob"].to_pylist() if told.num_columns else []:
-            take[np.frombuffer(blob, dtype=np.uint32)] = True
-        take = take.reshape(keys.shape).any(axis=1)
-        cols: list[list] = [[] for _ in range(10)]
-        seen, at = set(), 0
-        for i, h, p in found:
-            ends = np.append(p.starts[1:], len(p.shingles))
-            for u in np.flatnonzero(take[at:at + len(p.words)]).tolist():
-                s = np.unique(p.shingles[p.starts[u]:ends[u]])
-                f = int(signed(mix(mix(s).sum(keepdims=True) + U64(len(s))))[0])
-                new = f not in seen
-                seen.add(f)
-                for c, v in zip(cols, (i, h, u, int(p.begin[u]), int(p.end[u]), int(p.words[u]), f, len(s),
-                                       signed(keys[at + u]) if new else None, signed(s) if new else None)):
-                    c.append(v)
-            at += len(p.words)
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(),
-                 pa.list_(pa.int64()), pa.list_(pa.int64())]
-        return pa.table({x.split()[0]: pa.array(c, k) for x, c, k in zip(_ROWS.split(", "), cols, kinds)})
+        for blob in other["blob"].to_pylist() if other.num_columns else []:
+            if blob is not None:
+                take[np.frombuffer(blob, dtype=np.uint32)] = True
+        which = _candidate_runs(found, take.reshape(keys.shape).any(axis=1), min_words)
+        flat, offsets, f = found.sets(which)
+        n = np.diff(offsets)
+        new = np.zeros(len(which), dtype=bool)
+        new[np.unique(f, return_index=True)[1]] = True
+        ids = np.array(names, dtype=np.int64).reshape(-1, 2)
+        # lists of the first paragraph of each fingerprint; null for the others
+        at = np.concatenate(([0], np.cumsum(np.where(new, n, 0)))).astype(np.int32)
+        sets = pa.ListArray.from_arrays(pa.array(at), pa.array(signed(np.ascontiguousarray(flat[np.repeat(new, n)]))), mask=pa.array(~new))
+        cols = [pa.array(ids[found.doc[which], 0]), pa.array(ids[found.doc[which], 1]),
+                *(pa.array(getattr(found, c)[which].astype(np.int32)) for c in ("unit", "begin", "end", "words")),
+                pa.array(signed(f)), pa.array(n.astype(np.int32)), sets]
+        return pa.table(dict(zip([x.split()[0] for x in _ROWS.split(", ")], cols)))
+    return run
+
+
+def _band_keys(bands: int):
+    """``(f, set)`` -> ``(f, b)``: one row per band."""
+
+    def run(batches):
+        for batch in batches:
+            column = batch["set"]
+            flat, cuts = column.values.to_numpy().view(U64), column.offsets.to_numpy()
+            p = Paragraphs([])
+            p.shingles, p.starts = flat[cuts[0]:cuts[-1]], (cuts[:-1] - cuts[0]).astype(np.int64)
+            p.words = np.diff(cuts)
+            keys = p.keys(bands) + np.arange(bands, dtype=U64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch["f"].to_numpy(), bands)), pa.array(signed(keys.ravel()))],
+                                             names=["f", "b"])
     return run
 
 
@@ -162,30 +238,44 @@ def _block_links(percent: int):
     return run
 
 
+#: Sets of fewer shingles are similar at 0.75 only if they are equal.
+LEAST_SET = 3
+
+
 def _link(classes: DataFrame, percent: int) -> DataFrame:
-    """Components of similar classes ``(f, n, bands, set)``: ``(id, component_id)`` of linked ones.
+    """Components of similar classes ``(f, n, set)``: ``(id, component_id)`` of linked ones.
 
     First every member of a bucket against the bucket's hub, then, in buckets
     that still hold several components, blocks of bounded size inside tasks.
     """
-    rows = classes.select("f", F.explode("bands").alias("b")).distinct()
+    rows = classes.where(F.col("n") >= LEAST_SET).select("f", "set").mapInArrow(_band_keys(bands_for(percent)), "f long, b long")
     shared = rows.groupBy("b").agg(F.count(F.lit(1)).alias("c"), F.min("f").alias("hub")).where("c > 1")
     multi = staged(rows.join(shared, "b"), "passage-buckets")
     pairs = multi.where("f != hub").select(F.least("f", "hub").alias("a"), F.greatest("f", "hub").alias("b")).distinct()
     sets = classes.select("f", "set")
-    both = (pairs.join(sets.select(F.col("f").alias("a"), F.col("set").alias("x")), "a")
-            .join(sets.select(F.col("f").alias("b"), F.col("set").alias("y")), "b")
-            .select("a", "b", F.size("x").alias("x"), F.size("y").alias("y"), F.size(F.array_intersect("x", "y")).alias("i")))
-    links = both.where(100 * F.col("i") >= percent * (F.col("x") + F.col("y") - F.col("i"))).select("a", "b")
+
+    def exact(pairs: DataFrame) -> DataFrame:
+        both = (pairs.join(sets.select(F.col("f").alias("a"), F.col("set").alias("x")), "a")
+                .join(sets.select(F.col("f").alias("b"), F.col("set").alias("y")), "b")
+                .select("a", "b", F.size("x").alias("x"), F.size("y").alias("y"), F.size(F.array_intersect("x", "y")).alias("i")))
+        return both.where(100 * F.col("i") >= percent * (F.col("x") + F.col("y") - F.col("i"))).select("a", "b")
+
+    links = exact(pairs)
     comp = cut(components(links))
     known = multi.join(comp, F.col("f") == F.col("id"), "left").select("b", "f", F.coalesce("component_id", "f").alias("comp"))
     mixed = (known.groupBy("b").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c"))
-             .where("lo != hi").select("b", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
-    rest = (known.join(mixed, "b").withColumn("own", F.pmod(F.xxhash64("f"), F.col("blocks").cast("long")).cast("int"))
+             .where("lo != hi").select("b", "c", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
+    # buckets of a few members: their pairs (a bounded number each) by a join; larger ones in blocks
+    few = known.join(mixed.where(F.col("c") <= FEW), "b").select("b", "f", "comp")
+    x, y = (few.select(F.col("b"), F.col("f").alias(f), F.col("comp").alias(c)) for f, c in (("a", "p"), ("z", "q")))
+    near = exact(x.join(y, "b").where("a < z and p != q").select("a", F.col("z").alias("b")).distinct())
+    rest = (known.join(mixed.where(F.col("c") > FEW), "b")
+            .withColumn("own", F.pmod(F.xxhash64("f"), F.col("blocks").cast("long")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).join(sets, "f"))
     more = rest.select("b", "i", "j", "own", "f", "comp", "set").groupBy("b", "i", "j").applyInArrow(
         _block_links(percent), "a long, b long")
+    more = near.unionAll(more)
     return components(comp.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionAll(more.distinct()))
 
 
@@ -198,7 +288,9 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     ``percent`` or more; fewer words make one shingle) stands in a document of
     smaller doc_id; runs of at least ``min_words`` words of neighbouring
     repeated paragraphs are returned, ``kept_doc_id`` being the smallest
-    document that keeps one of them. Repeats within one document are left.
+    document that keeps one of them. Only paragraphs in runs of candidates of
+    at least half as many words are compared. A copy of a whole text is one
+    run. Repeats within one document are left.
     Rows with null doc_id or text are neither compared nor returned; an empty
     table gives an empty result; other columns are ignored.
     """
@@ -206,10 +298,22 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     total = text.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(MIN_SHARDS, int(total) // SHARD_BYTES + 1)
     bands = bands_for(percent)
-    by_shard = text.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards).cast("long"))).groupBy("shard")
-    heard = by_shard.applyInArrow(_tell(shards, bands), TOLD).groupBy("bucket").applyInArrow(_hear, "shard long, blob binary")
-    units = staged(by_shard.cogroup(heard.groupBy("shard")).applyInArrow(_repeated(bands), _ROWS), "passage-units")
-    classes = staged(units.where("set is not null").select("f", "n", "bands", "set").dropDuplicates(["f"]), "passage-classes")
+    shard = lambda c: F.pmod(F.xxhash64(c), F.lit(shards).cast("long"))
+    # equal texts: all but the first document are repeated whole
+    narrow = text.select("doc_id", "h", F.octet_length("text").cast("long").alias("end"),
+                         F.size(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)).cast("long").alias("n_words")).distinct()
+    lead = narrow.groupBy(F.col("h").alias("lh")).agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("top")).where("lead != top")
+    copies = staged(narrow.join(lead, F.col("h") == F.col("lh")).where("doc_id != lead").select("doc_id", "h", "end", "n_words", "lead"),
+                    "passage-copies")
+    skip = copies.select(shard("doc_id").alias("shard"), F.lit(None).cast("binary").alias("blob"),
+                         F.col("doc_id").alias("skip_id"), F.col("h").alias("skip_h"))
+    by_shard = text.withColumn("shard", shard("doc_id")).groupBy("shard")
+    told = by_shard.cogroup(skip.groupBy("shard")).applyInArrow(_tell(shards, bands), TOLD)
+    heard = told.groupBy("bucket").applyInArrow(_hear, "shard long, blob binary").select(
+        "shard", "blob", F.lit(None).cast("long").alias("skip_id"), F.lit(None).cast("long").alias("skip_h"))
+    units = staged(by_shard.cogroup(skip.unionAll(heard).groupBy("shard")).applyInArrow(
+        _repeated(bands, min_words // 2), _ROWS), "passage-units")
+    classes = staged(units.where("set is not null").select("f", "n", "set").dropDuplicates(["f"]), "passage-classes")
     comp = _link(classes, percent)
     members = units.select("doc_id", "h", "unit", "begin", "end", "words", "f").join(
         comp, F.col("f") == F.col("id"), "left").withColumn("cluster", F.coalesce("component_id", "f")).drop("id", "component_id", "f")
@@ -219,7 +323,9 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     runs = again.withColumn("run", F.col("unit") - F.row_number().over(w)).groupBy("doc_id", "h", "run").agg(
         F.min("begin").cast("long").alias("begin"), F.max("end").cast("long").alias("end"),
         F.sum("words").alias("n_words"), F.min("kept").alias("kept_doc_id"), F.min("cluster").alias("cluster"))
-    return runs.where(F.col("n_words") >= min_words).drop("run")
+    whole = copies.where(F.col("n_words") >= min_words).select(
+        "doc_id", "h", F.lit(0).cast("long").alias("begin"), "end", "n_words", F.col("lead").alias("kept_doc_id"), F.col("h").alias("cluster"))
+    return runs.where(F.col("n_words") >= min_words).drop("run").unionAll(whole)
 
 
 def _remove(batches):
