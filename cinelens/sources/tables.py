@@ -13,9 +13,3 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table; column pruning and filters reach the parquet scan."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Expose the tables as temp views for ``spark.sql``."""
-    for name in names:
-        read_table(spark, sf_dir, name).createOrReplaceTempView(name)
