@@ -25,6 +25,8 @@ Plan shape (no Python in the hot path):
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,7 +156,16 @@ def _vocab(lexicon: DataFrame, boosters: DataFrame, negations: DataFrame) -> Dat
         F.max("valence").alias("valence"), F.max("scalar").alias("scalar"), F.max("neg").alias("neg"))
 
 
-def _valence_steps(hits: DataFrame, C: float, N: float) -> DataFrame:
+@dataclass(frozen=True)
+class Rules:
+    """Small rules in which releases of the method differ; the defaults follow the published implementation."""
+
+    never_factor_2: float = NEVER_FACTOR     # "never so/this <word>"
+    never_factor_3: float = NEVER_FACTOR     # the same one word farther, or "so/this" just before
+    without_doubt: bool = True               # "without doubt" does not negate
+
+
+def _valence_steps(hits: DataFrame, C: float, N: float, rules: Rules = Rules()) -> DataFrame:
     """Per-word valence (V2-V6) for lexicon words, one projection per rule.
 
     Each step reads the previous step's column by name, so the expression
@@ -182,14 +193,14 @@ def _valence_steps(hits: DataFrame, C: float, N: float) -> DataFrame:
         if k == 1:
             vn = F.when(negated, vb * N).otherwise(vb)
         elif k == 2:
-            vn = (F.when((col("p2") == "never") & col("p1").isin(*NEVER_WORDS), vb * NEVER_FACTOR)
-                  .when((col("p2") == "without") & (col("p1") == "doubt"), vb)
-                  .when(negated, vb * N).otherwise(vb))
+            doubt = F.lit(rules.without_doubt) & (col("p2") == "without") & (col("p1") == "doubt")
+            vn = (F.when((col("p2") == "never") & col("p1").isin(*NEVER_WORDS), vb * rules.never_factor_2)
+                  .when(doubt, vb).when(negated, vb * N).otherwise(vb))
         else:
+            doubt = F.lit(rules.without_doubt) & (col("p3") == "without") & ((col("p2") == "doubt") | (col("p1") == "doubt"))
             vn = (F.when(((col("p3") == "never") & col("p2").isin(*NEVER_WORDS))
-                         | col("p1").isin(*NEVER_WORDS), vb * NEVER_FACTOR)
-                  .when((col("p3") == "without") & ((col("p2") == "doubt") | (col("p1") == "doubt")), vb)
-                  .when(negated, vb * N).otherwise(vb))
+                         | col("p1").isin(*NEVER_WORDS), vb * rules.never_factor_3)
+                  .when(doubt, vb).when(negated, vb * N).otherwise(vb))
         applies = (col("i") >= k) & ~F.coalesce(col(f"l{k}"), F.lit(False))
         out = out.withColumn("__v", F.when(applies, vn).otherwise(v))
         if k == 3 and "iv_10" in out.columns:
@@ -216,7 +227,8 @@ def _valence_steps(hits: DataFrame, C: float, N: float) -> DataFrame:
 
 
 def _valences(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, boosters: DataFrame | None,
-              negations: DataFrame | None, contrast: str, c_incr: float, n_scalar: float, idioms: DataFrame | None) -> DataFrame:
+              negations: DataFrame | None, contrast: str, c_incr: float, n_scalar: float, idioms: DataFrame | None,
+              rules: Rules = Rules()) -> DataFrame:
     """Lexicon words with their valences ``__v`` and their document's features; a row without word per other document.
 
     The lexicon's words (a hand-made list) are read to the driver once: the
@@ -249,24 +261,24 @@ def _valences(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, boo
         side = phrases.select(F.col("phrase").alias(f"ph_{slot}"), F.col("iv").alias(f"iv_{slot}"),
                               F.col("ib").alias(f"ib_{slot}"))
         hits = hits.join(side, f"ph_{slot}", "left")
-    return _valence_steps(hits, c_incr, n_scalar)
+    return _valence_steps(hits, c_incr, n_scalar, rules)
 
 
 def word_valences(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
                   boosters: DataFrame | None = None, negations: DataFrame | None = None,
                   contrast: str = "but", c_incr: float = LX.C_INCR,
-                  n_scalar: float = LX.N_SCALAR, idioms: DataFrame | None = None) -> DataFrame:
+                  n_scalar: float = LX.N_SCALAR, idioms: DataFrame | None = None, rules: Rules = Rules()) -> DataFrame:
     """J7 + V1-V6: ``(id, i, word, valence)`` for lexicon words."""
-    steps = _valences(df, id_col, text_col, lexicon, boosters, negations, contrast, c_incr, n_scalar, idioms)
+    steps = _valences(df, id_col, text_col, lexicon, boosters, negations, contrast, c_incr, n_scalar, idioms, rules)
     return steps.where("i is not null").select(F.col("__id"), F.col("i"), F.col("w").alias("word"), F.col("__v").alias("valence"))
 
 
 def sentiment_scores(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, boosters: DataFrame | None = None,
                      negations: DataFrame | None = None, contrast: str = "but", alpha: float = LX.ALPHA,
-                     columns=None, idioms: DataFrame | None = None) -> DataFrame:
+                     columns=None, idioms: DataFrame | None = None, rules: Rules = Rules()) -> DataFrame:
     """``(id, Compound, Negative, Neutral, Positive)`` per document: one scan, and no text is shuffled."""
     compound, negative, neutral, positive = columns or SCORE_COLUMNS
-    vals = _valences(df, id_col, text_col, lexicon, boosters, negations, contrast, LX.C_INCR, LX.N_SCALAR, idioms)
+    vals = _valences(df, id_col, text_col, lexicon, boosters, negations, contrast, LX.C_INCR, LX.N_SCALAR, idioms, rules)
     v = F.col("__v")
     per_doc = vals.groupBy("__id", "__n", "__amp").agg(
         F.sum(v).alias("__sum"),
@@ -299,7 +311,7 @@ def sentiment_scores(df: DataFrame, id_col: str, text_col: str, lexicon: DataFra
 def score_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | None = None,
                     boosters: DataFrame | None = None, negations: DataFrame | None = None,
                     contrast: str = "but", scorer=None, alpha: float = LX.ALPHA,
-                    columns=SCORE_COLUMNS, idioms: DataFrame | None = None) -> DataFrame:
+                    columns=SCORE_COLUMNS, idioms: DataFrame | None = None, rules: Rules = Rules()) -> DataFrame:
     """Append Compound, Negative, Neutral, Positive to ``df``.
 
     ``id_col`` must be unique per row. ``scorer`` (optional) is a
@@ -314,5 +326,5 @@ def score_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFram
             neutral: F.col("__s.neu"), positive: F.col("__s.pos")}).drop("__s")
     if lexicon is None:
         raise ValueError("a lexicon DataFrame (token, valence) is required")
-    scores = sentiment_scores(df, id_col, text_col, lexicon, boosters, negations, contrast, alpha, columns, idioms)
+    scores = sentiment_scores(df, id_col, text_col, lexicon, boosters, negations, contrast, alpha, columns, idioms, rules)
     return df.join(scores.withColumnRenamed(id_col, "__id"), F.col(id_col).eqNullSafe(F.col("__id"))).drop("__id")

@@ -142,6 +142,19 @@ def test_a_negation_flips_within_three_words_only(spark):
     assert abs(got[3][0] - model("not x y fine")[0]) < 6e-5
 
 
+def test_rules_of_other_releases(spark):
+    df = spark.createDataFrame([(0, "never so fine"), (1, "without doubt fine"), (2, "x without doubt fine")], "id long, t string")
+
+    def scores(rules):
+        out = SN.sentiment_scores(df, "id", "t", SN.lexicon_table(spark, LEX), SN.booster_table(spark, BOOST),
+                                  SN.negation_table(spark, NEG), rules=rules)
+        return {r["id"]: r["Compound"] for r in out.collect()}
+
+    usual, other = scores(SN.Rules()), scores(SN.Rules(never_factor_2=1.5, without_doubt=False))
+    assert other[0] > usual[0] > 0
+    assert usual[1] > 0 > other[1] and usual[2] > 0 > other[2]
+
+
 def test_idioms_override_and_phrase_boosters(spark):
     # "good movie" (word + next) overrides; "kind of" before the word adds its scalar
     got = _score(spark, ["the x y good movie", "a b c good", "x kind of good", "x y z good"])
