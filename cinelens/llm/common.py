@@ -53,7 +53,11 @@ def slices(batches, rows: int = 256):
 # --- components ---------------------------------------------------------------------
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+#: Edges per task of a component step.
+EDGE_ROWS = 100_000
+
+
+def _star(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
     """One large-star or small-star step over undirected edges ``(u, v)``, u > v."""
     both = edges.select("u", "v")
     if large:
@@ -66,28 +70,30 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         out = joined.select(F.col("v").alias("u"), F.col("__m").alias("v")).unionAll(
             low.select(F.col("__u").alias("u"), F.col("__m").alias("v")))
-    return out.where(F.col("u") != F.col("v")).distinct()
+    return out.where(F.col("u") != F.col("v")).coalesce(tasks).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Smallest reachable id of every vertex of ``edges (a long, b long)`` -> ``(id, component_id)``.
 
     Alternates large-star and small-star steps until every vertex points at
-    its smallest one. A vertex with very many neighbours costs one partial
-    aggregate per task and a join whose hot side Spark may split; nothing is
-    gathered per vertex or at the driver. Self links and repeated links are
-    ignored; null ends are dropped. Every round is cut by ``checkpoint()``.
+    its smallest one: no vertex has two parents or is both child and parent.
+    A vertex with very many neighbours costs one partial aggregate per task
+    and a join whose hot side Spark may split; nothing is gathered per vertex
+    or at the driver. Self links and repeated links are ignored; null ends are
+    dropped. Every round is cut by ``checkpoint()`` and runs on as many tasks
+    as its edges need.
     """
-    e = edges.where("a is not null and b is not null and a != b").select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e = cut(e)
-    mark = None
+    e = cut(edges.where("a is not null and b is not null and a != b").select(
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     while True:
-        e = cut(_star(_star(e, True), False))
-        row = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if (row["n"], row["h"]) == mark:
+        tasks = e.count() // EDGE_ROWS + 1
+        few = e.coalesce(tasks)
+        e = cut(_star(_star(few, True, tasks), False, tasks).coalesce(tasks))
+        roles = e.select("u", F.lit(1).alias("child"), F.lit(0).alias("parent")).unionAll(
+            e.select("v", F.lit(0), F.lit(1))).groupBy("u").agg(F.sum("child").alias("c"), F.max("parent").alias("p"))
+        if roles.where("c > 1 or (c = 1 and p = 1)").isEmpty():
             break
-        mark = (row["n"], row["h"])
     roots = e.select("v").distinct()
     return e.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionAll(
         roots.select(F.col("v").alias("id"), F.col("v").alias("component_id")))
