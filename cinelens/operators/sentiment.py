@@ -113,10 +113,9 @@ def _doc_features(df: DataFrame, id_col: str, text_col: str, contrast: str) -> D
     return df.select(
         F.col(id_col).alias("__id"),
         _words(text).alias("__w"),
-        _words(F.lower(text)).alias("__lw"),
         punctuation_amplifier(text).alias("__amp"),
         F.size(F.regexp_extract_all(text, F.lit(_ALLCAPS), 0)).alias("__ncaps"),
-    ).select(
+    ).withColumn("__lw", F.transform("__w", F.lower)).select(
         "__id", "__w", "__lw", "__amp",
         F.size("__w").alias("__n"),
         (F.array_position("__lw", contrast) - 1).alias("__bi"),
