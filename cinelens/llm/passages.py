@@ -1,12 +1,12 @@
 """Near-duplicate passages by paragraph MinHash banding.
 
-A document's paragraphs are its lines, cut further where the words
-themselves say so (local minima of a hash), so that a passage set into a
-longer line still has paragraphs of its own. Paragraphs that share a band of
+A document's paragraphs are its lines and, within them, chunks cut where the
+words themselves say so (local minima of a hash), so that a passage set into
+a longer line still has paragraphs of its own. Paragraphs that share a band of
 their MinHash samples are joined and confirmed by the exact Jaccard
 similarity of their shingles; links are clustered by components. Of a cluster
 the first document keeps its paragraphs; in others, runs of repeated
-paragraphs are removed.
+paragraphs are removed, a repeated line whole.
 """
 
 from __future__ import annotations
@@ -45,9 +45,11 @@ def bands_for(percent: int = PERCENT, recall: float = RECALL) -> int:
 class Paragraphs:
     """Paragraphs of a shard's texts, worked out over all of them at once.
 
-    ``doc`` (number of the text), ``unit`` (number within it), ``begin`` and
-    ``end`` (bytes in its text), ``words``, and the shingle hashes, flat with
-    ``starts`` (a paragraph's shingles may repeat).
+    ``doc`` (number of the text), ``unit`` and ``last`` (its chunks, by number
+    within the text; a line of several chunks is a paragraph besides them),
+    ``begin`` and ``end`` (bytes in its text), ``at`` (number of the first
+    word) and ``words``, and the shingle hashes, flat with ``starts`` (a
+    paragraph's shingles may repeat).
     """
 
     def __init__(self, texts: list[str], reach: int = REACH):
@@ -60,7 +62,7 @@ class Paragraphs:
         start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge[1:] == 1) + 1
         n = len(start)
         if not n:
-            self.doc = self.unit = self.begin = self.end = self.words = self.starts = np.zeros(0, dtype=np.int64)
+            self.doc = self.unit = self.last = self.begin = self.end = self.at = self.words = self.starts = np.zeros(0, dtype=np.int64)
             self.shingles = np.zeros(0, dtype=U64)
             return
         doc = np.searchsorted(base, start, side="right") - 1
@@ -78,12 +80,18 @@ class Paragraphs:
             np.minimum(high, wide[spot + k], out=high)
         border = (pair <= high) & (pair < low)
         lines = np.cumsum(raw == 10)[start]
-        border[1:] |= (lines[1:] != lines[:-1]) | (doc[1:] != doc[:-1])
-        border[0] = True
-        a = np.flatnonzero(border)
-        b = np.append(a[1:], n)
+        fresh = np.append(True, (lines[1:] != lines[:-1]) | (doc[1:] != doc[:-1]))
+        chunk, line = np.flatnonzero(border | fresh), np.flatnonzero(fresh)
+        # lines of several chunks stand before their first chunk
+        a, b = np.append(chunk, line), np.concatenate((chunk[1:], [n], line[1:], [n]))
+        unit, final = np.searchsorted(chunk, a), np.searchsorted(chunk, b) - 1
+        by = np.flatnonzero((np.arange(len(a)) < len(chunk)) | (final > unit))
+        by = by[np.lexsort((-b[by], a[by]))]
+        a, b = a[by], b[by]
         self.doc, self.words = doc[a], b - a
-        self.unit = np.arange(len(a)) - np.searchsorted(self.doc, self.doc, side="left")
+        zero = np.searchsorted(doc, self.doc, side="left")
+        self.unit, self.last = (x[by] - np.searchsorted(chunk, zero) for x in (unit, final))
+        self.at = a - zero
         self.begin, self.end = start[a] - base[self.doc], end[b - 1] - base[self.doc]
         count = np.maximum(1, self.words - SHINGLE + 1)
         self.starts = np.concatenate(([0], np.cumsum(count)[:-1]))
@@ -108,7 +116,7 @@ class Paragraphs:
         cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(texts)]
         parts = [cls(texts[a:b]) for a, b in zip(cuts, cuts[1:])]
         out = cls([])
-        for name in ("unit", "begin", "end", "words", "shingles"):
+        for name in ("unit", "last", "begin", "end", "at", "words", "shingles"):
             setattr(out, name, np.concatenate([getattr(p, name) for p in parts]))
         out.doc = np.concatenate([p.doc + a for p, a in zip(parts, cuts)])
         shift = np.cumsum([0] + [len(p.shingles) for p in parts])
@@ -160,18 +168,18 @@ def _hear(table: pa.Table) -> pa.Table:
     return pa.table({"shard": shard, "blob": blob})
 
 
-_ROWS = "doc_id long, h long, unit int, begin int, end int, words int, f long, n int, set array<long>"
+_ROWS = "doc_id long, h long, unit int, last int, begin int, end int, at int, words int, f long, n int, set array<long>"
 
 
 def _candidate_runs(found: Paragraphs, take: np.ndarray, min_words: int) -> np.ndarray:
-    """Of the paragraphs taken, those in runs of neighbours of at least ``min_words`` words."""
-    which = np.flatnonzero(take)
-    if not len(which):
-        return which
-    first = np.ones(len(which), dtype=bool)
-    first[1:] = (np.diff(which) > 1) | (found.doc[which][1:] != found.doc[which][:-1])
-    run = np.cumsum(first) - 1
-    return which[np.bincount(run, weights=found.words[which])[run] >= min_words]
+    """Of the paragraphs taken, lines and the chunks in runs of neighbours of at least ``min_words`` words."""
+    which = np.flatnonzero(take & (found.unit == found.last))
+    if len(which):
+        first = np.ones(len(which), dtype=bool)
+        first[1:] = (np.diff(found.unit[which]) != 1) | (found.doc[which][1:] != found.doc[which][:-1])
+        run = np.cumsum(first) - 1
+        which = which[np.bincount(run, weights=found.words[which])[run] >= min_words]
+    return np.union1d(which, np.flatnonzero(take & (found.unit < found.last)))
 
 
 def _repeated(bands: int, min_words: int):
@@ -194,7 +202,7 @@ def _repeated(bands: int, min_words: int):
         at = np.concatenate(([0], np.cumsum(np.where(new, n, 0)))).astype(np.int32)
         sets = pa.ListArray.from_arrays(pa.array(at), pa.array(signed(np.ascontiguousarray(flat[np.repeat(new, n)]))), mask=pa.array(~new))
         cols = [pa.array(ids[found.doc[which], 0]), pa.array(ids[found.doc[which], 1]),
-                *(pa.array(getattr(found, c)[which].astype(np.int32)) for c in ("unit", "begin", "end", "words")),
+                *(pa.array(getattr(found, c)[which].astype(np.int32)) for c in ("unit", "last", "begin", "end", "at", "words")),
                 pa.array(signed(f)), pa.array(n.astype(np.int32)), sets]
         return pa.table(dict(zip([x.split()[0] for x in _ROWS.split(", ")], cols)))
     return run
@@ -288,8 +296,8 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     ``percent`` or more; fewer words make one shingle) stands in a document of
     smaller doc_id; runs of at least ``min_words`` words of neighbouring
     repeated paragraphs are returned, ``kept_doc_id`` being the smallest
-    document that keeps one of them. Only paragraphs in runs of candidates of
-    at least half as many words are compared. A copy of a whole text is one
+    document that keeps one of them. Only lines, and chunks in runs of
+    candidates of at least half as many words, are compared. A copy of a whole text is one
     run. Repeats within one document are left.
     Rows with null doc_id or text are neither compared nor returned; an empty
     table gives an empty result; other columns are ignored.
@@ -315,14 +323,17 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
         _repeated(bands, min_words // 2), _ROWS), "passage-units")
     classes = staged(units.where("set is not null").select("f", "n", "set").dropDuplicates(["f"]), "passage-classes")
     comp = _link(classes, percent)
-    members = units.select("doc_id", "h", "unit", "begin", "end", "words", "f").join(
+    members = units.select("doc_id", "h", "unit", "last", "begin", "end", "at", "words", "f").join(
         comp, F.col("f") == F.col("id"), "left").withColumn("cluster", F.coalesce("component_id", "f")).drop("id", "component_id", "f")
     first = members.groupBy("cluster").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("top")).where("kept != top")
     again = members.join(first.select("cluster", "kept"), "cluster").where("doc_id != kept")
-    w = Window.partitionBy("doc_id", "h").orderBy("unit")
-    runs = again.withColumn("run", F.col("unit") - F.row_number().over(w)).groupBy("doc_id", "h", "run").agg(
+    w = Window.partitionBy("doc_id", "h").orderBy("unit", "last")
+    before = F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = again.withColumn("fresh", F.coalesce(F.col("unit") > before + 1, F.lit(True)).cast("int"))
+    runs = fresh.withColumn("run", F.sum("fresh").over(w)).groupBy("doc_id", "h", "run").agg(
         F.min("begin").cast("long").alias("begin"), F.max("end").cast("long").alias("end"),
-        F.sum("words").alias("n_words"), F.min("kept").alias("kept_doc_id"), F.min("cluster").alias("cluster"))
+        (F.max(F.col("at") + F.col("words")) - F.min("at")).cast("long").alias("n_words"),
+        F.min("kept").alias("kept_doc_id"), F.min("cluster").alias("cluster"))
     whole = copies.where(F.col("n_words") >= min_words).select(
         "doc_id", "h", F.lit(0).cast("long").alias("begin"), "end", "n_words", F.col("lead").alias("kept_doc_id"), F.col("h").alias("cluster"))
     return runs.where(F.col("n_words") >= min_words).drop("run").unionAll(whole)
