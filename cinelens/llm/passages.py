@@ -171,19 +171,8 @@ def _hear(table: pa.Table) -> pa.Table:
 _ROWS = "doc_id long, h long, unit int, last int, begin int, end int, at int, words int, f long, n int, set array<long>"
 
 
-def _candidate_runs(found: Paragraphs, take: np.ndarray, min_words: int) -> np.ndarray:
-    """Of the paragraphs taken, lines and the chunks in runs of neighbours of at least ``min_words`` words."""
-    which = np.flatnonzero(take & (found.unit == found.last))
-    if len(which):
-        first = np.ones(len(which), dtype=bool)
-        first[1:] = (np.diff(found.unit[which]) != 1) | (found.doc[which][1:] != found.doc[which][:-1])
-        run = np.cumsum(first) - 1
-        which = which[np.bincount(run, weights=found.words[which])[run] >= min_words]
-    return np.union1d(which, np.flatnonzero(take & (found.unit < found.last)))
-
-
-def _repeated(bands: int, min_words: int):
-    """Paragraphs in runs that share bands with others; the set is given once per shard and fingerprint."""
+def _repeated(bands: int):
+    """Paragraphs that share bands with others; the set is given once per shard and fingerprint."""
 
     def run(key, docs: pa.Table, other: pa.Table) -> pa.Table:
         names, found = _shard(docs, other)
@@ -192,7 +181,7 @@ def _repeated(bands: int, min_words: int):
         for blob in other["blob"].to_pylist() if other.num_columns else []:
             if blob is not None:
                 take[np.frombuffer(blob, dtype=np.uint32)] = True
-        which = _candidate_runs(found, take.reshape(keys.shape).any(axis=1), min_words)
+        which = np.flatnonzero(take.reshape(keys.shape).any(axis=1))
         flat, offsets, f = found.sets(which)
         n = np.diff(offsets)
         new = np.zeros(len(which), dtype=bool)
@@ -296,8 +285,7 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     ``percent`` or more; fewer words make one shingle) stands in a document of
     smaller doc_id; runs of at least ``min_words`` words of neighbouring
     repeated paragraphs are returned, ``kept_doc_id`` being the smallest
-    document that keeps one of them. Only lines, and chunks in runs of
-    candidates of at least half as many words, are compared. A copy of a whole text is one
+    document that keeps one of them. A copy of a whole text is one
     run. Repeats within one document are left.
     Rows with null doc_id or text are neither compared nor returned; an empty
     table gives an empty result; other columns are ignored.
@@ -320,7 +308,7 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     heard = told.groupBy("bucket").applyInArrow(_hear, "shard long, blob binary").select(
         "shard", "blob", F.lit(None).cast("long").alias("skip_id"), F.lit(None).cast("long").alias("skip_h"))
     units = staged(by_shard.cogroup(skip.unionAll(heard).groupBy("shard")).applyInArrow(
-        _repeated(bands, min_words // 2), _ROWS), "passage-units")
+        _repeated(bands), _ROWS), "passage-units")
     classes = staged(units.where("set is not null").select("f", "n", "set").dropDuplicates(["f"]), "passage-classes")
     comp = _link(classes, percent)
     members = units.select("doc_id", "h", "unit", "last", "begin", "end", "at", "words", "f").join(

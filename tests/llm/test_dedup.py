@@ -222,3 +222,12 @@ def test_near_copies_of_lines_are_cut_whole(spark):
         found.setdefault(r.doc_id, []).append(texts[r.doc_id].encode()[r.begin:r.end].decode())
     missed = [i for i in want if not any(want[i] in x for x in found.get(i, []))]
     assert len(missed) <= 1  # five bands of one sample: a pair at the threshold is missed once in a thousand
+
+
+def test_short_lines_that_stand_alone_earlier_make_a_run(spark):
+    rng = random.Random(4)
+    lines = [cases.words(rng, 8, 10**6) for _ in range(3)]
+    rows = [(0, "\n".join(x for line in lines for x in (cases.words(rng, 30, 10**6), line))),
+            (1, "\n".join([cases.words(rng, 30, 10**6), *lines, cases.words(rng, 30, 10**6)]))]
+    got = PS.repeated_passages(cases.plain(spark, rows)).collect()
+    assert [(r.doc_id, r.n_words, r.kept_doc_id, rows[1][1][r.begin:r.end]) for r in got] == [(1, 24, 0, "\n".join(lines))]
