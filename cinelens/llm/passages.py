@@ -6,12 +6,15 @@ a longer line still has paragraphs of its own. Paragraphs that share a band of
 their MinHash samples are joined and confirmed by the exact Jaccard
 similarity of their shingles; links are clustered by components. Of a cluster
 the first document keeps its paragraphs; in others, runs of repeated
-paragraphs are removed, a repeated line whole.
+paragraphs are removed, a repeated line whole, and extended word by word as
+far as the texts agree.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,10 @@ BATCH_CHARS = 1 << 19
 #: Members of a bucket that are compared in one task, and those of a bucket whose pairs are joined.
 BLOCK = 1000
 FEW = 12
+#: Words beside a run that are compared in the first round, and in each further one.
+CONTEXT = 32
+FURTHER = 1024
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def bands_for(percent: int = PERCENT, recall: float = RECALL) -> int:
@@ -48,7 +55,8 @@ class Paragraphs:
     ``doc`` (number of the text), ``unit`` and ``last`` (its chunks, by number
     within the text; a line of several chunks is a paragraph besides them),
     ``begin`` and ``end`` (bytes in its text), ``at`` (number of the first
-    word) and ``words``, and the shingle hashes, flat with ``starts`` (a
+    word) and ``words``, hashes of the words before and after it (``pre``,
+    ``post``; 0 where the text ends), and the shingle hashes, flat with ``starts`` (a
     paragraph's shingles may repeat).
     """
 
@@ -63,7 +71,7 @@ class Paragraphs:
         n = len(start)
         if not n:
             self.doc = self.unit = self.last = self.begin = self.end = self.at = self.words = self.starts = np.zeros(0, dtype=np.int64)
-            self.shingles = np.zeros(0, dtype=U64)
+            self.pre = self.post = self.shingles = np.zeros(0, dtype=U64)
             return
         doc = np.searchsorted(base, start, side="right") - 1
         w = mix(span_hash(prefix_hash(raw), start, end) + (end - start).astype(U64))
@@ -92,6 +100,8 @@ class Paragraphs:
         zero = np.searchsorted(doc, self.doc, side="left")
         self.unit, self.last = (x[by] - np.searchsorted(chunk, zero) for x in (unit, final))
         self.at = a - zero
+        self.pre = np.where(a > zero, w[a - 1], U64(0))
+        self.post = np.where(last[b - 1], U64(0), w[np.minimum(b, n - 1)])
         self.begin, self.end = start[a] - base[self.doc], end[b - 1] - base[self.doc]
         count = np.maximum(1, self.words - SHINGLE + 1)
         self.starts = np.concatenate(([0], np.cumsum(count)[:-1]))
@@ -116,7 +126,7 @@ class Paragraphs:
         cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(texts)]
         parts = [cls(texts[a:b]) for a, b in zip(cuts, cuts[1:])]
         out = cls([])
-        for name in ("unit", "last", "begin", "end", "at", "words", "shingles"):
+        for name in ("unit", "last", "begin", "end", "at", "words", "pre", "post", "shingles"):
             setattr(out, name, np.concatenate([getattr(p, name) for p in parts]))
         out.doc = np.concatenate([p.doc + a for p, a in zip(parts, cuts)])
         shift = np.cumsum([0] + [len(p.shingles) for p in parts])
@@ -168,7 +178,7 @@ def _hear(table: pa.Table) -> pa.Table:
     return pa.table({"shard": shard, "blob": blob})
 
 
-_ROWS = "doc_id long, h long, unit int, last int, begin int, end int, at int, words int, f long, n int, set array<long>"
+_ROWS = "doc_id long, h long, unit int, last int, begin int, end int, at int, words int, pre long, post long, f long, n int, set array<long>"
 
 
 def _repeated(bands: int):
@@ -192,6 +202,7 @@ def _repeated(bands: int):
         sets = pa.ListArray.from_arrays(pa.array(at), pa.array(signed(np.ascontiguousarray(flat[np.repeat(new, n)]))), mask=pa.array(~new))
         cols = [pa.array(ids[found.doc[which], 0]), pa.array(ids[found.doc[which], 1]),
                 *(pa.array(getattr(found, c)[which].astype(np.int32)) for c in ("unit", "last", "begin", "end", "at", "words")),
+                *(pa.array(signed(np.ascontiguousarray(getattr(found, c)[which]))) for c in ("pre", "post")),
                 pa.array(signed(f)), pa.array(n.astype(np.int32)), sets]
         return pa.table(dict(zip([x.split()[0] for x in _ROWS.split(", ")], cols)))
     return run
@@ -276,6 +287,93 @@ def _link(classes: DataFrame, percent: int) -> DataFrame:
     return components(comp.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionAll(more.distinct()))
 
 
+def beside(raw: bytes, at: int, right: bool, most: int) -> list[tuple[bytes, int]]:
+    """Up to ``most`` words of ``raw`` behind or before byte ``at``, nearest first, each with its far border."""
+    if right:
+        return [(m.group(), m.end()) for m in itertools.islice(_WORD.finditer(raw, at), most)]
+    width = 16 * most
+    while True:
+        low = max(0, at - width)
+        found = [(m.group(), m.start()) for m in _WORD.finditer(raw, low, at)]
+        if low and found and found[0][1] == low:
+            del found[0]  # perhaps not the whole word
+        if len(found) >= most or not low:
+            return found[::-1][:most]
+        width *= 2
+
+
+_BESIDE = "id long, hash long, spot long, right boolean, near binary, borders array<int>"
+
+
+def _beside(most: int):
+    """The words beside the asked places of a shard's texts."""
+
+    def run(key, docs: pa.Table, asked: pa.Table) -> pa.Table:
+        places: dict = {}
+        for r in asked.to_pylist() if asked.num_columns else []:
+            places.setdefault((r["id"], r["hash"]), []).append((r["spot"], r["right"]))
+        rows = []
+        if places:
+            for i, h, t in zip(docs["doc_id"], docs["h"], docs["text"]):
+                name = i.as_py(), h.as_py()
+                if name in places:
+                    raw = t.as_py().encode("utf-8", "surrogatepass").lower()
+                    for at, right in places.pop(name):
+                        got = beside(raw, at, right, most)
+                        rows.append((*name, at, right, b" ".join(x for x, _ in got), [k for _, k in got]))
+        cols = list(zip(*rows)) if rows else [()] * 6
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.list_(pa.int32()))
+        return pa.table({c.split()[0]: pa.array(v, k) for c, v, k in zip(_BESIDE.split(", "), cols, kinds)})
+    return run
+
+
+_EDGES = "doc_id long, h long, kept long, kept_h long, right boolean, at long, spot long, kept_spot long, cluster long"
+
+
+def _agreeing(most: int):
+    """Edges with the words beside both places -> how many agree, where they end, and whether there may be more."""
+
+    def run(batches):
+        for batch in slices(batches):
+            cols = {c: batch[c].to_pylist() for c in ("near", "borders", "kept_near", "kept_borders")}
+            count, ends, kept_ends = [], [], []
+            for x, bx, y, by in zip(*cols.values()):
+                n = next((k for k, (u, v) in enumerate(zip(x.split(b" "), y.split(b" "))) if u != v), min(len(bx), len(by)))
+                n = min(n, len(bx), len(by))
+                count.append(n)
+                ends.append(bx[n - 1] if n else None)
+                kept_ends.append(by[n - 1] if n else None)
+            names = [c.split()[0] for c in _EDGES.split(", ")]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[c] for c in names), pa.array(count, pa.int64()), pa.array(ends, pa.int64()), pa.array(kept_ends, pa.int64()),
+                 pa.array([n == most for n in count], pa.bool_())], names=[*names, "n", "to", "kept_to", "more"])
+    return run
+
+
+def _extended(edges: DataFrame, by_shard, shard) -> DataFrame:
+    """Pieces of text beside the edges that agree word by word with the kept texts, in rounds of a bounded number of words."""
+    pieces, most = None, CONTEXT
+    while True:
+        own = edges.select(F.col("doc_id").alias("id"), F.col("h").alias("hash"), "spot", "right")
+        other = edges.select(F.col("kept").alias("id"), F.col("kept_h").alias("hash"), F.col("kept_spot").alias("spot"), "right")
+        asked = own.unionAll(other).distinct().withColumn("shard", shard("id"))
+        found = staged(by_shard.cogroup(asked.groupBy("shard")).applyInArrow(_beside(most), _BESIDE), "passage-beside")
+        mine = found.toDF("doc_id", "h", "spot", "right", "near", "borders")
+        theirs = found.toDF("kept", "kept_h", "kept_spot", "right", "kept_near", "kept_borders")
+        both = edges.join(mine, ["doc_id", "h", "spot", "right"]).join(theirs, ["kept", "kept_h", "kept_spot", "right"])
+        done = staged(both.mapInArrow(_agreeing(most), _EDGES + ", n long, to long, kept_to long, more boolean").where("n > 0"),
+                      "passage-extended")
+        part = done.select("doc_id", "h", F.least("spot", "to").alias("begin"), F.greatest("spot", "to").alias("end"),
+                           F.when(F.col("right"), F.col("at")).otherwise(F.col("at") - F.col("n")).alias("at"), F.col("n").alias("words"),
+                           "kept", "cluster")
+        pieces = part if pieces is None else pieces.unionAll(part)
+        edges = done.where("more").withColumn("at", F.when(F.col("right"), F.col("at") + F.col("n")).otherwise(F.col("at") - F.col("n"))).select(
+            "doc_id", "h", "kept", "kept_h", "right", "at", F.col("to").alias("spot"), F.col("kept_to").alias("kept_spot"), "cluster")
+        if edges.isEmpty():
+            return pieces
+        most = FURTHER
+
+
 def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """Runs to remove: ``(doc_id, h, begin, end, n_words, kept_doc_id, cluster)``.
 
@@ -283,8 +381,9 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     text's xxhash64, so rows that share a doc_id are told apart. A paragraph
     is repeated if a similar one (Jaccard similarity of five-word shingles of
     ``percent`` or more; fewer words make one shingle) stands in a document of
-    smaller doc_id; runs of at least ``min_words`` words of neighbouring
-    repeated paragraphs are returned, ``kept_doc_id`` being the smallest
+    smaller doc_id; runs of neighbouring repeated paragraphs, extended on both
+    sides by the words that stand beside the kept paragraphs too, are returned
+    if they have at least ``min_words`` words, ``kept_doc_id`` being the smallest
     document that keeps one of them. A copy of a whole text is one
     run. Repeats within one document are left.
     Rows with null doc_id or text are neither compared nor returned; an empty
@@ -311,16 +410,42 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
         _repeated(bands), _ROWS), "passage-units")
     classes = staged(units.where("set is not null").select("f", "n", "set").dropDuplicates(["f"]), "passage-classes")
     comp = _link(classes, percent)
-    members = units.select("doc_id", "h", "unit", "last", "begin", "end", "at", "words", "f").join(
-        comp, F.col("f") == F.col("id"), "left").withColumn("cluster", F.coalesce("component_id", "f")).drop("id", "component_id", "f")
-    first = members.groupBy("cluster").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("top")).where("kept != top")
-    again = members.join(first.select("cluster", "kept"), "cluster").where("doc_id != kept")
-    w = Window.partitionBy("doc_id", "h").orderBy("unit", "last")
+    members = units.select("doc_id", "h", "unit", "last", "begin", "end", "at", "words", "pre", "post", "f").join(
+        comp, F.col("f") == F.col("id"), "left").withColumn("cluster", F.coalesce("component_id", "f")).drop("id", "component_id")
+    place = F.struct("doc_id", "h", "begin", "end", "pre", "post", "f")
+    first = members.groupBy("cluster").agg(F.min(place).alias("first"), F.max("doc_id").alias("top")).where("first.doc_id != top")
+    again = (members.join(first.select("cluster", "first"), "cluster").where("doc_id != first.doc_id")
+             .withColumn("kept", F.col("first.doc_id")).withColumn("kept_h", F.col("first.h")))
+    # neighbours repeated from one text; where the word beside them is the same in both, there is more
+    w = Window.partitionBy("doc_id", "h", "kept", "kept_h").orderBy("unit", "last")
     before = F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1))
     fresh = again.withColumn("fresh", F.coalesce(F.col("unit") > before + 1, F.lit(True)).cast("int"))
+    # from the outermost paragraphs, and from the outermost equal ones: similar ones may begin or end a word apart
+    edge, same = F.struct("begin", "end", "at", "words", "pre", "post", "first"), F.col("f") == F.col("first.f")
+    ends = {"left": F.min_by(edge, F.struct("unit", "last")), "right": F.max_by(edge, F.struct("last", "unit")),
+            "left_same": F.min_by(edge, F.when(same, F.struct("unit", "last"))),
+            "right_same": F.max_by(edge, F.when(same, F.struct("last", "unit")))}
+    parts = staged(fresh.withColumn("run", F.sum("fresh").over(w)).groupBy("doc_id", "h", "kept", "kept_h", "run").agg(
+        F.min("begin").cast("long").alias("begin"), F.max("end").cast("long").alias("end"), F.min("at").cast("long").alias("at"),
+        F.max(F.col("at") + F.col("words")).cast("long").alias("to"), *(v.alias(k) for k, v in ends.items()),
+        F.min("cluster").alias("cluster")), "passage-parts")
+    edges = None
+    for name in ends:
+        right = name.startswith("right")
+        word, spot = ("post", "end") if right else ("pre", "begin")
+        at = F.col(f"{name}.at") + F.col(f"{name}.words") if right else F.col(f"{name}.at")
+        some = parts.where(f"{name}.{word} != 0 and {name}.{word} = {name}.first.{word}").select(
+            "doc_id", "h", "kept", "kept_h", F.lit(right).alias("right"), at.cast("long").alias("at"),
+            F.col(f"{name}.{spot}").cast("long").alias("spot"), F.col(f"{name}.first.{spot}").cast("long").alias("kept_spot"), "cluster")
+        edges = some if edges is None else edges.unionAll(some)
+    edges = staged(edges.distinct(), "passage-edges")
+    pieces = parts.select("doc_id", "h", "begin", "end", "at", (F.col("to") - F.col("at")).alias("words"), "kept", "cluster")
+    pieces = pieces.unionAll(_extended(edges, by_shard, shard))
+    w = Window.partitionBy("doc_id", "h").orderBy("at", "words")
+    before = F.max(F.col("at") + F.col("words")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = pieces.withColumn("fresh", F.coalesce(F.col("at") > before, F.lit(True)).cast("int"))
     runs = fresh.withColumn("run", F.sum("fresh").over(w)).groupBy("doc_id", "h", "run").agg(
-        F.min("begin").cast("long").alias("begin"), F.max("end").cast("long").alias("end"),
-        (F.max(F.col("at") + F.col("words")) - F.min("at")).cast("long").alias("n_words"),
+        F.min("begin").alias("begin"), F.max("end").alias("end"), (F.max(F.col("at") + F.col("words")) - F.min("at")).alias("n_words"),
         F.min("kept").alias("kept_doc_id"), F.min("cluster").alias("cluster"))
     whole = copies.where(F.col("n_words") >= min_words).select(
         "doc_id", "h", F.lit(0).cast("long").alias("begin"), "end", "n_words", F.col("lead").alias("kept_doc_id"), F.col("h").alias("cluster"))

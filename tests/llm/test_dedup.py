@@ -231,3 +231,24 @@ def test_short_lines_that_stand_alone_earlier_make_a_run(spark):
             (1, "\n".join([cases.words(rng, 30, 10**6), *lines, cases.words(rng, 30, 10**6)]))]
     got = PS.repeated_passages(cases.plain(spark, rows)).collect()
     assert [(r.doc_id, r.n_words, r.kept_doc_id, rows[1][1][r.begin:r.end]) for r in got] == [(1, 24, 0, "\n".join(lines))]
+
+
+def test_passages_are_cut_to_their_last_word(spark, monkeypatch):
+    """Exact passages of 51 to 110 words inside longer lines; extended in several rounds too."""
+    rng = random.Random(13)
+    rows, want = [], {}
+    for k in range(60):
+        passage = cases.words(rng, 51 + k, 10**6)
+        rows.append((k, " ".join((cases.words(rng, 60, 10**6), passage, cases.words(rng, 60, 10**6)))))
+        rows.append((1000 + k, " ".join((cases.words(rng, 60, 10**6), passage.upper(), cases.words(rng, 60, 10**6)))))
+        want[1000 + k] = (passage.upper(), 51 + k, k)
+    texts, df = dict(rows), cases.plain(spark, rows)
+    for context in (PS.CONTEXT, 2):
+        monkeypatch.setattr(PS, "CONTEXT", context)
+        monkeypatch.setattr(PS, "FURTHER", context)
+        got = PS.repeated_passages(df).collect()
+        assert {r.doc_id for r in got} == set(want) and len(got) == len(want)
+        for r in got:
+            passage, n, kept = want[r.doc_id]
+            # a similar paragraph at the border may hold a word or two of the other text
+            assert passage in texts[r.doc_id][r.begin:r.end] and n <= r.n_words <= n + 4 and r.kept_doc_id == kept
