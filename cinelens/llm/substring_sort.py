@@ -8,6 +8,8 @@ exchange of short key remainders; the segments of the others are dealt out by
 key. There the suffixes that start at the anchors, and those that run back
 from them, are sorted by hash comparison; runs of neighbours with a long
 enough common extension give, for each offset, the classes of equal windows.
+A key with very many different segments (a frequent line between other texts)
+is not sorted: its windows are dealt one by one, by their digests.
 """
 
 from __future__ import annotations
@@ -31,6 +33,10 @@ SHARD_BYTES = 8 << 20
 MIN_SHARDS = 8
 #: Segments that are sorted at a time (keys stay whole).
 SORT_ROWS = 20_000
+#: A key is split into its windows if some shard holds this many different segments of it, or its share of SORT_ROWS if that is more.
+HOT_ROWS = 16
+#: Bucket to which the shards tell such keys.
+_HOT = -1
 _CHUNK = 1 << 21
 _LAST = (1 << 63) - 1
 
@@ -83,16 +89,70 @@ def _keep(other: pa.Table) -> set:
     return {(i, s) for i, s in zip(_list(other, "ord"), _list(other, "sha")) if s is not None}
 
 
-def _announce(shards: int):
+def hot_keys(texts: list[tuple[int, bytes]], segs: np.ndarray, doc: np.ndarray, length: int, least: int) -> np.ndarray:
+    """Keys of which the shard holds at least ``least`` different segments."""
+    keys, inv, count = np.unique(segs[3], return_inverse=True, return_counts=True)
+    often = np.flatnonzero(count[inv] >= least)
+    anchor, first, last = (segs[i][often].astype(np.int64) for i in range(3))
+    held = {(int(k), a - f, hashlib.blake2b(texts[d][1][f:t + length], digest_size=16).digest()) for k, d, a, f, t in
+            zip(inv[often], doc[often].tolist(), anchor.tolist(), first.tolist(), last.tolist())}
+    different = np.bincount(np.array([k for k, _, _ in held], dtype=np.int64), minlength=len(keys))
+    return keys[different >= least]
+
+
+def _announce(shards: int, length: int, least: int):
     def run(key, docs: pa.Table, other: pa.Table) -> pa.Table:
-        segs, _ = _shard_segments(_texts(docs, _keep(other)))
-        return announce(key[0].as_py(), segs[3], shards)
+        texts = _texts(docs, _keep(other))
+        segs, doc = _shard_segments(texts)
+        told = announce(key[0].as_py(), segs[3], shards)
+        hot = hot_keys(texts, segs, doc, length, least)
+        if not len(hot):
+            return told
+        row = (_HOT, key[0].as_py(), hot.tobytes(), b"")
+        return pa.concat_tables([told, pa.table({c: pa.array([v], f.type) for c, v, f in zip(told.column_names, row, told.schema)})])
+    return run
+
+
+def _answer(shards: int):
+    """Per shard the numbers of its repeated keys; the hot keys of all shards go to every shard, under ord ``_HOT``."""
+
+    def run(key, table):
+        if key[0].as_py() == _HOT:
+            hot = np.unique(np.concatenate([np.frombuffer(b, dtype=U64) for b in table["short"].to_pylist()])).tobytes()
+            shard, blob, name = pa.array(range(shards), pa.int64()), pa.array([hot] * shards, pa.binary()), pa.array([_HOT] * shards, pa.int64())
+        else:
+            shard, blob = answer(table)
+            name = pa.nulls(len(shard), pa.int64())
+        return pa.table({"shard": shard, "ord": name, "sha": pa.nulls(len(shard), pa.string()), "blob": blob})
     return run
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    shard, blob = answer(table)
-    return pa.table({"shard": shard, "ord": pa.nulls(len(shard), pa.int64()), "sha": pa.nulls(len(shard), pa.string()), "blob": blob})
+def _windows(texts, ords, doc, first, last, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of segments in document order: rows ``(digest, digest, ord, start)``, and whether an equal one stands before."""
+    size = last - first + 1
+    own = np.repeat(np.arange(len(doc)), size)
+    start = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + first[own]
+    raw = b"".join(hashlib.blake2b(texts[d][1][s:s + length], digest_size=16).digest() for d, s in zip(doc[own].tolist(), start.tolist()))
+    rows = np.concatenate((np.frombuffer(raw, dtype=np.int64).reshape(-1, 2).T, ords[doc[own]][None], start[None]))
+    return rows, _again(rows)
+
+
+def _again(rows: np.ndarray) -> np.ndarray:
+    """Which windows ``(digest, digest, ord, start)`` are equal to one that starts earlier."""
+    by = np.lexsort(rows[::-1])
+    out = np.zeros(rows.shape[1], dtype=bool)
+    out[by[1:]] = (rows[:2, by[1:]] == rows[:2, by[:-1]]).all(axis=0)
+    return out
+
+
+def _window_marks(rows: np.ndarray, length: int) -> np.ndarray:
+    """Removed ranges of windows, neighbours in one."""
+    o, s = rows[2:, np.lexsort((rows[3], rows[2]))]
+    new = np.ones(len(o), dtype=bool)
+    new[1:] = (o[1:] != o[:-1]) | (s[1:] > s[:-1] + length)
+    at = np.flatnonzero(new)
+    end = np.append(at[1:], len(o))[:len(at)] - 1
+    return np.stack([o[at], s[at], s[end] + length])
 
 
 def _runs_to_blob(ords, start, end) -> bytes:
@@ -104,7 +164,8 @@ def _deal(shards: int, length: int):
     """Per shard: the segments with repeated keys, dealt out by key.
 
     Of segments equal within the shard the first is sent; every window of
-    the others starts earlier in that one, so they are marked at once.
+    the others starts earlier in that one, so they are marked at once. Of
+    hot keys the windows are sent, of equal ones the first.
     """
 
     def run(key, docs: pa.Table, other: pa.Table) -> pa.Table:
@@ -113,13 +174,17 @@ def _deal(shards: int, length: int):
         segs, doc = _shard_segments(texts)
         _, inv, count = np.unique(segs[3], return_inverse=True, return_counts=True)
         take = count[inv] > 1
-        for blob in _list(other, "blob"):
-            if blob is not None:
+        hot = np.zeros(len(take), dtype=bool)
+        for name, blob in zip(_list(other, "ord"), _list(other, "blob")):
+            if blob is not None and name == _HOT:
+                hot = np.isin(segs[3], np.frombuffer(blob, dtype=U64))
+            elif blob is not None:
                 take[np.frombuffer(blob, dtype=np.uint32)] = True
-        take = np.flatnonzero(take)
+        ords = np.array([i for i, _ in texts], dtype=np.int64)
+        wins, old_wins = _windows(texts, ords, doc[hot], *(segs[i][hot].astype(np.int64) for i in (1, 2)), length)
+        take = np.flatnonzero(take & ~hot)
         anchor, first, last = (segs[i][take].astype(np.int64) for i in range(3))
         doc, k = doc[take], segs[3][take]
-        ords = np.array([i for i, _ in texts], dtype=np.int64)
         pieces = [texts[d][1][a:b + length] for d, a, b in zip(doc.tolist(), first.tolist(), last.tolist())]
         seen: dict = {}
         fresh = np.ones(len(pieces), dtype=bool)
@@ -128,7 +193,8 @@ def _deal(shards: int, length: int):
                 fresh[j] = False
         del seen
         old = ~fresh
-        marks = _runs_to_blob(ords[doc[old]] if len(ords) else doc[old], first[old], last[old] + length)
+        marks = _runs_to_blob(*np.concatenate((np.stack((ords[doc[old]] if len(ords) else doc[old], first[old], last[old] + length)),
+                                               _window_marks(wins[:, old_wins], length)), axis=1))
         bucket = (mix(k) % U64(shards)).astype(np.int64)
         by = np.flatnonzero(fresh)
         by = by[np.argsort(bucket[by], kind="stable")]
@@ -136,7 +202,7 @@ def _deal(shards: int, length: int):
         parts = np.split(by, cuts) if len(by) else []
         pack = zstandard.ZstdCompressor(level=1)
         cols: dict = {"bucket": [shard], "ords": [None], "anchor": [None], "back": [None], "size": [None],
-                      "key": [None], "text": [None], "marks": [marks]}
+                      "key": [None], "text": [None], "marks": [marks], "wins": [None]}
         for p in parts:
             cols["bucket"].append(int(bucket[p[0]]))
             cols["ords"].append(pack.compress(ords[doc[p]].tobytes()))
@@ -146,12 +212,19 @@ def _deal(shards: int, length: int):
             cols["key"].append(k[p].tobytes())
             cols["text"].append(pack.compress(b"".join([pieces[j] for j in p.tolist()])))
             cols["marks"].append(None)
+            cols["wins"].append(None)
+        wins = wins[:, ~old_wins]
+        bucket = (wins[0].astype(U64) % U64(shards)).astype(np.int64)
+        by = np.argsort(bucket, kind="stable")
+        for p in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1) if len(by) else []:
+            for c in cols:
+                cols[c].append(int(bucket[p[0]]) if c == "bucket" else wins[:, p].tobytes() if c == "wins" else None)
         return pa.table({"bucket": pa.array(cols["bucket"], pa.int64()),
                          **{c: pa.array(cols[c], pa.binary()) for c in list(cols)[1:]}})
     return run
 
 
-_DEALT = "bucket long, ords binary, anchor binary, back binary, size binary, key binary, text binary, marks binary"
+_DEALT = "bucket long, ords binary, anchor binary, back binary, size binary, key binary, text binary, marks binary, wins binary"
 
 
 def repeated_windows(text: np.ndarray, at: np.ndarray, back: np.ndarray, more: np.ndarray, key: np.ndarray,
@@ -189,6 +262,10 @@ def _sort_bucket(shards: int, length: int):
         open_ = zstandard.ZstdDecompressor()
         got = [r for r in table.to_pylist() if r["ords"] is not None]
         marks = [np.frombuffer(r["marks"], dtype=np.int64).reshape(3, -1) for r in table.to_pylist() if r["marks"]]
+        wins = [np.frombuffer(w, dtype=np.int64).reshape(4, -1) for w in table["wins"].to_pylist() if w]
+        if wins:
+            rows = np.concatenate(wins, axis=1)
+            marks.append(_window_marks(rows[:, _again(rows)], length))
         if got:
             def column(c, kind, packed):
                 return np.concatenate([np.frombuffer(open_.decompress(r[c]) if packed else r[c], dtype=kind) for r in got])
@@ -294,8 +371,8 @@ def repeated_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     by_shard = texts.groupBy("shard")
     keep = leads.select("shard", "ord", "sha", none.cast("binary").alias("blob"))
     told = by_shard.cogroup(keep.groupBy("shard")).applyInArrow(
-        _announce(shards), TOLD)
-    answers = told.groupBy("bucket").applyInArrow(_answer, "shard long, ord long, sha string, blob binary")
+        _announce(shards, length, max(HOT_ROWS, SORT_ROWS // shards)), TOLD)
+    answers = told.groupBy("bucket").applyInArrow(_answer(shards), "shard long, ord long, sha string, blob binary")
     dealt = by_shard.cogroup(keep.unionAll(answers).groupBy("shard")).applyInArrow(_deal(shards, length), _DEALT)
     marks = (dealt.groupBy("bucket").applyInArrow(_sort_bucket(shards, length), "ord long, start long, end long")
              .withColumn("shard", shard))

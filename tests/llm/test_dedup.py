@@ -5,6 +5,8 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from cinelens.llm import near_dedup as ND
@@ -252,3 +254,47 @@ def test_passages_are_cut_to_their_last_word(spark, monkeypatch):
             passage, n, kept = want[r.doc_id]
             # a similar paragraph at the border may hold a word or two of the other text
             assert passage in texts[r.doc_id][r.begin:r.end] and n <= r.n_words <= n + 4 and r.kept_doc_id == kept
+
+
+def hot_line_texts():
+    """One line in a third of the texts, between unique ones, alone or with a common neighbour."""
+    rng = random.Random(17)
+    line = cases.words(rng, 14, 10**6)
+    texts = []
+    for k in range(240):
+        parts = [cases.words(rng, 25, 10**6), cases.words(rng, 25, 10**6)]
+        if k % 3 == 0:
+            parts.insert(1, line if k % 2 else line[:60])
+        texts.append("\n".join(parts))
+    return texts
+
+
+def test_hot_lines_match_brute_force(spark, monkeypatch):
+    texts = hot_line_texts()
+    monkeypatch.setattr(SS, "HOT_ROWS", 3)
+    monkeypatch.setattr(SS, "SORT_ROWS", 20)
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in SS.repeated_substrings(cases.plain(spark, [*enumerate(texts), (500, texts[0])])).collect()}
+    flags = brute_removed([(i, t.encode()) for i, t in enumerate([*texts, texts[0]])])
+    want = [(sum(f), sum(1 for k, x in enumerate(f) if x and (k == 0 or not f[k - 1]))) for f in flags]
+    assert got == dict(zip([*range(len(texts)), 500], want)) and sum(f[0] > 0 for f in want) > 30
+
+
+def test_no_task_gets_all_segments_of_a_hot_key():
+    texts, shards = hot_line_texts(), 4
+    docs, told, dealt = [], [], []
+    for s in range(shards):
+        own = [(i, f"{i:064x}", t) for i, t in enumerate(texts) if i % shards == s]
+        cols = list(zip(*own))
+        docs.append((pa.table({"ord": cols[0], "sha": cols[1], "text": cols[2]}),
+                     pa.table({"ord": pa.array(cols[0]), "sha": pa.array(cols[1]), "blob": pa.nulls(len(own), pa.binary())})))
+        told.append(SS._announce(shards, 100, 5)((pa.scalar(s),), *docs[-1]))
+    told = pa.concat_tables(told)
+    answers = pa.concat_tables([SS._answer(shards)((b,), told.filter(pc.equal(told["bucket"], b))) for b in told["bucket"].unique()])
+    for s in range(shards):
+        other = pa.concat_tables([docs[s][1], answers.filter(pc.equal(answers["shard"], s)).select(["ord", "sha", "blob"])])
+        dealt.append(SS._deal(shards, 100)((pa.scalar(s),), docs[s][0], other))
+    dealt = pa.concat_tables(dealt)
+    keys = np.concatenate([np.frombuffer(k, dtype=np.uint64) for k in dealt["key"].to_pylist() if k] or [np.zeros(0, dtype=np.uint64)])
+    assert np.unique(keys, return_counts=True)[1].max(initial=0) < 5 * shards
+    sizes = [sum(len(w) for w, b in zip(dealt["wins"].to_pylist(), dealt["bucket"].to_pylist()) if w and b == k) for k in range(shards)]
+    assert min(sizes) > 0.8 * max(sizes)
