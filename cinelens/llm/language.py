@@ -181,6 +181,18 @@ def with_language(docs: DataFrame, model: Model, keep: list[str], text: str = "t
     return cols.mapInArrow(_predict(model), f"{kinds}, lang_pred string, score double")
 
 
+def _lettered(at: int):
+    def run(batches):
+        for batch in slices(batches):
+            yield batch.filter(pa.array([features(t) is not None for t in batch.column(at).to_pylist()], pa.bool_()))
+    return run
+
+
+def with_letters(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose text has a letter, which is all that ``identify`` needs to tell a language once it has learned any."""
+    return docs.mapInArrow(_lettered(docs.columns.index(text)), docs.schema)
+
+
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)``, one row per row of ``docs (doc_id, text, lang, ...)``.
 

@@ -20,9 +20,11 @@ from cinelens.sources.tables import read_table
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Op 3: documents whose language is undetermined (null text, no letter) go."""
+    """Op 3: documents whose language is undetermined (null text, no letter) go, also where there is nothing to learn from."""
     model = language.train(docs)
     plain = numbered(docs)
+    if not model.members:
+        return language.with_letters(plain, f"c{docs.columns.index('text')}").toDF(*docs.columns)
     told = language.with_language(plain, model, plain.columns, f"c{docs.columns.index('text')}")
     return told.where(F.col("lang_pred") != language.UNKNOWN).select(*plain.columns).toDF(*docs.columns)
 

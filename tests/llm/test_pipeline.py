@@ -55,3 +55,11 @@ def test_run_over_a_table(spark):
         for o, n in sorted(spans):
             assert o == at
             at += n
+
+
+def test_texts_stay_where_no_language_was_learned(spark):
+    rows = [(i, t, None, *rest) for i, t, _, *rest in cases.documents()]
+    docs = cases.table(spark, rows)
+    got = C.keep_languages(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted(map(str, got.collect())) == sorted(str(r) for r in docs.collect() if r.doc_id not in (4, 5, 6, 9) and r.text is not None)
