@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontaminate, html_text, language, near_dedup, packing, passages, range_join, substring_sort, url_filter, warc
+from . import (decontaminate, html_text, language, merkle, near_dedup, packing, passages, range_join, substring_sort, token_counts,
+               url_filter, warc, whitening)
 
 #: Rules of op8: (verdict, host, path).
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -55,6 +56,62 @@ def op10_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return range_join.near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read_table(spark, sf_dir, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
+
+
+def merkle_sql(levels: int = 8) -> str:
+    """DuckDB SQL of op12 for trees of up to 16 ** levels leaves: one step per level, for the sources and again for the root."""
+    def field(c: str) -> str:
+        return f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+    def climb(tag: str) -> list[str]:
+        """CTEs {tag}0..{tag}N of (g, i, h, n): nodes per level; {tag}s: siblings of every node that has a parent."""
+        ctes = []
+        for k in range(levels):
+            at = f"{tag}{k}"
+            ctes.append(f"""{at}s AS (SELECT g, i, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+  coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS z FROM {at} WHERE n > 1 WINDOW w AS (PARTITION BY g, i // 16 ORDER BY i))""")
+            ctes.append(f"""{tag}{k + 1} AS (SELECT g, i, h, count(*) OVER (PARTITION BY g) AS n FROM (
+  SELECT g, i // 16 AS i, CASE WHEN max(n) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE max(h) END AS h FROM {at} GROUP BY g, i // 16))""")
+        return ctes
+
+    def fold(tag: str, start: str, name: str) -> list[str]:
+        """CTEs that take proof and folded hash one level up at a time."""
+        ctes = [f"{name}0 AS ({start})"]
+        for k in range(levels):
+            ctes.append(f"""{name}{k + 1} AS (SELECT p.* REPLACE (p.proof || coalesce(s.a || s.z, '') AS proof,
+  CASE WHEN s.g IS NULL THEN p.fold ELSE sha256(s.a || p.fold || s.z) END AS fold) FROM {name}{k} p LEFT JOIN {tag}{k}s s ON s.g = p.g AND s.i = p.i // {16 ** k})""")
+        return ctes
+
+    plain = " || ".join(field(c) for c in merkle.COLUMNS)
+    tampered = plain.replace(field("text"), field(f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')"))
+    crc = ("list_reduce([4294967295::UBIGINT::HUGEINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), "
+           "lambda d: [ascii(d)::HUGEINT, -1, -1, -1, -1, -1, -1, -1, -1])), "
+           "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)")
+    ctes = [
+        f"""leaf AS (SELECT doc_id, source, sha256({plain}) AS leaf,
+  CASE WHEN xor({crc}, 4294967295) % 5 = 0 THEN sha256({tampered}) END AS other FROM documents)""",
+        """d AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaf)""",
+        "s0 AS (SELECT g, i, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM d)", *climb("s"),
+        f"r0 AS (SELECT 0 AS g, g AS i, h, count(*) OVER () AS n FROM s{levels})", *climb("r"),
+        *fold("s", "SELECT doc_id, leaf, g, i, '' AS proof, coalesce(other, leaf) AS fold FROM d", "f"),
+        *fold("r", f"SELECT doc_id, leaf, 0 AS g, g AS i, proof, fold FROM f{levels}", "u"),
+    ]
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT u.doc_id, u.leaf, s.h AS subroot, r.h AS root, sha256(u.proof) AS proof_sha256, u.fold AS folded_root, u.fold = r.h AS verified
+FROM u{levels} u JOIN s{levels} s ON s.g = u.i CROSS JOIN r{levels} r"""
+
+
 QUERIES = {
     "op3_language_id": op3_language_id,
     "op1_suffix_dedup": op1_suffix_dedup,
@@ -66,9 +123,13 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
     "op10_range_join": op10_range_join,
+    "op11_whitening": op11_whitening,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLE = {
+    "op12_merkle_manifest": merkle_sql(),
     "op9_warc": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha256(b) AS payload_digest FROM p),
