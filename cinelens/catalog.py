@@ -803,10 +803,10 @@ def _first_sql(rel: str, key: str, cols: str) -> str:
             f"FROM {rel} WHERE {key} IS NOT NULL) t WHERE rn = 1")
 
 
-def _star_plan(spark, sf_dir):
+def _star_plan(spark, sf_dir, table):
     raw = _raw(spark, sf_dir)
-    history = SR.plan_new_rows(raw.where(_HISTORY), {})
-    return SR.plan_new_rows(raw, history)
+    history = SR.plan_new_rows(raw.where(_HISTORY), {}, only=[table])
+    return SR.plan_new_rows(raw, history, only=[table])[table]
 
 
 @register("J3d_E4_new_reviews", f"""WITH {RECORDS_CTE},
@@ -814,14 +814,14 @@ hist AS (SELECT review_hash FROM good WHERE in_history),
 firsts AS ({_first_sql('good', 'review_hash', _REC_COLS)})
 SELECT * FROM firsts WHERE review_hash NOT IN (SELECT review_hash FROM hist)""")
 def q_new_reviews(spark, sf_dir):
-    return _star_plan(spark, sf_dir)["reviews"]
+    return _star_plan(spark, sf_dir, "reviews")
 
 
 @register("J3c_D2_new_reviewers", f"""WITH {RECORDS_CTE}
 SELECT DISTINCT username FROM good
 WHERE username NOT IN (SELECT username FROM good WHERE in_history)""")
 def q_new_reviewers(spark, sf_dir):
-    return _star_plan(spark, sf_dir)["reviewers"]
+    return _star_plan(spark, sf_dir, "reviewers")
 
 
 @register("J3b_new_movies", f"""WITH {RAW_CTE},
@@ -829,7 +829,7 @@ firsts AS ({_first_sql('raw_reviews', 'movie_id', 'ord, movie_id, title, Scrape_
 SELECT movie_id, title, '{_SITE}/title/' || movie_id || '/' AS imdb_url FROM firsts
 WHERE movie_id NOT IN (SELECT movie_id FROM raw_reviews WHERE Scrape_Timestamp < '2026-01-03')""")
 def q_new_movies(spark, sf_dir):
-    return _star_plan(spark, sf_dir)["movies"]
+    return _star_plan(spark, sf_dir, "movies")
 
 
 @register("J3a_new_sources", f"""WITH {RAW_CTE},
@@ -837,14 +837,14 @@ urls AS (SELECT '{_SITE}/title/' || movie_id || '/reviews' AS source_url, Scrape
 SELECT DISTINCT source_url FROM urls
 WHERE source_url NOT IN (SELECT source_url FROM urls WHERE Scrape_Timestamp < '2026-01-03')""")
 def q_new_sources(spark, sf_dir):
-    return _star_plan(spark, sf_dir)["sources"]
+    return _star_plan(spark, sf_dir, "sources")
 
 
 @register("Q3_E4_quarantined_rows", f"""WITH {DIRTY_CTE}{_records_sql('dirty')}
 SELECT {_REC_COLS}, reasons FROM (SELECT *, row_number() OVER (
   PARTITION BY movie_id, username, review_text, reasons ORDER BY ord) AS rn FROM records WHERE reasons <> '') t WHERE rn = 1""")
 def q_quarantine(spark, sf_dir):
-    bad = SR.plan_new_rows(_dirty(spark, sf_dir), {})["quarantine"]
+    bad = SR.plan_new_rows(_dirty(spark, sf_dir), {}, only=["quarantine"])["quarantine"]
     return bad.withColumn("reasons", F.concat_ws(",", "reasons")).drop("quarantine_hash")
 
 
@@ -1104,17 +1104,28 @@ def _nt(c: str) -> str:
     return f"CASE WHEN {c} IN ({_TOKENS_SQL}) THEN NULL ELSE {c} END AS {c}"
 
 
-@register("S1_S2_csv_round_trip", f"""WITH {RAW_CTE}
+_CSV_SQL = f"""WITH {RAW_CTE}
 SELECT {', '.join(_nt(c) for c in ['Author'])},
        CASE WHEN isnan(Rating) THEN NULL ELSE Rating END AS Rating,
        {', '.join(_nt(c) for c in ['Helpful_upVotes', 'Helpful_downVotes', 'Summary', 'Review',
                                    'Scrape_Timestamp', 'Source_URL', 'Unique_ID'])}
-FROM raw_reviews""")
-def q_csv(spark, sf_dir):
+FROM raw_reviews"""
+
+
+def _written_csv(spark, sf_dir):
     out = IG.fresh_dir(spark, "csv")
-    rows = _raw(spark, sf_dir).select(*CSV.CSV_FIELDS)
-    CSV.append_reviews(rows, out, fmt="csv")
-    return CSV.read_reviews(spark, out).drop("ord")
+    CSV.append_reviews(_raw(spark, sf_dir).select(*CSV.CSV_FIELDS), out, fmt="csv")
+    return out
+
+
+@register("S1_S2_csv_round_trip", _CSV_SQL)
+def q_csv(spark, sf_dir):
+    return CSV.read_reviews(spark, _written_csv(spark, sf_dir)).drop("ord")
+
+
+@register("S1_csv_read_in_ranges", _CSV_SQL)
+def q_csv_ranges(spark, sf_dir):
+    return CSV.read_reviews(spark, _written_csv(spark, sf_dir), in_ranges=True).drop("ord")
 
 
 @register("F5_cap_per_movie", f"""WITH {RAW_CTE},

@@ -30,6 +30,8 @@ RATING_NAN_TEXT = "NaN"
 # A plain decimal or scientific number, the shape Python's float() accepts
 # (without "inf"/"nan"/underscores, which we read as unparsable).
 NUMERIC = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# The same with a vote suffix: group 1 is the number, group 4 the suffix.
+_VOTE = f"^({NUMERIC[1:-1]})([{''.join(VOTE_SUFFIXES)}]?)$"
 # Unicode whitespace at either end (Python's str.strip()).
 _EDGE_SPACE = r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$"
 
@@ -45,14 +47,13 @@ def py_strip(c) -> Column:
 
 def vote_value(c) -> Column:
     """The number a vote text stands for, truncated toward zero but not clipped; unparsable -> null."""
-    s = F.regexp_replace(F.upper(py_strip(_col(c).cast("string"))), ",", "")
-    last = F.substring(s, -1, 1)
-    mult = F.lit(1.0)
-    for suffix, factor in VOTE_SUFFIXES.items():
-        mult = F.when(last == suffix, F.lit(factor)).otherwise(mult)
-    body = F.when(last.isin(*VOTE_SUFFIXES), F.left(s, F.length(s) - 1)).otherwise(s)
-    value = F.when(body.rlike(NUMERIC), body.try_cast("double") * mult)
-    return F.when(value < 0, F.ceil(value)).otherwise(F.floor(value)).cast("double")
+    s = F.replace(F.upper(py_strip(_col(c).cast("string"))), F.lit(","), F.lit(""))
+    suffix = F.regexp_extract(s, _VOTE, 4)
+    factor = F.lit(1.0)
+    for letter, f in VOTE_SUFFIXES.items():
+        factor = F.when(suffix == letter, F.lit(f)).otherwise(factor)
+    value = F.regexp_extract(s, _VOTE, 1).try_cast("double") * factor
+    return F.signum(value) * F.floor(F.abs(value)).cast("double") + F.lit(0.0)
 
 
 def vote_count(c) -> Column:
@@ -68,8 +69,7 @@ def vote_count(c) -> Column:
 def rating_value(c) -> Column:
     """The number a rating stands for, not clipped; NaN, "NaN" and junk -> null."""
     s = py_strip(_col(c).cast("string"))
-    d = F.when(s.rlike(NUMERIC), s.try_cast("double"))
-    return F.when(F.isnan(d), F.lit(None)).otherwise(d)
+    return F.when(s.rlike(NUMERIC), s.try_cast("double"))
 
 
 def parse_rating(c) -> Column:

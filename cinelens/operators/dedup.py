@@ -23,16 +23,29 @@ def keep_first(df: DataFrame, keys, ord: str = "ord") -> DataFrame:
     smallest ``ord`` per hash is a hash aggregate whose partial step leaves
     one narrow row per key and task (a key holding most rows never meets in
     one task), and rows that are not the first of their key are dropped by a
-    join on ``(hash, ord)``.
+    join on ``(hash, ord)``. Rows without ``ord`` come last. Of rows that tie
+    on it the one with the smallest row hash stays, of rows alike in every
+    column any: only first rows of keys that occur more than once are looked
+    at for that.
     """
     keys = _keys(keys)
     # nulls apart from texts, and no text that spans two keys
     parts = [F.coalesce(F.concat(F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string")),
                         F.lit("-")) for k in keys]
     hashed = df.withColumn("__key", F.sha2(F.concat_ws("|", *parts), 256))
-    first = hashed.groupBy(F.col("__key").alias("__k")).agg(F.min(ord).alias("__o"))
-    kept = hashed.join(first, (F.col("__key") == F.col("__k")) & F.col(ord).eqNullSafe(F.col("__o")), "left_semi")
-    return kept.select(*df.columns)
+    first = hashed.groupBy(F.col("__key").alias("__k")).agg(F.min(ord).alias("__o"), F.count(F.lit(1)).alias("__n"))
+    same = (F.col("__key") == F.col("__k")) & F.col(ord).eqNullSafe(F.col("__o"))
+    single = hashed.join(first.where("__n = 1"), same, "left_semi")
+    several = hashed.join(first.where("__n > 1"), same, "left_semi")
+    w = Window.partitionBy("__key").orderBy(row_hash(df))
+    untied = several.withColumn("__rn", F.row_number().over(w)).where("__rn = 1")
+    return single.select(*df.columns).unionAll(untied.select(*df.columns))
+
+
+def row_hash(df: DataFrame):
+    """A number for a whole row (maps, which have no hash, as their sorted entries)."""
+    return F.xxhash64(*[F.array_sort(F.map_entries(f"`{f.name}`")) if f.dataType.typeName() == "map" else F.col(f"`{f.name}`")
+                        for f in df.schema])
 
 
 def distinct_values(df: DataFrame, cols) -> DataFrame:
@@ -57,19 +70,24 @@ def skip_seen(batch: DataFrame, known: DataFrame, key="Unique_ID") -> DataFrame:
 def cap_new(new_rows: DataFrame, existing: int, target: int, ord: str = "ord") -> DataFrame:
     """keep new rows, in ingest order, only while existing + new <= target.
 
-    Rows are range-partitioned by ``ord``; with the count of every partition
-    known (one number each), a row's rank is the rows of the partitions before
-    it plus its rank within its own, so no task gathers the kept rows.
+    Only the order column (with the row hash, for ties) is range-partitioned
+    and written down; with the count of every partition known (one number
+    each) a single partition holds the last row to keep, and rows up to it
+    are kept by a filter: no task gathers the kept rows and no text is moved.
     """
-    room = max(0, target - existing)
+    room = target - existing
+    if room <= 0:
+        return new_rows.limit(0)
+    place = F.struct(F.col(ord).isNull(), F.col(ord), row_hash(new_rows))
     parts = int(new_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = checkpointed(new_rows.repartitionByRange(parts, ord).withColumn("__part", F.spark_partition_id()))
+    dealt = checkpointed(new_rows.select(place.alias("__at")).repartitionByRange(parts, "__at").withColumn("__part", F.spark_partition_id()))
     before = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")).select(
-        F.col("__part").alias("__p"),
+        F.col("__part").alias("__p"), "__n",
         F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    whole = dealt.join(before.where(F.col("__before") < room), F.col("__part") == F.col("__p"))
-    ranked = whole.withColumn("__rn", F.row_number().over(Window.partitionBy("__part").orderBy(ord)))
-    return ranked.where(F.col("__before") + F.col("__rn") <= room).select(*new_rows.columns)
+    edge = dealt.join(before.where((F.col("__before") < room) & (F.col("__before") + F.col("__n") >= room)), F.col("__part") == F.col("__p"))
+    ranked = edge.withColumn("__rn", F.row_number().over(Window.partitionBy("__part").orderBy("__at")))
+    last = ranked.where(F.col("__before") + F.col("__rn") == room).select(F.max("__at").alias("__at"))
+    return new_rows.where(F.coalesce(place <= last.scalar(), F.lit(True)))
 
 
 def cap_new_per_group(new_rows: DataFrame, existing: DataFrame | None, target: int, group: str,

@@ -51,23 +51,27 @@ def review_records(rows: DataFrame, movie_id: str = "movie_id", author: str = "A
                    site: str = S.SITE, values: bool = False) -> DataFrame:
     """Raw review rows -> typed review records keyed by natural keys.
 
-    With ``values`` the records also carry ``VALUE_COLS``.
+    With ``values`` the records also carry ``VALUE_COLS``. What is parsed or
+    hashed is worked out once per row, behind an ``explode`` of one element:
+    the optimiser does not copy expressions through it, so the rules and
+    filters of a load read plain numbers instead of repeating the parsing.
     """
-    numbers = [S.rating_value("Rating").alias("rating_value"), S.vote_value("Helpful_upVotes").alias("upvotes_value"),
-               S.vote_value("Helpful_downVotes").alias("downvotes_value")] if values else []
-    return rows.select(
-        *numbers,
-        F.col(movie_id).cast("string").alias("movie_id"),
-        F.col(author).alias("username"),
-        S.source_url(movie_id, site).alias("source_url"),
-        S.parse_rating("Rating").cast("short").alias("rating"),
-        S.vote_count("Helpful_upVotes").alias("helpful_upvotes"),
-        S.vote_count("Helpful_downVotes").alias("helpful_downvotes"),
-        F.col("Summary").alias("summary"),
-        F.col("Review").alias("review_text"),
-        S.review_hash(movie_id, author, "Review").alias("review_hash"),
-        S.iso_timestamp("Scrape_Timestamp").alias("scrape_timestamp"),
-        *([F.col("ord")] if "ord" in rows.columns else []),
+    parsed = F.struct(
+        S.rating_value("Rating").alias("rating_value"), S.vote_value("Helpful_upVotes").alias("upvotes_value"),
+        S.vote_value("Helpful_downVotes").alias("downvotes_value"), S.review_hash(movie_id, author, "Review").alias("review_hash"),
+        S.iso_timestamp("Scrape_Timestamp").alias("scrape_timestamp"))
+    known = rows.select(
+        F.col(movie_id).cast("string").alias("movie_id"), F.col(author).alias("username"),
+        S.source_url(movie_id, site).alias("source_url"), F.col("Summary").alias("summary"), F.col("Review").alias("review_text"),
+        *([F.col("ord")] if "ord" in rows.columns else []), F.explode(F.array(parsed)).alias("__v"))
+    return known.select(
+        *[F.col(f"__v.{c}") for c in (VALUE_COLS if values else [])],
+        "movie_id", "username", "source_url",
+        F.col("__v.rating_value").try_cast("short").alias("rating"),
+        *[F.coalesce(F.col(f"__v.{v}").try_cast("int"), F.lit(0)).alias(f"helpful_{c}")
+          for c, v in (("upvotes", "upvotes_value"), ("downvotes", "downvotes_value"))],
+        "summary", "review_text", "__v.review_hash", "__v.scrape_timestamp",
+        *(["ord"] if "ord" in rows.columns else []),
     )
 
 

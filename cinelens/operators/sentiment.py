@@ -6,31 +6,30 @@ words, "never so/this" and "without doubt", "least", contrastive "but",
 ``!``/``?`` emphasis, and the normalised compound score with pos/neg/neu
 shares. Lexicon, boosters and negations are DataFrames.
 
-Plan shape (no Python in the hot path):
-
-1. Row-local: split the text, strip edge punctuation, compute the caps flag,
-   the contrast position and the punctuation amplifier (regex passes over
-   the whole text, not per word). The three previous and two next words are
-   attached to each word *inside* the array (``transform``) before
-   exploding, so no exploded row carries a copy of the whole array.
-2. Lexicon words are found inside the array (a hash-set test) and only they
-   are exploded; valence, previous words and multi-word phrases are looked up
-   by joins on those rows (the planner decides which side to broadcast).
-3. Per-word valence is a fold of column expressions; a per-document
-   aggregate (partial aggregation collapses a document's hits map-side)
-   yields one narrow row per document, also for documents without hits.
-   ``sentiment_scores`` ends here; ``score_sentiment`` joins the scores to
-   all columns of its input.
+Two ways to the same numbers:
+
+* ``trie`` (the usual one): the word tables are read once into a
+  ``Vocabulary`` (a dictionary of words and a trie of phrases), broadcast, and
+  applied by an Arrow function next to the text column: one scan, no join, no
+  shuffle, whatever the number of lexicon words up to ``MAX_WORDS``.
+* ``joins`` (beyond that size, where a broadcast has no bound): words are
+  exploded with their neighbours and looked up by joins; a per-document
+  aggregate (combined map-side) leaves one narrow row per document.
+
+``sentiment_scores`` returns scores by id, ``score_sentiment`` appends them to
+all columns of its input.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import lexicons as LX
+from . import word_trie
 from .lookup import pair_table, word_table
 
 # --- fixed values -------------------------------------------------------------
@@ -46,6 +45,8 @@ BUT_BEFORE, BUT_AFTER = 0.5, 1.5
 NEVER_WORDS = ("so", "this")
 # -----------------------------------------------------------------------------
 
+#: Words of all tables together up to which they are broadcast as one vocabulary.
+MAX_WORDS = 1_000_000
 SCORE_COLUMNS = ("Compound", "Negative", "Neutral", "Positive")
 
 
@@ -123,23 +124,18 @@ def _doc_features(df: DataFrame, id_col: str, text_col: str, contrast: str) -> D
     )
 
 
-def _contexts(feat: DataFrame, words: list[str]) -> DataFrame:
-    """One row per lexicon word with its neighbours, and one for a document without any (``i`` null).
-
-    Lexicon words are picked by their places inside the array (a hash-set
-    test per word), so only they get a row; arrays are never copied per row.
-    """
+def _contexts(feat: DataFrame) -> DataFrame:
+    """One row per word with its neighbours, and one for a document without any (``i`` null); arrays are never copied per row."""
     w, lw = F.col("__w"), F.col("__lw")
-    places = F.filter(F.transform(lw, lambda x, i: F.when(x.isin(words), i)), lambda i: i.isNotNull()) if words else F.expr("cast(array() as array<int>)")
 
-    def ctx(i):
+    def ctx(word, i):
         return F.struct(
-            i.alias("i"), F.get(w, i).alias("w"), F.get(lw, i).alias("lw"),
+            i.alias("i"), word.alias("w"), F.get(lw, i).alias("lw"),
             F.get(w, i - 1).alias("o1"), F.get(w, i - 2).alias("o2"), F.get(w, i - 3).alias("o3"),
             F.get(lw, i - 1).alias("p1"), F.get(lw, i - 2).alias("p2"), F.get(lw, i - 3).alias("p3"),
             F.get(lw, i + 1).alias("nx"), F.get(lw, i + 2).alias("nx2"))
 
-    return feat.select("__id", "__n", "__amp", "__capdiff", "__bi", F.explode_outer(F.transform(places, ctx)).alias("c")).select(
+    return feat.select("__id", "__n", "__amp", "__capdiff", "__bi", F.explode_outer(F.transform(w, ctx)).alias("c")).select(
         "__id", "__n", "__amp", "__capdiff", "__bi", "c.*")
 
 
@@ -228,17 +224,12 @@ def _valence_steps(hits: DataFrame, C: float, N: float, rules: Rules = Rules())
 def _valences(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, boosters: DataFrame | None,
               negations: DataFrame | None, contrast: str, c_incr: float, n_scalar: float, idioms: DataFrame | None,
               rules: Rules = Rules()) -> DataFrame:
-    """Lexicon words with their valences ``__v`` and their document's features; a row without word per other document.
-
-    The lexicon's words (a hand-made list) are read to the driver once: the
-    plan tests words against them before any word becomes a row.
-    """
+    """Words with their valences ``__v`` (null where the lexicon has none) and their document's features."""
     spark = df.sparkSession
     boosters = boosters if boosters is not None else booster_table(spark)
     negations = negations if negations is not None else negation_table(spark)
     vocab = _vocab(lexicon, boosters, negations)
-    words = sorted(r[0] for r in lexicon.where(F.col("valence").isNotNull()).select(F.lower("token")).distinct().collect() if r[0] is not None)
-    ctx = _contexts(_doc_features(df, id_col, text_col, contrast.lower()), words)
+    ctx = _contexts(_doc_features(df, id_col, text_col, contrast.lower()))
     hits = ctx.join(vocab.where(F.col("valence").isNotNull())
                     .select(F.col("token").alias("lw"), "valence", F.col("scalar").alias("wb")), "lw", "left")
     for k in (1, 2, 3):
@@ -260,23 +251,131 @@ def _valences(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, boo
         side = phrases.select(F.col("phrase").alias(f"ph_{slot}"), F.col("iv").alias(f"iv_{slot}"),
                               F.col("ib").alias(f"ib_{slot}"))
         hits = hits.join(side, f"ph_{slot}", "left")
-    return _valence_steps(hits, c_incr, n_scalar, rules)
+    steps = _valence_steps(hits, c_incr, n_scalar, rules)
+    # phrases around a word that the lexicon does not know give it no valence
+    return steps.withColumn("__v", F.when(F.col("valence").isNotNull(), F.col("__v")))
+
+
+# --- the vocabulary on the way of one scan --------------------------------------------
+
+
+def vocabulary(lexicon: DataFrame, boosters: DataFrame | None = None, negations: DataFrame | None = None,
+               idioms: DataFrame | None = None, max_words: int = MAX_WORDS) -> word_trie.Vocabulary | None:
+    """The word tables as one ``Vocabulary``; None if they have more than ``max_words`` rows.
+
+    No table is read further than that bound.
+    """
+    spark = lexicon.sparkSession
+    boosters = boosters if boosters is not None else booster_table(spark)
+    negations = negations if negations is not None else negation_table(spark)
+    idioms = idioms if idioms is not None else idiom_table(spark)
+    lists, room = [], max_words
+    for table in (lexicon.select("token", F.col("valence").cast("double")), boosters.select("token", F.col("scalar").cast("double")),
+                  negations.select(negations.columns[0]), idioms.select("phrase", F.col("valence").cast("double"))):
+        cols = [c.to_pylist() for c in table.limit(room + 1).toArrow().columns]
+        room -= len(cols[0])
+        if room < 0:
+            return None
+        lists.append(list(zip(*cols)) if len(cols) > 1 else cols[0])
+    return word_trie.Vocabulary(*lists)
+
+
+def _scorer(df: DataFrame, known: word_trie.Vocabulary, contrast: str, c_incr: float, n_scalar: float, rules: Rules):
+    consts = {"caps": c_incr, "negated": n_scalar, "damp": {1: 1.0, 2: DAMP_2, 3: DAMP_3}, "never_words": NEVER_WORDS,
+              "but_before": BUT_BEFORE, "but_after": BUT_AFTER}
+    return df.sparkSession.sparkContext.broadcast(word_trie.Scorer(known, contrast.lower(), consts, rules))
+
+
+def _sums(shared, text: Column) -> Column:
+    @F.arrow_udf(word_trie.SUMS)
+    def sums(texts: pa.Array) -> pa.Array:
+        return word_trie.sums_of(shared.value, texts)
+    return sums(text)
+
+
+def _hits(shared, text: Column) -> Column:
+    @F.arrow_udf(word_trie.HITS)
+    def hits(texts: pa.Array) -> pa.Array:
+        return word_trie.hits_of(shared.value, texts)
+    return hits(text)
+
+
+def _text(text_col: str) -> Column:
+    return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+
+
+def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Dealt over ``partitions`` tasks where the caller asks for it (a table of few row groups has few tasks)."""
+    return df if partitions is None else df.repartition(partitions)
+
+
+def _known(method: str, lexicon, boosters, negations, idioms) -> word_trie.Vocabulary | None:
+    if method not in ("auto", "trie", "joins"):
+        raise ValueError(f"unknown method {method!r}")
+    if method == "joins":
+        return None
+    known = vocabulary(lexicon, boosters, negations, idioms)
+    if known is None and method == "trie":
+        raise ValueError(f"the word tables have more than {MAX_WORDS} rows")
+    return known
 
 
 def word_valences(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
                   boosters: DataFrame | None = None, negations: DataFrame | None = None,
                   contrast: str = "but", c_incr: float = LX.C_INCR,
-                  n_scalar: float = LX.N_SCALAR, idioms: DataFrame | None = None, rules: Rules = Rules()) -> DataFrame:
+                  n_scalar: float = LX.N_SCALAR, idioms: DataFrame | None = None, rules: Rules = Rules(),
+                  method: str = "auto", partitions: int | None = None) -> DataFrame:
     """J7 + V1-V6: ``(id, i, word, valence)`` for lexicon words."""
+    known = _known(method, lexicon, boosters, negations, idioms)
+    df = _spread(df, partitions)
+    if known is not None:
+        shared = _scorer(df, known, contrast, c_incr, n_scalar, rules)
+        return df.select(F.col(id_col).alias("__id"), F.explode(_hits(shared, _text(text_col))).alias("h")).select("__id", "h.*")
     steps = _valences(df, id_col, text_col, lexicon, boosters, negations, contrast, c_incr, n_scalar, idioms, rules)
-    return steps.where("i is not null").select(F.col("__id"), F.col("i"), F.col("w").alias("word"), F.col("__v").alias("valence"))
+    return steps.where("valence is not null").select(F.col("__id"), F.col("i"), F.col("w").alias("word"), F.col("__v").alias("valence"))
+
+
+def _final_scores(total: Column, n: Column, pos: Column, neg: Column, npos: Column, nneg: Column, amp: Column,
+                  alpha: float, columns) -> dict[str, Column]:
+    """V7-V9: the four scores from a document's sums (any of them may be null: no lexicon word)."""
+    compound, negative, neutral, positive = columns
+    zero = F.lit(0.0)
+    ssum = F.coalesce(total, zero)
+    ssum = F.when(ssum > 0, ssum + amp).when(ssum < 0, ssum - amp).otherwise(ssum)
+    comp = ssum / F.sqrt(ssum * ssum + F.lit(alpha))
+    comp = F.greatest(F.least(comp, F.lit(1.0)), F.lit(-1.0))
+    pos, neg = F.coalesce(pos, zero), F.coalesce(neg, zero)
+    neu = (n - npos - nneg).cast("double")
+    pos2 = F.when(pos > F.abs(neg), pos + amp).otherwise(pos)
+    neg2 = F.when(pos < F.abs(neg), neg - amp).otherwise(neg)
+    whole = pos2 + F.abs(neg2) + neu
+    has = n > 0
+    return {compound: F.when(has, F.bround(comp, 4)).otherwise(zero),
+            negative: F.when(has, F.bround(F.abs(neg2 / whole), 3)).otherwise(zero),
+            neutral: F.when(has, F.bround(F.abs(neu / whole), 3)).otherwise(zero),
+            positive: F.when(has, F.bround(F.abs(pos2 / whole), 3)).otherwise(zero)}
+
+
+def _append_scores(df: DataFrame, text_col: str, known: word_trie.Vocabulary, contrast: str, alpha: float, columns,
+                   rules: Rules) -> DataFrame:
+    shared = _scorer(df, known, contrast, LX.C_INCR, LX.N_SCALAR, rules)
+    text = _text(text_col)
+    summed = df.withColumns({"__s": _sums(shared, text), "__amp": punctuation_amplifier(text)})
+    s = {k: F.col(f"__s.{k}") for k in ("sum", "n", "pos", "neg", "npos", "nneg")}
+    return summed.withColumns(_final_scores(s["sum"], s["n"], s["pos"], s["neg"], s["npos"], s["nneg"], F.col("__amp"), alpha,
+                                            columns)).drop("__s", "__amp")
 
 
 def sentiment_scores(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, boosters: DataFrame | None = None,
                      negations: DataFrame | None = None, contrast: str = "but", alpha: float = LX.ALPHA,
-                     columns=None, idioms: DataFrame | None = None, rules: Rules = Rules()) -> DataFrame:
+                     columns=None, idioms: DataFrame | None = None, rules: Rules = Rules(), method: str = "auto",
+                     partitions: int | None = None) -> DataFrame:
     """``(id, Compound, Negative, Neutral, Positive)`` per document: one scan, and no text is shuffled."""
-    compound, negative, neutral, positive = columns or SCORE_COLUMNS
+    columns = columns or SCORE_COLUMNS
+    known = _known(method, lexicon, boosters, negations, idioms)
+    df = _spread(df.select(id_col, text_col), partitions)
+    if known is not None:
+        return _append_scores(df, text_col, known, contrast, alpha, columns, rules).select(id_col, *columns)
     vals = _valences(df, id_col, text_col, lexicon, boosters, negations, contrast, LX.C_INCR, LX.N_SCALAR, idioms, rules)
     v = F.col("__v")
     per_doc = vals.groupBy("__id", "__n", "__amp").agg(
@@ -286,38 +385,25 @@ def sentiment_scores(df: DataFrame, id_col: str, text_col: str, lexicon: DataFra
         F.count_if(v > 0).alias("__npos"),
         F.count_if(v < 0).alias("__nneg"),
     )
-    zero = F.lit(0.0)
-    amp, n = F.col("__amp"), F.col("__n")
-    ssum = F.coalesce(F.col("__sum"), zero)
-    ssum = F.when(ssum > 0, ssum + amp).when(ssum < 0, ssum - amp).otherwise(ssum)
-    comp = ssum / F.sqrt(ssum * ssum + F.lit(alpha))
-    comp = F.greatest(F.least(comp, F.lit(1.0)), F.lit(-1.0))
-    pos = F.coalesce(F.col("__pos"), zero)
-    neg = F.coalesce(F.col("__neg"), zero)
-    neu = (n - F.col("__npos") - F.col("__nneg")).cast("double")
-    pos2 = F.when(pos > F.abs(neg), pos + amp).otherwise(pos)
-    neg2 = F.when(pos < F.abs(neg), neg - amp).otherwise(neg)
-    total = pos2 + F.abs(neg2) + neu
-    has = n > 0
-    return per_doc.select(
-        F.col("__id").alias(id_col),
-        F.when(has, F.bround(comp, 4)).otherwise(zero).alias(compound),
-        F.when(has, F.bround(F.abs(neg2 / total), 3)).otherwise(zero).alias(negative),
-        F.when(has, F.bround(F.abs(neu / total), 3)).otherwise(zero).alias(neutral),
-        F.when(has, F.bround(F.abs(pos2 / total), 3)).otherwise(zero).alias(positive))
+    scores = _final_scores(*[F.col(f"__{c}") for c in ("sum", "n", "pos", "neg", "npos", "nneg", "amp")], alpha, columns)
+    return per_doc.select(F.col("__id").alias(id_col), *[c.alias(k) for k, c in scores.items()])
 
 
 def score_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | None = None,
                     boosters: DataFrame | None = None, negations: DataFrame | None = None,
                     contrast: str = "but", scorer=None, alpha: float = LX.ALPHA,
-                    columns=SCORE_COLUMNS, idioms: DataFrame | None = None, rules: Rules = Rules()) -> DataFrame:
+                    columns=SCORE_COLUMNS, idioms: DataFrame | None = None, rules: Rules = Rules(), method: str = "auto",
+                    partitions: int | None = None) -> DataFrame:
     """Append Compound, Negative, Neutral, Positive to ``df``.
 
-    ``id_col`` must be unique per row. ``scorer`` (optional) is a
-    ``pandas_udf`` returning ``struct<neg,neu,pos,compound>`` and replaces the
-    relational path, e.g. to plug in an external analyser.
+    ``scorer`` (optional) is a ``pandas_udf`` returning
+    ``struct<neg,neu,pos,compound>`` and replaces the rules, e.g. to plug in an
+    external analyser. ``partitions`` deals the rows over so many tasks first.
+    With ``method="joins"`` (or tables beyond ``MAX_WORDS``) ``id_col`` must be
+    unique per row, since scores are joined back on it.
     """
     compound, negative, neutral, positive = columns
+    df = _spread(df, partitions)
     if scorer is not None:
         s = scorer(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
         return df.withColumn("__s", s).withColumns({
@@ -325,5 +411,8 @@ def score_sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFram
             neutral: F.col("__s.neu"), positive: F.col("__s.pos")}).drop("__s")
     if lexicon is None:
         raise ValueError("a lexicon DataFrame (token, valence) is required")
-    scores = sentiment_scores(df, id_col, text_col, lexicon, boosters, negations, contrast, alpha, columns, idioms, rules)
+    known = _known(method, lexicon, boosters, negations, idioms)
+    if known is not None:
+        return _append_scores(df, text_col, known, contrast, alpha, columns, rules)
+    scores = sentiment_scores(df, id_col, text_col, lexicon, boosters, negations, contrast, alpha, columns, idioms, rules, "joins")
     return df.join(scores.withColumnRenamed(id_col, "__id"), F.col(id_col).eqNullSafe(F.col("__id"))).drop("__id")

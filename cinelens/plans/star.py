@@ -36,8 +36,8 @@ def read_target(spark: SparkSession, root: str, name: str) -> DataFrame | None:
         return None
 
 
-def plan_new_rows(batch: DataFrame, target: dict, ord: str = "ord", site: str = S.SITE) -> dict:
-    """The natural-key part of the load: what each table would receive.
+def plan_new_rows(batch: DataFrame, target: dict, ord: str = "ord", site: str = S.SITE, only=TABLES) -> dict:
+    """The natural-key part of the load: what each table (of ``only``) would receive.
 
     ``batch`` holds raw review rows with ``movie_id`` and ``title``; ``target``
     maps table names to existing DataFrames (or None). No surrogate ids.
@@ -45,21 +45,27 @@ def plan_new_rows(batch: DataFrame, target: dict, ord: str = "ord", site: str =
     records = L.review_records(batch, site=site, values=True)
     good, bad = Q.quarantine(records, rules())
     good, bad = good.drop(*L.VALUE_COLS), bad.drop(*L.VALUE_COLS)
-    # a rejected row is known by its movie, author, text and reasons, so a replay adds none
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("movie_id", "username", "review_text")]
-    bad = bad.withColumn("quarantine_hash", F.sha2(F.concat_ws("\n", *[F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts],
-                                                               F.concat_ws(",", "reasons")), 256))
-    movies = batch.select(F.col("movie_id").cast("string").alias("movie_id"), "title", ord)
-    return {
-        "sources": L.insert_or_ignore(batch.select(S.source_url("movie_id", site).alias("source_url"), ord),
-                                      target.get("sources"), "source_url", ord).drop(ord),
-        "movies": L.insert_or_ignore(movies, target.get("movies"), "movie_id", ord)
-                   .select("movie_id", "title", S.movie_url("movie_id", site).alias("imdb_url")),
-        "reviewers": L.insert_or_ignore(good.select("username", ord), target.get("reviewers"),
-                                        "username", ord).drop(ord),
-        "reviews": L.insert_or_ignore(good, target.get("reviews"), "review_hash", ord),
-        "quarantine": L.insert_or_ignore(bad, target.get("quarantine"), "quarantine_hash", ord),
+
+    def rejected() -> DataFrame:
+        # a rejected row is known by its movie, author, text and reasons, so a replay adds none
+        parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("movie_id", "username", "review_text")]
+        known = F.concat_ws("\n", *[F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts], F.concat_ws(",", "reasons"))
+        return bad.withColumn("quarantine_hash", F.sha2(known, 256))
+
+    def movies() -> DataFrame:
+        rows = batch.select(F.col("movie_id").cast("string").alias("movie_id"), "title", ord)
+        return L.insert_or_ignore(rows, target.get("movies"), "movie_id", ord).select(
+            "movie_id", "title", S.movie_url("movie_id", site).alias("imdb_url"))
+
+    build = {
+        "sources": lambda: L.insert_or_ignore(batch.select(S.source_url("movie_id", site).alias("source_url"), ord),
+                                              target.get("sources"), "source_url", ord).drop(ord),
+        "movies": movies,
+        "reviewers": lambda: L.insert_or_ignore(good.select("username", ord), target.get("reviewers"), "username", ord).drop(ord),
+        "reviews": lambda: L.insert_or_ignore(good, target.get("reviews"), "review_hash", ord),
+        "quarantine": lambda: L.insert_or_ignore(rejected(), target.get("quarantine"), "quarantine_hash", ord),
     }
+    return {t: build[t]() for t in only}
 
 
 def load_star(batch: DataFrame, root: str, ord: str = "ord", site: str = S.SITE,

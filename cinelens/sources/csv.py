@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import NUMERIC, py_strip
 from ..operators.clean import normalise_nulls
+from .csv_ranges import csv_records
 
 # --- fixed values -------------------------------------------------------------
 CSV_FIELDS = ["Author", "Rating", "Helpful_upVotes", "Helpful_downVotes", "Summary",
@@ -30,14 +31,21 @@ def normalise_reviews(raw: DataFrame) -> DataFrame:
     return df.withColumn("Rating", F.when(r.rlike(NUMERIC), r.try_cast("double")))
 
 
-def read_reviews(spark: SparkSession, path: str, ord_col: str = "ord") -> DataFrame:
+def read_reviews(spark: SparkSession, path: str, ord_col: str = "ord", in_ranges: bool = False) -> DataFrame:
     """Read review CSV files with an explicit schema.
 
     Quoted multi-line fields and doubled quotes are parsed; pandas' missing
     tokens become null; Rating becomes a double. ``ord`` = (file path, row
-    position), which orders rows as written, file by file. A file with
-    multi-line fields is read by one task: convert large ones to parquet once.
+    position), which orders rows as written, file by file. Spark's CSV reader
+    takes a file with multi-line fields in one task; ``in_ranges`` reads large
+    files by byte ranges instead (see ``csv_ranges``), with the same rows.
     """
+    if in_ranges:
+        options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
+        records = csv_records(spark, path).select(
+            F.struct("file", "pos").alias("__ord"), F.from_csv("record", RAW_SCHEMA.simpleString()[7:-1].replace(":", " "),
+                                                               {k: str(v).lower() if v is True else v for k, v in options.items()}).alias("__r"))
+        return normalise_reviews(records.select("__r.*", F.col("__ord").alias(ord_col)))
     raw = spark.read.schema(RAW_SCHEMA).options(**CSV_OPTIONS).option("nullValue", None).csv(path)
     raw = raw.withColumn(ord_col, F.struct(F.col("_metadata.file_path").alias("file"),
                                            F.monotonically_increasing_id().alias("pos")))

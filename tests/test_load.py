@@ -67,3 +67,21 @@ def test_quality_checks(spark):
     assert sorted(r["r"] for r in Q.check_range(df, "r", 1, 10).collect()) == [0, 11]
     ok, bad = Q.quarantine(df, [Q.not_null_rule("t"), Q.range_rule("r", 1, 10)])
     assert ok.count() == 1 and sorted(bad.first()["reasons"]) == ["r outside [1, 10]", "t is null"]
+
+
+def test_load_expressions_are_not_copied_and_compile(spark):
+    from cinelens import catalog as C
+
+    plan = C.QUERIES["J3d_E4_new_reviews"](spark, "/root/testdata/sf0.001")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    for line in text.splitlines():
+        assert line.count("regexp") <= 60, line[:200]
+    conf = {"spark.sql.codegen.fallback": "false", "spark.sql.codegen.factoryMode": "CODEGEN_ONLY"}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for name in ("J3d_E4_new_reviews", "J3c_D2_new_reviewers", "Q3_E4_quarantined_rows"):
+            assert C.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    finally:
+        for k in conf:
+            spark.conf.unset(k)

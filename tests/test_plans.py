@@ -24,7 +24,7 @@ def test_small_tables_have_exact_sizes(spark):
 def test_sentiment_lookups_are_broadcast(spark):
     lex, bst, ngt = C._sent_tables(spark)
     raw = derived.review_rows(spark, SF).select("ord", "Review")
-    plan = _plan(SN.score_sentiment(raw, "ord", "Review", lex, bst, ngt))
+    plan = _plan(SN.score_sentiment(raw, "ord", "Review", lex, bst, ngt, method="joins"))
     assert plan.count("BroadcastHashJoin") >= 4      # lexicon hit join + three neighbour lookups
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
