@@ -1017,6 +1017,7 @@ import os as _os  # noqa: E402
 from pyspark.sql import types as _T  # noqa: E402
 
 from .streaming import ingest as IG  # noqa: E402
+from .streaming import keyed as KS  # noqa: E402
 
 _DOC_SCHEMA = _T.StructType([_T.StructField("doc_id", _T.LongType()), _T.StructField("text", _T.StringType()),
                              _T.StructField("lang", _T.StringType()), _T.StructField("source", _T.StringType()),
@@ -1052,6 +1053,18 @@ def q_stream_target(spark, sf_dir):
     return _stream_documents(spark, sf_dir, target=900)
 
 
+def _keyed_documents(spark, sf_dir, **kw):
+    out = IG.fresh_dir(spark, "keyed")
+    got = KS.run_keyed(spark, _os.path.join(sf_dir, "documents*.parquet"), out, "ord", fmt="parquet", schema=_DOC_SCHEMA,
+                       transform=derived.review_rows_from, checkpoint=out + "-ckpt", **kw)
+    return got.select(*[c.strip() for c in RAW_COLS.split(",")])
+
+
+@register("ST2_keyed_state", _D3_SQL)
+def q_keyed_state(spark, sf_dir):
+    return _keyed_documents(spark, sf_dir)
+
+
 def _stream_with_hook(spark, sf_dir, make_hook):
     out = IG.fresh_dir(spark, "reviews")
     side = out + "-side"
@@ -1141,11 +1154,19 @@ def q_cap_per_movie(spark, sf_dir):
     return DD.new_reviews(raw, raw.where(_HISTORY), "Unique_ID", "ord", target=40, group="movie_id")
 
 
-@register("ST3_stream_per_movie_target", f"""WITH {RAW_CTE},
+_MOVIE_TARGET_SQL = f"""WITH {RAW_CTE},
 firsts AS (SELECT {RAW_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY movie_id, Unique_ID ORDER BY ord) AS rn FROM raw_reviews) t WHERE rn = 1),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY ord) AS rn FROM firsts)
-SELECT {RAW_COLS} FROM ranked WHERE rn <= 40""")
+SELECT {RAW_COLS} FROM ranked WHERE rn <= 40"""
+
+
+@register("ST3_keyed_totals_per_movie", _MOVIE_TARGET_SQL)
+def q_keyed_totals(spark, sf_dir):
+    return _keyed_documents(spark, sf_dir, group_col="movie_id", target=40)
+
+
+@register("ST3_stream_per_movie_target", _MOVIE_TARGET_SQL)
 def q_stream_per_movie(spark, sf_dir):
     out = IG.fresh_dir(spark, "reviews")
     got = IG.run_ingest(spark, _os.path.join(sf_dir, "documents*.parquet"), out, fmt="parquet",

@@ -16,30 +16,34 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def keep_first(df: DataFrame, keys, ord: str = "ord") -> DataFrame:
+def _key_hash(keys):
+    # nulls apart from texts, and no text that spans two keys
+    parts = [F.coalesce(F.concat(F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string")),
+                        F.lit("-")) for k in keys]
+    return F.sha2(F.concat_ws("|", *parts), 256)
+
+
+def keep_first(df: DataFrame, keys, ord: str = "ord", unless: DataFrame | None = None) -> DataFrame:
     """Keep the first row (smallest ``ord``) per key; null keys form one group.
 
-    The key is hashed (``sha2``), so no text is sorted or shuffled: the
+    The key is hashed (``sha2``), so no text is a sort or shuffle key: the
     smallest ``ord`` per hash is a hash aggregate whose partial step leaves
     one narrow row per key and task (a key holding most rows never meets in
-    one task), and rows that are not the first of their key are dropped by a
-    join on ``(hash, ord)``. Rows without ``ord`` come last. Of rows that tie
+    one task). Keys that ``unless`` holds are taken out of these narrow rows.
+    What is left picks the rows by a join on ``(hash, ord)``, the only step
+    that may move whole rows. Rows without ``ord`` come last. Of rows that tie
     on it the one with the smallest row hash stays, of rows alike in every
-    column any: only first rows of keys that occur more than once are looked
-    at for that.
+    column any, found on the partitioning of that join.
     """
     keys = _keys(keys)
-    # nulls apart from texts, and no text that spans two keys
-    parts = [F.coalesce(F.concat(F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string")),
-                        F.lit("-")) for k in keys]
-    hashed = df.withColumn("__key", F.sha2(F.concat_ws("|", *parts), 256))
-    first = hashed.groupBy(F.col("__key").alias("__k")).agg(F.min(ord).alias("__o"), F.count(F.lit(1)).alias("__n"))
-    same = (F.col("__key") == F.col("__k")) & F.col(ord).eqNullSafe(F.col("__o"))
-    single = hashed.join(first.where("__n = 1"), same, "left_semi")
-    several = hashed.join(first.where("__n > 1"), same, "left_semi")
-    w = Window.partitionBy("__key").orderBy(row_hash(df))
-    untied = several.withColumn("__rn", F.row_number().over(w)).where("__rn = 1")
-    return single.select(*df.columns).unionAll(untied.select(*df.columns))
+    hashed = df.withColumns({"__key": _key_hash(keys), "__at": F.struct(F.col(ord).alias("o"))})
+    first = hashed.groupBy(F.col("__key").alias("__k")).agg(F.min(ord).alias("o")).select("__k", F.struct("o").alias("__a"))
+    if unless is not None:
+        seen = unless.select(_key_hash(keys).alias("__seen")).distinct()
+        first = first.join(seen, F.col("__k") == F.col("__seen"), "left_anti")
+    kept = hashed.join(first, (F.col("__key") == F.col("__k")) & (F.col("__at") == F.col("__a")), "left_semi")
+    w = Window.partitionBy("__key", "__at").orderBy(row_hash(df))
+    return kept.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").select(*df.columns)
 
 
 def row_hash(df: DataFrame):
@@ -119,19 +123,13 @@ def new_reviews(batch: DataFrame, known: DataFrame | None, key: str = "Unique_ID
     group, as with one review file per movie.
     """
     if group is not None:
-        keys = [group, key]
-        fresh = keep_first(batch, keys, ord)
+        fresh = keep_first(batch, [group, key], ord, unless=known)
         existing = None
         if known is not None:
-            fresh = skip_seen(fresh, known, keys)
             existing = known.groupBy(group).agg(F.countDistinct(key).alias("existing"))
         return fresh if target is None else cap_new_per_group(fresh, existing, target, group, ord)
-    fresh = keep_first(batch, key, ord)
-    existing = 0
-    if known is not None:
-        fresh = skip_seen(fresh, known, key)
-        if target is not None:
-            existing = known.select(key).distinct().count()
+    fresh = keep_first(batch, key, ord, unless=known)
     if target is None:
         return fresh
+    existing = known.select(key).distinct().count() if known is not None else 0
     return cap_new(fresh, existing, target, ord)

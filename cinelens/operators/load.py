@@ -24,7 +24,9 @@ REVIEWS_COLS = ["review_id", "movie_id", "reviewer_id", "source_id", "rating", "
 def insert_or_ignore(batch: DataFrame, target: DataFrame | None, key: str, ord: str | None = None) -> DataFrame:
     """Rows of ``batch`` to append -- first per key, and key not in ``target``."""
     rows = batch.where(F.col(key).isNotNull())
-    rows = keep_first(rows, key, ord) if ord else rows.dropDuplicates([key])
+    if ord:
+        return keep_first(rows, key, ord, unless=target)
+    rows = rows.dropDuplicates([key])
     if target is not None:
         rows = rows.join(target.select(key).distinct(), key, "left_anti")
     return rows
