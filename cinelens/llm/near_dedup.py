@@ -63,17 +63,16 @@ def signature(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return signed(keys), sketch
 
 
-_SIG = ("doc_id long, n long, f1 long, f2 long, bands array<long>, "
+_SIG = ("doc_id long, h long, n long, f1 long, f2 long, bands array<long>, "
         + ", ".join(f"s{i} long" for i in range(SKETCH_WORDS)))
 
 
 def _signatures(batches):
     for batch in slices(batches):
-        ids, n, f1, f2, bands = [], [], [], [], []
+        n, f1, f2, bands = [], [], [], []
         words = [[] for _ in range(SKETCH_WORDS)]
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for text in batch.column(2).to_pylist():
             h, _ = shingle_hashes(text)
-            ids.append(i)
             n.append(len(h))
             if len(h):
                 keys, sketch = signature(h)
@@ -86,7 +85,7 @@ def _signatures(batches):
             bands.append(keys)
             for w, s in zip(words, sketch):
                 w.append(int(s))
-        arrays = [pa.array(x, pa.int64()) for x in (ids, n, f1, f2)] + [pa.array(bands, pa.list_(pa.int64()))]
+        arrays = [batch.column(0), batch.column(1)] + [pa.array(x, pa.int64()) for x in (n, f1, f2)] + [pa.array(bands, pa.list_(pa.int64()))]
         arrays += [pa.array(w, pa.int64()) for w in words]
         yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in _SIG.split(", ")])
 
@@ -196,8 +195,8 @@ def _confirm(percent: int):
     return run
 
 
-def near_links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Confirmed links ``(a, b)`` that join every pair of similar classes into one component.
+def near_links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT, repeated: bool = False) -> DataFrame:
+    """Confirmed links ``(a, b)`` between classes that join every pair of similar classes into one component.
 
     Round one links every member of a bucket with the bucket's hub (the
     member that shares most buckets), so a bucket of any size proposes one
@@ -207,10 +206,12 @@ def near_links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> Data
     what leaves a block are confirmed links that join components, at most one
     per member. So every colliding pair is compared unless a path of
     confirmed links joins it, and no group is spelled out as pairs.
+    A class is compared by the text that ``doc_id`` and ``h`` (its xxhash64) of
+    ``reps`` name; ``repeated`` tells that a row may stand in ``docs`` twice.
     """
-    text = docs.select(F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
-    if not text.where("__id is not null").groupBy("__id").count().where("count > 1").isEmpty():
-        text = text.groupBy("__id").agg(F.min("__text").alias("__text"))
+    text = docs.select(F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__h"), F.col("text").alias("__text"))
+    names = reps.select(F.col("id").alias("__id"), "doc_id", "h")
+    reps = reps.drop("doc_id", "h")
     light = reps.drop("bands")
     rows = reps.select("id", F.explode("bands").alias("b"))
     shared = rows.groupBy("b").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
@@ -230,8 +231,10 @@ def near_links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> Data
         return got.where(_likely(side("x"), side("y"), percent)).select("a", "b")
 
     def sets_of(need: DataFrame) -> DataFrame:
-        return staged(text.join(need.distinct(), F.col("__id") == F.col("id"), "left_semi")
-                      .mapInArrow(_sets, "id long, set array<long>"), "near-sets")
+        named = names.join(need.distinct(), F.col("__id") == F.col("id"), "left_semi")
+        found = text.join(named, (F.col("__doc") == F.col("doc_id")) & (F.col("__h") == F.col("h"))).select("__id", "__text")
+        sets = found.mapInArrow(_sets, "id long, set array<long>")
+        return staged(sets.dropDuplicates(["id"]) if repeated else sets, "near-sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")))
@@ -273,22 +276,30 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     and link with nothing. Equal sets form one class first (partial
     aggregate), so a group of copies of any size is one vertex. Repeated rows
     come back as often as they are given; a doc_id that stands for several
-    texts is one vertex, compared by one of them; a null doc_id is never
-    linked and kept (``component_id`` null). Texts are read whole; an empty table gives an
-    empty result; other columns are ignored.
+    texts is linked through each of them, and its rows share a component; a
+    null doc_id is never linked and kept (``component_id`` null). Texts are
+    read whole; an empty table gives an empty result; other columns are
+    ignored.
     """
-    sig = staged(docs.select("doc_id", "text").mapInArrow(_signatures, _SIG), "near-signatures")
+    plain = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    sig = staged(plain.mapInArrow(_signatures, _SIG), "near-signatures")
     real = sig.where("n > 0 and doc_id is not null")
     sketch = [f"s{i}" for i in range(SKETCH_WORDS)]
-    classes = staged(real.groupBy("f1", "f2", "n", *sketch, "bands").agg(F.min("doc_id").alias("id")), "near-classes")
-    # a class of which another class holds the same id (a doc_id with several texts) stays apart from it as a candidate
-    one = classes.groupBy("id").agg(F.min("f1").alias("f1"))
-    links = near_links(docs, classes.join(one, ["id", "f1"]).select("id", "n", *sketch, "bands"), percent)
-    comp = components(links)
-    member = real.select("doc_id", "f1", "f2", "n").join(
-        classes.select("f1", "f2", "n", "id"), ["f1", "f2", "n"]).select(
-        "doc_id", F.col("n").alias("n_shingles"), "id").join(comp, "id", "left")
-    linked = member.select("doc_id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    classes = staged(real.groupBy("f1", "f2", "n", *sketch, "bands").agg(F.min(F.struct("doc_id", "h")).alias("rep"))
+                     .withColumn("id", F.monotonically_increasing_id()), "near-classes")
+    repeated = not real.groupBy("doc_id", "h").count().where("count > 1").isEmpty()
+    links = near_links(docs, classes.select("id", "rep.doc_id", "rep.h", "n", *sketch, "bands"), percent, repeated)
+    member = staged(real.select("doc_id", "f1", "f2", "n").join(classes.select("f1", "f2", "n", "id"), ["f1", "f2", "n"]).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("id").alias("class")), "near-members")
+    # the classes of one doc_id belong together
+    shared = member.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a != z")
+    tied = member.join(shared.select("doc_id", "a"), "doc_id").select("a", F.col("class").alias("b"))
+    comp = cut(components(links.unionAll(tied)))
+    named = classes.select("id", F.col("rep.doc_id").alias("low")).join(comp, "id", "left").select(
+        F.col("id").alias("class"), "low", F.coalesce("component_id", "id").alias("root"))
+    lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    linked = member.join(named.join(lowest, "root").select("class", "component_id"), "class").select(
+        "doc_id", "n_shingles", "component_id")
     alone = sig.where("n = 0 or doc_id is null").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionAll(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

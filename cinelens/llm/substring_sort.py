@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, inverse, mix, powers, prefix_hash
+from .common import U64, inverse, mix, powers, prefix_hash, staged
 from .key_exchange import TOLD, announce, answer
 from .suffix_sort import sorted_suffixes
 
@@ -71,11 +71,10 @@ def _list(table: pa.Table, column: str) -> list:
     return table[column].to_pylist() if table.num_columns else []
 
 
-def _texts(table: pa.Table, keep: set) -> list[tuple[int, bytes]]:
-    """The shard's texts to work on, in document order, one per document key."""
-    rows = {(i, s): t for i, s, t in zip(_list(table, "ord"), _list(table, "sha"), _list(table, "text"))
-            if (i, s) in keep}
-    return [(i, rows[i, s].encode("utf-8", "surrogatepass")) for i, s in sorted(rows)]
+def _texts(table: pa.Table, keep: dict) -> list[tuple[int, bytes]]:
+    """The shard's texts to work on, in document order, as ``(ord, bytes)``."""
+    rows = {keep[i, s]: t for i, s, t in zip(_list(table, "id"), _list(table, "sha"), _list(table, "text")) if (i, s) in keep}
+    return [(o, rows[o].encode("utf-8", "surrogatepass")) for o in sorted(rows)]
 
 
 def _shard_segments(texts: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
@@ -85,8 +84,9 @@ def _shard_segments(texts: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndar
     return (np.concatenate(segs, axis=1) if segs else np.zeros((4, 0), dtype=U64)), doc
 
 
-def _keep(other: pa.Table) -> set:
-    return {(i, s) for i, s in zip(_list(other, "ord"), _list(other, "sha")) if s is not None}
+def _keep(other: pa.Table) -> dict:
+    """``(id, sha)`` of the shard's texts -> their place in document order."""
+    return {(i, s): o for i, s, o in zip(*(_list(other, c) for c in ("keep_id", "keep_sha", "ord"))) if s is not None}
 
 
 def hot_keys(texts: list[tuple[int, bytes]], segs: np.ndarray, doc: np.ndarray, length: int, least: int) -> np.ndarray:
@@ -113,18 +113,13 @@ def _announce(shards: int, length: int, least: int):
     return run
 
 
-def _answer(shards: int):
-    """Per shard the numbers of its repeated keys; the hot keys of all shards go to every shard, under ord ``_HOT``."""
-
-    def run(key, table):
-        if key[0].as_py() == _HOT:
-            hot = np.unique(np.concatenate([np.frombuffer(b, dtype=U64) for b in table["short"].to_pylist()])).tobytes()
-            shard, blob, name = pa.array(range(shards), pa.int64()), pa.array([hot] * shards, pa.binary()), pa.array([_HOT] * shards, pa.int64())
-        else:
-            shard, blob = answer(table)
-            name = pa.nulls(len(shard), pa.int64())
-        return pa.table({"shard": shard, "ord": name, "sha": pa.nulls(len(shard), pa.string()), "blob": blob})
-    return run
+def _answer(key, table):
+    """Per shard the numbers of its repeated keys; the hot keys of all shards in one row, under shard and ord ``_HOT``."""
+    if key[0].as_py() == _HOT:
+        hot = np.unique(np.concatenate([np.frombuffer(b, dtype=U64) for b in table["short"].to_pylist()])).tobytes()
+        return pa.table({"shard": pa.array([_HOT], pa.int64()), "ord": pa.array([_HOT], pa.int64()), "blob": pa.array([hot], pa.binary())})
+    shard, blob = answer(table)
+    return pa.table({"shard": shard, "ord": pa.nulls(len(shard), pa.int64()), "blob": blob})
 
 
 def _windows(texts, ords, doc, first, last, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -319,17 +314,17 @@ def _clean(key, docs: pa.Table, other: pa.Table) -> pa.Table:
     ords, start, end = np.array(marks, dtype=np.int64).reshape(-1, 3).T
     by = np.argsort(ords, kind="stable")
     ords, start, end = ords[by], start[by], end[by]
-    cols: dict = {c: [] for c in ("ord", "sha", "n_removed", "n_spans", "kept_sha256", "starts", "ends")}
-    sha = {i: s for i, s in _keep(other)}
-    for i, t in texts:
-        lo, hi = np.searchsorted(ords, [i, i + 1]) if i < _LAST else (np.searchsorted(ords, i), len(ords))
+    cols: dict = {c: [] for c in ("id", "sha", "n_removed", "n_spans", "kept_sha256", "starts", "ends")}
+    names = {o: k for k, o in _keep(other).items()}
+    for o, t in texts:
+        lo, hi = np.searchsorted(ords, [o, o + 1])
         s, e = merged_runs(start[lo:hi], end[lo:hi]) if hi > lo else (start[:0], end[:0])
         kept, at = [], 0
         for a, b in zip(s.tolist(), e.tolist()):
             kept.append(t[at:a])
             at = b
         kept.append(t[at:])
-        for c, v in zip(cols, (i, sha[i], int((e - s).sum()), len(s), hashlib.sha256(b"".join(kept)).hexdigest(),
+        for c, v in zip(cols, (*names[o], int((e - s).sum()), len(s), hashlib.sha256(b"".join(kept)).hexdigest(),
                                s.tolist(), e.tolist())):
             cols[c].append(v)
     kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()))
@@ -358,41 +353,45 @@ def repeated_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     lead = counts.groupBy("sha").agg(F.min(F.coalesce("doc_id", F.lit(_LAST))).alias("lead"))
     total = counts.groupBy("sha").agg(F.max("n").alias("n")).agg(F.sum("n")).first()[0] or 0
     shards = max(MIN_SHARDS, int(total // SHARD_BYTES) + 1)
-    shard = F.pmod(F.xxhash64("ord"), F.lit(shards).cast("long"))
+    shard = lambda i, h: F.pmod(F.xxhash64(i, h), F.lit(shards).cast("long"))
 
     long_enough = F.col("n") >= length
-    texts = (rows.where(long_enough).select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "sha", "text")
-             .withColumn("shard", shard))
-    # lower() changes nothing but makes a column of its own: a cogroup drops one that both sides share
-    leads = (counts.where(long_enough).groupBy("sha").agg(F.min(F.coalesce("doc_id", F.lit(_LAST))).alias("ord"))
-             .select(F.lower("sha").alias("sha"), "ord").withColumn("shard", shard))
+    # a text is known by document and digest; its place in document order is a number of its own
+    texts = (rows.where(long_enough).select(F.coalesce("doc_id", F.lit(_LAST)).alias("id"), "sha", "text")
+             .withColumn("shard", shard("id", "sha")))
+    leads = staged(counts.where(long_enough).groupBy("sha").agg(F.min(F.coalesce("doc_id", F.lit(_LAST))).alias("id"))
+                   .repartitionByRange("id", "sha").sortWithinPartitions("id", "sha")
+                   .select("id", "sha", F.monotonically_increasing_id().alias("ord"), shard("id", "sha").alias("shard")), "substring-leads")
     none = F.lit(None)
 
     by_shard = texts.groupBy("shard")
-    keep = leads.select("shard", "ord", "sha", none.cast("binary").alias("blob"))
+    keep = leads.select("shard", "ord", F.col("id").alias("keep_id"), F.col("sha").alias("keep_sha"), none.cast("binary").alias("blob"))
     told = by_shard.cogroup(keep.groupBy("shard")).applyInArrow(
         _announce(shards, length, max(HOT_ROWS, SORT_ROWS // shards)), TOLD)
-    answers = told.groupBy("bucket").applyInArrow(_answer(shards), "shard long, ord long, sha string, blob binary")
+    everywhere = F.when(F.col("shard") == _HOT, F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).otherwise(F.array("shard"))
+    answers = told.groupBy("bucket").applyInArrow(_answer, "shard long, ord long, blob binary").select(
+        F.explode(everywhere).alias("shard"), "ord", none.cast("long").alias("keep_id"), none.cast("string").alias("keep_sha"), "blob")
     dealt = by_shard.cogroup(keep.unionAll(answers).groupBy("shard")).applyInArrow(_deal(shards, length), _DEALT)
-    marks = (dealt.groupBy("bucket").applyInArrow(_sort_bucket(shards, length), "ord long, start long, end long")
-             .withColumn("shard", shard))
-    last = leads.select("shard", "ord", "sha", none.cast("long").alias("start"), none.cast("long").alias("end")).unionAll(
-        marks.select("shard", "ord", none.cast("string").alias("sha"), "start", "end"))
+    marks = dealt.groupBy("bucket").applyInArrow(_sort_bucket(shards, length), "ord long, start long, end long").join(
+        leads.select("ord", "shard"), "ord")
+    last = leads.select("shard", "ord", F.col("id").alias("keep_id"), F.col("sha").alias("keep_sha"), none.cast("long").alias("start"),
+                        none.cast("long").alias("end")).unionAll(
+        marks.select("shard", "ord", none.cast("long").alias("keep_id"), none.cast("string").alias("keep_sha"), "start", "end"))
     clean = by_shard.cogroup(last.groupBy("shard")).applyInArrow(
-        _clean, "ord long, sha string, n_removed long, n_spans long, kept_sha256 string, starts array<long>, ends array<long>")
+        _clean, "id long, sha string, n_removed long, n_spans long, kept_sha256 string, starts array<long>, ends array<long>")
 
     nothing = F.sha2(F.lit("").cast("binary"), 256)
-    ids = counts.join(lead, "sha").withColumn("ord", F.coalesce("doc_id", F.lit(_LAST)))
+    ids = counts.join(lead, "sha").withColumn("id", F.coalesce("doc_id", F.lit(_LAST)))
     none_long = F.expr("cast(array() as array<long>)")
     short = counts.where(~long_enough).select(
         "doc_id", F.col("n").alias("n_bytes"), F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("i"),
         F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha").alias("kept_sha256"),
         none_long.alias("starts"), none_long.alias("ends")).drop("i")
-    is_lead = F.col("ord") == F.col("lead")
+    is_lead = F.col("id") == F.col("lead")
     copies = ids.where(long_enough).withColumn("c", F.col("c") - is_lead.cast("long")).where("c > 0").select(
         "doc_id", F.col("n").alias("n_bytes"), F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("i"),
         F.col("n").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), nothing.alias("kept_sha256"),
         F.array(F.lit(0).cast("long")).alias("starts"), F.array("n").alias("ends")).drop("i")
-    leading = ids.where(long_enough & is_lead).select("doc_id", F.col("n").alias("n_bytes"), "ord", "sha").join(
-        clean, ["ord", "sha"]).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "starts", "ends")
+    leading = ids.where(long_enough & is_lead).select("doc_id", F.col("n").alias("n_bytes"), "id", "sha").join(
+        clean, ["id", "sha"]).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "starts", "ends")
     return leading.unionAll(copies).unionAll(short)
