@@ -385,15 +385,33 @@ def q_known(spark, sf_dir):
     return known_ids(_raw(spark, sf_dir).where(_HISTORY))
 
 
-@register("F3_skip_seen", f"""WITH {RAW_CTE}
+_F3_SQL = f"""WITH {RAW_CTE}
 SELECT {RAW_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY Unique_ID ORDER BY ord) AS rn FROM raw_reviews) t
-WHERE rn = 1 AND Unique_ID NOT IN (SELECT Unique_ID FROM raw_reviews WHERE {_HISTORY})""")
+WHERE rn = 1 AND Unique_ID NOT IN (SELECT Unique_ID FROM raw_reviews WHERE {_HISTORY})"""
+
+
+@register("F3_skip_seen", _F3_SQL)
 def q_skip_seen(spark, sf_dir):
     raw = _raw(spark, sf_dir)
     return DD.new_reviews(raw, raw.where(_HISTORY), "Unique_ID", "ord")
 
 
+#: Buckets of the targets that the bucketed queries write.
+BUCKETS = 16
+
+
+@register("F3_bucketed_skip_seen", _F3_SQL)
+def q_skip_seen_bucketed(spark, sf_dir):
+    """History written once in buckets by its key; the batch is compared without shuffling it."""
+    from .sources import bucketed as BK
+    from .streaming import ingest as IG
+    raw = _raw(spark, sf_dir)
+    path, known = IG.fresh_dir(spark, "known"), raw.where(_HISTORY).select("Unique_ID")
+    BK.append_bucketed(known, path, "Unique_ID", BUCKETS)
+    return DD.new_reviews(raw, BK.open_bucketed(spark, path, known.schema, "Unique_ID", BUCKETS), "Unique_ID", "ord", by_key=True)
+
+
 @register("F5_cap_at_target", f"""WITH {RAW_CTE},
 fresh AS (
   SELECT {RAW_COLS} FROM (
@@ -809,14 +827,26 @@ def _star_plan(spark, sf_dir, table):
     return SR.plan_new_rows(raw, history, only=[table])[table]
 
 
-@register("J3d_E4_new_reviews", f"""WITH {RECORDS_CTE},
+_J3D_SQL = f"""WITH {RECORDS_CTE},
 hist AS (SELECT review_hash FROM good WHERE in_history),
 firsts AS ({_first_sql('good', 'review_hash', _REC_COLS)})
-SELECT * FROM firsts WHERE review_hash NOT IN (SELECT review_hash FROM hist)""")
+SELECT * FROM firsts WHERE review_hash NOT IN (SELECT review_hash FROM hist)"""
+
+
+@register("J3d_E4_new_reviews", _J3D_SQL)
 def q_new_reviews(spark, sf_dir):
     return _star_plan(spark, sf_dir, "reviews")
 
 
+@register("J3d_bucketed_new_reviews", _J3D_SQL)
+def q_new_reviews_bucketed(spark, sf_dir):
+    """The same against a target that an earlier load wrote in buckets by review_hash."""
+    root, raw = IG.fresh_dir(spark, "star"), _raw(spark, sf_dir)
+    SR.load_star(raw.where(_HISTORY), root, buckets=BUCKETS)
+    target = {"reviews": SR.read_target(spark, root, "reviews", BUCKETS)}
+    return SR.plan_new_rows(raw, target, only=["reviews"], bucketed=True)["reviews"]
+
+
 @register("J3c_D2_new_reviewers", f"""WITH {RECORDS_CTE}
 SELECT DISTINCT username FROM good
 WHERE username NOT IN (SELECT username FROM good WHERE in_history)""")

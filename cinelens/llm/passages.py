@@ -15,23 +15,30 @@ from __future__ import annotations
 import itertools
 import math
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .common import SHINGLE, U64, components, cut, mix, numbered, prefix_hash, signed, slices, span_hash, staged
 from .key_exchange import TOLD, announce, answer, repeated_here
 from .near_dedup import _agree
 
 PERCENT = 75
-#: Bands of one sample each: as many as keep a pair at the threshold with this chance.
+#: Distinct shingles up to which a set's bands are its smallest hashes, as many as no pair over the threshold can avoid.
+NARROW = 32
+#: Larger sets have as many bands of two MinHash samples as keep a pair at the threshold with this chance.
 RECALL = 0.999
+ROWS = 2
 #: A border stands before a word whose hash is the smallest of as many words to either side.
 REACH = 5
 #: Words of a run of repeated paragraphs that is removed.
 MIN_WORDS = 20
+#: Sets of fewer shingles are similar at 0.75 only if they are equal.
+LEAST_SET = 3
 SHARD_BYTES = 6 << 20
 MIN_SHARDS = 8
 #: Characters that are hashed at a time.
@@ -39,14 +46,50 @@ BATCH_CHARS = 1 << 19
 #: Members of a bucket that are compared in one task, and those of a bucket whose pairs are joined.
 BLOCK = 1000
 FEW = 12
-#: Words beside a run that are compared in the first round, and in each further one.
+#: Words beside a run that are compared in the first round and in the second one; later rounds double up to the last figure.
 CONTEXT = 32
 FURTHER = 1024
+MOST = 1 << 16
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def bands_for(percent: int = PERCENT, recall: float = RECALL) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - percent / 100))
+    return math.ceil(math.log(1 - recall) / math.log(1 - (percent / 100) ** ROWS))
+
+
+def band_keys(flat: np.ndarray, offsets: np.ndarray, f: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys of sets (distinct hashes, ascending within a set), and the number of the set of each key.
+
+    Sets of one or two shingles are similar only if they are equal: their key
+    is the fingerprint. Two sets of which the smaller has ``n`` shingles share
+    at least ``ceil(n * percent / 100)`` of them if they are similar, so they share one
+    of their ``n - ceil(n * percent / 100) + 1`` smallest MinHash values: up to ``NARROW``
+    shingles these are the bands, and no similar pair is missed. Larger sets
+    have bands of ``ROWS`` samples; sets between the two sizes, which can pair
+    with either kind, have both.
+    """
+    n = np.diff(offsets)
+    tiny = np.flatnonzero(n < LEAST_SET)
+    keys, own = [mix(f[tiny] + U64(0x2545F4914F6CDD1D))], [tiny]
+    narrow = np.flatnonzero((n >= LEAST_SET) & (n <= NARROW))
+    count = n[narrow] - (n[narrow] * percent + 99) // 100 + 1
+    begin = np.concatenate(([0], np.cumsum(count)[:-1])).astype(np.int64)
+    spot = np.repeat(offsets[:-1][narrow] - begin, count) + np.arange(int(count.sum()))
+    keys.append(mix(flat[spot] + U64(0x9E6C63D0876A9A35)))
+    own.append(np.repeat(narrow, count))
+    large = np.flatnonzero(100 * n > percent * NARROW)
+    if len(large):
+        size = n[large]
+        begin = np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64)
+        h = flat[np.repeat(offsets[:-1][large] - begin, size) + np.arange(int(size.sum()))]
+        for band in range(bands_for(percent)):
+            key = np.full(len(large), band + 1, dtype=U64)
+            for row in range(ROWS):
+                seed = int(mix(np.array([101 + band * ROWS + row], dtype=U64))[0]) | 1
+                key = mix(key ^ mix(np.minimum.reduceat(h * U64(seed), begin)))
+            keys.append(key)
+            own.append(large)
+    return np.concatenate(keys), np.concatenate(own)
 
 
 class Paragraphs:
@@ -124,22 +167,23 @@ class Paragraphs:
         """Paragraphs of many texts, worked out a bounded number of characters at a time."""
         size = np.cumsum([len(t) for t in texts]) // limit
         cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(texts)]
-        parts = [cls(texts[a:b]) for a, b in zip(cuts, cuts[1:])]
-        out = cls([])
-        for name in ("unit", "last", "begin", "end", "at", "words", "pre", "post", "shingles"):
-            setattr(out, name, np.concatenate([getattr(p, name) for p in parts]))
-        out.doc = np.concatenate([p.doc + a for p, a in zip(parts, cuts)])
-        shift = np.cumsum([0] + [len(p.shingles) for p in parts])
-        out.starts = np.concatenate([p.starts + k for p, k in zip(parts, shift)])
+        out, names = cls([]), ("unit", "last", "begin", "end", "at", "words", "pre", "post", "prints", "doc", "flat")
+        held = {c: [] for c in names}
+        counts = [np.zeros(0, dtype=np.int64)]
+        for a, b in zip(cuts, cuts[1:]):
+            part = cls(texts[a:b])
+            part.flat, offsets, part.prints = part.sets(np.arange(len(part.words)))
+            part.doc = part.doc + a
+            part.shingles = part.starts = None
+            counts.append(np.diff(offsets))
+            for c in names:
+                held[c].append(getattr(part, c))
+        for c in names:
+            kind = U64 if c in ("pre", "post", "prints", "flat") else np.int64
+            setattr(out, c, np.concatenate([np.zeros(0, dtype=kind), *held.pop(c)]))
+        out.offsets = np.concatenate(([0], np.cumsum(np.concatenate(counts)))).astype(np.int64)
         return out
 
-    def keys(self, bands: int) -> np.ndarray:
-        """One key per paragraph and band: the smallest seeded shingle hash."""
-        if not len(self.words):
-            return np.zeros((0, bands), dtype=U64)
-        seeds = mix(np.arange(101, 101 + bands, dtype=U64)) | U64(1)
-        return np.stack([mix(np.minimum.reduceat(mix(self.shingles * s), self.starts) + s) for s in seeds], axis=1)
-
     def sets(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct shingles of some paragraphs: flat, offsets, and a fingerprint each."""
         size = np.append(self.starts[1:], len(self.shingles))[which] - self.starts[which]
@@ -159,7 +203,7 @@ class Paragraphs:
 def _shard(docs: pa.Table, other: pa.Table) -> tuple[list[tuple[int, int]], Paragraphs]:
     """The shard's texts but for copies of texts elsewhere (named in ``other``), and their paragraphs."""
     if not docs.num_columns:
-        return [], Paragraphs([])
+        return [], Paragraphs.over([])
     skip = set(zip(other["skip_id"].to_pylist(), other["skip_h"].to_pylist())) if other.num_columns else set()
     rows = {(i, h): t for i, h, t in zip(docs["doc_id"].to_pylist(), docs["h"].to_pylist(), docs["text"].to_pylist())
             if (i, h) not in skip}
@@ -167,9 +211,10 @@ def _shard(docs: pa.Table, other: pa.Table) -> tuple[list[tuple[int, int]], Para
     return names, Paragraphs.over([rows[k] for k in names])
 
 
-def _tell(shards: int, bands: int):
+def _tell(shards: int, percent: int):
     def run(key, docs, other):
-        return announce(key[0].as_py(), _shard(docs, other)[1].keys(bands).ravel(), shards)
+        found = _shard(docs, other)[1]
+        return announce(key[0].as_py(), band_keys(found.flat, found.offsets, found.prints, percent)[0], shards)
     return run
 
 
@@ -181,25 +226,28 @@ def _hear(table: pa.Table) -> pa.Table:
 _ROWS = "doc_id long, h long, unit int, last int, begin int, end int, at int, words int, pre long, post long, f long, n int, set array<long>"
 
 
-def _repeated(bands: int):
-    """Paragraphs that share bands with others; the set is given once per shard and fingerprint."""
+def _repeated(percent: int):
+    """Paragraphs that share bands with others; a set that can be like another one is given once per shard and fingerprint."""
 
     def run(key, docs: pa.Table, other: pa.Table) -> pa.Table:
         names, found = _shard(docs, other)
-        keys = found.keys(bands)
-        take = repeated_here(keys.ravel())
+        flat, offsets, f = found.flat, found.offsets, found.prints
+        keys, own = band_keys(flat, offsets, f, percent)
+        take = repeated_here(keys)
         for blob in other["blob"].to_pylist() if other.num_columns else []:
             if blob is not None:
                 take[np.frombuffer(blob, dtype=np.uint32)] = True
-        which = np.flatnonzero(take.reshape(keys.shape).any(axis=1))
-        flat, offsets, f = found.sets(which)
-        n = np.diff(offsets)
+        which = np.unique(own[take])
+        n, f = np.diff(offsets)[which], f[which]
         new = np.zeros(len(which), dtype=bool)
         new[np.unique(f, return_index=True)[1]] = True
+        new &= n >= LEAST_SET
         ids = np.array(names, dtype=np.int64).reshape(-1, 2)
         # lists of the first paragraph of each fingerprint; null for the others
-        at = np.concatenate(([0], np.cumsum(np.where(new, n, 0)))).astype(np.int32)
-        sets = pa.ListArray.from_arrays(pa.array(at), pa.array(signed(np.ascontiguousarray(flat[np.repeat(new, n)]))), mask=pa.array(~new))
+        size = np.where(new, n, 0)
+        at = np.concatenate(([0], np.cumsum(size)))
+        spot = np.repeat(offsets[which] - at[:-1], size) + np.arange(int(at[-1]))
+        sets = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(signed(np.ascontiguousarray(flat[spot]))), mask=pa.array(~new))
         cols = [pa.array(ids[found.doc[which], 0]), pa.array(ids[found.doc[which], 1]),
                 *(pa.array(getattr(found, c)[which].astype(np.int32)) for c in ("unit", "last", "begin", "end", "at", "words")),
                 *(pa.array(signed(np.ascontiguousarray(getattr(found, c)[which]))) for c in ("pre", "post")),
@@ -208,19 +256,15 @@ def _repeated(bands: int):
     return run
 
 
-def _band_keys(bands: int):
+def _keys_of_sets(percent: int):
     """``(f, set)`` -> ``(f, b)``: one row per band."""
 
     def run(batches):
         for batch in batches:
             column = batch["set"]
-            flat, cuts = column.values.to_numpy().view(U64), column.offsets.to_numpy()
-            p = Paragraphs([])
-            p.shingles, p.starts = flat[cuts[0]:cuts[-1]], (cuts[:-1] - cuts[0]).astype(np.int64)
-            p.words = np.diff(cuts)
-            keys = p.keys(bands) + np.arange(bands, dtype=U64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch["f"].to_numpy(), bands)), pa.array(signed(keys.ravel()))],
-                                             names=["f", "b"])
+            flat, cuts = column.values.to_numpy().view(U64), column.offsets.to_numpy().astype(np.int64)
+            keys, own = band_keys(flat[cuts[0]:cuts[-1]], cuts - cuts[0], batch["f"].to_numpy().view(U64), percent)
+            yield pa.RecordBatch.from_arrays([pa.array(batch["f"].to_numpy()[own]), pa.array(signed(keys))], names=["f", "b"])
     return run
 
 
@@ -246,17 +290,13 @@ def _block_links(percent: int):
     return run
 
 
-#: Sets of fewer shingles are similar at 0.75 only if they are equal.
-LEAST_SET = 3
-
-
 def _link(classes: DataFrame, percent: int) -> DataFrame:
     """Components of similar classes ``(f, n, set)``: ``(id, component_id)`` of linked ones.
 
     First every member of a bucket against the bucket's hub, then, in buckets
     that still hold several components, blocks of bounded size inside tasks.
     """
-    rows = classes.where(F.col("n") >= LEAST_SET).select("f", "set").mapInArrow(_band_keys(bands_for(percent)), "f long, b long")
+    rows = classes.select("f", "set").mapInArrow(_keys_of_sets(percent), "f long, b long").distinct()
     shared = rows.groupBy("b").agg(F.count(F.lit(1)).alias("c"), F.min("f").alias("hub")).where("c > 1")
     multi = staged(rows.join(shared, "b"), "passage-buckets")
     pairs = multi.where("f != hub").select(F.least("f", "hub").alias("a"), F.greatest("f", "hub").alias("b")).distinct()
@@ -371,7 +411,15 @@ def _extended(edges: DataFrame, by_shard, shard) -> DataFrame:
             "doc_id", "h", "kept", "kept_h", "right", "at", F.col("to").alias("spot"), F.col("kept_to").alias("kept_spot"), "cluster")
         if edges.isEmpty():
             return pieces
-        most = FURTHER
+        most = min(max(FURTHER, 2 * most), MOST)
+
+
+def _dealt(text: DataFrame, shards: int) -> DataFrame:
+    """Texts written once in buckets by shard: every later grouping by shard reads them without another shuffle."""
+    spark, name = text.sparkSession, f"passage_texts_{uuid.uuid4().hex}"
+    (text.repartition(shards, "shard").write.bucketBy(shards, "shard").option("path", scratch_path(spark, name))
+     .option("compression", "zstd").format("parquet").saveAsTable(name))
+    return spark.table(name)
 
 
 def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
@@ -392,7 +440,6 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     text = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("h"), "text")
     total = text.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(MIN_SHARDS, int(total) // SHARD_BYTES + 1)
-    bands = bands_for(percent)
     shard = lambda c: F.pmod(F.xxhash64(c), F.lit(shards).cast("long"))
     # equal texts: all but the first document are repeated whole
     narrow = text.select("doc_id", "h", F.octet_length("text").cast("long").alias("end"),
@@ -402,12 +449,12 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
                     "passage-copies")
     skip = copies.select(shard("doc_id").alias("shard"), F.lit(None).cast("binary").alias("blob"),
                          F.col("doc_id").alias("skip_id"), F.col("h").alias("skip_h"))
-    by_shard = text.withColumn("shard", shard("doc_id")).groupBy("shard")
-    told = by_shard.cogroup(skip.groupBy("shard")).applyInArrow(_tell(shards, bands), TOLD)
+    by_shard = _dealt(text.withColumn("shard", shard("doc_id")), shards).groupBy("shard")
+    told = by_shard.cogroup(skip.groupBy("shard")).applyInArrow(_tell(shards, percent), TOLD)
     heard = told.groupBy("bucket").applyInArrow(_hear, "shard long, blob binary").select(
         "shard", "blob", F.lit(None).cast("long").alias("skip_id"), F.lit(None).cast("long").alias("skip_h"))
     units = staged(by_shard.cogroup(skip.unionAll(heard).groupBy("shard")).applyInArrow(
-        _repeated(bands), _ROWS), "passage-units")
+        _repeated(percent), _ROWS), "passage-units")
     classes = staged(units.where("set is not null").select("f", "n", "set").dropDuplicates(["f"]), "passage-classes")
     comp = _link(classes, percent)
     members = units.select("doc_id", "h", "unit", "last", "begin", "end", "at", "words", "pre", "post", "f").join(

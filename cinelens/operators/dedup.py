@@ -23,7 +23,7 @@ def _key_hash(keys):
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
-def keep_first(df: DataFrame, keys, ord: str = "ord", unless: DataFrame | None = None) -> DataFrame:
+def keep_first(df: DataFrame, keys, ord: str = "ord", unless: DataFrame | None = None, by_key: bool = False) -> DataFrame:
     """Keep the first row (smallest ``ord``) per key; null keys form one group.
 
     The key is hashed (``sha2``), so no text is a sort or shuffle key: the
@@ -33,14 +33,20 @@ def keep_first(df: DataFrame, keys, ord: str = "ord", unless: DataFrame | None =
     What is left picks the rows by a join on ``(hash, ord)``, the only step
     that may move whole rows. Rows without ``ord`` come last. Of rows that tie
     on it the one with the smallest row hash stays, of rows alike in every
-    column any, found on the partitioning of that join.
+    column any, found on the partitioning of that join. With ``by_key`` a single
+    key column is used as it is, without a hash: ``unless`` may then be a
+    table bucketed by it, which is not shuffled. Rows without a key are then
+    left out.
     """
     keys = _keys(keys)
-    hashed = df.withColumns({"__key": _key_hash(keys), "__at": F.struct(F.col(ord).alias("o"))})
+    if by_key and len(keys) != 1:
+        raise ValueError("by_key needs a single key")
+    mark = F.col(keys[0]) if by_key else _key_hash(keys)
+    hashed = df.withColumns({"__key": mark, "__at": F.struct(F.col(ord).alias("o"))})
     first = hashed.groupBy(F.col("__key").alias("__k")).agg(F.min(ord).alias("o")).select("__k", F.struct("o").alias("__a"))
     if unless is not None:
-        seen = unless.select(_key_hash(keys).alias("__seen")).distinct()
-        first = first.join(seen, F.col("__k") == F.col("__seen"), "left_anti")
+        seen = unless.select(mark.alias("__seen"))
+        first = first.join(seen if by_key else seen.distinct(), F.col("__k") == F.col("__seen"), "left_anti")
     kept = hashed.join(first, (F.col("__key") == F.col("__k")) & (F.col("__at") == F.col("__a")), "left_semi")
     w = Window.partitionBy("__key", "__at").orderBy(row_hash(df))
     return kept.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").select(*df.columns)
@@ -114,7 +120,7 @@ def cap_new_per_group(new_rows: DataFrame, existing: DataFrame | None, target: i
 
 
 def new_reviews(batch: DataFrame, known: DataFrame | None, key: str = "Unique_ID",
-                ord: str = "ord", target: int | None = None, group: str | None = None) -> DataFrame:
+                ord: str = "ord", target: int | None = None, group: str | None = None, by_key: bool = False) -> DataFrame:
     """F3 + D3 + F5: first row per key in the batch, minus history, capped.
 
     ``target`` counts distinct known keys as well as new ones (the resume
@@ -128,7 +134,7 @@ def new_reviews(batch: DataFrame, known: DataFrame | None, key: str = "Unique_ID
         if known is not None:
             existing = known.groupBy(group).agg(F.countDistinct(key).alias("existing"))
         return fresh if target is None else cap_new_per_group(fresh, existing, target, group, ord)
-    fresh = keep_first(batch, key, ord, unless=known)
+    fresh = keep_first(batch, key, ord, unless=known, by_key=by_key)
     if target is None:
         return fresh
     existing = known.select(key).distinct().count() if known is not None else 0

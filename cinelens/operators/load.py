@@ -21,11 +21,11 @@ REVIEWS_COLS = ["review_id", "movie_id", "reviewer_id", "source_id", "rating", "
                 "helpful_downvotes", "summary", "review_text", "review_hash", "scrape_timestamp"]
 
 
-def insert_or_ignore(batch: DataFrame, target: DataFrame | None, key: str, ord: str | None = None) -> DataFrame:
-    """Rows of ``batch`` to append -- first per key, and key not in ``target``."""
+def insert_or_ignore(batch: DataFrame, target: DataFrame | None, key: str, ord: str | None = None, bucketed: bool = False) -> DataFrame:
+    """Rows of ``batch`` to append -- first per key, and key not in ``target`` (which may be ``bucketed`` by the key)."""
     rows = batch.where(F.col(key).isNotNull())
     if ord:
-        return keep_first(rows, key, ord, unless=target)
+        return keep_first(rows, key, ord, unless=target, by_key=bucketed)
     rows = rows.dropDuplicates([key])
     if target is not None:
         rows = rows.join(target.select(key).distinct(), key, "left_anti")

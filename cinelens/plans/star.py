@@ -17,9 +17,13 @@ from pyspark.sql.utils import AnalysisException
 from ..functions import scalars as S
 from ..operators import load as L
 from ..operators import quality as Q
+from ..sources import bucketed as BK
 
 MAX_INT = 2**31 - 1
 TABLES = ("sources", "movies", "reviewers", "reviews", "quarantine")
+#: Natural key of each table: what makes a row known, and what a bucketed target is bucketed by.
+KEYS = {"sources": "source_url", "movies": "movie_id", "reviewers": "username", "reviews": "review_hash",
+        "quarantine": "quarantine_hash"}
 
 
 def rules() -> list:
@@ -29,18 +33,22 @@ def rules() -> list:
             Q.range_rule("downvotes_value", 0, MAX_INT)]
 
 
-def read_target(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+def read_target(spark: SparkSession, root: str, name: str, buckets: int | None = None) -> DataFrame | None:
+    path = os.path.join(root, name)
     try:
-        return spark.read.parquet(os.path.join(root, name))
+        plain = spark.read.parquet(path)
     except AnalysisException:
         return None
+    return plain if buckets is None else BK.open_bucketed(spark, path, plain.schema, KEYS[name], buckets)
 
 
-def plan_new_rows(batch: DataFrame, target: dict, ord: str = "ord", site: str = S.SITE, only=TABLES) -> dict:
+def plan_new_rows(batch: DataFrame, target: dict, ord: str = "ord", site: str = S.SITE, only=TABLES,
+                  bucketed: bool = False) -> dict:
     """The natural-key part of the load: what each table (of ``only``) would receive.
 
     ``batch`` holds raw review rows with ``movie_id`` and ``title``; ``target``
-    maps table names to existing DataFrames (or None). No surrogate ids.
+    maps table names to existing DataFrames (or None), all ``bucketed`` by
+    ``KEYS`` or none. No surrogate ids.
     """
     records = L.review_records(batch, site=site, values=True)
     good, bad = Q.quarantine(records, rules())
@@ -54,38 +62,47 @@ def plan_new_rows(batch: DataFrame, target: dict, ord: str = "ord", site: str =
 
     def movies() -> DataFrame:
         rows = batch.select(F.col("movie_id").cast("string").alias("movie_id"), "title", ord)
-        return L.insert_or_ignore(rows, target.get("movies"), "movie_id", ord).select(
+        return insert(rows, "movies").select(
             "movie_id", "title", S.movie_url("movie_id", site).alias("imdb_url"))
 
+    def insert(rows: DataFrame, table: str) -> DataFrame:
+        return L.insert_or_ignore(rows, target.get(table), KEYS[table], ord, bucketed)
+
     build = {
-        "sources": lambda: L.insert_or_ignore(batch.select(S.source_url("movie_id", site).alias("source_url"), ord),
-                                              target.get("sources"), "source_url", ord).drop(ord),
+        "sources": lambda: insert(batch.select(S.source_url("movie_id", site).alias("source_url"), ord), "sources").drop(ord),
         "movies": movies,
-        "reviewers": lambda: L.insert_or_ignore(good.select("username", ord), target.get("reviewers"), "username", ord).drop(ord),
-        "reviews": lambda: L.insert_or_ignore(good, target.get("reviews"), "review_hash", ord),
-        "quarantine": lambda: L.insert_or_ignore(rejected(), target.get("quarantine"), "quarantine_hash", ord),
+        "reviewers": lambda: insert(good.select("username", ord), "reviewers").drop(ord),
+        "reviews": lambda: insert(good, "reviews"),
+        "quarantine": lambda: insert(rejected(), "quarantine"),
     }
     return {t: build[t]() for t in only}
 
 
 def load_star(batch: DataFrame, root: str, ord: str = "ord", site: str = S.SITE,
-              report_counts: bool = False) -> dict[str, int] | None:
+              report_counts: bool = False, buckets: int | None = None) -> dict[str, int] | None:
     """Append new rows to ``root/{sources,movies,reviewers,reviews,quarantine}``.
 
+    With ``buckets`` the targets are bucketed and sorted by their natural keys
+    (``sources.bucketed``; the number must stay the same for a root): later
+    loads then compare keys without shuffling what was loaded before.
+
     With ``report_counts`` the rows added per table are returned; that needs a
     count of each table before and after, so it is off by default (a load
     then only reads the key columns its anti joins need).
     """
     spark = batch.sparkSession
     batch = batch.persist()  # read by five writes; a lost part is computed anew
-    target = {t: read_target(spark, root, t) for t in TABLES}
-    plan = plan_new_rows(batch, target, ord, site)
+    target = {t: read_target(spark, root, t, buckets) for t in TABLES}
+    plan = plan_new_rows(batch, target, ord, site, bucketed=buckets is not None)
     added = {}
     before = {t: (target[t].count() if target[t] is not None else 0) for t in TABLES} if report_counts else {}
     now = F.current_timestamp()
 
     def append(name: str, df: DataFrame) -> None:
-        df.write.mode("append").parquet(os.path.join(root, name))
+        if buckets is not None:
+            BK.append_bucketed(df, os.path.join(root, name), KEYS[name], buckets)
+        else:
+            df.write.mode("append").parquet(os.path.join(root, name))
 
     src = L.with_surrogate_id(plan["sources"], "source_id", target["sources"]).select(*L.SOURCES_COLS)
     append("sources", src)
