@@ -155,7 +155,7 @@ def q_exec_summary(spark, sf_dir):
 
 
 @register("P17_kpi_display", f"""WITH {REVIEWS_CTE}
-SELECT count(*) AS "Total Reviews", round(avg(rating), 2) AS "Overall Avg Rating",
+SELECT count(*) AS "Total IMDb Reviews", round(avg(rating), 2) AS "Overall Avg Rating",
        count(DISTINCT movie_id) AS "Total Movies Tracked",
        max(scrape_timestamp) AS "Latest Extraction Timestamp"
 FROM reviews""")
@@ -426,6 +426,7 @@ def q_cap(spark, sf_dir):
 
 # ------------------------------------------------------------------ keywords
 from .operators import keywords as KW  # noqa: E402
+from .operators import lemma_rules as LM  # noqa: E402
 from .sources import lexicons as LX  # noqa: E402
 
 _TOKEN_SQL = TX.TOKEN.replace("'", "''")
@@ -484,6 +485,44 @@ def q_kw_freq(spark, sf_dir):
     return toks.groupBy(F.col("token").alias("word")).agg(F.count(F.lit(1)).alias("count"))
 
 
+#: Irregular words of the registered query; a word is in its dictionary if it stands this often in the corpus.
+_IRREGULAR = {"thly": ["thle"], "erer": ["erin", "er"], "thnt": ["nothing-known"]}
+_KNOWN_FROM = 20
+
+
+def _endings_sql(forms: str) -> str:
+    made = ", ".join(f"CASE WHEN ends_with(f, '{old}') THEN left(f, length(f) - {len(old)}) || '{new}' END" for old, new in LM.NOUN_RULES)
+    return f"flatten(list_transform({forms}, lambda f: list_filter([{made}], lambda x: x IS NOT NULL)))"
+
+
+@register("J6_rule_lemmas", f"""WITH RECURSIVE {KEYWORD_TOKENS_CTE},
+irregular AS (SELECT * FROM (VALUES {', '.join(f"('{w}', [{', '.join(repr(x) for x in [w, *v])}])" for w, v in _IRREGULAR.items())}) t(word, names)),
+dict AS (SELECT token AS form FROM kw_kept GROUP BY token HAVING count(*) >= {_KNOWN_FROM}),
+words AS (SELECT DISTINCT k.token, i.names FROM kw_kept k LEFT JOIN irregular i ON i.word = k.token),
+tries AS (
+  SELECT token, 0 AS round, coalesce(names, [token] || {_endings_sql('[token]')}) AS forms,
+         CASE WHEN names IS NULL THEN {_endings_sql('[token]')} ELSE [] END AS made FROM words
+  UNION ALL
+  SELECT token, round + 1, {_endings_sql('made')}, {_endings_sql('made')} FROM tries WHERE len(made) > 0),
+spelt AS (SELECT token, round, unnest(forms) AS form, generate_subscripts(forms, 1) AS spot FROM tries),
+hits AS (SELECT s.*, row_number() OVER (PARTITION BY token ORDER BY round, length(s.form), spot) AS rn FROM spelt s JOIN dict USING (form))
+SELECT token, form AS lemma FROM hits WHERE rn = 1""")
+def q_rule_lemmas(spark, sf_dir):
+    stop, _ = _kw_tables(spark)
+    toks = KW.keyword_tokens(_raw(spark, sf_dir), "Review", "ord", stop)
+    words = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return LM.rule_lemmas(words, words.where(F.col("n") >= _KNOWN_FROM), exceptions=_IRREGULAR)
+
+
+@register("P12_default_stopwords", f"""WITH {RAW_CTE}{_kw_chain('raw_reviews')},
+default_stop AS (SELECT * FROM {LX.values_sql(LX.ENGLISH_STOPWORDS, ["token"])})
+SELECT k.token, count(*) AS count FROM kw_ex k WHERE k.token IN (SELECT token FROM default_stop) GROUP BY k.token""")
+def q_default_stopwords(spark, sf_dir):
+    """How often each default stopword stands in the reviews."""
+    docs = CL.nonblank(_raw(spark, sf_dir), "Review").select(F.explode(TX.tokenize("Review")).alias("token"))
+    return docs.join(KW.stopwords(spark), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("count"))
+
+
 _SENSE_SQL = LX.values_sql(LX.FIXTURE_SENSES, ["word", "rank", "definition", "pos", "examples"])
 
 
