@@ -243,8 +243,13 @@ preprocessed AS (
   FROM complete)"""
 
 
+#: Session setting: deal the review rows over so many tasks (a caller whose table has few row groups asks for it).
+PARTITIONS = "spark.cinelens.partitions"
+
+
 def _raw(spark, sf_dir):
-    return derived.review_rows(spark, sf_dir)
+    rows, tasks = derived.review_rows(spark, sf_dir), spark.conf.get(PARTITIONS, None)
+    return rows if tasks is None else rows.repartition(int(tasks))
 
 
 @register("P1_vote_counts", f"""WITH {RAW_CTE}
@@ -795,6 +800,7 @@ def q_infer(spark, sf_dir):
 
 # ------------------------------------------------------ star load and quality
 from .operators import load as LD  # noqa: E402
+from .operators import lookup as LK  # noqa: E402
 from .operators import quality as QC  # noqa: E402
 from .plans import star as SR  # noqa: E402
 
@@ -917,6 +923,24 @@ def q_quarantine(spark, sf_dir):
     return bad.withColumn("reasons", F.concat_ws(",", "reasons")).drop("quarantine_hash")
 
 
+@register("E4_Q3_Q4_load_metrics", f"""WITH {DIRTY_CTE}{_records_sql('dirty')},
+bad AS (SELECT reasons FROM (SELECT *, row_number() OVER (
+  PARTITION BY movie_id, username, review_text, reasons ORDER BY ord) AS rn FROM records WHERE reasons <> '') t WHERE rn = 1),
+rules(rule) AS (VALUES ('username is null'), ('review_text is null'), ('scrape_timestamp is null'), ('rating_value outside [1, 10]'),
+  ('upvotes_value outside [0, {SR.MAX_INT}]'), ('downvotes_value outside [0, {SR.MAX_INT}]'))
+SELECT 'reviews' AS metric, (SELECT count(DISTINCT review_hash) FROM records WHERE reasons = '') AS n
+UNION ALL SELECT 'reviewers', (SELECT count(DISTINCT username) FROM records WHERE reasons = '')
+UNION ALL SELECT 'sources', (SELECT count(DISTINCT source_url) FROM records)
+UNION ALL SELECT 'movies', (SELECT count(DISTINCT movie_id) FROM records)
+UNION ALL SELECT 'quarantine', (SELECT count(*) FROM bad)
+UNION ALL SELECT rule, (SELECT count(*) FROM bad WHERE contains(reasons, rule)) FROM rules""")
+def q_load_metrics(spark, sf_dir):
+    """Rows added and rules broken, as observed by the load itself."""
+    got = SR.load_star(_dirty(spark, sf_dir), IG.fresh_dir(spark, "metrics"), report_counts=True, report_violations=True)
+    rows = [*got.pop("violations").items(), *got.items()]
+    return LK.local_table(spark, rows, "metric string, n long")
+
+
 @register("J1_J2_resolve_keys", f"""WITH {RECORDS_CTE},
 reviewers AS (SELECT DISTINCT username, CAST(substring(username, 6) AS BIGINT) AS reviewer_id FROM good
               WHERE username NOT LIKE '%3'),

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -79,30 +79,41 @@ def plan_new_rows(batch: DataFrame, target: dict, ord: str = "ord", site: str =
 
 
 def load_star(batch: DataFrame, root: str, ord: str = "ord", site: str = S.SITE,
-              report_counts: bool = False, buckets: int | None = None) -> dict[str, int] | None:
+              report_counts: bool = False, buckets: int | None = None,
+              report_violations: bool = False) -> dict | None:
     """Append new rows to ``root/{sources,movies,reviewers,reviews,quarantine}``.
 
     With ``buckets`` the targets are bucketed and sorted by their natural keys
     (``sources.bucketed``; the number must stay the same for a root): later
     loads then compare keys without shuffling what was loaded before.
 
-    With ``report_counts`` the rows added per table are returned; that needs a
-    count of each table before and after, so it is off by default (a load
-    then only reads the key columns its anti joins need).
+    With ``report_counts`` the rows added per table are returned, with
+    ``report_violations`` also ``violations``: per rule the quarantined rows
+    that broke it. Both are observed while the rows are written; nothing is
+    read or counted again.
     """
     spark = batch.sparkSession
     batch = batch.persist()  # read by five writes; a lost part is computed anew
     target = {t: read_target(spark, root, t, buckets) for t in TABLES}
     plan = plan_new_rows(batch, target, ord, site, bucketed=buckets is not None)
-    added = {}
-    before = {t: (target[t].count() if target[t] is not None else 0) for t in TABLES} if report_counts else {}
+    added: dict = {}
     now = F.current_timestamp()
 
     def append(name: str, df: DataFrame) -> None:
+        seen = None
+        if report_counts or report_violations:
+            broken = {r: F.count_if(F.array_contains("reasons", r)) for r, _ in rules()} if name == "quarantine" else {}
+            seen = Observation()
+            df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[n.alias(r) for r, n in broken.items()])
         if buckets is not None:
             BK.append_bucketed(df, os.path.join(root, name), KEYS[name], buckets)
         else:
             df.write.mode("append").parquet(os.path.join(root, name))
+        if seen is not None:
+            got = seen.get
+            added[name] = got.get("rows", 0)
+            if broken and report_violations:
+                added["violations"] = {r: got.get(r, 0) for r in broken}
 
     src = L.with_surrogate_id(plan["sources"], "source_id", target["sources"]).select(*L.SOURCES_COLS)
     append("sources", src)
@@ -117,9 +128,4 @@ def load_star(batch: DataFrame, root: str, ord: str = "ord", site: str = S.SITE,
     append("reviews", reviews)
     append("quarantine", plan["quarantine"])
     batch.unpersist()
-    if not report_counts:
-        return None
-    for t in TABLES:
-        after_df = read_target(spark, root, t)
-        added[t] = (after_df.count() if after_df is not None else 0) - before[t]
-    return added
+    return added or None

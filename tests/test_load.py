@@ -85,3 +85,24 @@ def test_load_expressions_are_not_copied_and_compile(spark):
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+def test_violations_are_observed_by_the_load(spark, tmp_dir):
+    from cinelens import catalog as C
+    from cinelens.operators import quality as Q
+    from cinelens.operators.load import review_records
+    from cinelens.plans import star as SR
+
+    rows = C._dirty(spark, "/root/testdata/sf0.001")
+    for buckets in (None, 4):
+        root = os.path.join(tmp_dir, f"star{buckets}")
+        got = SR.load_star(rows, root, report_counts=True, report_violations=True, buckets=buckets)
+        bad = spark.read.parquet(os.path.join(root, "quarantine"))
+        assert {t: spark.read.parquet(os.path.join(root, t)).count() for t in SR.TABLES} == {t: got[t] for t in SR.TABLES}
+        records = review_records(rows, values=True)
+        assert {r: n for r, n in got["violations"].items()} == {r: bad.where(f"array_contains(reasons, '{r}')").count() for r, _ in SR.rules()}
+        # as the checks of single rules count them (no row of this batch is broken twice in the same way)
+        assert got["violations"]["rating_value outside [1, 10]"] == Q.check_range(records, "rating_value", 1, 10).dropDuplicates(
+            ["movie_id", "username", "review_text"]).count() > 0
+        again = SR.load_star(rows, root, report_counts=True, report_violations=True, buckets=buckets)
+        assert set(again["violations"].values()) == {0} and {again[t] for t in SR.TABLES} == {0}
