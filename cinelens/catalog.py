@@ -1062,21 +1062,32 @@ def _strip_sql(c: str) -> str:
     return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
 
 
-@register("S8_rendered_review_cards", f"""WITH {RAW_CTE}
+_RENDERED_SQL = f"""WITH {RAW_CTE}
 SELECT ord AS page_id, Author, coalesce(CAST(CAST(Rating AS INTEGER) AS VARCHAR), 'NaN') AS Rating,
        coalesce({_strip_sql('Helpful_upVotes')}, '0') AS Helpful_upVotes,
        coalesce({_strip_sql('Helpful_downVotes')}, '0') AS Helpful_downVotes,
        coalesce({_strip_sql('Summary')}, '') AS Summary, coalesce({_strip_sql('Review')}, '') AS Review, Source_URL,
        CASE WHEN Summary IS NOT NULL THEN '{scalars.SITE}/review/' || Unique_ID || '/' ELSE Author || '_' END AS Unique_ID
-FROM raw_reviews""")
-def q_rendered_cards(spark, sf_dir):
-    got = PG.extract_reviews(_render_cards(_raw(spark, sf_dir)))
+FROM raw_reviews"""
+
+
+def _rendered(got):
     # without a link the id ends in a hash of the card's text
     uid = F.regexp_replace("Unique_ID", "_[0-9a-f]{64}$", "_")
     return got.select(F.col("ord.page_id").alias("page_id"), "Author", "Rating", "Helpful_upVotes", "Helpful_downVotes",
                       "Summary", "Review", "Source_URL", uid.alias("Unique_ID"))
 
 
+@register("S8_rendered_review_cards", _RENDERED_SQL)
+def q_rendered_cards(spark, sf_dir):
+    return _rendered(PG.extract_reviews(_render_cards(_raw(spark, sf_dir))))
+
+
+@register("S8_lateral_review_cards", _RENDERED_SQL)
+def q_lateral_cards(spark, sf_dir):
+    return _rendered(PG.review_fields(PG.cards_by_sql(_render_cards(_raw(spark, sf_dir)))))
+
+
 _SUGGEST_SQL = """CASE WHEN event_type = 'view' THEN props ELSE
   '{"d": [' || (CASE WHEN event_type = 'click' THEN '' ELSE
      '{"id": "nm' || CAST(user_id AS VARCHAR) || '", "l": "' || event_type || '"}, ' END)

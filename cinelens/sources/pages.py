@@ -15,7 +15,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -183,6 +183,30 @@ def raw_cards(pages: DataFrame, selectors: dict | None = None, url_col: str = "u
     return pages.select("page_id", F.col(url_col).alias("url"), "html").mapInPandas(_extract_batches(sel), RAW_CARD_SCHEMA)
 
 
+def register_card_function(spark: SparkSession, name: str = "review_cards", selectors: dict | None = None) -> str:
+    """S8 as a table function: ``SELECT c.* FROM pages p, LATERAL review_cards(p.page_id, p.url, p.html) c``.
+
+    One row per card, with the columns of ``raw_cards``; a page without cards
+    gives none. Rows travel in Arrow batches. ``selectors`` hold for the name.
+    """
+    sel = dict(CARD_SELECTORS, **(selectors or {}))
+
+    class Cards:
+        def eval(self, page_id, url, html):
+            yield from cards_from_html(page_id, url, html, sel)
+
+    spark.udtf.register(name, F.udtf(Cards, returnType=RAW_CARD_SCHEMA, useArrow=True))
+    return name
+
+
+def cards_by_sql(pages: DataFrame, selectors: dict | None = None, url_col: str = "url") -> DataFrame:
+    """``raw_cards`` through the table function."""
+    spark = pages.sparkSession
+    name = register_card_function(spark, selectors=selectors)
+    rows = pages.select("page_id", F.col(url_col).alias("url"), "html")
+    return spark.sql(f"SELECT c.* FROM {{rows}} p, LATERAL {name}(p.page_id, p.url, p.html) c", rows=rows)
+
+
 def extract_reviews(pages: DataFrame, selectors: dict | None = None, site: str = S.SITE,
                     url_col: str = "url") -> DataFrame:
     """Pages ``(page_id, url, html)`` -> review CSV rows with the reference defaults.
@@ -191,7 +215,11 @@ def extract_reviews(pages: DataFrame, selectors: dict | None = None, site: str =
     and history are handled downstream by ``operators.dedup.new_reviews``. A
     page id that occurs twice gives the cards of each of its rows.
     """
-    cards = raw_cards(pages, selectors, url_col)
+    return review_fields(raw_cards(pages, selectors, url_col), site)
+
+
+def review_fields(cards: DataFrame, site: str = S.SITE) -> DataFrame:
+    """Raw cards -> review rows: the defaults of missing fields, author, id and time."""
     author = S.author_from_label("author_label")
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     return cards.select(

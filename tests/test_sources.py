@@ -84,3 +84,18 @@ def test_csv_round_trip_with_quotes_newlines_and_null_tokens(spark, tmp_dir):
     again = read_reviews(spark, out)
     assert again.count() == 4 and known_ids(again).count() == 2
     assert F is not None
+
+
+def test_cards_by_lateral_sql_equal_the_scan(spark):
+    from cinelens.sources import pages as PG
+
+    card = ('<div class="ipc-list-card" data-testid="review-card-parent"><a class="ipc-title-link-wrapper" href="/r/{i}/?x">t{i}</a>'
+            '<div class="ipc-html-content-inner-div">a<br>b{i}</div></div>')
+    pages = spark.createDataFrame([(1, "u", "<p>" + card.format(i=1) + card.format(i=2)), (2, None, "<p>none"), (None, "w", card.format(i=3)),
+                                   (3, "v", None), (1, "u", card.format(i=4))], "page_id long, url string, html string")
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(PG.cards_by_sql(pages)) == rows(PG.raw_cards(pages)) and PG.cards_by_sql(pages).count() == 4
+    pages.createOrReplaceTempView("card_pages")
+    name = PG.register_card_function(spark, "cards_of")
+    got = spark.sql(f"SELECT p.url, c.summary_text FROM card_pages p, LATERAL {name}(p.page_id, p.url, p.html) c WHERE p.page_id = 1")
+    assert sorted(r.summary_text for r in got.collect()) == ["t1", "t2", "t4"]
