@@ -417,6 +417,23 @@ def q_skip_seen_bucketed(spark, sf_dir):
     return DD.new_reviews(raw, BK.open_bucketed(spark, path, known.schema, "Unique_ID", BUCKETS), "Unique_ID", "ord", by_key=True)
 
 
+# A late batch of a few rows, old and new, against the history's files.
+_LATE = "ord % 41 = 7"
+
+
+@register("F3_skipping_by_file", f"""WITH {RAW_CTE}
+SELECT {RAW_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY Unique_ID ORDER BY ord) AS rn FROM raw_reviews WHERE {_LATE}) t
+WHERE rn = 1 AND Unique_ID NOT IN (SELECT Unique_ID FROM raw_reviews WHERE {_HISTORY})""")
+def q_skip_by_file(spark, sf_dir):
+    """History in files with Bloom filters on the key; the batch asks for its own keys."""
+    from .sources import key_filters as KF
+    from .streaming import ingest as IG
+    raw, path = _raw(spark, sf_dir), IG.fresh_dir(spark, "history")
+    KF.append_filtered(raw.where(_HISTORY), path, "Unique_ID")
+    return KF.skip_known(raw.where(_LATE), path)
+
+
 @register("F5_cap_at_target", f"""WITH {RAW_CTE},
 fresh AS (
   SELECT {RAW_COLS} FROM (

@@ -92,6 +92,25 @@ def band_keys(flat: np.ndarray, offsets: np.ndarray, f: np.ndarray, percent: int
     return np.concatenate(keys), np.concatenate(own)
 
 
+def odd_sketch(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """64 parity bits of each set: two sets differ in at least as many shingles as their sketches do in bits."""
+    if len(offsets) < 2:
+        return np.zeros(0, dtype=U64)
+    return np.bitwise_xor.reduceat(U64(1) << (mix(flat) & U64(63)), offsets[:-1])
+
+
+def _may_link(n, m, z, y, percent: int):
+    """Whether sizes and sketches allow the similarity (never false for a pair that has it).
+
+    Works on columns and on arrays alike: ``bits`` are the sketches' differing
+    bits. Of a similar pair the shingles in one set alone are at most
+    ``(100 - percent) / percent`` of the smaller set.
+    """
+    bits = F.bit_count(z.bitwiseXOR(y)) if hasattr(z, "bitwiseXOR") else np.bitwise_count(z ^ y).astype(np.int64)
+    return ((100 * n >= percent * m) & (100 * m >= percent * n) & (percent * bits <= (100 - percent) * n)
+            & (percent * bits <= (100 - percent) * m))
+
+
 class Paragraphs:
     """Paragraphs of a shard's texts, worked out over all of them at once.
 
@@ -223,11 +242,11 @@ def _hear(table: pa.Table) -> pa.Table:
     return pa.table({"shard": shard, "blob": blob})
 
 
-_ROWS = "doc_id long, h long, unit int, last int, begin int, end int, at int, words int, pre long, post long, f long, n int, set array<long>"
+_ROWS = "doc_id long, h long, unit int, last int, begin int, end int, at int, words int, pre long, post long, f long, n int, z long, bands array<long>"
 
 
 def _repeated(percent: int):
-    """Paragraphs that share bands with others; a set that can be like another one is given once per shard and fingerprint."""
+    """Paragraphs that share bands with others; the shared bands are given once per shard and fingerprint."""
 
     def run(key, docs: pa.Table, other: pa.Table) -> pa.Table:
         names, found = _shard(docs, other)
@@ -237,34 +256,124 @@ def _repeated(percent: int):
         for blob in other["blob"].to_pylist() if other.num_columns else []:
             if blob is not None:
                 take[np.frombuffer(blob, dtype=np.uint32)] = True
-        which = np.unique(own[take])
-        n, f = np.diff(offsets)[which], f[which]
+        keys, own = keys[take], own[take]
+        which = np.unique(own)
+        n, f, z = np.diff(offsets)[which], f[which], odd_sketch(flat, offsets)[which]
         new = np.zeros(len(which), dtype=bool)
         new[np.unique(f, return_index=True)[1]] = True
         new &= n >= LEAST_SET
         ids = np.array(names, dtype=np.int64).reshape(-1, 2)
         # lists of the first paragraph of each fingerprint; null for the others
-        size = np.where(new, n, 0)
-        at = np.concatenate(([0], np.cumsum(size)))
-        spot = np.repeat(offsets[which] - at[:-1], size) + np.arange(int(at[-1]))
-        sets = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(signed(np.ascontiguousarray(flat[spot]))), mask=pa.array(~new))
+        by = np.argsort(own, kind="stable")
+        count = np.bincount(own, minlength=len(offsets))[which]
+        held = keys[by][np.repeat(new, count)]
+        at = np.concatenate(([0], np.cumsum(np.where(new, count, 0))))
+        bands = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(signed(np.ascontiguousarray(held))), mask=pa.array(~new))
         cols = [pa.array(ids[found.doc[which], 0]), pa.array(ids[found.doc[which], 1]),
                 *(pa.array(getattr(found, c)[which].astype(np.int32)) for c in ("unit", "last", "begin", "end", "at", "words")),
                 *(pa.array(signed(np.ascontiguousarray(getattr(found, c)[which]))) for c in ("pre", "post")),
-                pa.array(signed(f)), pa.array(n.astype(np.int32)), sets]
+                pa.array(signed(f)), pa.array(n.astype(np.int32)), pa.array(signed(z), mask=~new), bands]
         return pa.table(dict(zip([x.split()[0] for x in _ROWS.split(", ")], cols)))
     return run
 
 
-def _keys_of_sets(percent: int):
-    """``(f, set)`` -> ``(f, b)``: one row per band."""
+def _sets(key, docs: pa.Table, asked: pa.Table) -> pa.Table:
+    """Shingle sets of the asked pieces (whole paragraphs) of a shard's texts."""
+    places: dict = {}
+    for r in asked.to_pylist() if asked.num_columns else []:
+        places.setdefault((r["rep_id"], r["rep_h"]), []).append((r["f"], r["begin"], r["end"]))
+    prints, pieces = [], []
+    if places:
+        for i, h, t in zip(docs["doc_id"], docs["h"], docs["text"]):
+            asks = places.pop((i.as_py(), h.as_py()), None)
+            if asks:
+                raw = t.as_py().encode("utf-8", "surrogatepass")
+                for f, a, b in asks:
+                    prints.append(f)
+                    pieces.append(raw[a:b].decode("utf-8", "surrogatepass"))
+    found = Paragraphs.over(pieces)
+    # the first paragraph of a piece without line breaks is the piece itself
+    first = np.searchsorted(found.doc, np.arange(len(pieces)))
+    size = np.diff(found.offsets)[first]
+    at = np.concatenate(([0], np.cumsum(size)))
+    spot = np.repeat(found.offsets[first] - at[:-1], size) + np.arange(int(at[-1]))
+    return pa.table({"f": pa.array(prints, pa.int64()), "set": pa.ListArray.from_arrays(
+        pa.array(at.astype(np.int32)), pa.array(signed(np.ascontiguousarray(found.flat[spot]))))})
+
+
+_MET = "b long, f long, n int, z long, other long"
+
+
+def _meet(percent: int):
+    """Rows ``(f, n, z, b)`` sorted by bucket -> pairs ``(f, other)`` of small buckets that sizes and sketches let
+    link, and the members of larger buckets (``other`` null); a bucket's rows may come in several batches."""
+
+    def told(f, n, z, b, other=None):
+        cols = [pa.array(b), pa.array(f), pa.array(n.astype(np.int32)), pa.array(z)]
+        return pa.RecordBatch.from_arrays([*cols, pa.nulls(len(f), pa.int64()) if other is None else pa.array(other)],
+                                          names=[c.split()[0] for c in _MET.split(", ")])
+
+    def decided(cols):
+        f, n, z, b = cols
+        first = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1])))
+        size = np.diff(np.append(first, len(b)))
+        count = np.repeat(size, size)
+        big = count > FEW
+        if big.any():
+            yield told(f[big], n[big], z[big], b[big])
+        small = np.flatnonzero((count > 1) & ~big)
+        f, n, z, b = f[small], n[small].astype(np.int64), z[small], b[small]
+        for d in range(1, min(FEW, len(f))):
+            near = np.flatnonzero((b[:-d] == b[d:]) & _may_link(n[:-d], n[d:], z[:-d].view(U64), z[d:].view(U64), percent))
+            if len(near):
+                yield told(f[near], n[near], z[near], b[near], f[near + d])
 
     def run(batches):
+        rest, hot = None, None
         for batch in batches:
-            column = batch["set"]
-            flat, cuts = column.values.to_numpy().view(U64), column.offsets.to_numpy().astype(np.int64)
-            keys, own = band_keys(flat[cuts[0]:cuts[-1]], cuts - cuts[0], batch["f"].to_numpy().view(U64), percent)
-            yield pa.RecordBatch.from_arrays([pa.array(batch["f"].to_numpy()[own]), pa.array(signed(keys))], names=["f", "b"])
+            cols = [np.ascontiguousarray(batch[c].to_numpy()) for c in ("f", "n", "z", "b")]
+            if rest is not None:
+                cols = [np.concatenate(x) for x in zip(rest, cols)]
+            if hot is not None:
+                at = int(np.searchsorted(cols[3], hot, side="right"))
+                if at:
+                    yield told(*(c[:at] for c in cols))
+                cols = [c[at:] for c in cols]
+            if not len(cols[3]):
+                continue
+            hot = rest = None
+            # the last bucket may go on in the next batch
+            cut = int(np.searchsorted(cols[3], cols[3][-1]))
+            last, cols = [c[cut:] for c in cols], [c[:cut] for c in cols]
+            if len(cols[3]):
+                yield from decided(cols)
+            if len(last[3]) > FEW:
+                yield told(*last)
+                hot = last[3][-1]
+            else:
+                rest = last
+        if rest is not None:
+            yield from decided(rest)
+    return run
+
+
+def _live(percent: int):
+    """Members of a block of a bucket that sizes and sketches let link with one of another component."""
+
+    def run(table: pa.Table) -> pa.Table:
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        comps, own, n = (table[c].to_numpy() for c in ("comp", "own", "n"))
+        z = table["z"].to_numpy().view(U64)
+        n = n.astype(np.int64)
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        live = np.zeros(len(own), dtype=bool)
+        for at in range(0, len(left), 256):
+            x = left[at:at + 256]
+            ok = _may_link(n[x][:, None], n[right][None, :], z[x][:, None], z[right][None, :], percent)
+            ok &= comps[x][:, None] != comps[right][None, :]
+            live[x] |= ok.any(axis=1)
+            live[right] |= ok.any(axis=0)
+        return table.select(["b", "i", "j", "own", "f", "comp"]).filter(pa.array(live))
     return run
 
 
@@ -277,10 +386,10 @@ def _block_links(percent: int):
         column = table["set"].combine_chunks()
         flat, cuts = column.values.to_numpy(), column.offsets.to_numpy()
         sets = [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-        n = np.array([len(s) for s in sets])
+        n, z = np.diff(cuts).astype(np.int64), odd_sketch(flat.view(U64), cuts.astype(np.int64))
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        ok = ((comps[left][:, None] != comps[right][None, :]) & (100 * n[left][:, None] >= percent * n[right][None, :])
-              & (100 * n[right][None, :] >= percent * n[left][:, None]))
+        ok = _may_link(n[left][:, None], n[right][None, :], z[left][:, None], z[right][None, :], percent)
+        ok &= comps[left][:, None] != comps[right][None, :]
         if i == j:
             ok &= left[:, None] < right[None, :]
         x, y = np.nonzero(ok)
@@ -290,40 +399,43 @@ def _block_links(percent: int):
     return run
 
 
-def _link(classes: DataFrame, percent: int) -> DataFrame:
-    """Components of similar classes ``(f, n, set)``: ``(id, component_id)`` of linked ones.
+def _link(classes: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Components of similar classes ``(f, n, z, bands)``: ``(id, component_id)`` of linked ones.
 
-    First every member of a bucket against the bucket's hub, then, in buckets
-    that still hold several components, blocks of bounded size inside tasks.
+    Buckets of a few members give their pairs (a bounded number each). In
+    larger ones every member meets the bucket's hub, then, where several
+    components are left, blocks of bounded size are compared inside tasks.
+    Sizes and odd sketches drop pairs that cannot be similar; ``sets_of``
+    fetches the shingles of what is left (``f``) for the exact comparison.
     """
-    rows = classes.select("f", "set").mapInArrow(_keys_of_sets(percent), "f long, b long").distinct()
-    shared = rows.groupBy("b").agg(F.count(F.lit(1)).alias("c"), F.min("f").alias("hub")).where("c > 1")
-    multi = staged(rows.join(shared, "b"), "passage-buckets")
-    pairs = multi.where("f != hub").select(F.least("f", "hub").alias("a"), F.greatest("f", "hub").alias("b")).distinct()
-    sets = classes.select("f", "set")
-
-    def exact(pairs: DataFrame) -> DataFrame:
-        both = (pairs.join(sets.select(F.col("f").alias("a"), F.col("set").alias("x")), "a")
-                .join(sets.select(F.col("f").alias("b"), F.col("set").alias("y")), "b")
-                .select("a", "b", F.size("x").alias("x"), F.size("y").alias("y"), F.size(F.array_intersect("x", "y")).alias("i")))
-        return both.where(100 * F.col("i") >= percent * (F.col("x") + F.col("y") - F.col("i"))).select("a", "b")
-
-    links = exact(pairs)
+    rows = classes.select("f", "n", "z", F.explode("bands").alias("b")).repartition("b").sortWithinPartitions("b", "f")
+    met = staged(rows.mapInArrow(_meet(percent), _MET), "passage-buckets")
+    # pairs of buckets of a few members; the members of larger ones meet their hub first
+    pairs = met.where("other is not null").select(F.col("f").alias("a"), F.col("other").alias("b"))
+    large = met.where("other is null").drop("other")
+    hubs = large.groupBy("b").agg(F.min(F.struct("f", "n", "z")).alias("hub"))
+    may = lambda x, y: _may_link(F.col(f"{x}n"), F.col(f"{y}n"), F.col(f"{x}z"), F.col(f"{y}z"), percent)
+    hubbed = large.join(hubs, "b").where((F.col("f") != F.col("hub.f")) & may("", "hub.")).select(
+        F.least("f", "hub.f").alias("a"), F.greatest("f", "hub.f").alias("b"))
+    pairs = staged(pairs.unionAll(hubbed).distinct(), "passage-pairs")
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("f")))
+    both = (pairs.join(sets.select(F.col("f").alias("a"), F.col("set").alias("x")), "a")
+            .join(sets.select(F.col("f").alias("b"), F.col("set").alias("y")), "b")
+            .select("a", "b", F.size("x").alias("x"), F.size("y").alias("y"), F.size(F.array_intersect("x", "y")).alias("i")))
+    links = both.where(100 * F.col("i") >= percent * (F.col("x") + F.col("y") - F.col("i"))).select("a", "b")
     comp = cut(components(links))
-    known = multi.join(comp, F.col("f") == F.col("id"), "left").select("b", "f", F.coalesce("component_id", "f").alias("comp"))
+    known = staged(large.join(comp, F.col("f") == F.col("id"), "left").select(
+        "b", "f", "n", "z", F.coalesce("component_id", "f").alias("comp")), "passage-known")
     mixed = (known.groupBy("b").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c"))
-             .where("lo != hi").select("b", "c", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
-    # buckets of a few members: their pairs (a bounded number each) by a join; larger ones in blocks
-    few = known.join(mixed.where(F.col("c") <= FEW), "b").select("b", "f", "comp")
-    x, y = (few.select(F.col("b"), F.col("f").alias(f), F.col("comp").alias(c)) for f, c in (("a", "p"), ("z", "q")))
-    near = exact(x.join(y, "b").where("a < z and p != q").select("a", F.col("z").alias("b")).distinct())
-    rest = (known.join(mixed.where(F.col("c") > FEW), "b")
+             .where("lo != hi").select("b", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
+    rest = (known.join(mixed, "b")
             .withColumn("own", F.pmod(F.xxhash64("f"), F.col("blocks").cast("long")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).join(sets, "f"))
-    more = rest.select("b", "i", "j", "own", "f", "comp", "set").groupBy("b", "i", "j").applyInArrow(
+            .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")))
+    live = staged(rest.select("b", "i", "j", "own", "f", "comp", "n", "z").groupBy("b", "i", "j").applyInArrow(
+        _live(percent), "b long, i int, j int, own int, f long, comp long"), "passage-live")
+    more = live.join(sets_of(live.select("f")), "f").select("b", "i", "j", "own", "f", "comp", "set").groupBy("b", "i", "j").applyInArrow(
         _block_links(percent), "a long, b long")
-    more = near.unionAll(more)
     return components(comp.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionAll(more.distinct()))
 
 
@@ -455,13 +567,25 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
         "shard", "blob", F.lit(None).cast("long").alias("skip_id"), F.lit(None).cast("long").alias("skip_h"))
     units = staged(by_shard.cogroup(skip.unionAll(heard).groupBy("shard")).applyInArrow(
         _repeated(percent), _ROWS), "passage-units")
-    classes = staged(units.where("set is not null").select("f", "n", "set").dropDuplicates(["f"]), "passage-classes")
-    comp = _link(classes, percent)
-    members = units.select("doc_id", "h", "unit", "last", "begin", "end", "at", "words", "pre", "post", "f").join(
-        comp, F.col("f") == F.col("id"), "left").withColumn("cluster", F.coalesce("component_id", "f")).drop("id", "component_id")
+    classes = staged(units.where("bands is not null").select("f", "n", "z", "bands", "doc_id", "h", "begin", "end").dropDuplicates(["f"]),
+                     "passage-classes")
+
+    def sets_of(need: DataFrame) -> DataFrame:
+        asked = classes.join(need.distinct(), "f").select(
+            "f", shard("doc_id").alias("shard"), F.col("doc_id").alias("rep_id"), F.col("h").alias("rep_h"), "begin", "end")
+        return staged(by_shard.cogroup(asked.groupBy("shard")).applyInArrow(_sets, "f long, set array<long>"), "passage-sets")
+
+    comp = _link(classes, sets_of, percent)
+    # of every class the first place and the last document; a class of one document that nothing is like stands alone
+    by_class = units.select("doc_id", "h", "unit", "last", "begin", "end", "at", "words", "pre", "post", "f")
     place = F.struct("doc_id", "h", "begin", "end", "pre", "post", "f")
-    first = members.groupBy("cluster").agg(F.min(place).alias("first"), F.max("doc_id").alias("top")).where("first.doc_id != top")
-    again = (members.join(first.select("cluster", "first"), "cluster").where("doc_id != first.doc_id")
+    held = by_class.groupBy("f").agg(F.min(place).alias("first"), F.max("doc_id").alias("top")).join(
+        comp, F.col("f") == F.col("id"), "left").where("id is not null or first.doc_id != top").select(
+        "f", F.coalesce("component_id", "f").alias("cluster"), "first", "top")
+    held = staged(held, "passage-held")
+    kept = held.groupBy("cluster").agg(F.min("first").alias("first"), F.max("top").alias("top")).where("first.doc_id != top")
+    live = held.select("f", "cluster").join(kept.select("cluster", "first"), "cluster")
+    again = (by_class.join(live, "f").where("doc_id != first.doc_id")
              .withColumn("kept", F.col("first.doc_id")).withColumn("kept_h", F.col("first.h")))
     # neighbours repeated from one text; where the word beside them is the same in both, there is more
     w = Window.partitionBy("doc_id", "h", "kept", "kept_h").orderBy("unit", "last")

@@ -5,6 +5,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from cinelens.llm import near_dedup as ND
 from cinelens.llm import passages as PS
@@ -111,3 +112,40 @@ def test_lines_link_as_all_pairs_do(spark):
         at = raw.index(lines[k].encode())
         if near[k]:
             assert any(b <= at and e >= at + len(lines[k].encode()) for b, e in gone.get(k, [])), k
+
+
+def test_sketches_drop_no_similar_pair():
+    rng = np.random.default_rng(3)
+    sets = _sets(rng, 200)
+    z = PS.odd_sketch(np.concatenate(sets), np.concatenate(([0], np.cumsum([len(s) for s in sets]))))
+    kept = dropped = 0
+    for k, j in itertools.combinations(range(0, len(sets), 2), 2):
+        both = len(np.intersect1d(sets[k], sets[j]))
+        may = bool(PS._may_link(np.int64(len(sets[k])), np.int64(len(sets[j])), z[k], z[j], 75))
+        if 100 * both >= 75 * (len(sets[k]) + len(sets[j]) - both):
+            assert may
+            kept += 1
+        else:
+            dropped += not may
+    assert kept > 50 and dropped > 10 * kept
+
+
+def test_buckets_meet_whatever_the_batches():
+    rng = np.random.default_rng(1)
+    rows, pairs, large = [], set(), set()
+    for b in range(-40, 200):
+        size = int(rng.choice([1, 2, 3, 5, 11, 12, 13, 14, 60, 300], p=[.4, .1, .1, .1, .05, .05, .05, .05, .05, .05]))
+        group = [(f, int(rng.integers(3, 6)), int(rng.integers(0, 8)), b) for f in sorted(rng.integers(-2**62, 2**62, size).tolist())]
+        rows += group
+        if size > PS.FEW:
+            large |= {(b, r[0]) for r in group}
+        pairs |= {(x[0], y[0], b) for x, y in itertools.combinations(group, 2) if size <= PS.FEW
+                  and PS._may_link(np.int64(x[1]), np.int64(y[1]), np.uint64(x[2]), np.uint64(y[2]), 75)}
+    for step in (7, 13, 64, 1000, 10**6):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i:i + step]), (
+            pa.int64(), pa.int32(), pa.int64(), pa.int64()))], names=["f", "n", "z", "b"]) for i in range(0, len(rows), step)]
+        got = [r for out in PS._meet(75)(iter(batches)) for r in out.to_pylist()]
+        told = [(r["f"], r["other"], r["b"]) for r in got if r["other"] is not None]
+        members = [(r["b"], r["f"]) for r in got if r["other"] is None]
+        assert len(told) == len(set(told)) and set(told) == pairs
+        assert len(members) == len(set(members)) and set(members) == large
