@@ -273,8 +273,9 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> Data
 
     ``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)``,
     one row per piece. A document's ids are those of the byte-level BPE
-    vocabulary at ``path`` and the end id; a null or empty text is the end id
-    alone. Long documents give pieces of a whole window and a rest; rests are
+    vocabulary at ``path`` and the end id; the string of a special token
+    (``<|endoftext|>``) inside a text is ordinary text, as the vocabulary's own
+    description asks; a null or empty text is the end id alone. Long documents give pieces of a whole window and a rest; rests are
     combined by the plan and cut where a gap would stay. Every id lies in
     exactly one piece; sequences are gapless from offset 0 and full, but for
     a few tokens, or end at a power of two. Repeated rows are packed as often
