@@ -96,7 +96,7 @@ def odd_sketch(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """64 parity bits of each set: two sets differ in at least as many shingles as their sketches do in bits."""
     if len(offsets) < 2:
         return np.zeros(0, dtype=U64)
-    return np.bitwise_xor.reduceat(U64(1) << (mix(flat) & U64(63)), offsets[:-1])
+    return np.bitwise_xor.reduceat(U64(1) << (flat & U64(63)), offsets[:-1])
 
 
 def _may_link(n, m, z, y, percent: int):
@@ -215,7 +215,7 @@ class Paragraphs:
         keep[1:] = (flat[1:] != flat[:-1]) | (own[1:] != own[:-1])
         flat, own = flat[keep], own[keep]
         offsets = np.concatenate(([0], np.cumsum(np.bincount(own, minlength=len(which)))))
-        total = np.add.reduceat(mix(flat), offsets[:-1]) if len(which) else np.zeros(0, dtype=U64)
+        total = np.add.reduceat(flat, offsets[:-1]) if len(which) else np.zeros(0, dtype=U64)
         return flat, offsets, mix(total + np.diff(offsets).astype(U64))
 
 
@@ -273,7 +273,13 @@ def _repeated(percent: int):
                 *(pa.array(getattr(found, c)[which].astype(np.int32)) for c in ("unit", "last", "begin", "end", "at", "words")),
                 *(pa.array(signed(np.ascontiguousarray(getattr(found, c)[which]))) for c in ("pre", "post")),
                 pa.array(signed(f)), pa.array(n.astype(np.int32)), pa.array(signed(z), mask=~new), bands]
-        return pa.table(dict(zip([x.split()[0] for x in _ROWS.split(", ")], cols)))
+        rows = pa.table(dict(zip([x.split()[0] for x in _ROWS.split(", ")], cols)))
+        # a row for each text with its number of words, under unit -1
+        total = np.zeros(len(ids), dtype=np.int64)
+        np.maximum.at(total, found.doc, found.at + found.words)
+        whole = {"doc_id": pa.array(ids[:, 0]), "h": pa.array(ids[:, 1]), "unit": pa.array(np.full(len(ids), -1, np.int32)),
+                 "words": pa.array(total.astype(np.int32))}
+        return pa.concat_tables([rows, pa.table({f.name: whole.get(f.name, pa.nulls(len(ids), f.type)) for f in rows.schema})])
     return run
 
 
@@ -554,10 +560,9 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     shards = max(MIN_SHARDS, int(total) // SHARD_BYTES + 1)
     shard = lambda c: F.pmod(F.xxhash64(c), F.lit(shards).cast("long"))
     # equal texts: all but the first document are repeated whole
-    narrow = text.select("doc_id", "h", F.octet_length("text").cast("long").alias("end"),
-                         F.size(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)).cast("long").alias("n_words")).distinct()
+    narrow = text.select("doc_id", "h", F.octet_length("text").cast("long").alias("end")).distinct()
     lead = narrow.groupBy(F.col("h").alias("lh")).agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("top")).where("lead != top")
-    copies = staged(narrow.join(lead, F.col("h") == F.col("lh")).where("doc_id != lead").select("doc_id", "h", "end", "n_words", "lead"),
+    copies = staged(narrow.join(lead, F.col("h") == F.col("lh")).where("doc_id != lead").select("doc_id", "h", "end", "lead"),
                     "passage-copies")
     skip = copies.select(shard("doc_id").alias("shard"), F.lit(None).cast("binary").alias("blob"),
                          F.col("doc_id").alias("skip_id"), F.col("h").alias("skip_h"))
@@ -577,7 +582,7 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
 
     comp = _link(classes, sets_of, percent)
     # of every class the first place and the last document; a class of one document that nothing is like stands alone
-    by_class = units.select("doc_id", "h", "unit", "last", "begin", "end", "at", "words", "pre", "post", "f")
+    by_class = units.where("unit >= 0").select("doc_id", "h", "unit", "last", "begin", "end", "at", "words", "pre", "post", "f")
     place = F.struct("doc_id", "h", "begin", "end", "pre", "post", "f")
     held = by_class.groupBy("f").agg(F.min(place).alias("first"), F.max("doc_id").alias("top")).join(
         comp, F.col("f") == F.col("id"), "left").where("id is not null or first.doc_id != top").select(
@@ -618,7 +623,8 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     runs = fresh.withColumn("run", F.sum("fresh").over(w)).groupBy("doc_id", "h", "run").agg(
         F.min("begin").alias("begin"), F.max("end").alias("end"), (F.max(F.col("at") + F.col("words")) - F.min("at")).alias("n_words"),
         F.min("kept").alias("kept_doc_id"), F.min("cluster").alias("cluster"))
-    whole = copies.where(F.col("n_words") >= min_words).select(
+    counts = units.where("unit = -1").select("h", F.col("words").cast("long").alias("n_words")).where(F.col("n_words") >= min_words)
+    whole = copies.join(counts, "h").select(
         "doc_id", "h", F.lit(0).cast("long").alias("begin"), "end", "n_words", F.col("lead").alias("kept_doc_id"), F.col("h").alias("cluster"))
     return runs.where(F.col("n_words") >= min_words).drop("run").unionAll(whole)
 
