@@ -3,8 +3,8 @@
 Each stage calls one operator of ``cinelens.llm`` on all that its predecessor
 kept; every stage is written as Parquet into the shared checkpoint folder and
 read again. All but the last return the columns of ``documents``, extra and
-clashing ones included. Rows with a null doc_id are never taken for copies or
-leaks and stay; null and letterless texts go in the first stage; rows
+clashing ones included. Rows with a null doc_id are never taken for copies
+and stay, unless their text leaks; null and letterless texts go in the first stage; rows
 repeated under one doc_id are one document from the second stage on; very
 long texts are worked on whole; an empty table passes every stage.
 """
