@@ -449,6 +449,7 @@ def q_cap(spark, sf_dir):
 # ------------------------------------------------------------------ keywords
 from .operators import keywords as KW  # noqa: E402
 from .operators import lemma_rules as LM  # noqa: E402
+from .session import checkpointed  # noqa: E402
 from .sources import lexicons as LX  # noqa: E402
 
 _TOKEN_SQL = TX.TOKEN.replace("'", "''")
@@ -532,7 +533,7 @@ SELECT token, form AS lemma FROM hits WHERE rn = 1""")
 def q_rule_lemmas(spark, sf_dir):
     stop, _ = _kw_tables(spark)
     toks = KW.keyword_tokens(_raw(spark, sf_dir), "Review", "ord", stop)
-    words = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    words = checkpointed(toks.groupBy("token").agg(F.count(F.lit(1)).alias("n")))      # read as words and as dictionary
     return LM.rule_lemmas(words, words.where(F.col("n") >= _KNOWN_FROM), exceptions=_IRREGULAR)
 
 

@@ -59,6 +59,22 @@ def word_tokens(c) -> Column:
     return _strip_clitics(F.regexp_extract_all(s, F.lit(WORD), 0))
 
 
+def meaningful_words(c, min_len: int = 2, max_len: int = 20) -> Column:
+    """``meaningful(word_tokens(c))`` in one pass of one pattern, without a function per token.
+
+    A word is letters of the right number with at most a clitic behind them, up
+    to the token's end; any other token matches as a whole and leaves an empty
+    group.
+    """
+    low, high = max(min_len + 1, 1), max_len - 1
+    if high < low:
+        return meaningful(word_tokens(c), min_len, max_len)
+    part = r"[\p{L}\p{M}\p{N}_]"
+    word = rf"(\p{{L}}{{{low},{high}}})(?:{CLITIC[:-1]})?(?!['’\-]?{part})|{part}++(?:['’\-]{part}++)*+"
+    s = F.lower(F.coalesce(_col(c).cast("string"), F.lit("")))
+    return F.array_remove(F.regexp_extract_all(s, F.lit(word), 1), "")
+
+
 def meaningful(tokens, min_len: int = 2, max_len: int = 20) -> Column:
     """P10 (length and letters part): letters only, min_len < length < max_len.
 

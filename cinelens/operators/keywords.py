@@ -11,7 +11,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import meaningful, tokenize, word_tokens
+from ..functions.text import meaningful, meaningful_words, tokenize
 from .clean import nonblank
 from .lookup import pair_table, word_table
 
@@ -72,10 +72,9 @@ def keyword_tokens(df: DataFrame, text_col: str, ord: str, stop: DataFrame | Non
                    mode: str = "words", group: str | None = None) -> DataFrame:
     """Token stream ``([group,] ord, pos, token)`` after P9, P10, J5 and J6."""
     docs = nonblank(df, text_col)
+    words = meaningful_words(text_col, min_len, max_len) if mode == "words" else meaningful(tokenize(text_col, mode), min_len, max_len)
     toks = docs.select(*([F.col(group).alias("__group")] if group else []), F.col(ord).alias("__ord"),
-                       F.posexplode(meaningful(word_tokens(text_col) if mode == "words" else tokenize(text_col, mode),
-                                               min_len, max_len))
-                       .alias("pos", "token"))
+                       F.posexplode(words).alias("pos", "token"))
     return lemmatize(drop_stopwords(toks, stop), lemma_table)
 
 

@@ -40,7 +40,7 @@ def rule_lemmas(tokens: DataFrame, dictionary: DataFrame, rules=NOUN_RULES, exce
     """
     spark = tokens.sparkSession
     words = tokens.select(F.col(col).alias("token")).where(F.col(col).isNotNull()).distinct()
-    known = dictionary.select(F.col(dictionary.columns[0]).alias("form")).distinct()
+    known = checkpointed(dictionary.select(F.col(dictionary.columns[0]).alias("form")).distinct())
     irregular = local_table(spark, sorted((w, [w, *forms]) for w, forms in (exceptions or {}).items()), "word string, forms array<string>")
     own = words.join(irregular, F.col("token") == F.col("word"), "left")
     state = checkpointed(own.select(

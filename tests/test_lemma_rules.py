@@ -50,3 +50,33 @@ def test_nothing_to_do(spark):
 def test_default_stopwords(spark):
     assert sorted(r.token for r in KW.stopwords(spark).collect()) == sorted(set(ENGLISH_STOPWORDS))
     assert ENGLISH_STOPWORDS == list(StopWordsRemover.loadDefaultStopWords("english"))
+
+
+def test_words_and_dictionary_are_worked_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    tokens = spark.createDataFrame([(w,) for w in ["movies", "sssss", "xyz", "movie"]], "token string").coalesce(1).mapInArrow(passed, "token string")
+    got = {r.token: r.lemma for r in rule_lemmas(tokens, tokens.where("token = 'movie'")).collect()}
+    # once as words and once as dictionary, however many rounds the endings take
+    assert got == {"movies": "movie", "movie": "movie"} and seen.value == 8
+
+
+def test_registered_lemmas_read_the_reviews_once(spark, tmp_dir, monkeypatch):
+    from cinelens import catalog
+    reads = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    text = " ".join(["harbour"] * 25 + ["harbours", "sssssss"])
+    raw = spark.createDataFrame([(k, text) for k in range(3)], "ord long, Review string").coalesce(1).mapInArrow(passed, "ord long, Review string")
+    monkeypatch.setattr(catalog, "_raw", lambda *_: raw)
+    got = {r.token: r.lemma for r in catalog.QUERIES["J6_rule_lemmas"](spark, tmp_dir).collect()}
+    assert got == {"harbour": "harbour", "harbours": "harbour"} and reads.value == 3
