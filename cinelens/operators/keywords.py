@@ -7,13 +7,15 @@ concatenated into one string or collected to the driver.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import meaningful, meaningful_words, tokenize
 from .clean import nonblank
 from .lookup import pair_table, word_table
+from .sentiment import MAX_WORDS
 
 
 def stopwords(spark: SparkSession, words=None, language: str = "english") -> DataFrame:
@@ -45,11 +47,63 @@ def lemmatize(tokens: DataFrame, lemma_table: DataFrame | None, col: str = "toke
             .drop("__tok", "__lemma"))
 
 
+def _replacements(stop: DataFrame | None, lemma_table: DataFrame | None, max_words: int) -> dict | None:
+    """Word -> its lemma, or "" for a stopword, from the two tables.
+
+    None where they hold more than ``max_words`` rows, several lemmas of a word
+    or lemmas that are no single word. No table is read further than that bound.
+    """
+    room, found = max_words, []
+    for table in (stop.select(stop.columns[0]) if stop is not None else None,
+                  lemma_table.select("token", "lemma") if lemma_table is not None else None):
+        cols = [c.to_pylist() for c in table.limit(room + 1).toArrow().columns] if table is not None else [[], []]
+        room -= len(cols[0])
+        if room < 0:
+            return None
+        found.append(list(zip(*cols)))
+    pairs = [(w, m) for w, m in found[1] if w is not None]
+    if len({w for w, _ in pairs}) < len(pairs) or any(m is not None and m.split() != [m] for _, m in pairs):
+        return None
+    return {w: m for w, m in pairs if m is not None} | {w: "" for (w, *_) in found[0] if w is not None}
+
+
+def _replaced(shared, text: Column) -> Column:
+    @F.arrow_udf("string")
+    def replaced(texts: pa.Array) -> pa.Array:
+        get = shared.value.get
+        return pa.array([" ".join([get(w, w) for w in t.split()]) for t in texts.to_pylist()], pa.string())
+    return replaced(text)
+
+
 def lemmatize_and_remove_stopwords(df: DataFrame, id_col: str, text_col: str, stop: DataFrame | None,
-                                   lemma_table: DataFrame | None, out_col: str = "text") -> DataFrame:
+                                   lemma_table: DataFrame | None, out_col: str = "text",
+                                   max_words: int = MAX_WORDS) -> DataFrame:
     """``(id, text)`` -> ``(id, out)``: stopwords removed, then lemmatised, space-joined.
 
-    The text is split on whitespace (it is expected to be cleaned by P8).
+    The text is split on whitespace (it is expected to be cleaned by P8). Rows
+    of one id come out as one, their words in order of place, then of word.
+    Tables of up to ``max_words`` rows are broadcast and applied to whole texts,
+    and one text per row is shuffled by id, in which a removed word leaves an
+    empty place; larger tables are joined to the words.
+    """
+    known = _replacements(stop, lemma_table, max_words)
+    if known is None:
+        return _joined_without_stopwords(df, id_col, text_col, stop, lemma_table, out_col)
+    shared = df.sparkSession.sparkContext.broadcast(known)
+    left = df.select(id_col, _replaced(shared, F.coalesce(F.col(text_col), F.lit(""))).alias("__left"))
+    words = lambda text: F.split(text, " ")
+    placed = F.flatten(F.transform("__texts", lambda t: F.filter(
+        F.transform(words(t), lambda w, at: F.struct(at.alias("at"), w.alias("w"))), lambda x: x["w"] != "")))
+    merged = F.transform(F.array_sort(placed), lambda x: x["w"])
+    alone = F.array_remove(words(F.get("__texts", F.lit(0))), "")
+    return left.groupBy(id_col).agg(F.collect_list("__left").alias("__texts")).select(
+        id_col, F.array_join(F.when(F.size("__texts") == 1, alone).otherwise(merged), " ").alias(out_col))
+
+
+def _joined_without_stopwords(df: DataFrame, id_col: str, text_col: str, stop: DataFrame | None,
+                              lemma_table: DataFrame | None, out_col: str) -> DataFrame:
+    """``lemmatize_and_remove_stopwords`` by joins of the words, for tables of any size.
+
     ``explode_outer`` keeps documents with no tokens, which come out as "".
     """
     words = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), r"(?U)[\s\x{1c}-\x{1f}]+"),

@@ -1,7 +1,12 @@
 """Keyword counts, ties, stopwords, lemmas and senses."""
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
+from cinelens.functions import text as TX
+from cinelens.operators import clean as CL
 from cinelens.operators import keywords as KW
 from cinelens.operators import sentiment as SN
 from cinelens.operators.lookup import local_table, pair_table
@@ -77,3 +82,52 @@ def test_tables_with_nulls_arrays_and_no_rows(spark):
     t = pair_table(spark, [("a", None, ["x"]), (None, 2, None), ("c", 3, [])], "k string, n int, v array<string>")
     assert [tuple(r) for r in t.collect()] == [("a", None, ["x"]), (None, 2, None), ("c", 3, [])]
     assert local_table(spark, [], "k string, n double").dtypes == [("k", "string"), ("n", "double")]
+
+
+def test_one_pattern_finds_the_meaningful_words(spark):
+    rng = random.Random(4)
+    parts = ["a", "bc", "def", "Ghij", "n", "n't", "'s", "'ll", "'", "\u2019", "-", "--", "_", "7", " ", "  ", "\n", ".", "\u00e9", "e\u0301", "\u0130",
+             "'re", "'m", "'d", "'ve", "x" * 18, "\u4e2d\u6587", "\U0001d51e"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(4000)]
+    texts += [None, "", "shouldn't ann's shouldn't've cat'sing don't o'clock's x-ray's", "can't cannn't " + "z" * 19 + " " + "z" * 20 + "'s"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for low, high in ((2, 20), (0, 5), (-1, 4), (3, 3), (3, 5)):
+        both = df.select(TX.meaningful(TX.word_tokens("t"), low, high).alias("a"), TX.meaningful_words("t", low, high).alias("b"))
+        assert both.where("a is distinct from b").collect() == []
+
+
+def test_blank_texts_of_any_space(spark):
+    spaces = ["", " ", "\x1c\x1d\x1e\x1f", "\u00a0\u3000\u2028\u0085", "\t\r\n\x0b\x0c", None]
+    df = spark.createDataFrame([(t,) for s in spaces for t in (s, s and s + "x" + s, s and s + "\u200b\n")], "t string")
+    assert [r.t for r in CL.nonblank(df, "t").collect()] == [t for (t,) in df.collect() if t is not None and t.strip()]
+
+
+def _both_ways(spark, rows, stop, lem):
+    df = spark.createDataFrame(rows, "id long, t string")
+    ways = [sorted(map(tuple, KW.lemmatize_and_remove_stopwords(df, "id", "t", stop, lem, max_words=n).collect()), key=str) for n in (1000, 0)]
+    assert ways[0] == ways[1]
+    return dict(ways[0])
+
+
+def test_one_text_per_row_is_shuffled(spark):
+    stop, lem = KW.stopwords(spark, ["on", "two"]), KW.lemmas(spark, [("violins", "violin"), ("quays", None), (None, "z"), ("two", "on")])
+    rows = [(5, "two violins on quays"), (6, " "), (7, "on on"), (8, None), (None, "b a"), (None, "c"), (9, "d on b"), (9, "a c\u3000\x1cc violins"), (9, None)]
+    got = _both_ways(spark, rows, stop, lem)
+    assert got == {5: "violin quays", 6: "", 7: "", 8: "", None: "b c a", 9: "a d c b c violin"}
+    df = spark.createDataFrame(rows, "id long, t string")
+    plan = KW.lemmatize_and_remove_stopwords(df, "id", "t", stop, lem)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan and plan.count("Exchange") == 1
+    assert _both_ways(spark, rows, None, None)[9] == "a d c on b c violins"
+
+
+def test_lemmas_that_are_no_single_word(spark):
+    rows = [(1, "ab cd ef"), (2, "cd")]
+    for pairs in ([("cd", "c d")], [("cd", "")], [("cd", "x"), ("cd", "y")], [("cd", None), ("cd", "y")]):
+        _both_ways(spark, rows, None, KW.lemmas(spark, pairs))
+
+
+def test_python_splits_where_the_pattern_does(spark):
+    chars = [c for c in map(chr, range(0x11000)) if not 0xd800 <= ord(c) < 0xe000]
+    df = spark.createDataFrame([("a" + c + "b",) for c in chars], "t string")
+    got = df.where(F.size(F.split("t", r"(?U)[\s\x{1c}-\x{1f}]+")) > 1).count()
+    assert got == sum(len(("a" + c + "b").split()) > 1 for c in chars) > 20
