@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.sql.utils import AnalysisException
@@ -29,8 +29,17 @@ _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields
 _ORDERED = ("bigint", "int", "smallint", "tinyint", "double", "float", "string", "date", "timestamp")
 
 
+def _rank(row: Row):
+    """Order of a key's rows: by place (those without one last), then by row hash."""
+    place = row["place"]
+    return (True, 0, row["tie"]) if place is None or place != place else (False, place, row["tie"])
+
+
 class FirstPerKey(StatefulProcessor):
-    """Lets the first row of a key pass; forgets a key ``keep_ms`` after its event time, if given."""
+    """Lets the first row of a key pass; forgets a key ``keep_ms`` after its event time, if given.
+
+    Most keys have one row, so rows are taken as they are: a data frame per key costs more than the state.
+    """
 
     def __init__(self, keep_ms: int | None):
         self.keep_ms = keep_ms
@@ -39,19 +48,16 @@ class FirstPerKey(StatefulProcessor):
         self.handle = handle
         self.seen = handle.getValueState("seen", "yes boolean")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        for part in rows:
-            best = part.sort_values(["place", "tie"]).head(1)
-            first = best if first is None else pd.concat([first, best]).sort_values(["place", "tie"]).head(1)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        first = min(rows, key=_rank, default=None)
         if first is None or self.seen.exists():
             return
         self.seen.update((True,))
         if self.keep_ms is not None:
-            self.handle.registerTimer(int(first["event_time"].iloc[0].timestamp() * 1000) + self.keep_ms)
-        yield first[["payload"]]
+            self.handle.registerTimer(first["event_ms"] + self.keep_ms)
+        yield Row(payload=first["payload"])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.seen.clear()
         return iter(())
 
@@ -73,13 +79,13 @@ def first_rows(stream: DataFrame, key: str, ord: str, group_col: str | None = No
     packed = stream.select(
         *[F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate([*([group_col] if group_col else []), key])],
         F.col(ord).alias("place"), row_hash(stream).alias("tie"),
-        *([F.col(event_time).alias("event_time")] if event_time else []),
+        *([F.col(event_time).alias("event_time"), F.unix_millis(F.col(event_time).cast("timestamp")).alias("event_ms")] if event_time else []),
         F.to_json(F.struct(*[F.col(f"`{c}`") for c in stream.columns]), _JSON).alias("payload"))
     keep_ms = None
     if event_time:
         keep_ms = int(pd.Timedelta(lateness).total_seconds() * 1000)
         packed = packed.withWatermark("event_time", lateness).where("event_time is not null")
-    out = packed.groupBy(*[c for c in packed.columns if c in ("k0", "k1")]).transformWithStateInPandas(
+    out = packed.groupBy(*[c for c in packed.columns if c in ("k0", "k1")]).transformWithState(
         FirstPerKey(keep_ms), "payload string", "Append", "EventTime" if event_time else "None")
     return out.select(F.from_json("payload", schema, _JSON).alias("r")).select("r.*")
 

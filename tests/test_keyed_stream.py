@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from cinelens.functions.scalars import iso_timestamp
@@ -87,3 +88,36 @@ def test_arguments(spark, tmp_dir):
         KS.ingest_keyed(spark, tmp_dir, tmp_dir, "ord", target=3)
     with pytest.raises(ValueError):
         KS.ingest_keyed(spark, tmp_dir, tmp_dir, "ord", event_time="at")
+
+
+def test_order_of_a_keys_rows_and_cost_per_key():
+    nan = float("nan")
+    rows = [Row(place=p, tie=t, payload=f"{p}/{t}") for p, t in ((None, -5), (nan, -6), (2.0, 9), (2.0, -1), (3.0, -9))]
+    assert [r.payload for r in sorted(rows, key=KS._rank)] == ["2.0/-1", "2.0/9", "3.0/-9", "nan/-6", "None/-5"]
+
+    class Handle:
+        def __init__(self):
+            self.value = None
+
+        def getValueState(self, *_):
+            return self
+
+        def exists(self):
+            return self.value is not None
+
+        def update(self, value):
+            self.value = value
+
+    step = KS.FirstPerKey(None)
+    step.init(Handle())
+    assert [r.payload for r in step.handleInputRows(("k",), iter(rows), None)] == ["2.0/-1"]
+    assert list(step.handleInputRows(("k",), iter(rows), None)) == []
+    assert list(step.handleInputRows(("k",), iter([]), None)) == []
+
+
+def test_large_places_are_not_rounded(spark, tmp_dir):
+    big = 2 ** 53
+    _put(f"{tmp_dir}/in", "a.csv", [(big + 1, "a1", 1), (big, "a1", 1), (7, "a1", 1)])
+    whole = F.substring("Author", 2, 20).cast("long")
+    nulls = lambda df: _rows(df).withColumn("ord", F.when(whole > 7, whole))
+    assert _run(spark, tmp_dir, transform=nulls) == [("a1", f"u{big}")]
