@@ -145,6 +145,9 @@ def top_keywords(df: DataFrame, text_col: str, ord: str = "ord", stop: DataFrame
     """
     toks = keyword_tokens(df, text_col, ord, stop, lemma_table, min_len, max_len, mode, group)
     keys = (["__group"] if group else []) + ["token"]
+    # the last join leaves null keys out; left out here, both readers of the counts share one shuffle and the texts are split once
+    for k in keys:
+        toks = toks.where(F.col(k).isNotNull())
     counts = toks.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"), F.min("__ord").alias("__first"))
     part = Window.partitionBy("__group") if group else Window.partitionBy()
     order = [F.col("count").desc(), F.col("__first").asc()]

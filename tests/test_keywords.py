@@ -131,3 +131,14 @@ def test_python_splits_where_the_pattern_does(spark):
     df = spark.createDataFrame([("a" + c + "b",) for c in chars], "t string")
     got = df.where(F.size(F.split("t", r"(?U)[\s\x{1c}-\x{1f}]+")) > 1).count()
     assert got == sum(len(("a" + c + "b").split()) > 1 for c in chars) > 20
+
+
+def test_both_readers_of_the_counts_share_one_shuffle(spark):
+    docs = _docs(spark, TEXTS).withColumn("movie_id", F.expr("if(ord = 2, null, movie_id)"))
+    for group in (None, "movie_id"):
+        df = KW.top_keywords(docs, "Review", top_n=2, group=group)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        # the counts and the leaders' first rows: two splittings of texts, not three
+        assert plan.count("Generate posexplode") == 2, plan
+    assert {r["movie_id"] for r in KW.top_keywords(docs, "Review", group="movie_id").collect()} == {"m0", "m1"}
