@@ -16,18 +16,27 @@ BASE = 0x9E3779B97F4A7C15
 BASE2 = 0xD6E8FEB86659FD93
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, passing: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Cuts lineage like ``checkpoint()`` but compressed, so a lost executor
-    costs no recomputation of what stands before.
+    costs no recomputation of what stands before. The path is added to
+    ``passing``, if given, for ``given_up``.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if passing is not None:
+        passing.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def given_up(spark: SparkSession, passing: list[str]) -> None:
+    """Empty the staged tables that nothing reads any more, so that they take no disk while later steps run."""
+    while passing:
+        spark.range(0).write.mode("overwrite").parquet(passing.pop())
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``checkpoint()`` into the session's shared folder (narrow tables)."""
     checkpoint_dir(df.sparkSession)

@@ -21,12 +21,16 @@ TOLD = "bucket long, shard long, short binary, number binary"
 
 def announce(shard: int, keys: np.ndarray, shards: int) -> pa.Table:
     """Rows for the buckets; a key that the shard itself holds again needs no answer (``repeated_here``)."""
-    _, first, count = np.unique(keys, return_index=True, return_counts=True)
-    k = mix(keys[first])
+    order = np.argsort(keys)
+    ranked = keys[order]
+    lead = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])[:len(ranked)])
+    count = np.diff(np.append(lead, len(ranked)))
+    first = np.minimum.reduceat(order, lead) if len(lead) else order
+    k = mix(ranked[lead])
     bucket = (k % U64(shards)).astype(np.int64)
     short = np.ascontiguousarray((k >> U64(40)).astype("<u4")).view(np.uint8).reshape(-1, 4)[:, :3]
     # by bucket, those that ask for an answer first, in the order of their numbers (which then pack well)
-    by = np.lexsort((first, count > 1, bucket))
+    by = np.argsort((bucket * 2 + (count > 1)) * max(1, len(keys)) + first)
     cuts = np.flatnonzero(np.diff(bucket[by])) + 1
     parts = np.split(by, cuts) if len(by) else []
     pack = zstandard.ZstdCompressor(level=1)

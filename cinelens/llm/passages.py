@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import SHINGLE, U64, components, cut, mix, numbered, prefix_hash, signed, slices, span_hash, staged
+from .common import SHINGLE, U64, components, cut, given_up, mix, numbered, prefix_hash, signed, slices, span_hash, staged
 from .key_exchange import TOLD, announce, answer, repeated_here
 from .near_dedup import _agree
 
@@ -209,7 +209,9 @@ class Paragraphs:
         begin = np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64)
         flat = self.shingles[np.repeat(self.starts[which] - begin, size) + np.arange(int(size.sum()))]
         own = np.repeat(np.arange(len(which)), size)
-        by = np.lexsort((flat, own))
+        # by hash, then stably by paragraph (numbers of 16 bits are sorted by radix)
+        by = np.argsort(flat)
+        by = by[np.argsort(own[by].astype(np.uint16 if len(which) <= 1 << 16 else np.int64), kind="stable")]
         flat, own = flat[by], own[by]
         keep = np.ones(len(flat), dtype=bool)
         keep[1:] = (flat[1:] != flat[:-1]) | (own[1:] != own[:-1])
@@ -311,8 +313,9 @@ _MET = "b long, f long, n int, z long, other long"
 
 
 def _meet(percent: int):
-    """Rows ``(f, n, z, b)`` sorted by bucket -> pairs ``(f, other)`` of small buckets that sizes and sketches let
-    link, and the members of larger buckets (``other`` null); a bucket's rows may come in several batches."""
+    """Rows ``(f, n, z, b)`` sorted by bucket and class -> pairs ``(f, other)`` of small buckets that sizes and sketches
+    let link, and the members of larger buckets (``other`` null); a class may stand in a bucket several times and a
+    bucket's rows may come in several batches."""
 
     def told(f, n, z, b, other=None):
         cols = [pa.array(b), pa.array(f), pa.array(n.astype(np.int32)), pa.array(z)]
@@ -335,9 +338,15 @@ def _meet(percent: int):
                 yield told(f[near], n[near], z[near], b[near], f[near + d])
 
     def run(batches):
-        rest, hot = None, None
+        rest, hot, before = None, None, (None, None)
         for batch in batches:
             cols = [np.ascontiguousarray(batch[c].to_numpy()) for c in ("f", "n", "z", "b")]
+            if not len(cols[3]):
+                continue
+            f, b = cols[0], cols[3]
+            new = np.append(before != (f[0], b[0]), (f[1:] != f[:-1]) | (b[1:] != b[:-1]))
+            before = f[-1], b[-1]
+            cols = [c[new] for c in cols]
             if rest is not None:
                 cols = [np.concatenate(x) for x in zip(rest, cols)]
             if hot is not None:
@@ -406,7 +415,7 @@ def _block_links(percent: int):
 
 
 def _link(classes: DataFrame, sets_of, percent: int) -> DataFrame:
-    """Components of similar classes ``(f, n, z, bands)``: ``(id, component_id)`` of linked ones.
+    """Components of similar classes ``(f, n, z, bands)``, which may be repeated: ``(id, component_id)`` of linked ones.
 
     Buckets of a few members give their pairs (a bounded number each). In
     larger ones every member meets the bucket's hub, then, where several
@@ -414,8 +423,9 @@ def _link(classes: DataFrame, sets_of, percent: int) -> DataFrame:
     Sizes and odd sketches drop pairs that cannot be similar; ``sets_of``
     fetches the shingles of what is left (``f``) for the exact comparison.
     """
+    spark, found, compared = classes.sparkSession, [], []
     rows = classes.select("f", "n", "z", F.explode("bands").alias("b")).repartition("b").sortWithinPartitions("b", "f")
-    met = staged(rows.mapInArrow(_meet(percent), _MET), "passage-buckets")
+    met = staged(rows.mapInArrow(_meet(percent), _MET), "passage-buckets", found)
     # pairs of buckets of a few members; the members of larger ones meet their hub first
     pairs = met.where("other is not null").select(F.col("f").alias("a"), F.col("other").alias("b"))
     large = met.where("other is null").drop("other")
@@ -423,15 +433,16 @@ def _link(classes: DataFrame, sets_of, percent: int) -> DataFrame:
     may = lambda x, y: _may_link(F.col(f"{x}n"), F.col(f"{y}n"), F.col(f"{x}z"), F.col(f"{y}z"), percent)
     hubbed = large.join(hubs, "b").where((F.col("f") != F.col("hub.f")) & may("", "hub.")).select(
         F.least("f", "hub.f").alias("a"), F.greatest("f", "hub.f").alias("b"))
-    pairs = staged(pairs.unionAll(hubbed).distinct(), "passage-pairs")
-    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("f")))
+    pairs = staged(pairs.unionAll(hubbed).distinct(), "passage-pairs", found)
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("f")), found)
     both = (pairs.join(sets.select(F.col("f").alias("a"), F.col("set").alias("x")), "a")
             .join(sets.select(F.col("f").alias("b"), F.col("set").alias("y")), "b")
             .select("a", "b", F.size("x").alias("x"), F.size("y").alias("y"), F.size(F.array_intersect("x", "y")).alias("i")))
     links = both.where(100 * F.col("i") >= percent * (F.col("x") + F.col("y") - F.col("i"))).select("a", "b")
     comp = cut(components(links))
     known = staged(large.join(comp, F.col("f") == F.col("id"), "left").select(
-        "b", "f", "n", "z", F.coalesce("component_id", "f").alias("comp")), "passage-known")
+        "b", "f", "n", "z", F.coalesce("component_id", "f").alias("comp")), "passage-known", compared)
+    given_up(spark, found)
     mixed = (known.groupBy("b").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c"))
              .where("lo != hi").select("b", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
     rest = (known.join(mixed, "b")
@@ -439,10 +450,12 @@ def _link(classes: DataFrame, sets_of, percent: int) -> DataFrame:
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")))
     live = staged(rest.select("b", "i", "j", "own", "f", "comp", "n", "z").groupBy("b", "i", "j").applyInArrow(
-        _live(percent), "b long, i int, j int, own int, f long, comp long"), "passage-live")
-    more = live.join(sets_of(live.select("f")), "f").select("b", "i", "j", "own", "f", "comp", "set").groupBy("b", "i", "j").applyInArrow(
+        _live(percent), "b long, i int, j int, own int, f long, comp long"), "passage-live", compared)
+    more = live.join(sets_of(live.select("f"), compared), "f").select("b", "i", "j", "own", "f", "comp", "set").groupBy("b", "i", "j").applyInArrow(
         _block_links(percent), "a long, b long")
-    return components(comp.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionAll(more.distinct()))
+    linked = components(comp.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionAll(more.distinct()))
+    given_up(spark, compared)
+    return linked
 
 
 def beside(raw: bytes, at: int, right: bool, most: int) -> list[tuple[bytes, int]]:
@@ -510,17 +523,18 @@ def _agreeing(most: int):
 
 def _extended(edges: DataFrame, by_shard, shard) -> DataFrame:
     """Pieces of text beside the edges that agree word by word with the kept texts, in rounds of a bounded number of words."""
-    pieces, most = None, CONTEXT
+    pieces, most, passing = None, CONTEXT, []
     while True:
         own = edges.select(F.col("doc_id").alias("id"), F.col("h").alias("hash"), "spot", "right")
         other = edges.select(F.col("kept").alias("id"), F.col("kept_h").alias("hash"), F.col("kept_spot").alias("spot"), "right")
         asked = own.unionAll(other).distinct().withColumn("shard", shard("id"))
-        found = staged(by_shard.cogroup(asked.groupBy("shard")).applyInArrow(_beside(most), _BESIDE), "passage-beside")
+        found = staged(by_shard.cogroup(asked.groupBy("shard")).applyInArrow(_beside(most), _BESIDE), "passage-beside", passing)
         mine = found.toDF("doc_id", "h", "spot", "right", "near", "borders")
         theirs = found.toDF("kept", "kept_h", "kept_spot", "right", "kept_near", "kept_borders")
         both = edges.join(mine, ["doc_id", "h", "spot", "right"]).join(theirs, ["kept", "kept_h", "kept_spot", "right"])
         done = staged(both.mapInArrow(_agreeing(most), _EDGES + ", n long, to long, kept_to long, more boolean").where("n > 0"),
                       "passage-extended")
+        given_up(edges.sparkSession, passing)
         part = done.select("doc_id", "h", F.least("spot", "to").alias("begin"), F.greatest("spot", "to").alias("end"),
                            F.when(F.col("right"), F.col("at")).otherwise(F.col("at") - F.col("n")).alias("at"), F.col("n").alias("words"),
                            "kept", "cluster")
@@ -532,10 +546,11 @@ def _extended(edges: DataFrame, by_shard, shard) -> DataFrame:
         most = min(max(FURTHER, 2 * most), MOST)
 
 
-def _dealt(text: DataFrame, shards: int) -> DataFrame:
+def _dealt(text: DataFrame, shards: int, passing: list[str]) -> DataFrame:
     """Texts written once in buckets by shard: every later grouping by shard reads them without another shuffle."""
     spark, name = text.sparkSession, f"passage_texts_{uuid.uuid4().hex}"
-    (text.repartition(shards, "shard").write.bucketBy(shards, "shard").option("path", scratch_path(spark, name))
+    passing.append(scratch_path(spark, name))
+    (text.repartition(shards, "shard").write.bucketBy(shards, "shard").option("path", passing[-1])
      .option("compression", "zstd").format("parquet").saveAsTable(name))
     return spark.table(name)
 
@@ -566,28 +581,30 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
                     "passage-copies")
     skip = copies.select(shard("doc_id").alias("shard"), F.lit(None).cast("binary").alias("blob"),
                          F.col("doc_id").alias("skip_id"), F.col("h").alias("skip_h"))
-    by_shard = _dealt(text.withColumn("shard", shard("doc_id")), shards).groupBy("shard")
+    spark, dealt, passing = docs.sparkSession, [], []
+    by_shard = _dealt(text.withColumn("shard", shard("doc_id")), shards, dealt).groupBy("shard")
     told = by_shard.cogroup(skip.groupBy("shard")).applyInArrow(_tell(shards, percent), TOLD)
     heard = told.groupBy("bucket").applyInArrow(_hear, "shard long, blob binary").select(
         "shard", "blob", F.lit(None).cast("long").alias("skip_id"), F.lit(None).cast("long").alias("skip_h"))
     units = staged(by_shard.cogroup(skip.unionAll(heard).groupBy("shard")).applyInArrow(
-        _repeated(percent), _ROWS), "passage-units")
-    classes = staged(units.where("bands is not null").select("f", "n", "z", "bands", "doc_id", "h", "begin", "end").dropDuplicates(["f"]),
-                     "passage-classes")
+        _repeated(percent), _ROWS), "passage-units", passing)
+    # a class has bands and a sketch once per shard that holds it
+    classes = units.where("z is not null")
 
-    def sets_of(need: DataFrame) -> DataFrame:
-        asked = classes.join(need.distinct(), "f").select(
-            "f", shard("doc_id").alias("shard"), F.col("doc_id").alias("rep_id"), F.col("h").alias("rep_h"), "begin", "end")
-        return staged(by_shard.cogroup(asked.groupBy("shard")).applyInArrow(_sets, "f long, set array<long>"), "passage-sets")
+    def sets_of(need: DataFrame, passing: list[str]) -> DataFrame:
+        places = classes.select("f", "doc_id", "h", "begin", "end").join(need.distinct(), "f")
+        asked = places.groupBy("f").agg(F.min(F.struct("doc_id", "h", "begin", "end")).alias("rep")).select(
+            "f", shard("rep.doc_id").alias("shard"), F.col("rep.doc_id").alias("rep_id"), F.col("rep.h").alias("rep_h"), "rep.begin", "rep.end")
+        return staged(by_shard.cogroup(asked.groupBy("shard")).applyInArrow(_sets, "f long, set array<long>"), "passage-sets", passing)
 
-    comp = _link(classes, sets_of, percent)
+    comp = _link(classes.select("f", "n", "z", "bands"), sets_of, percent)
     # of every class the first place and the last document; a class of one document that nothing is like stands alone
     by_class = units.where("unit >= 0").select("doc_id", "h", "unit", "last", "begin", "end", "at", "words", "pre", "post", "f")
     place = F.struct("doc_id", "h", "begin", "end", "pre", "post", "f")
     held = by_class.groupBy("f").agg(F.min(place).alias("first"), F.max("doc_id").alias("top")).join(
         comp, F.col("f") == F.col("id"), "left").where("id is not null or first.doc_id != top").select(
         "f", F.coalesce("component_id", "f").alias("cluster"), "first", "top")
-    held = staged(held, "passage-held")
+    held = staged(held, "passage-held", passing)
     kept = held.groupBy("cluster").agg(F.min("first").alias("first"), F.max("top").alias("top")).where("first.doc_id != top")
     live = held.select("f", "cluster").join(kept.select("cluster", "first"), "cluster")
     again = (by_class.join(live, "f").where("doc_id != first.doc_id")
@@ -605,6 +622,11 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
         F.min("begin").cast("long").alias("begin"), F.max("end").cast("long").alias("end"), F.min("at").cast("long").alias("at"),
         F.max(F.col("at") + F.col("words")).cast("long").alias("to"), *(v.alias(k) for k, v in ends.items()),
         F.min("cluster").alias("cluster")), "passage-parts")
+    counts = units.where("unit = -1").select("h", F.col("words").cast("long").alias("n_words")).where(F.col("n_words") >= min_words)
+    whole = staged(copies.join(counts, "h").select(
+        "doc_id", "h", F.lit(0).cast("long").alias("begin"), "end", "n_words", F.col("lead").alias("kept_doc_id"), F.col("h").alias("cluster")),
+        "passage-whole")
+    given_up(spark, passing)
     edges = None
     for name in ends:
         right = name.startswith("right")
@@ -617,15 +639,13 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, min_words: int =
     edges = staged(edges.distinct(), "passage-edges")
     pieces = parts.select("doc_id", "h", "begin", "end", "at", (F.col("to") - F.col("at")).alias("words"), "kept", "cluster")
     pieces = pieces.unionAll(_extended(edges, by_shard, shard))
+    given_up(spark, dealt)
     w = Window.partitionBy("doc_id", "h").orderBy("at", "words")
     before = F.max(F.col("at") + F.col("words")).over(w.rowsBetween(Window.unboundedPreceding, -1))
     fresh = pieces.withColumn("fresh", F.coalesce(F.col("at") > before, F.lit(True)).cast("int"))
     runs = fresh.withColumn("run", F.sum("fresh").over(w)).groupBy("doc_id", "h", "run").agg(
         F.min("begin").alias("begin"), F.max("end").alias("end"), (F.max(F.col("at") + F.col("words")) - F.min("at")).alias("n_words"),
         F.min("kept").alias("kept_doc_id"), F.min("cluster").alias("cluster"))
-    counts = units.where("unit = -1").select("h", F.col("words").cast("long").alias("n_words")).where(F.col("n_words") >= min_words)
-    whole = copies.join(counts, "h").select(
-        "doc_id", "h", F.lit(0).cast("long").alias("begin"), "end", "n_words", F.col("lead").alias("kept_doc_id"), F.col("h").alias("cluster"))
     return runs.where(F.col("n_words") >= min_words).drop("run").unionAll(whole)
 
 
