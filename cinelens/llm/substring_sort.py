@@ -73,7 +73,7 @@ def _list(table: pa.Table, column: str) -> list:
 
 def _texts(table: pa.Table, keep: dict) -> list[tuple[int, bytes]]:
     """The shard's texts to work on, in document order, as ``(ord, bytes)``."""
-    rows = {keep[i, s]: t for i, s, t in zip(_list(table, "id"), _list(table, "sha"), _list(table, "text")) if (i, s) in keep}
+    rows = {keep[i, s]: t for i, s, t in zip(_list(table, "ord"), _list(table, "sha"), _list(table, "text")) if (i, s) in keep}
     return [(o, rows[o].encode("utf-8", "surrogatepass")) for o in sorted(rows)]
 
 
@@ -85,8 +85,9 @@ def _shard_segments(texts: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndar
 
 
 def _keep(other: pa.Table) -> dict:
-    """``(id, sha)`` of the shard's texts -> their place in document order."""
-    return {(i, s): o for i, s, o in zip(*(_list(other, c) for c in ("keep_id", "keep_sha", "ord"))) if s is not None}
+    """``(ord, sha)`` of the shard's texts -> their place in document order, without a column of places ``ord`` itself."""
+    place = "place" if "place" in other.column_names else "ord"
+    return {(i, s): o for i, s, o in zip(*(_list(other, c) for c in ("ord", "sha", place))) if s is not None}
 
 
 def hot_keys(texts: list[tuple[int, bytes]], segs: np.ndarray, doc: np.ndarray, length: int, least: int) -> np.ndarray:
@@ -113,13 +114,20 @@ def _announce(shards: int, length: int, least: int):
     return run
 
 
-def _answer(key, table):
-    """Per shard the numbers of its repeated keys; the hot keys of all shards in one row, under shard and ord ``_HOT``."""
-    if key[0].as_py() == _HOT:
-        hot = np.unique(np.concatenate([np.frombuffer(b, dtype=U64) for b in table["short"].to_pylist()])).tobytes()
-        return pa.table({"shard": pa.array([_HOT], pa.int64()), "ord": pa.array([_HOT], pa.int64()), "blob": pa.array([hot], pa.binary())})
-    shard, blob = answer(table)
-    return pa.table({"shard": shard, "ord": pa.nulls(len(shard), pa.int64()), "blob": blob})
+def _answer(shards: int | None = None):
+    """Per shard the numbers of its repeated keys; the hot keys of all shards under ord ``_HOT``, in a row for each of
+    ``shards``, or in one row under shard ``_HOT`` that the caller hands on."""
+
+    def run(key, table):
+        if key[0].as_py() == _HOT:
+            hot = np.unique(np.concatenate([np.frombuffer(b, dtype=U64) for b in table["short"].to_pylist()])).tobytes()
+            to = [_HOT] if shards is None else list(range(shards))
+            shard, name, blob = pa.array(to, pa.int64()), pa.array([_HOT] * len(to), pa.int64()), pa.array([hot] * len(to), pa.binary())
+        else:
+            shard, blob = answer(table)
+            name = pa.nulls(len(shard), pa.int64())
+        return pa.table({"shard": shard, "ord": name, "sha": pa.nulls(len(shard), pa.string()), "blob": blob})
+    return run
 
 
 def _windows(texts, ords, doc, first, last, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -310,7 +318,7 @@ def merged_runs(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _clean(key, docs: pa.Table, other: pa.Table) -> pa.Table:
     texts = _texts(docs, _keep(other))
-    marks = [r for r in zip(*(_list(other, c) for c in ("ord", "start", "end"))) if r[1] is not None]
+    marks = [r for r in zip(*(_list(other, c) for c in ("place", "start", "end"))) if r[1] is not None]
     ords, start, end = np.array(marks, dtype=np.int64).reshape(-1, 3).T
     by = np.argsort(ords, kind="stable")
     ords, start, end = ords[by], start[by], end[by]
@@ -357,26 +365,26 @@ def repeated_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     long_enough = F.col("n") >= length
     # a text is known by document and digest; its place in document order is a number of its own
-    texts = (rows.where(long_enough).select(F.coalesce("doc_id", F.lit(_LAST)).alias("id"), "sha", "text")
-             .withColumn("shard", shard("id", "sha")))
+    texts = (rows.where(long_enough).select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "sha", "text")
+             .withColumn("shard", shard("ord", "sha")))
     leads = staged(counts.where(long_enough).groupBy("sha").agg(F.min(F.coalesce("doc_id", F.lit(_LAST))).alias("id"))
                    .repartitionByRange("id", "sha").sortWithinPartitions("id", "sha")
-                   .select("id", "sha", F.monotonically_increasing_id().alias("ord"), shard("id", "sha").alias("shard")), "substring-leads")
+                   .select(F.col("id").alias("ord"), "sha", F.monotonically_increasing_id().alias("place"), shard("id", "sha").alias("shard")),
+                   "substring-leads")
     none = F.lit(None)
 
     by_shard = texts.groupBy("shard")
-    keep = leads.select("shard", "ord", F.col("id").alias("keep_id"), F.col("sha").alias("keep_sha"), none.cast("binary").alias("blob"))
+    keep = leads.select("shard", "ord", "sha", "place", none.cast("binary").alias("blob"))
     told = by_shard.cogroup(keep.groupBy("shard")).applyInArrow(
         _announce(shards, length, max(HOT_ROWS, SORT_ROWS // shards)), TOLD)
     everywhere = F.when(F.col("shard") == _HOT, F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).otherwise(F.array("shard"))
-    answers = told.groupBy("bucket").applyInArrow(_answer, "shard long, ord long, blob binary").select(
-        F.explode(everywhere).alias("shard"), "ord", none.cast("long").alias("keep_id"), none.cast("string").alias("keep_sha"), "blob")
+    answers = told.groupBy("bucket").applyInArrow(_answer(), "shard long, ord long, sha string, blob binary").select(
+        F.explode(everywhere).alias("shard"), "ord", "sha", none.cast("long").alias("place"), "blob")
     dealt = by_shard.cogroup(keep.unionAll(answers).groupBy("shard")).applyInArrow(_deal(shards, length), _DEALT)
-    marks = dealt.groupBy("bucket").applyInArrow(_sort_bucket(shards, length), "ord long, start long, end long").join(
-        leads.select("ord", "shard"), "ord")
-    last = leads.select("shard", "ord", F.col("id").alias("keep_id"), F.col("sha").alias("keep_sha"), none.cast("long").alias("start"),
-                        none.cast("long").alias("end")).unionAll(
-        marks.select("shard", "ord", none.cast("long").alias("keep_id"), none.cast("string").alias("keep_sha"), "start", "end"))
+    marks = dealt.groupBy("bucket").applyInArrow(_sort_bucket(shards, length), "ord long, start long, end long").withColumnRenamed(
+        "ord", "place").join(leads.select("place", "shard"), "place")
+    last = leads.select("shard", "ord", "sha", "place", none.cast("long").alias("start"), none.cast("long").alias("end")).unionAll(
+        marks.select("shard", none.cast("long").alias("ord"), none.cast("string").alias("sha"), "place", "start", "end"))
     clean = by_shard.cogroup(last.groupBy("shard")).applyInArrow(
         _clean, "id long, sha string, n_removed long, n_spans long, kept_sha256 string, starts array<long>, ends array<long>")
 
