@@ -7,8 +7,8 @@ import random
 import numpy as np
 import pyarrow as pa
 
+from cinelens.llm import common
 from cinelens.llm import passages as PS
-from cinelens.session import checkpoint_dir
 
 from . import cases
 
@@ -17,19 +17,18 @@ def data_bytes(folder):
     return sum(os.path.getsize(f) for f in glob.glob(f"{folder}/**/*.parquet", recursive=True))
 
 
-def test_tables_that_nothing_reads_again_are_given_up(spark):
+def test_tables_that_nothing_reads_again_are_given_up(spark, tmp_dir, monkeypatch):
     rng = random.Random(5)
     words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
     shared = " ".join(rng.choice(words) for _ in range(60))
     rows = [(i, " ".join(rng.choice(words) for _ in range(40)) + f"\n{shared}\n" + " ".join(rng.choice(words) for _ in range(40)))
             for i in range(12)]
-    folder = checkpoint_dir(spark).removeprefix("file:")
-    old = set(os.listdir(folder))
+    monkeypatch.setattr(common, "checkpoint_dir", lambda s: tmp_dir)
+    monkeypatch.setattr(PS, "scratch_path", lambda s, name: f"{tmp_dir}/{name}")
     got = PS.repeated_passages(cases.plain(spark, rows))
-    new = [x for x in os.listdir(folder) if x not in old]
     for name in ("passage_texts", "passage-units", "passage-buckets", "passage-sets", "passage-known", "passage-held", "passage-beside"):
-        own = [x for x in new if x.startswith(name)]
-        assert own and all(data_bytes(f"{folder}/{x}") < 1000 for x in own), name
+        own = [x for x in os.listdir(tmp_dir) if x.startswith(name)]
+        assert own and all(data_bytes(f"{tmp_dir}/{x}") < 1000 for x in own), name
     # the result reads none of them
     assert {r.doc_id for r in got.collect()} == set(range(1, 12))
 
